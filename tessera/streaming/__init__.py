@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reference is bounded batch only (no watermark, window, state or late
+data anywhere), so there is nothing to re-express with Structured Streaming.
+Every operator in :mod:`tessera.operators` is a plain DataFrame function and
+can be applied inside ``foreachBatch`` if a caller streams the raw records.
+"""
