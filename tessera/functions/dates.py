@@ -20,7 +20,7 @@ def parse_date(c, pattern: str = ISO_DATE, fmt: str = "yyyy-MM-dd") -> Column:
     are rejected, unlike a plain cast) and be a real calendar day.
     """
     s = F.regexp_replace(_c(c).cast("string"), r"(?U)^\s+|\s+$", "")
-    return F.when(s.rlike(pattern), F.try_to_date(s, F.lit(fmt)))
+    return F.when(s.rlike(pattern), F.try_to_date(s, fmt))
 
 
 def to_day(c) -> Column:
