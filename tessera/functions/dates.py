@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import strip
+
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -19,7 +21,7 @@ def parse_date(c, pattern: str = ISO_DATE, fmt: str = "yyyy-MM-dd") -> Column:
     The text must match ``pattern`` exactly (so ``'1957'`` or ``'1957-10-4'``
     are rejected, unlike a plain cast) and be a real calendar day.
     """
-    s = F.regexp_replace(_c(c).cast("string"), r"(?U)^\s+|\s+$", "")
+    s = strip(_c(c).cast("string"))
     return F.when(s.rlike(pattern), F.try_to_date(s, fmt))
 
 

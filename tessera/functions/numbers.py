@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import strip
+
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -26,7 +28,7 @@ def duration_days(c, units=DURATION_UNITS) -> Column:
     (digits and dots only) is taken as days, unrounded. A matched number that
     is not a valid float (``'1.2.3 days'``) makes the result NULL.
     """
-    v = F.regexp_replace(F.regexp_replace(F.lower(_c(c)), "[~,]", ""), r"(?U)^\s+|\s+$", "")
+    v = strip(F.translate(F.lower(_c(c)), "~,", ""))
     texts = [F.regexp_extract(v, rf"([\d.]+)\s*{u}", 1) for u, _ in units]
     nums = [F.nullif(t, F.lit("")).try_cast("double") for t in texts]
     matched = None

@@ -420,7 +420,12 @@ def _dim_nation(spark, sf) -> DataFrame:
     return model.distinct_dimension(base, ["n_name", "r_name"], "nation_id", required=["n_name"])
 
 
-def _fact(spark, sf) -> DataFrame:
+def _dims(spark, sf) -> dict[str, DataFrame]:
+    """The three dimensions, each built (and checkpointed) once per query."""
+    return {"date": _dim_date(spark, sf), "nation": _dim_nation(spark, sf), "pair": _dim_pair(spark, sf)}
+
+
+def _fact(spark, sf, dims: dict[str, DataFrame] | None = None) -> DataFrame:
     li = t(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", "l_shipdate", cost("l_extendedprice").alias("cost")
     )
@@ -431,9 +436,10 @@ def _fact(spark, sf) -> DataFrame:
         li.join(o, li.l_orderkey == o.o_orderkey).join(c, F.col("o_custkey") == c.c_custkey)
         .join(n, F.col("c_nationkey") == n.n_nationkey).join(_part_roles(spark, sf), F.col("l_partkey") == F.col("p_partkey"))
     )
-    dd = _dim_date(spark, sf)
-    f = model.lookup_key(base, _dim_nation(spark, sf), ["n_name"], ["n_name"], "nation_id")
-    f = model.lookup_key(f, _dim_pair(spark, sf), ["destination", "category"], ["destination", "category"], "pair_id", null_safe=True)
+    dims = dims or _dims(spark, sf)
+    dd = dims["date"]
+    f = model.lookup_key(base, dims["nation"], ["n_name"], ["n_name"], "nation_id")
+    f = model.lookup_key(f, dims["pair"], ["destination", "category"], ["destination", "category"], "pair_id", null_safe=True)
     f = model.role_playing_keys(f, dd, {"order_date_id": "o_orderdate", "ship_date_id": "l_shipdate"})
     return model.project(f, [
         "l_orderkey", "l_linenumber", "nation_id", "pair_id", "order_date_id", "ship_date_id", "l_returnflag",
@@ -466,11 +472,11 @@ def bridge_counts(spark, sf):
     )
 
 
-def _star_arms(spark, sf):
-    dd = _dim_date(spark, sf)
+def _star_arms(dims: dict[str, DataFrame]):
+    dd = dims["date"]
     return [
-        model.DimJoin(_dim_nation(spark, sf), "nation_id", "nation_id", {"n_name": "n_name", "r_name": "r_name"}),
-        model.DimJoin(_dim_pair(spark, sf), "pair_id", "pair_id", {"destination": "destination", "category": "category"}),
+        model.DimJoin(dims["nation"], "nation_id", "nation_id", {"n_name": "n_name", "r_name": "r_name"}),
+        model.DimJoin(dims["pair"], "pair_id", "pair_id", {"destination": "destination", "category": "category"}),
         model.DimJoin(dd, "order_date_id", "date_id", {
             "order_date": "full_date", "order_year": "year", "order_quarter": "quarter", "order_month": "month",
             "order_decade": "decade",
@@ -483,18 +489,20 @@ def _star_arms(spark, sf):
 
 
 def star_wide(spark, sf):
+    dims = _dims(spark, sf)
     return model.star_join(
-        _fact(spark, sf), ["l_orderkey", "l_linenumber", "l_returnflag", "cost"], _star_arms(spark, sf),
+        _fact(spark, sf, dims), ["l_orderkey", "l_linenumber", "l_returnflag", "cost"], _star_arms(dims),
         order_by=[F.col("order_date").asc_nulls_last()],
     )
 
 
 def star_wide_meta(spark, sf):
-    arms = _star_arms(spark, sf)
+    dims = _dims(spark, sf)
+    arms = _star_arms(dims)
     meta = model.project(t(spark, sf, "orders"), ["o_orderkey", "o_orderpriority", "o_orderstatus"])
     arms.append(model.DimJoin(meta, "l_orderkey", "o_orderkey", {"o_orderpriority": "o_orderpriority", "o_orderstatus": "o_orderstatus"}))
     return model.star_join(
-        _fact(spark, sf), ["l_orderkey", "l_linenumber", "l_returnflag", "cost"], arms,
+        _fact(spark, sf, dims), ["l_orderkey", "l_linenumber", "l_returnflag", "cost"], arms,
         order_by=[F.col("order_date").asc_nulls_last()],
     )
 
@@ -678,11 +686,12 @@ def csv_roundtrip(spark, sf):
 
 def refresh_tables(spark, sf):
     """S4 + S5: dimensions and fact conformed, gated and refreshed; returns the health check of what landed."""
+    dims = _dims(spark, sf)
     tables = {
-        "dim_date": _dim_date(spark, sf),
-        "dim_nation": _dim_nation(spark, sf),
-        "dim_pair": _dim_pair(spark, sf),
-        "fact_lines": _fact(spark, sf),
+        "dim_date": dims["date"],
+        "dim_nation": dims["nation"],
+        "dim_pair": dims["pair"],
+        "fact_lines": _fact(spark, sf, dims),
     }
 
     def gate(staged):

@@ -8,10 +8,9 @@ the same way on both sides.
 from __future__ import annotations
 
 from ..functions.pvalues import chi2_upper_p_sql, student_t_two_sided_p_sql
+from ..functions.text import WHITESPACE
 from .driver import FIRST_YEAR, TABLES
 
-WS = r"'^\s+|\s+$'"
-
 
 def cnt(pred: str) -> str:
     return f"CAST(SUM(CASE WHEN {pred} THEN 1 ELSE 0 END) AS BIGINT)"
@@ -31,7 +30,7 @@ def avg_cost(col: str = "cost", d: int = 2) -> str:
 
 
 def strip(c: str) -> str:
-    return f"regexp_replace({c}, {WS}, '', 'g')"
+    return f"trim({c}, '{WHITESPACE}')"
 
 
 ORDER_STAR = """
@@ -166,7 +165,7 @@ DURATIONS = f"""
         SELECT l_orderkey, l_linenumber, {RAW_DURATION} AS raw_duration
         FROM (SELECT *, CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS q FROM lineitem)
     ),
-    v AS (SELECT *, {strip("regexp_replace(lower(raw_duration), '[~,]', '', 'g')")} AS v FROM r),
+    v AS (SELECT *, {strip("translate(lower(raw_duration), '~,', '')")} AS v FROM r),
     e AS (
         SELECT *, regexp_extract(v, '([\\d.]+)\\s*year', 1) AS ty, regexp_extract(v, '([\\d.]+)\\s*month', 1) AS tm,
                regexp_extract(v, '([\\d.]+)\\s*day', 1) AS td, regexp_extract(v, '([\\d.]+)\\s*hour', 1) AS th
