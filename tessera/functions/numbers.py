@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .text import strip
@@ -19,21 +19,9 @@ DURATION_UNITS = (("year", 365.25), ("month", 30.44), ("day", 1.0), ("hour", 1.0
 _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
-def duration_days(c, units=DURATION_UNITS) -> Column:
-    """Human-written duration -> days.
-
-    Lower-case, drop ``~`` and ``,``, strip. For each unit the *first*
-    ``<number> <unit>`` match counts; the sum of number x factor is rounded to
-    2 places and a sum <= 0 is NULL. With no unit matched, a bare number
-    (digits and dots only) is taken as days, unrounded. A matched number that
-    is not a valid float (``'1.2.3 days'``) makes the result NULL.
-    """
-    v = strip(F.translate(F.lower(_c(c)), "~,", ""))
-    texts = [F.regexp_extract(v, rf"([\d.]+)\s*{u}", 1) for u, _ in units]
+def _duration_from(v: Column, texts: list[Column], units) -> Column:
     nums = [F.nullif(t, F.lit("")).try_cast("double") for t in texts]
-    matched = None
-    bad = None
-    total = None
+    matched = bad = total = None
     for t, n, (_, factor) in zip(texts, nums, units):
         m = t != F.lit("")
         matched = m if matched is None else (matched | m)
@@ -50,6 +38,42 @@ def duration_days(c, units=DURATION_UNITS) -> Column:
     )
 
 
+def _duration_text(c) -> Column:
+    return strip(F.translate(F.lower(_c(c)), "~,", ""))
+
+
+def _unit_pattern(unit: str) -> str:
+    return rf"([\d.]+)\s*{unit}"
+
+
+def duration_days(c, units=DURATION_UNITS) -> Column:
+    """Human-written duration -> days.
+
+    Lower-case, drop ``~`` and ``,``, strip. For each unit the *first*
+    ``<number> <unit>`` match counts; the sum of number x factor is rounded to
+    2 places and a sum <= 0 is NULL. With no unit matched, a bare number
+    (digits and dots only) is taken as days, unrounded. A matched number that
+    is not a valid float (``'1.2.3 days'``) makes the result NULL.
+
+    As one expression the regex captures appear in several CASE branches;
+    :func:`with_duration_days` evaluates each capture once per row and is the
+    one to use on large tables.
+    """
+    v = _duration_text(c)
+    return _duration_from(v, [F.regexp_extract(v, _unit_pattern(u), 1) for u, _ in units], units)
+
+
+def with_duration_days(df: DataFrame, src: str, out: str = "duration_days", units=DURATION_UNITS) -> DataFrame:
+    """P4 as a projection: the normalised text and each unit's capture are
+    computed once per row (Catalyst keeps non-trivial expressions that are
+    referenced several times in their own projection), then combined."""
+    tmp = [f"_dur_{u}" for u, _ in units]
+    d = df.withColumn("_dur_v", _duration_text(F.col(src)))
+    d = d.select("*", *[F.regexp_extract("_dur_v", _unit_pattern(u), 1).alias(t) for (u, _), t in zip(units, tmp)])
+    d = d.withColumn(out, _duration_from(F.col("_dur_v"), [F.col(t) for t in tmp], units))
+    return d.drop("_dur_v", *tmp)
+
+
 def to_number(c) -> Column:
     """P5: tolerant numeric cast like a coercing parser: failures are NULL.
 

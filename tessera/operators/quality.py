@@ -63,7 +63,7 @@ def check_violations(
         aggs.append(F.count_if(F.col(c).isNotNull() & ~F.col(c).between(lo, hi)).cast("bigint").alias(n))
         names.append(n)
         meta[n] = ("range", c)
-    return _rules_table(df.agg(*aggs), names, meta)
+    return _rules_table(df, aggs, names, meta)
 
 
 def length_violations(
@@ -88,11 +88,13 @@ def length_violations(
         aggs.append(F.count_if(F.col(c).isNotNull() & fits.isNull()).cast("bigint").alias(n))
         names.append(n)
         meta[n] = ("precision", c)
-    return _rules_table(df.agg(*aggs), names, meta)
+    return _rules_table(df, aggs, names, meta)
 
 
-def _rules_table(row: DataFrame, names: list[str], meta: dict) -> DataFrame:
-    long = _unpivot_counts(row, names, "_rule_key", "n_violations")
+def _rules_table(df: DataFrame, aggs: list[Column], names: list[str], meta: dict) -> DataFrame:
+    if not aggs:
+        return df.sparkSession.createDataFrame([], "rule string, column_name string, n_violations bigint")
+    long = _unpivot_counts(df.agg(*aggs), names, "_rule_key", "n_violations")
     rule = F.create_map(*[x for n in names for x in (F.lit(n), F.lit(meta[n][0]))])
     col = F.create_map(*[x for n in names for x in (F.lit(n), F.lit(meta[n][1]))])
     return long.select(

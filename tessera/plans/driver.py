@@ -327,9 +327,7 @@ def _raw_duration(k: Column, q: Column) -> Column:
 def _durations(spark, sf) -> DataFrame:
     li = t(spark, sf, "lineitem")
     raw = _raw_duration(F.col("l_linenumber") + F.col("l_orderkey"), F.col("l_quantity"))
-    return li.select("l_orderkey", "l_linenumber", raw.alias("raw_duration")).withColumn(
-        "duration_days", N.duration_days(F.col("raw_duration"))
-    )
+    return N.with_duration_days(li.select("l_orderkey", "l_linenumber", raw.alias("raw_duration")), "raw_duration")
 
 
 def parse_duration(spark, sf):
