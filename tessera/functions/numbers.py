@@ -107,6 +107,11 @@ def flag(predicate: Column) -> Column:
     return F.when(predicate, F.lit(1)).otherwise(F.lit(0))
 
 
+def threshold_label(c, threshold: float, below: str = "below", at_or_above: str = "at_or_above") -> Column:
+    """Two-way label of a number against a threshold (NULL stays NULL)."""
+    return F.when(_c(c) < F.lit(threshold), F.lit(below)).when(_c(c).isNotNull(), F.lit(at_or_above))
+
+
 def count_where(predicate: Column) -> Column:
     """Conditional count as bigint (``sum(case when ... then 1 else 0 end)``)."""
     return F.count_if(F.coalesce(predicate, F.lit(False))).cast("bigint")

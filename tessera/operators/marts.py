@@ -7,14 +7,14 @@ Aggregated measures are returned as double; counts as bigint.
 
 Two null rules coexist, as in the reference: the SQL-view marts (A5-A7) keep
 NULL group keys, the notebook profiles (A8-A11, A14, A17) drop them
-(``dropna_keys``).
+(``_drop_null_keys``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import count_where, pct
@@ -63,11 +63,12 @@ def value_counts(df: DataFrame, col: str, count_col: str = "count") -> DataFrame
 def value_share(df: DataFrame, col: str, decimals: int = 2, as_text: bool = True, share_col: str = "share") -> DataFrame:
     """A3 + P13: share of each non-NULL value in percent, optionally as ``'35.65%'`` text.
 
-    The denominator (non-NULL rows) is a window over the aggregated counts,
-    one row per distinct value.
+    The denominator (non-NULL rows) is a scalar subquery over the aggregated
+    counts, so no single-partition window is needed.
     """
     counts = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_c"))
-    share = F.round(F.col("_c") * 100.0 / F.sum("_c").over(Window.partitionBy()), decimals)
+    total = counts.select(F.sum("_c")).scalar()
+    share = F.round(F.col("_c") * 100.0 / total, decimals)
     out = counts.select(col, share.alias(share_col))
     if as_text:
         out = out.select(col, format_pct(F.col(share_col), decimals).alias(share_col))
@@ -137,9 +138,7 @@ def mode_by_group(df: DataFrame, group_cols: Sequence[str], col: str, alias: str
     """
     keys = list(group_cols)
     counts = df.where(F.col(col).isNotNull()).groupBy(*keys, col).agg(F.count(F.lit(1)).alias("_c"))
-    best = counts.groupBy(*keys).agg(F.max(F.struct(F.col("_c"), F.lit(0).alias("_z"))).alias("_b")).select(
-        *keys, F.col("_b._c").alias("_best")
-    )
+    best = counts.groupBy(*keys).agg(F.max("_c").alias("_best"))
     top = counts.join(best, keys, "inner").where(F.col("_c") == F.col("_best")).groupBy(*keys).agg(
         F.min(col).alias(alias)
     )

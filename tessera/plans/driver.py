@@ -126,11 +126,11 @@ def _part_roles(spark, sf) -> DataFrame:
 def destination_summary(spark, sf):
     li = t(spark, sf, "lineitem").select("l_partkey", "l_linestatus", cost("l_extendedprice").alias("cost"), "l_orderkey")
     fact = li.join(_part_roles(spark, sf), F.col("l_partkey") == F.col("p_partkey"))
-    return marts.status_summary(
+    out = marts.status_summary(
         fact, ["destination", "category"], "l_linestatus", {}, "F", "cost", id_col="l_orderkey",
         avg_alias="avg_price", sum_alias=None,
-        order_by=[F.col("total_missions").desc(), F.col("destination").asc_nulls_last(), F.col("category").asc_nulls_last()],
     )
+    return marts.sort_nulls_last(out, [("total_missions", False), ("destination", True), ("category", True)])
 
 
 def _group_profile(spark, sf) -> DataFrame:
@@ -162,10 +162,11 @@ def decade_type_profile(spark, sf):
 
 
 def category_profile(spark, sf):
-    return marts.rate_profile(
+    prof = marts.rate_profile(
         order_star(spark, sf), ["o_orderpriority"], "o_orderstatus", {"success_rate": "F", "failure_rate": "O"}, "cost",
         total_alias="total_orders", avg_alias="avg_price", order_by=[F.col("total_orders").desc()],
     )
+    return prof.withColumn("rate_band", N.threshold_label(F.col("success_rate"), 33.0))
 
 
 def category_period_pivot(spark, sf):

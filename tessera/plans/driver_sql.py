@@ -399,7 +399,8 @@ ORACLE["category_profile"] = f"""
     WITH s AS ({ORDER_STAR})
     SELECT o_orderpriority, CAST(COUNT(*) AS BIGINT) AS total_orders,
            {rate(cnt("o_orderstatus = 'F'"), 2)} AS success_rate, {rate(cnt("o_orderstatus = 'O'"), 2)} AS failure_rate,
-           {avg_cost()} AS avg_price
+           {avg_cost()} AS avg_price,
+           CASE WHEN {rate(cnt("o_orderstatus = 'F'"), 2)} < 33.0 THEN 'below' ELSE 'at_or_above' END AS rate_band
     FROM s WHERE o_orderpriority IS NOT NULL GROUP BY 1
 """
 
