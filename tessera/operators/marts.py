@@ -313,19 +313,18 @@ def share_kpis(
 
 # ---------------------------------------------------------------- A18-A20
 
-def describe_percentiles(
-    df: DataFrame,
-    cols: Sequence[str],
+def long_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Numeric columns as (column_name, value double) rows, NULLs dropped."""
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], list(cols), "column_name", "value")
+    return long.where(F.col("value").isNotNull())
+
+
+def describe_long(
+    long: DataFrame,
     probs: Sequence[float] = (0.25, 0.5, 0.75, 0.90, 0.95, 0.99),
     decimals: int | None = 2,
 ) -> DataFrame:
-    """Count, mean, std, min, exact percentiles, max per numeric column.
-
-    One row per column (``column_name``). The columns are unpivoted so each
-    becomes a group of the skew-safe exact quantile operator.
-    """
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], list(cols), "column_name", "value")
-    long = long.where(F.col("value").isNotNull())
+    """A19 over a (column_name, value) frame, so several sources share one pass."""
     names = [f"p{int(round(p * 100))}" for p in probs]
     basic = long.groupBy("column_name").agg(
         F.count(F.lit(1)).cast("bigint").alias("count"), F.avg("value").alias("mean"),
@@ -337,6 +336,20 @@ def describe_percentiles(
     return out.select("column_name", "count", *[_round(F.col(s), decimals).alias(s) for s in stats])
 
 
+def describe_percentiles(
+    df: DataFrame,
+    cols: Sequence[str],
+    probs: Sequence[float] = (0.25, 0.5, 0.75, 0.90, 0.95, 0.99),
+    decimals: int | None = 2,
+) -> DataFrame:
+    """Count, mean, std, min, exact percentiles, max per numeric column.
+
+    One row per column (``column_name``). The columns are unpivoted so each
+    becomes a group of the skew-safe exact quantile operator.
+    """
+    return describe_long(long_values(df, cols), probs, decimals)
+
+
 def describe_all(df: DataFrame, decimals: int | None = None) -> DataFrame:
     """Summary of every column, one row per column.
 

@@ -263,9 +263,8 @@ def describe_percentiles(spark, sf):
         "duration_days", F.col("cost").cast("double").alias("cost")
     )
     li = t(spark, sf, "lineitem").select("l_quantity", "l_discount")
-    a = marts.describe_percentiles(li, ["l_quantity", "l_discount"])
-    b = marts.describe_percentiles(ls, ["duration_days", "cost"])
-    return a.unionByName(b)
+    long = marts.long_values(li, ["l_quantity", "l_discount"]).unionByName(marts.long_values(ls, ["duration_days", "cost"]))
+    return marts.describe_long(long)
 
 
 def schema_report(spark, sf):

@@ -11,16 +11,19 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings every session gets. On a cluster the submitter's settings win: the
-# builder only fills what is unset.
+# Settings every session gets unless the submitter already set them.
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
+# Static settings for sessions this helper starts itself (local runs).
+LOCAL_STATIC_CONF = {
+    "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
+}
 
 
 def get_session(
@@ -31,19 +34,28 @@ def get_session(
 ) -> SparkSession:
     """Build (or reuse) a session with the library defaults.
 
-    ``spark.checkpoint.dir`` is left alone when the caller or the cluster set
-    it; only a local run without one gets a fresh scratch directory.
+    With ``master`` (tests, bench) the session is started here with all
+    defaults. Without it (spark-submit on a cluster) the existing settings
+    win: a default is applied only where the key is unset.
+    ``spark.checkpoint.dir`` is left alone when set; only a local run without
+    one gets a fresh scratch directory.
     """
     b = SparkSession.builder.appName(app_name)
+    explicit = dict(extra or {})
+    if shuffle_partitions:
+        explicit["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if master:
         b = b.master(master)
-    conf = dict(DEFAULT_CONF)
-    if shuffle_partitions:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
-    for k, v in conf.items():
-        b = b.config(k, v)
-    spark = b.getOrCreate()
+        for k, v in {**LOCAL_STATIC_CONF, **DEFAULT_CONF, **explicit}.items():
+            b = b.config(k, v)
+        spark = b.getOrCreate()
+    else:
+        spark = b.getOrCreate()
+        for k, v in DEFAULT_CONF.items():
+            if spark.conf.get(k, None) is None and not spark.sparkContext.getConf().contains(k):
+                spark.conf.set(k, v)
+        for k, v in explicit.items():
+            spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
