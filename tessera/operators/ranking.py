@@ -10,9 +10,10 @@ checkpointed to the shared checkpoint folder. Positions are then
 prefix counts come from an aggregate with one row per (partition, group)
 pair, which is at most #partitions + #groups rows.
 
-The checkpoint fixes the partition contents and order, so recomputing after a
-lost executor gives the same positions (ties in the sort key are broken by
-the materialised order).
+The row ids are computed inside the checkpointed plan and written with the
+rows, so recomputing after a lost executor re-reads the same positions (ties
+in the sort key are broken by the materialised order) and every plan built
+on top stays deterministic.
 """
 
 from __future__ import annotations
@@ -41,11 +42,11 @@ def range_sorted(df: DataFrame, sort_cols: list[Column | str], num_partitions: i
     ensure_checkpoint_dir(df.sparkSession)
     n = _num_partitions(df, num_partitions)
     ordered = df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
-    stable = ordered.checkpoint(eager=True)
-    rid = F.monotonically_increasing_id()
+    # The row id is written into the checkpoint, so it is data from here on:
+    # every plan above is deterministic and re-reads give the same ids.
+    stable = ordered.withColumn("_rid", F.monotonically_increasing_id()).checkpoint(eager=True)
     return (
-        stable.withColumn("_rid", rid)
-        .withColumn("_pid", F.shiftright(F.col("_rid"), _SHIFT))
+        stable.withColumn("_pid", F.shiftright(F.col("_rid"), _SHIFT))
         .withColumn("_pos", F.col("_rid").bitwiseAND(F.lit(_LOW)))
     )
 

@@ -53,10 +53,10 @@ def chi_square(
     fs = full.select(F.struct(
         F.sum((F.col("o") - F.col("e")) ** 2 / F.col("e")).alias("obs"), F.max(F.abs(F.col("o") - F.col("e"))).alias("d")
     )).scalar()
-    per_row = full.groupBy(row_col, "R").agg(F.sum("C").alias("S"))
-    unobserved_part = per_row.select(
-        F.sum(F.col("R").cast("double") * (n - F.col("S")).cast("double") / n.cast("double"))
-    ).scalar()
+    per_row = full.groupBy(row_col, "R").agg(F.sum("C").alias("S")).withColumn(
+        "u", F.col("R").cast("double") * (n - F.col("S")).cast("double") / n.cast("double")
+    )
+    unobserved_part = per_row.select(F.sum("u")).scalar()
     rs = rows.select(F.struct(F.count(F.lit(1)).alias("k"), F.sum(1.0 / F.col("R").cast("double")).alias("inv"))).scalar()
     cs = cols.select(F.struct(F.count(F.lit(1)).alias("k"), F.sum(1.0 / F.col("C").cast("double")).alias("inv"))).scalar()
     observed_part, d_any = fs.getField("obs"), fs.getField("d")

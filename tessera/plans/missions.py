@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from ..functions import dates as D
 from ..functions import numbers as N
 from ..functions import text as X
-from ..operators import filters, model, quality
+from ..operators import filters, marts, model, quality
 from ..session import ensure_checkpoint_dir
 from ..sources import io, schema, sink
 
@@ -156,6 +156,98 @@ def unresolved(fact: DataFrame) -> DataFrame:
     return quality.unresolved_keys(fact, ["agency_id", "launch_id", "launch_date_id"])
 
 
+STATUS_COUNTS = {
+    "successful_missions": "Success", "failed_missions": "Failed", "partial_missions": "Partial Success",
+    "ongoing_missions": "Ongoing", "upcoming_missions": "Upcoming",
+}
+
+
+def agency_summary_view(tables: dict[str, DataFrame]) -> DataFrame:
+    """Fact inner-joined to agencies, per agency/country/type."""
+    f = tables["fact_missions"]
+    a = tables["dim_agency"]
+    j = model.inner_lookup(f, a.withColumnRenamed("agency_id", "_aid"), "agency_id", "_aid")
+    return marts.status_summary(
+        j, ["agency_name", "country_region", "agency_type"], "status", STATUS_COUNTS, "Success", "cost_usd_billion",
+        extra_counts={"crewed_missions": F.col("crew_type") == "Crewed"}, id_col="mission_id",
+    )
+
+
+def yearly_trend_view(tables: dict[str, DataFrame]) -> DataFrame:
+    """Fact inner-joined to the launch date, per year and decade, by year."""
+    d = tables["dim_date"].select(F.col("date_id").alias("_did"), "year", "decade")
+    j = model.inner_lookup(tables["fact_missions"], d, "launch_date_id", "_did")
+    return marts.status_summary(
+        j, ["year", "decade"], "status", {"successes": "Success", "failures": "Failed"}, "Success", "cost_usd_billion",
+        extra_counts={"crewed_missions": F.col("crew_type") == "Crewed"}, id_col="mission_id",
+        total_alias="total_launches", rate_alias=None, sum_alias=None, order_by=[F.col("year")],
+    )
+
+
+def destination_summary_view(tables: dict[str, DataFrame]) -> DataFrame:
+    """Per destination and category (NULL groups kept), most missions first."""
+    out = marts.status_summary(
+        tables["fact_missions"], ["destination", "mission_category"], "status", {}, "Success", "cost_usd_billion",
+        id_col="mission_id", sum_alias=None,
+    )
+    return marts.sort_nulls_last(out, [("total_missions", False), ("destination", True), ("mission_category", True)])
+
+
+def register_views(tables: dict[str, DataFrame]) -> list[str]:
+    """The three analytical views as temporary views, queryable from SQL."""
+    views = {
+        "vw_agency_summary": agency_summary_view(tables),
+        "vw_yearly_trend": yearly_trend_view(tables),
+        "vw_destination_summary": destination_summary_view(tables),
+    }
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    return list(views)
+
+
+def _date_arm(dim_date: DataFrame, key: str, prefix: str, attrs: list[str]) -> model.DimJoin:
+    cols = {f"{prefix}_date": "full_date", **{f"{prefix}_{a}": a for a in attrs}}
+    return model.DimJoin(dim_date, key, "date_id", cols)
+
+
+WIDE_FACT_COLUMNS = [
+    "mission_id", "program_type", "mission_category", "sub_category", "destination", "status", "mission_phase",
+    "crew_type", "data_returned", "failure_reason", "cost_usd_billion", "duration_days",
+]
+
+
+def missions_full(tables: dict[str, DataFrame]) -> DataFrame:
+    """The wide mission table without narrative columns, by launch date (NULLs last)."""
+    arms = [
+        model.DimJoin(tables["dim_agency"], "agency_id", "agency_id",
+                      {"agency_name": "agency_name", "country_region": "country_region", "agency_type": "agency_type"}),
+        model.DimJoin(tables["dim_launch"], "launch_id", "launch_id",
+                      {"launch_vehicle": "launch_vehicle", "launch_site": "launch_site"}),
+        _date_arm(tables["dim_date"], "launch_date_id", "launch", ["year", "quarter", "month", "decade"]),
+        _date_arm(tables["dim_date"], "end_date_id", "end", ["year", "quarter", "month", "decade"]),
+    ]
+    return model.star_join(tables["fact_missions"], WIDE_FACT_COLUMNS, arms,
+                           order_by=[F.col("launch_date").asc_nulls_last()])
+
+
+def missions_with_meta(tables: dict[str, DataFrame]) -> DataFrame:
+    """As :func:`missions_full` plus the narrative columns of the meta dimension."""
+    arms = [
+        model.DimJoin(tables["dim_agency"], "agency_id", "agency_id",
+                      {"agency_name": "agency_name", "country_region": "country_region", "agency_type": "agency_type"}),
+        model.DimJoin(tables["dim_launch"], "launch_id", "launch_id",
+                      {"launch_vehicle": "launch_vehicle", "launch_site": "launch_site"}),
+        _date_arm(tables["dim_date"], "launch_date_id", "launch", ["year", "decade"]),
+        _date_arm(tables["dim_date"], "end_date_id", "end", ["year", "decade"]),
+        model.DimJoin(tables["dim_mission_meta"], "mission_id", "mission_id", {
+            "mission_name": "mission_name", "objective": "objective", "key_achievement": "key_achievement",
+            "mission_outcome_detail": "mission_outcome_detail", "reference_url": "reference_url",
+        }),
+    ]
+    return model.star_join(tables["fact_missions"], WIDE_FACT_COLUMNS, arms,
+                           order_by=[F.col("launch_date").asc_nulls_last()])
+
+
 def run(spark: SparkSession, csv_path: str, out_root: str) -> dict[str, DataFrame]:
     """The whole ETL: read, clean, model, check, refresh; returns the reports.
 

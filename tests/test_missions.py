@@ -105,3 +105,62 @@ def test_run_refreshes(spark, csv_path, scratch):
 def test_missing_csv_raises(spark, scratch):
     with pytest.raises(FileNotFoundError):
         io.read_raw_csv(spark, os.path.join(scratch, "nope.csv"))
+
+
+@pytest.fixture()
+def bigger_csv(scratch):
+    """A few dozen valid rows over four agencies, two types, three categories."""
+    rows = []
+    agencies = [("NASA", "USA", "Government", 1960), ("ESA", "Europe", "Government", 1980),
+                ("SpaceX", "USA", "Private", 2005), ("JAXA", "Japan", "Government", 2004)]
+    statuses = ["Success", "Failed", "Ongoing", "Success", "Partial Success", "Upcoming"]
+    cats = ["Mars", "Earth Orbit", "Moon"]
+    for i in range(48):
+        name, country, atype, year = agencies[i % 4]
+        r = row(f"X{i:03d}", name, f"{year + i % 9}-0{1 + i % 9}-1{i % 9}", f"{year + 10}-01-01",
+                status=statuses[i % 6], cost=str(100 + 37 * i), duration=f"{1 + i % 5} years",
+                crew="A, B" if i % 3 == 0 else "", country=country, atype=atype)
+        r[3] = cats[i % 3]
+        rows.append(r)
+    p = os.path.join(scratch, "raw2")
+    os.makedirs(p)
+    with open(os.path.join(p, "m.csv"), "w", newline="") as f:
+        w = csv.writer(f)
+        w.writerow(HEADER)
+        w.writerows(rows)
+    return p
+
+
+def _tables(spark, path):
+    return missions.build_tables(missions.clean(io.read_raw_csv(spark, path)).frame)
+
+
+def test_views_and_wide(spark, bigger_csv):
+    t = _tables(spark, bigger_csv)
+    assert set(missions.register_views(t)) == {"vw_agency_summary", "vw_yearly_trend", "vw_destination_summary"}
+    agency = {r.agency_name: r for r in spark.sql("SELECT * FROM vw_agency_summary").collect()}
+    assert agency["NASA"].total_missions == 12 and agency["NASA"].successful_missions == 4
+    years = spark.sql("SELECT year, total_launches FROM vw_yearly_trend").collect()
+    assert sum(r.total_launches for r in years) == 48
+    full = missions.missions_full(t)
+    assert full.count() == 48 and "launch_decade" in full.columns and "objective" not in full.columns
+    meta = missions.missions_with_meta(t)
+    assert meta.count() == 48 and "objective" in meta.columns
+    dates = [r.launch_date for r in full.select("launch_date").collect()]
+    assert dates == sorted(dates)
+
+
+def test_eda_and_cleaning_reports(spark, bigger_csv):
+    from tessera.plans import eda
+    t = _tables(spark, bigger_csv)
+    rep = eda.eda_report(t)
+    prof = {r.agency_name: r for r in rep["agency_profile"].collect()}
+    assert set(prof) == {"NASA", "ESA", "SpaceX", "JAXA"} and prof["NASA"].success_rate == "33.33%"
+    chi = rep["country_status_test"].collect()[0]
+    assert chi.dof == (3 - 1) * (5 - 1) and 0 <= chi.p_value <= 1
+    kf = rep["key_findings"].collect()[0]
+    assert kf.key_share_pct == pytest.approx(25.0)
+    for name, df in rep.items():
+        df.count()
+    for name, df in eda.cleaning_report(t).items():
+        df.count()
