@@ -243,16 +243,12 @@ def histogram(
     Bin ``k`` covers ``[lo + k w, lo + (k+1) w)``, the last bin is closed;
     for a constant sample the range is ``[v - 0.5, v + 0.5]``. Every bin is
     present (zero-filled). Columns: [group], ``bin``, ``bin_start``,
-    ``bin_end``, ``count``.
+    ``bin_end``, ``count``. The global range is a pair of scalar subqueries;
+    per-group ranges (one row per group) are joined on the group key.
     """
-    base = df.where(F.col(value_col).isNotNull() & (F.col(group_col).isNotNull() if group_col else F.lit(True)))
-    if group_col:
-        keys = [group_col]
-        base = base.select(group_col, F.col(value_col).cast("double").alias("_v"))
-    else:
-        # One global range: a constant key whose one-row range table is broadcast.
-        keys = ["_g"]
-        base = base.select(F.lit(0).alias("_g"), F.col(value_col).cast("double").alias("_v"))
+    keep = F.col(value_col).isNotNull() & (F.col(group_col).isNotNull() if group_col else F.lit(True))
+    keys = [group_col] if group_col else []
+    base = df.where(keep).select(*keys, F.col(value_col).cast("double").alias("_v"))
     rng = base.groupBy(*keys).agg(F.min("_v").alias("_mn"), F.max("_v").alias("_mx"))
     same = F.col("_mn") == F.col("_mx")
     rng = rng.select(
@@ -260,17 +256,20 @@ def histogram(
         F.when(same, F.col("_mn") - 0.5).otherwise(F.col("_mn")).alias("_lo"),
         F.when(same, F.col("_mx") + 0.5).otherwise(F.col("_mx")).alias("_hi"),
     )
-    idx = F.least(
-        F.floor((F.col("_v") - F.col("_lo")) * F.lit(float(bins)) / (F.col("_hi") - F.col("_lo"))).cast("int"),
-        F.lit(bins - 1),
-    )
-    joined = base.join(rng if group_col else F.broadcast(rng), keys)
+    if group_col:
+        joined = base.join(rng, keys)
+        lo, hi = F.col("_lo"), F.col("_hi")
+        grid = rng.select(*keys, "_lo", "_hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    else:
+        lo, hi = rng.select("_lo").scalar(), rng.select("_hi").scalar()
+        joined = base
+        grid = rng.select("_lo", "_hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    idx = F.least(F.floor((F.col("_v") - lo) * F.lit(float(bins)) / (hi - lo)).cast("int"), F.lit(bins - 1))
     counts = joined.groupBy(*keys, idx.alias("bin")).agg(F.count(F.lit(1)).alias("_c"))
-    grid = rng.select(*keys, "_lo", "_hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     out = grid.join(counts, [*keys, "bin"], "left")
     width = (F.col("_hi") - F.col("_lo")) / F.lit(float(bins))
     return out.select(
-        *([group_col] if group_col else []), "bin",
+        *keys, "bin",
         (F.col("_lo") + F.col("bin") * width).alias("bin_start"),
         F.when(F.col("bin") == bins - 1, F.col("_hi")).otherwise(F.col("_lo") + (F.col("bin") + 1) * width).alias("bin_end"),
         F.coalesce(F.col("_c"), F.lit(0)).cast("bigint").alias("count"),

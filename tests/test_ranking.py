@@ -54,3 +54,22 @@ def test_quantiles_hot_group_matches_numpy(spark):
         have = [got[g][f"q{int(round(p * 100))}"] for p in probs]
         assert have == pytest.approx(list(want), rel=1e-12, abs=1e-12), g
         assert got[g].n == len(vals)
+
+
+def test_hot_group_is_split_across_tasks(spark):
+    """A group holding a third of lineitem lands in several range partitions, and stays exact."""
+    from tessera.operators.ranking import group_positions
+
+    li = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet")
+    g = F.when(F.col("l_orderkey") % 3 == 0, F.lit("hot")).otherwise(F.col("l_returnflag"))
+    df = li.select(g.alias("g"), F.col("l_extendedprice").alias("v"))
+    rows, seg = group_positions(df, ["g"], "v", num_partitions=8)
+    hot_parts = seg.where("g = 'hot'").count()
+    assert hot_parts >= 3
+    biggest = rows.groupBy("_pid").count().agg(F.max("count")).collect()[0][0]
+    assert biggest < df.where("g = 'hot'").count()  # no task holds the whole hot group
+    got = {r.g: r for r in exact_quantiles(df, ["g"], "v", [0.1, 0.5, 0.9], num_partitions=8).collect()}
+    pdf = df.toPandas()
+    for key, part in pdf.groupby("g"):
+        want = np.quantile(part["v"].to_numpy(), [0.1, 0.5, 0.9])
+        assert [got[key].q10, got[key].q50, got[key].q90] == pytest.approx(list(want), rel=1e-12)
