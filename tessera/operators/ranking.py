@@ -27,21 +27,22 @@ _SHIFT = 33  # monotonically_increasing_id = partition id << 33 | ordinal
 _LOW = (1 << _SHIFT) - 1
 
 
-def _num_partitions(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return num_partitions
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
 def range_sorted(df: DataFrame, sort_cols: list[Column | str], num_partitions: int | None = None) -> DataFrame:
     """Range-partition and sort ``df``, checkpoint it, and tag each row.
 
     Adds ``_pid`` (partition), ``_pos`` (0-based ordinal inside the
     partition) and ``_rid`` (unique row id, ``_pid << 33 | _pos``).
+    Without ``num_partitions`` the range count follows
+    ``spark.sql.shuffle.partitions`` and AQE may coalesce adjacent small
+    ranges (order is kept), so small inputs don't produce one tiny task per
+    shuffle partition.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    n = _num_partitions(df, num_partitions)
-    ordered = df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
+    if num_partitions:
+        ordered = df.repartitionByRange(num_partitions, *sort_cols)
+    else:
+        ordered = df.repartitionByRange(*sort_cols)
+    ordered = ordered.sortWithinPartitions(*sort_cols)
     # The row id is written into the checkpoint, so it is data from here on:
     # every plan above is deterministic and re-reads give the same ids.
     stable = ordered.withColumn("_rid", F.monotonically_increasing_id()).checkpoint(eager=True)
