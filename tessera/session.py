@@ -85,5 +85,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or local
 
 
+def cluster_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Suggested settings for a large run (pass as ``extra`` or to spark-submit).
+
+    The initial shuffle partition count is sized so the biggest shuffle (at
+    most the input) lands near ``partition_bytes`` per task, never below two
+    waves of cores; AQE then coalesces small partitions to the same advisory
+    size and splits skewed join partitions.
+    """
+    n = max(2 * total_cores, -(-input_bytes // partition_bytes))
+    size = f"{partition_bytes >> 20}m"
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{4 * (partition_bytes >> 20)}m",
+        "spark.sql.files.maxPartitionBytes": size,
+    }
+
+
 def bench_cpus() -> int:
     return int(os.environ.get("BENCH_CPUS", "8"))
