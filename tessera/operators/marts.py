@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import count_where, pct
 from ..functions.text import format_pct
-from .quantiles import exact_quantiles
+from .quantiles import exact_quantiles, quantiles
 
 
 def _drop_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -42,10 +42,16 @@ def overview(
     min_max_cols: Sequence[str] = (),
     flags: Mapping[str, Column] | None = None,
     count_alias: str = "total_rows",
+    approx_distinct: bool = False,
 ) -> DataFrame:
-    """A1: row count, distinct counts (NULLs excluded), min/max, conditional counts."""
+    """A1: row count, distinct counts (NULLs excluded), min/max, conditional counts.
+
+    ``approx_distinct`` swaps the exact distinct counts for HyperLogLog
+    sketches (opt-in; exact is the default).
+    """
     aggs = [F.count(F.lit(1)).alias(count_alias)]
-    aggs += [F.count_distinct(F.col(c)).alias(f"distinct_{c}") for c in distinct_cols]
+    distinct = (lambda c: F.approx_count_distinct(c).cast("bigint")) if approx_distinct else F.count_distinct
+    aggs += [distinct(F.col(c)).alias(f"distinct_{c}") for c in distinct_cols]
     for c in min_max_cols:
         aggs += [F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}")]
     aggs += [count_where(p).alias(n) for n, p in (flags or {}).items()]
@@ -251,10 +257,13 @@ def contingency(df: DataFrame, row_col: str, col_col: str, count_col: str = "obs
     )
 
 
-def group_median(df: DataFrame, group_col: str, value_col: str, alias: str = "median") -> DataFrame:
-    """Exact median per group (NULL keys and values dropped), largest first."""
+def group_median(df: DataFrame, group_col: str, value_col: str, alias: str = "median", exact: bool = True) -> DataFrame:
+    """Median per group (NULL keys and values dropped), largest first.
+
+    Exact and skew-safe by default; ``exact=False`` uses a sketch.
+    """
     base = _drop_null_keys(df, [group_col])
-    med = exact_quantiles(base, [group_col], value_col, [0.5], [alias])
+    med = quantiles(base, [group_col], value_col, [0.5], [alias], exact=exact)
     return med.orderBy(F.col(alias).desc_nulls_last(), F.col(group_col))
 
 
@@ -323,14 +332,18 @@ def describe_long(
     long: DataFrame,
     probs: Sequence[float] = (0.25, 0.5, 0.75, 0.90, 0.95, 0.99),
     decimals: int | None = 2,
+    exact: bool = True,
 ) -> DataFrame:
-    """A19 over a (column_name, value) frame, so several sources share one pass."""
+    """A19 over a (column_name, value) frame, so several sources share one pass.
+
+    Percentiles are exact (interpolated, skew-safe) unless ``exact=False``.
+    """
     names = [f"p{int(round(p * 100))}" for p in probs]
     basic = long.groupBy("column_name").agg(
         F.count(F.lit(1)).cast("bigint").alias("count"), F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"),
     )
-    q = exact_quantiles(long, ["column_name"], "value", probs, names)
+    q = quantiles(long, ["column_name"], "value", probs, names, exact=exact)
     out = basic.join(q, "column_name", "left")
     stats = ["mean", "std", "min", *names, "max"]
     return out.select("column_name", "count", *[_round(F.col(s), decimals).alias(s) for s in stats])
@@ -341,13 +354,14 @@ def describe_percentiles(
     cols: Sequence[str],
     probs: Sequence[float] = (0.25, 0.5, 0.75, 0.90, 0.95, 0.99),
     decimals: int | None = 2,
+    exact: bool = True,
 ) -> DataFrame:
     """Count, mean, std, min, exact percentiles, max per numeric column.
 
     One row per column (``column_name``). The columns are unpivoted so each
     becomes a group of the skew-safe exact quantile operator.
     """
-    return describe_long(long_values(df, cols), probs, decimals)
+    return describe_long(long_values(df, cols), probs, decimals, exact)
 
 
 def describe_all(df: DataFrame, decimals: int | None = None) -> DataFrame:

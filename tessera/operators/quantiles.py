@@ -30,6 +30,39 @@ def _null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str]):
     return cond
 
 
+def approx_quantiles(
+    df: DataFrame,
+    group_cols: Sequence[str],
+    value_col: str,
+    probs: Sequence[float],
+    names: Sequence[str] | None = None,
+    accuracy: int = 10000,
+) -> DataFrame:
+    """Opt-in sketch quantiles (``percentile_approx``): one pass, bounded memory per group.
+
+    Results are data values within ``1/accuracy`` rank error, not the
+    interpolated exact quantiles; use when an exact answer isn't required.
+    """
+    names = list(names) if names is not None else [f"q{int(round(p * 100))}" for p in probs]
+    q = F.percentile_approx(F.col(value_col).cast("double"), list(probs), accuracy)
+    out = df.where(F.col(value_col).isNotNull()).groupBy(*group_cols).agg(q.alias("_q"))
+    return out.select(*group_cols, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+
+
+def quantiles(
+    df: DataFrame,
+    group_cols: Sequence[str],
+    value_col: str,
+    probs: Sequence[float],
+    names: Sequence[str] | None = None,
+    exact: bool = True,
+) -> DataFrame:
+    """Exact (default, skew-safe) or sketch quantiles with the same output shape."""
+    if exact:
+        return exact_quantiles(df, group_cols, value_col, probs, names)
+    return approx_quantiles(df, group_cols, value_col, probs, names)
+
+
 def exact_quantiles(
     df: DataFrame,
     group_cols: Sequence[str],

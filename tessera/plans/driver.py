@@ -25,7 +25,7 @@ from ..functions import text as X
 from ..functions.pvalues import verdict
 from ..operators import filters, marts, model, quality, stats
 from ..session import ensure_checkpoint_dir
-from ..sources import io, schema, sink
+from ..sources import io, sink
 
 STATUSES = {"finished_orders": "F", "open_orders": "O", "pending_orders": "P"}
 SUCCESS = "F"

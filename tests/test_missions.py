@@ -4,7 +4,6 @@ import csv
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from tessera.plans import missions
 from tessera.sources import io

@@ -73,3 +73,14 @@ def test_hot_group_is_split_across_tasks(spark):
     for key, part in pdf.groupby("g"):
         want = np.quantile(part["v"].to_numpy(), [0.1, 0.5, 0.9])
         assert [got[key].q10, got[key].q50, got[key].q90] == pytest.approx(list(want), rel=1e-12)
+
+
+def test_approx_quantiles_close_to_exact(spark):
+    from tessera.operators.quantiles import quantiles
+
+    df = spark.range(10001).select((F.col("id") % 3).cast("string").alias("g"), F.col("id").cast("double").alias("v"))
+    ex = {r.g: r.q50 for r in quantiles(df, ["g"], "v", [0.5]).collect()}
+    ap = {r.g: r.q50 for r in quantiles(df, ["g"], "v", [0.5], exact=False).collect()}
+    assert ex.keys() == ap.keys()
+    for k in ex:
+        assert abs(ex[k] - ap[k]) <= 10001 / 1000
