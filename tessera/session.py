@@ -23,6 +23,7 @@ DEFAULT_CONF = {
 LOCAL_STATIC_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -103,6 +104,7 @@ def cluster_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{4 * (partition_bytes >> 20)}m",
         "spark.sql.files.maxPartitionBytes": size,
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
 
 

@@ -163,3 +163,18 @@ def test_eda_and_cleaning_reports(spark, bigger_csv):
         df.count()
     for name, df in eda.cleaning_report(t).items():
         df.count()
+
+
+def test_failed_gate_keeps_old_tables(spark, scratch):
+    from tessera.sources import sink
+
+    root = os.path.join(scratch, "wh")
+    first = {"t": spark.range(3)}
+    sink.refresh_tables(first, root, order=["t"])
+
+    def reject(staged):
+        raise ValueError("gate says no")
+
+    with pytest.raises(ValueError):
+        sink.refresh_tables({"t": spark.range(10)}, root, order=["t"], gate=reject)
+    assert spark.read.parquet(os.path.join(root, "t")).count() == 3
