@@ -9,7 +9,9 @@ Spark's exact ``percentile``/``median`` merge every distinct value of a group
 in one task, which a hot group cannot afford. Here the rows are globally
 range-sorted on (group, value) (see :mod:`.ranking`), the needed ranks are
 computed from per-group counts, located through the small segment table and
-fetched by row id: two passes over the data, no group gathered anywhere.
+fetched by (range, row id): one columnar pass for the counts, and a fetch that
+partition pruning limits to the ranges holding a needed rank; no group is
+gathered anywhere.
 """
 
 from __future__ import annotations
@@ -103,10 +105,15 @@ def exact_quantiles(
     located = ranks.join(seg, _null_safe_on(ranks, seg, gcols), "inner").where(
         (F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_cnt"))
     ).select(
-        *[ranks[c] for c in gcols], "_qi", "_h", "_lo", "_rank",
-        (F.shiftleft(F.col("_pid"), 33) + F.col("_first") + F.col("_rank") - F.col("_before")).alias("_rid"),
+        *[ranks[c] for c in gcols], "_qi", "_h", "_lo", "_rank", "_pid",
+        (F.shiftleft(F.col("_pid").cast("bigint"), 33) + F.col("_first") + F.col("_rank") - F.col("_before")).alias("_rid"),
     )
-    picked = located.join(rows.select("_rid", "_v"), "_rid", "inner")
+    # Only the ranges holding a needed rank are read back: their ids are at
+    # most the number of range partitions, so the list has a proven bound and
+    # becomes a partition filter on the staged table.
+    needed = [r[0] for r in located.select("_pid").distinct().collect()]
+    fetch = rows.where(F.col("_pid").isin(needed)).select("_pid", "_rid", "_v")
+    picked = located.join(fetch, ["_pid", "_rid"], "inner")
     per_q = picked.groupBy(*gcols, "_qi", "_h", "_lo").agg(
         F.max(F.when(F.col("_rank") == F.col("_lo"), F.col("_v"))).alias("_a"),
         F.max("_v").alias("_b"),

@@ -5,19 +5,23 @@
 task: with a group holding a third of the rows that is the bottleneck. Here
 the rows are range-partitioned on the sort key (Spark samples the key, so a hot
 group is split over many partitions), sorted inside each partition and
-checkpointed to the shared checkpoint folder. Positions are then
+staged in the shared checkpoint folder. Positions are then
 ``prefix count of earlier partitions + ordinal inside the partition``; the
 prefix counts come from an aggregate with one row per (partition, group)
 pair, which is at most #partitions + #groups rows.
 
-The row ids are computed inside the checkpointed plan and written with the
-rows, so recomputing after a lost executor re-reads the same positions (ties
-in the sort key are broken by the materialised order) and every plan built
-on top stays deterministic.
+The row ids are computed before the rows are staged (a parquet table in the
+shared checkpoint folder, partitioned by range index) and stored with them, so
+recomputing after a lost executor re-reads the same positions (ties in the
+sort key are broken by the materialised order) and every plan built on top
+stays deterministic. Later passes read only the columns they need, and the
+fetch of a few ranked rows reads only the ranges that hold them.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,29 +31,43 @@ _SHIFT = 33  # monotonically_increasing_id = partition id << 33 | ordinal
 _LOW = (1 << _SHIFT) - 1
 
 
+def stage_table(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+    """Write ``df`` as a parquet table under the shared checkpoint folder and read it back.
+
+    This cuts the lineage like ``checkpoint()`` but keeps the data columnar:
+    later passes read only the columns they use, and with ``partition_by``
+    a filter or a dynamic-pruning join on that column reads only the
+    matching directories. Tables live in ``<spark.checkpoint.dir>/tessera-stage``.
+    """
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/tessera-stage/{name}-{uuid.uuid4().hex}"
+    w = df.write.mode("errorifexists")
+    if partition_by:
+        w = w.partitionBy(partition_by)
+    w.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def range_sorted(df: DataFrame, sort_cols: list[Column | str], num_partitions: int | None = None) -> DataFrame:
-    """Range-partition and sort ``df``, checkpoint it, and tag each row.
+    """Range-partition and sort ``df``, stage it, and tag each row.
 
-    Adds ``_pid`` (partition), ``_pos`` (0-based ordinal inside the
-    partition) and ``_rid`` (unique row id, ``_pid << 33 | _pos``).
+    Adds ``_pid`` (range index, in key order), ``_pos`` (0-based ordinal
+    inside the range) and ``_rid`` (unique row id, ``_pid << 33 | _pos``).
+    The ids are computed before staging and stored with the rows, so every
+    later plan is deterministic and a lost executor re-reads the same ids.
     Without ``num_partitions`` the range count follows
     ``spark.sql.shuffle.partitions`` and AQE may coalesce adjacent small
-    ranges (order is kept), so small inputs don't produce one tiny task per
-    shuffle partition.
+    ranges (order is kept). The staged table is partitioned by ``_pid``.
     """
-    ensure_checkpoint_dir(df.sparkSession)
     if num_partitions:
         ordered = df.repartitionByRange(num_partitions, *sort_cols)
     else:
         ordered = df.repartitionByRange(*sort_cols)
-    ordered = ordered.sortWithinPartitions(*sort_cols)
-    # The row id is written into the checkpoint, so it is data from here on:
-    # every plan above is deterministic and re-reads give the same ids.
-    stable = ordered.withColumn("_rid", F.monotonically_increasing_id()).checkpoint(eager=True)
-    return (
-        stable.withColumn("_pid", F.shiftright(F.col("_rid"), _SHIFT))
-        .withColumn("_pos", F.col("_rid").bitwiseAND(F.lit(_LOW)))
-    )
+    ordered = ordered.sortWithinPartitions(*sort_cols).withColumn("_rid", F.monotonically_increasing_id())
+    tagged = ordered.withColumn("_pid", F.shiftright(F.col("_rid"), _SHIFT))
+    staged = stage_table(tagged, "ranked", partition_by="_pid")
+    return staged.withColumn("_pos", F.col("_rid").bitwiseAND(F.lit(_LOW)))
 
 
 def sequential_ids(
