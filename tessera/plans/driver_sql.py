@@ -778,3 +778,31 @@ ORACLE["significance"] = f"""
            CASE WHEN p_value < 0.05 THEN 'significant' WHEN p_value IS NOT NULL THEN 'not significant' END AS verdict
     FROM u
 """
+
+# The storage round trips end in plain relational results, so they get SQL too.
+RAW_NUMBER_SQL = RAW_NUMBER.replace("ps", "CAST(o_totalprice AS VARCHAR)")
+ORACLE["csv_roundtrip"] = f"""
+    WITH r AS (
+        SELECT o_orderkey, {_raw_priority('o_orderkey', 'o_orderpriority')} AS p, {RAW_NUMBER_SQL} AS c,
+               {RAW_DATE} AS d
+        FROM orders
+    )
+    SELECT o_orderkey AS order_key, {clean('p')} AS order_priority,
+           CASE WHEN regexp_full_match({clean('c')}, {NUMBER_RE}) THEN TRY_CAST(trim({clean('c')}) AS DOUBLE) END
+               AS total_price,
+           {parse_date_sql(clean('d'))} AS order_date
+    FROM r
+"""
+
+ORACLE["refresh_tables"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, CAST(COUNT(*) AS BIGINT) AS n_rows, "
+    f"CASE WHEN COUNT(*) = 0 THEN 'empty' ELSE 'ok' END AS status FROM ({sql})"
+    for name, sql in [("dim_date", DIM_DATE), ("dim_nation", DIM_NATION), ("dim_pair", DIM_PAIR), ("fact_lines", FACT)]
+)
+
+ORACLE["views"] = f"""
+    WITH s AS ({ORDER_STAR})
+    SELECT n_name, r_name, c_mktsegment, CAST(COUNT(o_orderkey) AS BIGINT) AS total_missions,
+           {pct(cnt("o_orderstatus = 'F'"), 'COUNT(o_orderkey)')} AS success_rate_pct
+    FROM s GROUP BY n_name, r_name, c_mktsegment
+"""
