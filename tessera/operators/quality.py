@@ -7,7 +7,7 @@ brings nothing but its (small) answer back. Constraints come from
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -130,21 +130,26 @@ def domain_violations(df: DataFrame, allowed: Mapping[str, Sequence]) -> DataFra
     )
 
 
-def health_check(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Q8: row count per table with status ``ok`` / ``empty``; one job for all.
+def health_check(tables: Mapping[str, DataFrame | Callable[[], DataFrame]], spark=None) -> DataFrame:
+    """Q8: row count per table with status ``ok`` / ``empty`` / ``failed``; one job for all.
 
-    A table that cannot be analysed (missing path, bad SQL) is reported as
-    ``failed`` with a NULL count instead of aborting the report.
+    Values are DataFrames or zero-argument callables returning one (e.g.
+    ``lambda: spark.read.parquet(path)``); a table whose callable raises
+    (missing path, bad SQL) is reported as ``failed`` with a NULL count
+    instead of aborting the report.
     """
     parts, failed = [], []
-    for name, df in tables.items():
+    for name, src in tables.items():
         try:
+            df = src() if callable(src) else src
+            spark = spark or df.sparkSession
             parts.append(df.agg(F.count(F.lit(1)).cast("bigint").alias("n_rows")).select(
                 F.lit(name).alias("table_name"), "n_rows"
             ))
         except Exception:  # noqa: BLE001 - reported as a row
             failed.append(name)
-    spark = next(iter(tables.values())).sparkSession
+    if spark is None:
+        raise ValueError("health_check needs a session when every table failed")
     out = reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], "table_name string, n_rows bigint")
     if failed:
         out = out.unionByName(spark.createDataFrame([(n, None) for n in failed], "table_name string, n_rows bigint"))

@@ -74,8 +74,10 @@ def test_constraints(spark):
 def test_health_check(spark):
     full = spark.createDataFrame([(1,)], "x int")
     empty = spark.createDataFrame([], "x int")
-    rows = {r.table_name: (r.n_rows, r.status) for r in quality.health_check({"a": full, "b": empty}).collect()}
-    assert rows == {"a": (1, "ok"), "b": (0, "empty")}
+    missing = lambda: spark.read.parquet("/nonexistent/tessera/table")
+    rows = {r.table_name: (r.n_rows, r.status)
+            for r in quality.health_check({"a": full, "b": empty, "c": missing}).collect()}
+    assert rows == {"a": (1, "ok"), "b": (0, "empty"), "c": (None, "failed")}
 
 
 def test_unresolved_keys(spark):
