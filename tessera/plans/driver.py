@@ -555,7 +555,7 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 
 def health_check(spark, sf):
-    return quality.health_check({n: t(spark, sf, n) for n in TABLES})
+    return quality.health_check({n: (lambda n=n: t(spark, sf, n)) for n in TABLES}, spark)
 
 
 def duplicate_counts(spark, sf):
