@@ -1,5 +1,5 @@
 """Configurations of the operators.
 
-missions  the space-mission ETL: raw CSV -> cleaned -> star schema -> checks -> refresh
+missions  the mission ETL: raw CSV -> cleaned -> star schema -> checks -> refresh
 driver    the same operators bound to the driver's TPC-H-like tables (queries()/oracle)
 """

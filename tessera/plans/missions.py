@@ -1,4 +1,4 @@
-"""The space-mission ETL as a configuration of the operators.
+"""The mission ETL as a configuration of the operators.
 
 raw CSV (S1) -> names (P1) -> sentinels (P2) -> dates (P3) -> founding-date
 filter (P7 + F1) -> duration (P4) -> cost (P5 + P6) -> domain report (Q6)
