@@ -40,7 +40,7 @@ ROWS = [
 def csv_path(scratch):
     p = os.path.join(scratch, "raw")
     os.makedirs(p)
-    with open(os.path.join(p, "space_missions.csv"), "w", newline="") as f:
+    with open(os.path.join(p, "missions.csv"), "w", newline="") as f:
         w = csv.writer(f)
         w.writerow(HEADER)
         w.writerows(ROWS)
