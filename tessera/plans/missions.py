@@ -274,3 +274,25 @@ def run(spark: SparkSession, csv_path: str, out_root: str) -> dict[str, DataFram
         "unresolved": unresolved(landed["fact_missions"]),
         "health": quality.health_check(landed),
     }
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m tessera.plans.missions <csv> <warehouse_dir>``: run the ETL and print its reports."""
+    import argparse
+
+    from ..session import get_session
+
+    ap = argparse.ArgumentParser(description="Load the mission CSV into a checked star schema.")
+    ap.add_argument("csv", help="CSV file or folder (header row, 26 columns)")
+    ap.add_argument("warehouse", help="output folder for the seven tables")
+    ap.add_argument("--master", default=None, help="Spark master for a local run, e.g. local[8]")
+    args = ap.parse_args(argv)
+    spark = get_session(args.master, app_name="tessera-missions")
+    reports = run(spark, args.csv, args.warehouse)
+    for name in ("counters", "domain_report", "unresolved", "health"):
+        print(f"== {name}")
+        reports[name].show(truncate=False)
+
+
+if __name__ == "__main__":
+    main()

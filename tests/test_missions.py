@@ -178,3 +178,18 @@ def test_failed_gate_keeps_old_tables(spark, scratch):
     with pytest.raises(ValueError):
         sink.refresh_tables({"t": spark.range(10)}, root, order=["t"], gate=reject)
     assert spark.read.parquet(os.path.join(root, "t")).count() == 3
+
+
+def test_cli(spark, csv_path, scratch, capsys):
+    missions.main([csv_path, os.path.join(scratch, "cli_wh")])
+    out = capsys.readouterr().out
+    assert "== health" in out and "fact_missions" in out
+
+
+def test_cluster_conf():
+    from tessera.session import cluster_conf
+
+    c = cluster_conf(100 * (1 << 40), 8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 409600
+    assert cluster_conf(1 << 30, 64)["spark.sql.shuffle.partitions"] == "128"
+    assert c["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == "256m"
