@@ -77,12 +77,17 @@ def with_duration_days(df: DataFrame, src: str, out: str = "duration_days", unit
 def to_number(c) -> Column:
     """P5: tolerant numeric cast like a coercing parser: failures are NULL.
 
-    Accepts surrounding whitespace, signs, ``'5.'``, ``'.5'`` and exponents;
-    rejects thousands separators, type suffixes (``'1.0d'``) and words,
-    including ``'nan'``/``'inf'``.
+    Accepts surrounding whitespace, signs, ``'5.'``, ``'.5'``, exponents and
+    ``inf``/``infinity`` with an optional sign; rejects thousands separators,
+    type suffixes (``'1.0d'``), words and ``'nan'`` (a missing value).
     """
     s = _c(c).cast("string")
-    return F.when(s.rlike(_NUMBER), F.trim(s).try_cast("double"))
+    t = F.lower(F.trim(s))
+    return (
+        F.when(s.rlike(_NUMBER), F.trim(s).try_cast("double"))
+        .when(t.isin("inf", "+inf", "infinity", "+infinity"), F.lit(float("inf")))
+        .when(t.isin("-inf", "-infinity"), F.lit(float("-inf")))
+    )
 
 
 def rescale(c, divisor: float, decimal: tuple[int, int] | None = None) -> Column:

@@ -50,9 +50,9 @@ def test_duration(spark, expr):
 
 
 def test_to_number(spark):
-    vals = ["1e3", " 12 ", "5.", "1,200", "1.0d", "bad", "nan", ".5", "-3", None]
+    vals = ["1e3", " 12 ", "5.", "1,200", "1.0d", "bad", "nan", ".5", "-3", None, " Inf", "-infinity"]
     got = collect(one_col(spark, vals).select("i", N.to_number(F.col("v")).alias("n")), "n")
-    assert got == [1000.0, 12.0, 5.0, None, None, None, None, 0.5, -3.0, None]
+    assert got == [1000.0, 12.0, 5.0, None, None, None, None, 0.5, -3.0, None, float("inf"), float("-inf")]
 
 
 def test_rescale_to_decimal(spark):
