@@ -2,7 +2,7 @@
 
 D1  ``date_dimension``      observed dates of several columns, calendar attributes, ids
 D2/D3 ``distinct_dimension`` distinct natural keys with ids in sorted-key order
-D4  ``resolve_keys`` + ``project``  fact build (see plans.missions for the configuration)
+D4  ``lookup_key`` + ``role_playing_keys`` + ``project``  fact build (configured in plans.missions)
 D5  ``project``             metadata dimension
 D6-D8 ``explode_list`` / ``bridge``  delimited text -> bridge rows with ids
 D9  ``ranking.sequential_ids``  surrogate ids
@@ -191,7 +191,8 @@ def star_join(
     times (role-playing). Small dimensions become broadcast joins at run time
     through AQE; a fact-sized arm stays a shuffle join.
     """
-    out = fact.select(*fact_columns, *{a.fact_key for a in arms if a.fact_key not in fact_columns})
+    keys = list(dict.fromkeys(a.fact_key for a in arms if a.fact_key not in fact_columns))
+    out = fact.select(*fact_columns, *keys)
     for i, arm in enumerate(arms):
         tag = f"_k{i}"
         right = arm.dim.select(F.col(arm.dim_key).alias(tag), *[F.col(src).alias(al) for al, src in arm.columns.items()])
