@@ -16,6 +16,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.numbers import count_where, pct
 from ..functions.text import format_pct
@@ -157,6 +158,20 @@ def mode_by_group(df: DataFrame, group_cols: Sequence[str], col: str, alias: str
     return out
 
 
+def _mean_from(total: Column, count: Column, dtype: T.DataType) -> Column:
+    """``avg`` rebuilt from a rolled-up sum and count, with Spark's result type.
+
+    Decimals use ``avg``'s own arithmetic: the sum as ``decimal(p + 10, s)``
+    divided by the count, cast to ``decimal(p + 4, s + 4)``; other numbers
+    divide in double.
+    """
+    if isinstance(dtype, T.DecimalType):
+        p, sc = dtype.precision, dtype.scale
+        s10 = total.cast(f"decimal({min(38, p + 10)},{sc})")
+        return F.try_divide(s10, count.cast("decimal(20,0)")).cast(f"decimal({min(38, p + 4)},{min(38, sc + 4)})")
+    return F.try_divide(total.cast("double"), count.cast("double"))
+
+
 def group_profile(
     df: DataFrame,
     group_col: str,
@@ -178,21 +193,43 @@ def group_profile(
     total cost of a group with no cost is 0; the type is the group's mode
     (``'Unknown'`` if none); groups with ``total <= min_total`` are dropped;
     cost per success is NULL when there is no success.
+
+    One pass over the data: everything is aggregated at (group, type) grain
+    (counts, sums and non-NULL counts, all additive), then rolled up to the
+    group. The mode comes from the same fine-grained counts.
     """
     base = _drop_null_keys(df, [group_col])
+    dtypes = {f.name: f.dataType for f in base.schema.fields}
     total = F.count(F.col(id_col)) if id_col else F.count(F.lit(1))
-    aggs = [total.cast("bigint").alias("total_missions")]
-    aggs += [count_where(F.col(status_col) == F.lit(v)).alias(a) for a, v in statuses.items()]
-    aggs += [
-        _avg(cost_col, decimals).alias("avg_cost_billion"),
-        F.coalesce(F.sum(F.col(cost_col)), F.lit(0)).cast("double").alias("total_cost_billion"),
-        _avg(duration_col, decimals).alias("avg_duration_days"),
-    ]
-    aggs += [count_where(p).alias(a) for a, p in (flag_counts or {}).items()]
-    aggs.append(count_where(F.col(status_col) == F.lit(success_value)).alias("_succ"))
-    prof = base.groupBy(group_col).agg(*aggs).where(F.col("total_missions") > min_total)
-    modes = mode_by_group(base, [group_col], type_col, type_col, default="Unknown")
-    prof = prof.join(modes, group_col, "left")
+    counts = {"total_missions": total}
+    counts.update({a: count_where(F.col(status_col) == F.lit(v)) for a, v in statuses.items()})
+    counts.update({a: count_where(p) for a, p in (flag_counts or {}).items()})
+    counts["_succ"] = count_where(F.col(status_col) == F.lit(success_value))
+    fine = base.groupBy(group_col, type_col).agg(
+        F.count(F.lit(1)).alias("_rows"),
+        *[c.cast("bigint").alias(a) for a, c in counts.items()],
+        F.sum(cost_col).alias("_cost_sum"), F.count(cost_col).alias("_cost_n"),
+        F.sum(duration_col).alias("_dur_sum"), F.count(duration_col).alias("_dur_n"),
+    )
+    prof = fine.groupBy(group_col).agg(
+        *[F.sum(a).cast("bigint").alias(a) for a in counts],
+        F.sum("_cost_sum").alias("_cost_sum"), F.sum("_cost_n").alias("_cost_n"),
+        F.sum("_dur_sum").alias("_dur_sum"), F.sum("_dur_n").alias("_dur_n"),
+    ).where(F.col("total_missions") > min_total)
+    cost_type = dtypes[cost_col]
+    dur_type = dtypes[duration_col]
+    prof = prof.select(
+        group_col, *[a for a in counts],
+        _round(_mean_from(F.col("_cost_sum"), F.col("_cost_n"), cost_type), decimals).cast("double").alias("avg_cost_billion"),
+        F.coalesce(F.col("_cost_sum"), F.lit(0)).cast("double").alias("total_cost_billion"),
+        _round(_mean_from(F.col("_dur_sum"), F.col("_dur_n"), dur_type), decimals).cast("double").alias("avg_duration_days"),
+    )
+    typed = fine.where(F.col(type_col).isNotNull())
+    best = typed.groupBy(group_col).agg(F.max("_rows").alias("_best"))
+    modes = typed.join(best, group_col).where(F.col("_rows") == F.col("_best")).groupBy(group_col).agg(
+        F.min(type_col).alias(type_col)
+    )
+    prof = prof.join(modes, group_col, "left").withColumn(type_col, F.coalesce(F.col(type_col), F.lit("Unknown")))
     rate = pct(F.col("_succ"), F.col("total_missions"), decimals)
     prof = prof.withColumn("success_rate", format_pct(rate, decimals) if rate_as_text else rate)
     prof = prof.withColumn(

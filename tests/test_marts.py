@@ -98,3 +98,23 @@ def test_share_kpis(spark):
     assert r.key_share_pct == pytest.approx(60.0)
     assert r.key_spend_share_pct == pytest.approx(100.0)
     assert r.gov == pytest.approx(200.0 / 3)
+
+
+def test_profile_rollup_mean_equals_direct_avg(spark):
+    import random
+    from decimal import Decimal
+
+    rnd = random.Random(11)
+    rows = [(f"g{rnd.randint(0, 6)}", rnd.choice(["a", "b", None]), "Success",
+             Decimal(rnd.randint(0, 10 ** 7)) / 100 if rnd.random() > 0.1 else None, rnd.randint(-5, 500))
+            for _ in range(3000)]
+    df = spark.createDataFrame(rows, "g string, t string, s string, c decimal(12,2), d int")
+    prof = {r.g: r for r in marts.group_profile(df, "g", "s", {}, "Success", "c", "d", "t", min_total=0).collect()}
+    direct = {r.g: r for r in df.groupBy("g").agg(
+        F.round(F.avg("c"), 2).cast("double").alias("ac"), F.round(F.avg("d"), 2).alias("ad"),
+        F.sum("c").cast("double").alias("sc")).collect()}
+    assert set(prof) == set(direct)
+    for g in prof:
+        assert prof[g].avg_cost_billion == direct[g].ac
+        assert prof[g].avg_duration_days == direct[g].ad
+        assert prof[g].total_cost_billion == direct[g].sc
