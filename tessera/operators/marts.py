@@ -401,6 +401,11 @@ def describe_percentiles(
     return describe_long(long_values(df, cols), probs, decimals, exact)
 
 
+def _column_names_frame(spark, names: Sequence[str]) -> DataFrame:
+    """The column names as a one-column frame (so all-NULL columns still get a row)."""
+    return spark.createDataFrame([(n,) for n in names], "column_name string")
+
+
 def describe_all(df: DataFrame, decimals: int | None = None) -> DataFrame:
     """Summary of every column, one row per column.
 
@@ -414,17 +419,22 @@ def describe_all(df: DataFrame, decimals: int | None = None) -> DataFrame:
     text = [c for c in df.columns if c not in num]
     parts = []
     if text:
+        # One frequency aggregate per (column, value) gives count, unique, top and freq.
         long = df.select(*[F.col(c).cast("string").alias(c) for c in text]).unpivot([], text, "column_name", "value")
-        cnt = long.groupBy("column_name").agg(
-            F.count("value").cast("bigint").alias("count"), F.count_distinct("value").cast("bigint").alias("unique")
-        )
         freq = long.where(F.col("value").isNotNull()).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("_c"))
-        best = freq.groupBy("column_name").agg(F.max("_c").alias("freq"))
-        top = freq.join(best, "column_name").where(F.col("_c") == F.col("freq")).groupBy("column_name", "freq").agg(
-            F.min("value").alias("top")
+        per_col = freq.groupBy("column_name").agg(
+            F.sum("_c").cast("bigint").alias("count"), F.count(F.lit(1)).cast("bigint").alias("unique"),
+            F.max("_c").alias("freq"),
         )
-        parts.append(cnt.join(top, "column_name", "left").select(
-            "column_name", "count", "unique", "top", F.col("freq").cast("bigint").alias("freq"),
+        top = freq.join(per_col.select("column_name", "freq"), "column_name").where(F.col("_c") == F.col("freq")).groupBy(
+            "column_name"
+        ).agg(F.min("value").alias("top"))
+        present = _column_names_frame(df.sparkSession, text)
+        stats = present.join(per_col, "column_name", "left").join(top, "column_name", "left")
+        parts.append(stats.select(
+            "column_name", F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count"),
+            F.coalesce(F.col("unique"), F.lit(0)).cast("bigint").alias("unique"), "top",
+            F.col("freq").cast("bigint").alias("freq"),
             *[F.lit(None).cast("double").alias(s) for s in ("mean", "std", "min", "q25", "q50", "q75", "max")],
         ))
     if num:
