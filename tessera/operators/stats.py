@@ -43,22 +43,23 @@ def chi_square(
     (D - min(0.5, D))^2 * N * (sum 1/R_i)(sum 1/C_j).
     """
     base = df.where(F.col(row_col).isNotNull() & F.col(col_col).isNotNull())
-    cells = base.groupBy(row_col, col_col).agg(F.count(F.lit(1)).alias("o"))
-    rows = cells.groupBy(row_col).agg(F.sum("o").alias("R"))
-    cols = cells.groupBy(col_col).agg(F.sum("o").alias("C"))
-    n = cells.select(F.sum("o")).scalar()
+    # Internal names are underscore-prefixed: Spark resolves names case-insensitively.
+    cells = base.groupBy(row_col, col_col).agg(F.count(F.lit(1)).alias("_o"))
+    rows = cells.groupBy(row_col).agg(F.sum("_o").alias("_R"))
+    cols = cells.groupBy(col_col).agg(F.sum("_o").alias("_C"))
+    n = cells.select(F.sum("_o")).scalar()
     full = cells.join(rows, row_col).join(cols, col_col)
-    e = F.col("R").cast("double") * F.col("C").cast("double") / n.cast("double")
-    full = full.withColumn("e", e)
+    full = full.withColumn("_e", F.col("_R").cast("double") * F.col("_C").cast("double") / n.cast("double"))
     fs = full.select(F.struct(
-        F.sum((F.col("o") - F.col("e")) ** 2 / F.col("e")).alias("obs"), F.max(F.abs(F.col("o") - F.col("e"))).alias("d")
+        F.sum((F.col("_o") - F.col("_e")) ** 2 / F.col("_e")).alias("obs"),
+        F.max(F.abs(F.col("_o") - F.col("_e"))).alias("d"),
     )).scalar()
-    per_row = full.groupBy(row_col, "R").agg(F.sum("C").alias("S")).withColumn(
-        "u", F.col("R").cast("double") * (n - F.col("S")).cast("double") / n.cast("double")
+    per_row = full.groupBy(row_col, "_R").agg(F.sum("_C").alias("_S")).withColumn(
+        "_u", F.col("_R").cast("double") * (n - F.col("_S")).cast("double") / n.cast("double")
     )
-    unobserved_part = per_row.select(F.sum("u")).scalar()
-    rs = rows.select(F.struct(F.count(F.lit(1)).alias("k"), F.sum(1.0 / F.col("R").cast("double")).alias("inv"))).scalar()
-    cs = cols.select(F.struct(F.count(F.lit(1)).alias("k"), F.sum(1.0 / F.col("C").cast("double")).alias("inv"))).scalar()
+    unobserved_part = per_row.select(F.sum("_u")).scalar()
+    rs = rows.select(F.struct(F.count(F.lit(1)).alias("k"), F.sum(1.0 / F.col("_R").cast("double")).alias("inv"))).scalar()
+    cs = cols.select(F.struct(F.count(F.lit(1)).alias("k"), F.sum(1.0 / F.col("_C").cast("double")).alias("inv"))).scalar()
     observed_part, d_any = fs.getField("obs"), fs.getField("d")
     r, inv_r = rs.getField("k"), rs.getField("inv")
     c, inv_c = cs.getField("k"), cs.getField("inv")
@@ -210,9 +211,9 @@ def kde(
         group_col, F.col(value_col).cast("double").alias("_v")
     )
     params = base.groupBy(group_col).agg(
-        F.count(F.lit(1)).alias("n"), F.stddev_samp("_v").alias("_sd"), F.min("_v").alias("_mn"), F.max("_v").alias("_mx")
-    ).where((F.col("n") > 1) & (F.col("_sd") > 0))
-    params = params.withColumn("bandwidth", F.col("_sd") * F.pow(F.col("n").cast("double"), -0.2) * bw_adjust)
+        F.count(F.lit(1)).alias("_n"), F.stddev_samp("_v").alias("_sd"), F.min("_v").alias("_mn"), F.max("_v").alias("_mx")
+    ).where((F.col("_n") > 1) & (F.col("_sd") > 0))
+    params = params.withColumn("bandwidth", F.col("_sd") * F.pow(F.col("_n").cast("double"), -0.2) * bw_adjust)
     params = params.withColumn("_lo", F.col("_mn") - cut * F.col("bandwidth")).withColumn(
         "_step", (F.col("_mx") + cut * F.col("bandwidth") - F.col("_lo")) / F.lit(float(gridsize - 1))
     )
@@ -223,7 +224,7 @@ def kde(
     x = F.col("_lo") + F.col("i") * F.col("_step")
     u = (x - F.col("_v")) / F.col("bandwidth")
     dens = spread.groupBy(group_col, "i").agg(F.sum(F.col("_w") * F.exp(-0.5 * u * u)).alias("_s"))
-    norm = F.col("n").cast("double") * F.col("bandwidth") * math.sqrt(2 * math.pi)
+    norm = F.col("_n").cast("double") * F.col("bandwidth") * math.sqrt(2 * math.pi)
     return dens.join(params, group_col).select(
         group_col, "i", (F.col("_lo") + F.col("i") * F.col("_step")).alias("x"), (F.col("_s") / norm).alias("density"),
         "bandwidth",

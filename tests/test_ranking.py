@@ -84,3 +84,17 @@ def test_approx_quantiles_close_to_exact(spark):
     assert ex.keys() == ap.keys()
     for k in ex:
         assert abs(ex[k] - ap[k]) <= 10001 / 1000
+
+
+def test_empty_inputs(spark):
+    from tessera.operators import model, stats
+
+    empty = spark.createDataFrame([], "k string, v double")
+    assert sequential_ids(empty, ["k"], "id").count() == 0
+    assert exact_quantiles(empty, ["k"], "v", [0.5]).count() == 0
+    assert model.bridge(spark.createDataFrame([], "m string, l string"), "m", "l", "x").count() == 0
+    one = spark.createDataFrame([("a", "x", 1.0), ("a", "x", 2.0)], "r string, c string, v double")
+    chi = stats.chi_square(one, "r", "c").collect()[0]
+    assert chi.dof == 0 and chi.p_value is None
+    fit, line = stats.trend_line(spark.createDataFrame([(1.0, 2.0), (1.0, 3.0)], "x double, y double"), "x", "y")
+    assert fit.collect()[0].slope is None and line.count() == 100
