@@ -189,7 +189,9 @@ def star_join(
 
     Each arm is joined on its own key, so one dimension can appear several
     times (role-playing). Small dimensions become broadcast joins at run time
-    through AQE; a fact-sized arm stays a shuffle join.
+    through AQE; a fact-sized arm stays a shuffle join. End ``order_by`` with
+    unique columns: a global sort range-partitions on its keys, and equal
+    keys (a hot date) cannot be split across tasks.
     """
     keys = list(dict.fromkeys(a.fact_key for a in arms if a.fact_key not in fact_columns))
     out = fact.select(*fact_columns, *keys)

@@ -110,8 +110,11 @@ def group_positions(
     the group in earlier partitions). A row's 0-based rank in its group is
     ``_before + _pos - _first``.
     """
-    keys = [F.col(g).asc_nulls_first() for g in group_cols] + [F.col(value_col).asc_nulls_last()]
-    rows = range_sorted(df, keys, num_partitions)
+    # A unique tie-breaker lets the range partitioner split a hot group even
+    # when most of its values are equal (identical sort keys cannot be split).
+    data = df.withColumn("_tb", F.monotonically_increasing_id())
+    keys = [F.col(g).asc_nulls_first() for g in group_cols] + [F.col(value_col).asc_nulls_last(), F.col("_tb")]
+    rows = range_sorted(data, keys, num_partitions)
     seg = rows.groupBy("_pid", *group_cols).agg(
         F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_cnt")
     )

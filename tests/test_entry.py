@@ -56,3 +56,16 @@ def test_matches_oracle(spark, con, name):
 def test_storage_queries_run_twice(spark, name):
     """Writing paths are fresh or overwritten, so a second call works too."""
     assert E.queries()[name](spark, SF).count() > 0
+
+
+def test_entry_imports_without_a_session():
+    """The driver imports the entry module before any session exists."""
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = "import __spark_entry__ as E; print(len(E.queries()), len(E.oracle_sql()))"
+    out = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=120)
+    assert out.returncode == 0, out.stderr
+    assert out.stdout.split() == ["66", "66"]

@@ -98,3 +98,17 @@ def test_empty_inputs(spark):
     assert chi.dof == 0 and chi.p_value is None
     fit, line = stats.trend_line(spark.createDataFrame([(1.0, 2.0), (1.0, 3.0)], "x double, y double"), "x", "y")
     assert fit.collect()[0].slope is None and line.count() == 100
+
+
+def test_hot_group_of_equal_values_is_split(spark):
+    """A third of the rows share one group *and* one value; ties must still spread over tasks."""
+    from tessera.operators.ranking import group_positions
+
+    li = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet")
+    hot = F.col("l_orderkey") % 3 == 0
+    df = li.select(F.when(hot, F.lit("hot")).otherwise(F.col("l_returnflag")).alias("g"),
+                   F.when(hot, F.lit(1.0)).otherwise(F.col("l_extendedprice")).alias("v"))
+    rows, seg = group_positions(df, ["g"], "v", num_partitions=8)
+    assert seg.where("g = 'hot'").count() >= 3
+    got = {r.g: r for r in exact_quantiles(df, ["g"], "v", [0.25, 0.5], num_partitions=8).collect()}
+    assert (got["hot"].q25, got["hot"].q50) == (1.0, 1.0)
