@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from ..functions.numbers import count_where, pct
 from ..functions.text import format_pct
 from .quantiles import exact_quantiles, quantiles
+from .staging import stage_table
 
 
 def _drop_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -279,10 +280,20 @@ def rate_profile(
 
 # ---------------------------------------------------------------- A12-A17
 
-def pivot_counts(df: DataFrame, row_col: str, col_col: str, values: Sequence) -> DataFrame:
-    """Row x column counts, missing combinations 0; column values given up front."""
+def pivot_counts(df: DataFrame, row_col: str, col_col: str, values: Sequence | None = None) -> DataFrame:
+    """Row x column counts, missing combinations 0.
+
+    With ``values`` the pivot is one pass. Without, the (row, column) counts
+    are aggregated once and staged (a small table), and both the column
+    values and the pivot come from it, so the data is still read once.
+    """
     base = _drop_null_keys(df, [row_col, col_col])
-    out = base.groupBy(row_col).pivot(col_col, list(values)).agg(F.count(F.lit(1)))
+    if values is None:
+        counts = stage_table(base.groupBy(row_col, col_col).agg(F.count(F.lit(1)).alias("_c")), "pivot")
+        values = [r[0] for r in counts.select(col_col).distinct().orderBy(col_col).collect()]
+        out = counts.groupBy(row_col).pivot(col_col, list(values)).agg(F.sum("_c"))
+    else:
+        out = base.groupBy(row_col).pivot(col_col, list(values)).agg(F.count(F.lit(1)))
     names = [str(v) for v in values]
     return out.na.fill(0, subset=names).select(row_col, *[F.col(n).cast("bigint").alias(n) for n in names])
 

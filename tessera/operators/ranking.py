@@ -20,35 +20,15 @@ fetch of a few ranked rows reads only the ranges that hold them.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from .staging import stage_table
 
 _SHIFT = 33  # monotonically_increasing_id = partition id << 33 | ordinal
 _LOW = (1 << _SHIFT) - 1
 
 
-def stage_table(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
-    """Write ``df`` as a parquet table under the shared checkpoint folder and read it back.
-
-    This cuts the lineage like ``checkpoint()`` but keeps the data columnar:
-    later passes read only the columns they use, and with ``partition_by``
-    a filter or a dynamic-pruning join on that column reads only the
-    matching directories. Tables live in ``<spark.checkpoint.dir>/tessera-stage``.
-    """
-    spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/tessera-stage/{name}-{uuid.uuid4().hex}"
-    w = df.write.mode("errorifexists")
-    if partition_by:
-        w = w.partitionBy(partition_by)
-    w.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def range_sorted(df: DataFrame, sort_cols: list[Column | str], num_partitions: int | None = None) -> DataFrame:
     """Range-partition and sort ``df``, stage it, and tag each row.
 

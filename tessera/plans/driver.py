@@ -171,8 +171,7 @@ def category_profile(spark, sf):
 
 def category_period_pivot(spark, sf):
     o = t(spark, sf, "orders").select("o_orderpriority", F.year("o_orderdate").alias("order_year"))
-    years = [r[0] for r in o.select("order_year").distinct().orderBy("order_year").collect()]
-    return marts.pivot_counts(o, "o_orderpriority", "order_year", years)
+    return marts.pivot_counts(o, "o_orderpriority", "order_year")
 
 
 def contingency(spark, sf):
