@@ -318,11 +318,10 @@ def group_median(df: DataFrame, group_col: str, value_col: str, alias: str = "me
 def two_sample_overview(df: DataFrame, group_col: str, value_col: str, groups: Sequence[str]) -> DataFrame:
     """N, mean and exact median of ``value_col`` per sample (NULL values omitted)."""
     base = df.where(F.col(group_col).isin(list(groups)) & F.col(value_col).isNotNull())
-    stats = base.groupBy(group_col).agg(
-        F.count(F.lit(1)).cast("bigint").alias("n"), F.avg(F.col(value_col).cast("double")).alias("mean")
-    )
-    med = exact_quantiles(base, [group_col], value_col, [0.5], ["median"])
-    return stats.join(med, group_col, "left")
+    return exact_quantiles(
+        base, [group_col], value_col, [0.5], ["median"],
+        extra_aggs={"n": lambda v: F.count(v).cast("bigint"), "mean": F.avg},
+    ).select(group_col, "n", "mean", "median")
 
 
 def share_kpis(
@@ -387,12 +386,15 @@ def describe_long(
     Percentiles are exact (interpolated, skew-safe) unless ``exact=False``.
     """
     names = [f"p{int(round(p * 100))}" for p in probs]
-    basic = long.groupBy("column_name").agg(
-        F.count(F.lit(1)).cast("bigint").alias("count"), F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"),
-    )
-    q = quantiles(long, ["column_name"], "value", probs, names, exact=exact)
-    out = basic.join(q, "column_name", "left")
+    basic = {
+        "count": lambda v: F.count(v).cast("bigint"), "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max,
+    }
+    if exact:
+        # count/mean/std/min/max come from the staged values: one pass over the input.
+        out = exact_quantiles(long, ["column_name"], "value", probs, names, extra_aggs=basic)
+    else:
+        stats_df = long.groupBy("column_name").agg(*[fn(F.col("value")).alias(n) for n, fn in basic.items()])
+        out = stats_df.join(quantiles(long, ["column_name"], "value", probs, names, exact=False), "column_name", "left")
     stats = ["mean", "std", "min", *names, "max"]
     return out.select("column_name", "count", *[_round(F.col(s), decimals).alias(s) for s in stats])
 

@@ -16,9 +16,9 @@ gathered anywhere.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .ranking import group_positions
@@ -73,12 +73,20 @@ def exact_quantiles(
     names: Sequence[str] | None = None,
     with_count: bool = False,
     num_partitions: int | None = None,
-) -> DataFrame:
+    extra_aggs: Mapping[str, Callable[[Column], Column]] | None = None,
+    return_values: bool = False,
+):
     """One row per group: the ``probs`` quantiles of ``value_col``.
 
     Output columns are ``group_cols`` + ``names`` (default ``q25``-style
-    names) [+ ``n`` with ``with_count``]. Groups whose values are all NULL are
-    absent. Values are computed in double precision.
+    names) [+ ``n`` with ``with_count``] [+ ``extra_aggs``]. Groups whose
+    values are all NULL are absent. Values are computed in double precision.
+
+    ``extra_aggs`` (name -> function of the value column, e.g. ``F.avg``) are
+    computed from the staged values, so the input is evaluated only once even
+    when it is an expensive join. With ``return_values`` the result is
+    ``(quantiles, values)`` where ``values`` is the staged (group, ``_v``)
+    table for further passes.
     """
     group_cols = list(group_cols)
     names = list(names) if names is not None else [f"q{int(round(p * 100))}" for p in probs]
@@ -127,6 +135,13 @@ def exact_quantiles(
         wide = wide.join(sizes, _null_safe_on(wide, sizes, gcols), "inner").select(
             *[wide[c] for c in gcols], *names, F.col("_n").alias("n")
         )
+    if extra_aggs:
+        more = rows.groupBy(*gcols).agg(*[fn(F.col("_v")).alias(n) for n, fn in extra_aggs.items()])
+        wide = wide.join(more, _null_safe_on(wide, more, gcols), "inner").select(
+            *[wide[c] for c in gcols], *[c for c in wide.columns if c not in gcols], *list(extra_aggs)
+        )
+    values = rows.select(*gcols, "_v")
     if not group_cols:
         wide = wide.drop("_g")
-    return wide
+        values = values.drop("_g")
+    return (wide, values) if return_values else wide

@@ -167,20 +167,22 @@ def trend_line(df: DataFrame, x: str, y: str, points: int = 100) -> tuple[DataFr
 def box_stats(df: DataFrame, group_col: str, value_col: str, whisker: float = 1.5) -> DataFrame:
     """T5: per group q1, median, q3, whiskers (extreme data within ``whisker`` IQR), outlier count.
 
-    Quartiles come from the exact quantile operator; the per-group fences
-    (one row per group) are joined back and the whiskers and outliers are
-    one more aggregate.
+    Quartiles come from the exact quantile operator; the whiskers and the
+    outlier count are one more aggregate over its staged values joined to the
+    per-group fences, so the input itself is evaluated once.
     """
     base = df.where(F.col(group_col).isNotNull() & F.col(value_col).isNotNull())
-    q = exact_quantiles(base, [group_col], value_col, [0.25, 0.5, 0.75], ["q1", "median", "q3"], with_count=True)
+    q, values = exact_quantiles(
+        base, [group_col], value_col, [0.25, 0.5, 0.75], ["q1", "median", "q3"], with_count=True, return_values=True
+    )
     iqr = F.col("q3") - F.col("q1")
     fences = q.select(
         group_col, "q1", "median", "q3", "n",
         (F.col("q1") - whisker * iqr).alias("_lo"), (F.col("q3") + whisker * iqr).alias("_hi"),
     )
-    v = F.col(value_col).cast("double")
+    v = F.col("_v")
     inside = (v >= F.col("_lo")) & (v <= F.col("_hi"))
-    agg = base.join(fences.select(group_col, "_lo", "_hi"), group_col).groupBy(group_col).agg(
+    agg = values.join(fences.select(group_col, "_lo", "_hi"), group_col).groupBy(group_col).agg(
         F.min(F.when(inside, v)).alias("whisker_low"),
         F.max(F.when(inside, v)).alias("whisker_high"),
         F.count_if(~inside).cast("bigint").alias("n_outliers"),
