@@ -444,6 +444,13 @@ def _fact(spark, sf, dims: dict[str, DataFrame] | None = None) -> DataFrame:
     ])
 
 
+def ship_days_without_orders(spark, sf):
+    """Days something shipped on which no order was placed (EXCEPT of two date sets)."""
+    ship = t(spark, sf, "lineitem").select(D.to_day(F.col("l_shipdate")).alias("day"))
+    order = t(spark, sf, "orders").select(D.to_day(F.col("o_orderdate")).alias("day"))
+    return model.set_difference(ship, order)
+
+
 def fact_build(spark, sf):
     return _fact(spark, sf)
 
@@ -604,6 +611,12 @@ def chi_square(spark, sf):
     return out.select(F.round("statistic", 6).alias("statistic"), "dof", "n", F.round("p_value", 6).alias("p_value"), "verdict")
 
 
+def expected_counts(spark, sf):
+    """Observed and expected counts of the region x status table."""
+    out = stats.expected_counts(order_star(spark, sf), "r_name", "o_orderstatus")
+    return out.select("r_name", "o_orderstatus", "observed", F.round("expected", 6).alias("expected"))
+
+
 def welch_t(spark, sf):
     star = order_star(spark, sf).withColumn("price", F.col("cost").cast("double"))
     out = stats.welch_t(star, "c_mktsegment", "price", GOVT, PRIVATE)
@@ -725,12 +738,12 @@ QUERIES = {
         "two_sample_overview", "describe_all", "describe_percentiles", "schema_report",
         "clean_sentinels", "parse_dates", "calendar_attributes", "parse_duration", "parse_numeric",
         "lookup_validity_filter", "rejects", "temporal_violations", "range_notnull_filter", "dropna",
-        "dim_date", "dim_group", "dim_pair", "fact_build", "meta_dim", "bridge_explode", "bridge_counts",
+        "dim_date", "dim_group", "dim_pair", "ship_days_without_orders", "fact_build", "meta_dim", "bridge_explode", "bridge_counts",
         "star_wide", "star_wide_meta",
         "pk_violations", "fk_violations", "unresolved_keys", "check_violations", "length_violations",
         "domain_violations", "parse_counters", "health_check", "duplicate_counts", "duplicate_rows", "null_profile",
         "sql_params", "table_scan", "row_by_key",
-        "chi_square", "welch_t", "pearson", "trend_line", "box_stats", "kde", "histogram", "histogram_by_group",
+        "chi_square", "expected_counts", "welch_t", "pearson", "trend_line", "box_stats", "kde", "histogram", "histogram_by_group",
         "point_feed", "significance",
         "csv_roundtrip", "refresh_tables", "views",
     ]

@@ -806,3 +806,21 @@ ORACLE["views"] = f"""
            {pct(cnt("o_orderstatus = 'F'"), 'COUNT(o_orderkey)')} AS success_rate_pct
     FROM s GROUP BY n_name, r_name, c_mktsegment
 """
+
+ORACLE["expected_counts"] = f"""
+    WITH s AS ({ORDER_STAR}),
+    cells AS (SELECT r_name, o_orderstatus, COUNT(*) AS observed FROM s
+              WHERE r_name IS NOT NULL AND o_orderstatus IS NOT NULL GROUP BY 1, 2),
+    rr AS (SELECT r_name, SUM(observed) AS R FROM cells GROUP BY 1),
+    cc AS (SELECT o_orderstatus, SUM(observed) AS C FROM cells GROUP BY 1),
+    tot AS (SELECT SUM(observed) AS N FROM cells)
+    SELECT r_name, o_orderstatus, CAST(observed AS BIGINT) AS observed,
+           ROUND(CAST(R AS DOUBLE) * CAST(C AS DOUBLE) / CAST(N AS DOUBLE), 6) AS expected
+    FROM cells JOIN rr USING (r_name) JOIN cc USING (o_orderstatus) CROSS JOIN tot
+"""
+
+ORACLE["ship_days_without_orders"] = """
+    SELECT CAST(l_shipdate AS DATE) AS day FROM lineitem
+    EXCEPT
+    SELECT CAST(o_orderdate AS DATE) AS day FROM orders
+"""

@@ -68,4 +68,4 @@ def test_entry_imports_without_a_session():
     code = "import __spark_entry__ as E; print(len(E.queries()), len(E.oracle_sql()))"
     out = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=120)
     assert out.returncode == 0, out.stderr
-    assert out.stdout.split() == ["66", "66"]
+    assert out.stdout.split() == ["68", "68"]
