@@ -193,3 +193,16 @@ def test_cluster_conf():
     assert int(c["spark.sql.shuffle.partitions"]) == 409600
     assert cluster_conf(1 << 30, 64)["spark.sql.shuffle.partitions"] == "128"
     assert c["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == "256m"
+
+
+def test_csv_multiline_and_quotes(spark, scratch):
+    p = os.path.join(scratch, "ml")
+    os.makedirs(p)
+    r = row("Q1", "NASA", "1990-01-01")
+    r[HEADER.index("Objective")] = 'Line one,\nline "two"'
+    with open(os.path.join(p, "q.csv"), "w", newline="") as f:
+        w = csv.writer(f)
+        w.writerow(HEADER)
+        w.writerow(r)
+    got = io.read_raw_csv(spark, p).collect()
+    assert len(got) == 1 and got[0]["Objective"] == 'Line one,\nline "two"'
