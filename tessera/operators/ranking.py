@@ -83,7 +83,7 @@ def group_positions(
 ) -> tuple[DataFrame, DataFrame]:
     """Per-group ascending positions of ``value_col``, skew-safe.
 
-    Returns ``(rows, segments)``: ``rows`` is the checkpointed input with
+    Returns ``(rows, segments)``: ``rows`` is the staged, range-sorted input with
     ``_rid``/``_pid``/``_pos``; ``segments`` has one row per
     (partition, group): ``_pid``, group columns, ``_first`` (position of the
     group's first row in that partition), ``_cnt`` and ``_before`` (rows of

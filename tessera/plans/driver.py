@@ -418,7 +418,7 @@ def _dim_nation(spark, sf) -> DataFrame:
 
 
 def _dims(spark, sf) -> dict[str, DataFrame]:
-    """The three dimensions, each built (and checkpointed) once per query."""
+    """The three dimensions, each built (and staged) once per query."""
     return {"date": _dim_date(spark, sf), "nation": _dim_nation(spark, sf), "pair": _dim_pair(spark, sf)}
 
 
