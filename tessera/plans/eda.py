@@ -29,6 +29,7 @@ def cleaning_report(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     wide = missions.missions_with_meta(tables)
     nums = ["cost_usd_billion", "duration_days"]
     return {
+        "preview": marts.top_n(wide, missions.wide_order(), 5),
         "schema": marts.schema_report(wide),
         "describe": marts.describe_all(wide),
         "percentiles": marts.describe_percentiles(wide, nums),
