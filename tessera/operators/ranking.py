@@ -44,8 +44,11 @@ def range_sorted(df: DataFrame, sort_cols: list[Column | str], num_partitions: i
         ordered = df.repartitionByRange(num_partitions, *sort_cols)
     else:
         ordered = df.repartitionByRange(*sort_cols)
-    ordered = ordered.sortWithinPartitions(*sort_cols).withColumn("_rid", F.monotonically_increasing_id())
-    tagged = ordered.withColumn("_pid", F.shiftright(F.col("_rid"), _SHIFT))
+    # The range index leads the in-partition sort: constant per task, it costs
+    # nothing to compare, and it already satisfies the ordering the
+    # partitioned writer needs, so the staged write adds no second sort.
+    ordered = ordered.withColumn("_pid", F.spark_partition_id().cast("bigint"))
+    tagged = ordered.sortWithinPartitions(F.col("_pid"), *sort_cols).withColumn("_rid", F.monotonically_increasing_id())
     staged = stage_table(tagged, "ranked", partition_by="_pid")
     return staged.withColumn("_pos", F.col("_rid").bitwiseAND(F.lit(_LOW)))
 
