@@ -118,3 +118,18 @@ def test_profile_rollup_mean_equals_direct_avg(spark):
         assert prof[g].avg_cost_billion == direct[g].ac
         assert prof[g].avg_duration_days == direct[g].ad
         assert prof[g].total_cost_billion == direct[g].sc
+
+
+def test_opt_in_variants(spark):
+    from tessera.functions import text as X
+    from tessera.operators import stats
+
+    df = spark.createDataFrame([(i % 7, "a" if i % 2 else None, f" v{i % 3} ") for i in range(700)], "k int, t string, s string")
+    ov = marts.overview(df, ["k"], approx_distinct=True).collect()[0]
+    assert ov.distinct_k == 7 and ov.total_rows == 700
+    multi = {(r.column_name, r.value) for r in marts.value_counts_multi(df, ["t"], dropna=True).collect()}
+    assert multi == {("t", "a")}
+    pts = stats.point_feed(df, ["k"], fraction=0.5, seed=1).count()
+    assert 250 < pts < 450
+    only_s = X.clean_text_columns(df, ["s"]).collect()
+    assert {r.s for r in only_s} == {"v0", "v1", "v2"} and {r.t for r in only_s} == {"a", None}
