@@ -77,3 +77,25 @@ def refresh_tables(
 
 def read_tables(spark: SparkSession, root: str, names: list[str], fmt: str = "parquet") -> dict[str, DataFrame]:
     return {n: spark.read.format(fmt).load(f"{root.rstrip('/')}/{n}") for n in names}
+
+
+def write_bucketed(
+    df: DataFrame,
+    table: str,
+    keys: list[str],
+    buckets: int,
+    sort: bool = True,
+    fmt: str = "parquet",
+) -> DataFrame:
+    """Write ``df`` as a catalog table bucketed (and sorted) by ``keys``.
+
+    Two fact-sized tables written with the same keys and bucket count (the
+    fact and the mission meta dimension) join bucket-to-bucket: the planner
+    reads each bucket pair in one task and inserts no exchange. The table
+    lives under ``spark.sql.warehouse.dir``; returns it read back.
+    """
+    w = df.write.mode("overwrite").format(fmt).bucketBy(buckets, *keys)
+    if sort:
+        w = w.sortBy(*keys)
+    w.saveAsTable(table)
+    return df.sparkSession.table(table)

@@ -12,6 +12,7 @@ from pyspark.sql import SparkSession  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     ckpt = tempfile.mkdtemp(prefix="tessera-test-ckpt-")
+    warehouse = tempfile.mkdtemp(prefix="tessera-test-warehouse-")
     s = (
         SparkSession.builder.master("local[4]")
         .config("spark.sql.shuffle.partitions", "8")
@@ -19,6 +20,7 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.checkpoint.dir", ckpt)
+        .config("spark.sql.warehouse.dir", warehouse)
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")

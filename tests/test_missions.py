@@ -206,3 +206,29 @@ def test_csv_multiline_and_quotes(spark, scratch):
         w.writerow(r)
     got = io.read_raw_csv(spark, p).collect()
     assert len(got) == 1 and got[0]["Objective"] == 'Line one,\nline "two"'
+
+
+def test_bucketed_fact_and_meta_join_without_shuffle(spark, bigger_csv):
+    """Fact and meta written bucketed by mission_id join with no exchange (co-located)."""
+    import contextlib
+    import io as _io
+
+    from tessera.sources import sink
+
+    t = _tables(spark, bigger_csv)
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # force the fact-sized join path
+    try:
+        fact = sink.write_bucketed(t["fact_missions"], "tessera_test_fact", ["mission_id"], 4)
+        meta = sink.write_bucketed(t["dim_mission_meta"], "tessera_test_meta", ["mission_id"], 4)
+        joined = fact.join(meta, "mission_id")
+        buf = _io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            joined.explain()
+        plan = buf.getvalue()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert joined.count() == 48
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+        spark.sql("DROP TABLE IF EXISTS tessera_test_fact")
+        spark.sql("DROP TABLE IF EXISTS tessera_test_meta")
