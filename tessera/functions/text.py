@@ -85,6 +85,12 @@ def format_pct(c, decimals: int = 2) -> Column:
     return F.format_string(f"%.{decimals}f%%", _c(c))
 
 
+def pct_text(c, decimals: int = 2) -> Column:
+    """Number rounded, then written in its shortest form plus ``%``
+    (``20.5%``, ``32.0%``), as ``round(...).astype(str) + '%'`` does."""
+    return F.concat(F.round(_c(c), decimals).cast("string"), F.lit("%"))
+
+
 def parse_pct(c) -> Column:
     """P13 inverse: ``'35.65%'`` -> 35.65 (NULL when not a number)."""
     return F.regexp_replace(_c(c), "%", "").try_cast("double")

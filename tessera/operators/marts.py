@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.numbers import count_where, pct
-from ..functions.text import format_pct
+from ..functions.text import format_pct, pct_text
 from .quantiles import exact_quantiles, quantiles
 from .staging import stage_table
 
@@ -69,7 +69,7 @@ def value_counts(df: DataFrame, col: str, count_col: str = "count") -> DataFrame
 
 
 def value_share(df: DataFrame, col: str, decimals: int = 2, as_text: bool = True, share_col: str = "share") -> DataFrame:
-    """A3 + P13: share of each non-NULL value in percent, optionally as ``'35.65%'`` text.
+    """A3 + P13: share of each non-NULL value in percent, optionally as text (``'35.65%'``, ``'20.5%'``).
 
     The denominator (non-NULL rows) is a scalar subquery over the aggregated
     counts, so no single-partition window is needed.
@@ -79,7 +79,7 @@ def value_share(df: DataFrame, col: str, decimals: int = 2, as_text: bool = True
     share = F.round(F.col("_c") * 100.0 / total, decimals)
     out = counts.select(col, share.alias(share_col))
     if as_text:
-        out = out.select(col, format_pct(F.col(share_col), decimals).alias(share_col))
+        out = out.select(col, pct_text(F.col(share_col), decimals).alias(share_col))
     return out
 
 
@@ -252,6 +252,8 @@ def rate_profile(
     decimals: int | None = 2,
     share_decimals: int | None = 1,
     order_by: Sequence[Column] = (),
+    rate_decimals: int | None | str = "same",
+    id_col: str | None = None,
 ) -> DataFrame:
     """Per-group count, rates and mean measure.
 
@@ -259,13 +261,17 @@ def rate_profile(
     status stay in the denominator, as the reference's boolean mean does.
     ``counts`` adds conditional counts and ``shares`` turns one of them into a
     percentage of the total (alias -> count alias). NULL group keys are
-    dropped.
+    dropped. ``decimals`` rounds the mean, ``rate_decimals`` the rates
+    (``"same"``: like the mean; ``None``: unrounded); the total counts
+    ``id_col`` when given (non-NULL ids), else rows.
     """
+    rate_decimals = decimals if rate_decimals == "same" else rate_decimals
     base = _drop_null_keys(df, group_cols)
-    aggs = [F.count(F.lit(1)).cast("bigint").alias(total_alias)]
+    total = F.count(F.col(id_col)) if id_col else F.count(F.lit(1))
+    aggs = [total.cast("bigint").alias(total_alias)]
     for alias, value in rates.items():
         aggs.append(_round(
-            count_where(F.col(status_col) == F.lit(value)).cast("double") * 100.0 / F.count(F.lit(1)), decimals
+            count_where(F.col(status_col) == F.lit(value)).cast("double") * 100.0 / F.count(F.lit(1)), rate_decimals
         ).alias(alias))
     aggs += [count_where(p).alias(a) for a, p in (counts or {}).items()]
     if measure_col:
@@ -306,13 +312,16 @@ def contingency(df: DataFrame, row_col: str, col_col: str, count_col: str = "obs
 
 
 def group_median(df: DataFrame, group_col: str, value_col: str, alias: str = "median", exact: bool = True) -> DataFrame:
-    """Median per group (NULL keys and values dropped), largest first.
+    """Median per group (NULL keys dropped, NULL values ignored), largest first.
 
+    A group whose values are all NULL keeps a NULL median, sorted last.
     Exact and skew-safe by default; ``exact=False`` uses a sketch.
     """
     base = _drop_null_keys(df, [group_col])
     med = quantiles(base, [group_col], value_col, [0.5], [alias], exact=exact)
-    return med.orderBy(F.col(alias).desc_nulls_last(), F.col(group_col))
+    groups = base.select(group_col).distinct()
+    out = groups.join(med, group_col, "left")
+    return out.orderBy(F.col(alias).desc_nulls_last(), F.col(group_col))
 
 
 def two_sample_overview(df: DataFrame, group_col: str, value_col: str, groups: Sequence[str]) -> DataFrame:

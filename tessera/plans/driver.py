@@ -149,7 +149,7 @@ def region_profile(spark, sf):
         order_star(spark, sf), ["r_name"], "o_orderstatus", {"success_rate": SUCCESS}, "cost",
         counts={"govt_orders": F.col("c_mktsegment") == GOVT, "private_orders": F.col("c_mktsegment") == PRIVATE},
         shares={"private_pct": "private_orders"}, total_alias="total_orders", avg_alias="avg_price",
-        order_by=[F.col("total_orders").desc()],
+        order_by=[F.col("total_orders").desc()], id_col="o_orderkey",
     )
 
 
@@ -157,7 +157,7 @@ def decade_type_profile(spark, sf):
     star = order_star(spark, sf).withColumn("order_decade", D.decade_label(F.year("o_orderdate")))
     return marts.rate_profile(
         star, ["order_decade", "c_mktsegment"], "o_orderstatus", {"success_rate": SUCCESS}, "cost",
-        total_alias="orders", avg_alias="avg_price", decimals=4,
+        total_alias="orders", avg_alias="avg_price", decimals=4, rate_decimals=None, id_col="o_orderkey",
     )
 
 
@@ -165,6 +165,7 @@ def category_profile(spark, sf):
     prof = marts.rate_profile(
         order_star(spark, sf), ["o_orderpriority"], "o_orderstatus", {"success_rate": "F", "failure_rate": "O"}, "cost",
         total_alias="total_orders", avg_alias="avg_price", order_by=[F.col("total_orders").desc()],
+        rate_decimals=None, id_col="o_orderkey",
     )
     return prof.withColumn("rate_band", N.threshold_label(F.col("success_rate"), 33.0))
 

@@ -381,7 +381,7 @@ ORACLE["group_profile"] = _drop_succ(GROUP_PROFILE)
 
 ORACLE["region_profile"] = f"""
     WITH s AS ({ORDER_STAR})
-    SELECT r_name, CAST(COUNT(*) AS BIGINT) AS total_orders, {rate(cnt("o_orderstatus = 'F'"), 2)} AS success_rate,
+    SELECT r_name, CAST(COUNT(o_orderkey) AS BIGINT) AS total_orders, {rate(cnt("o_orderstatus = 'F'"), 2)} AS success_rate,
            {cnt("c_mktsegment = 'BUILDING'")} AS govt_orders, {cnt("c_mktsegment = 'AUTOMOBILE'")} AS private_orders,
            {avg_cost()} AS avg_price,
            ROUND(CAST({cnt("c_mktsegment = 'AUTOMOBILE'")} AS DOUBLE) * 100.0 / CAST(COUNT(*) AS BIGINT), 1) AS private_pct
@@ -390,17 +390,17 @@ ORACLE["region_profile"] = f"""
 
 ORACLE["decade_type_profile"] = f"""
     WITH s AS ({ORDER_STAR})
-    SELECT {DECADE.format(d='o_orderdate')} AS order_decade, c_mktsegment, CAST(COUNT(*) AS BIGINT) AS orders,
-           {rate(cnt("o_orderstatus = 'F'"), 4)} AS success_rate, {avg_cost(d=4)} AS avg_price
+    SELECT {DECADE.format(d='o_orderdate')} AS order_decade, c_mktsegment, CAST(COUNT(o_orderkey) AS BIGINT) AS orders,
+           {rate(cnt("o_orderstatus = 'F'"), None)} AS success_rate, {avg_cost(d=4)} AS avg_price
     FROM s WHERE c_mktsegment IS NOT NULL GROUP BY 1, 2
 """
 
 ORACLE["category_profile"] = f"""
     WITH s AS ({ORDER_STAR})
-    SELECT o_orderpriority, CAST(COUNT(*) AS BIGINT) AS total_orders,
-           {rate(cnt("o_orderstatus = 'F'"), 2)} AS success_rate, {rate(cnt("o_orderstatus = 'O'"), 2)} AS failure_rate,
-           {avg_cost()} AS avg_price,
-           CASE WHEN {rate(cnt("o_orderstatus = 'F'"), 2)} < 33.0 THEN 'below' ELSE 'at_or_above' END AS rate_band
+    SELECT o_orderpriority, CAST(COUNT(o_orderkey) AS BIGINT) AS total_orders,
+           {rate(cnt("o_orderstatus = 'F'"), None)} AS success_rate,
+           {rate(cnt("o_orderstatus = 'O'"), None)} AS failure_rate, {avg_cost()} AS avg_price,
+           CASE WHEN {rate(cnt("o_orderstatus = 'F'"), None)} < 33.0 THEN 'below' ELSE 'at_or_above' END AS rate_band
     FROM s WHERE o_orderpriority IS NOT NULL GROUP BY 1
 """
 
@@ -419,7 +419,7 @@ ORACLE["contingency"] = f"""
 
 ORACLE["group_median"] = """
     SELECT o_orderpriority, quantile_cont(o_totalprice, 0.5) AS median_price
-    FROM orders WHERE o_orderpriority IS NOT NULL AND o_totalprice IS NOT NULL GROUP BY 1
+    FROM orders WHERE o_orderpriority IS NOT NULL GROUP BY 1
 """
 
 ORACLE["overview"] = f"""
@@ -442,7 +442,7 @@ ORACLE["value_counts"] = """
 
 ORACLE["value_share"] = """
     SELECT c_mktsegment,
-           printf('%.2f%%', ROUND(CAST(COUNT(*) AS DOUBLE) * 100.0 / CAST(SUM(COUNT(*)) OVER () AS DOUBLE), 2)) AS share
+           CAST(ROUND(CAST(COUNT(*) AS DOUBLE) * 100.0 / CAST(SUM(COUNT(*)) OVER () AS DOUBLE), 2) AS VARCHAR) || '%' AS share
     FROM customer WHERE c_mktsegment IS NOT NULL GROUP BY 1
 """
 

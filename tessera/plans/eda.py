@@ -70,12 +70,13 @@ def eda_report(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
             counts={"govt_missions": F.col("agency_type") == "Government",
                     "private_missions": F.col("agency_type") == "Private"},
             shares={"private_pct": "private_missions"}, order_by=[F.col("total_missions").desc()],
+            id_col="mission_id",
         ),
         "country_status_table": marts.contingency(df, "country_region", "status"),
         "country_status_test": stats.chi_square(df, "country_region", "status"),
         "decade_type": marts.rate_profile(
             df, ["launch_decade", "agency_type"], "status", {"success_rate": "Success"}, "cost_usd_billion",
-            total_alias="missions", avg_alias="avg_cost", decimals=None,
+            total_alias="missions", avg_alias="avg_cost", decimals=None, id_col="mission_id",
         ),
         "cost_by_type": marts.two_sample_overview(df, "agency_type", "cost_usd_billion", TYPES),
         "cost_type_box": stats.box_stats(gvp, "agency_type", "cost_usd_billion"),
@@ -83,7 +84,7 @@ def eda_report(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
         "cost_type_test": stats.welch_t(df, "agency_type", "cost_usd_billion", *TYPES),
         "category_profile": marts.rate_profile(
             df, ["mission_category"], "status", {"success_rate": "Success", "failure_rate": "Failed"},
-            "cost_usd_billion", order_by=[F.col("total_missions").desc()],
+            "cost_usd_billion", order_by=[F.col("total_missions").desc()], rate_decimals=None, id_col="mission_id",
         ),
         "category_median_cost": marts.group_median(df, "mission_category", "cost_usd_billion", "median_cost"),
         "category_cost_density": stats.kde(df, "mission_category", "cost_usd_billion"),

@@ -59,6 +59,10 @@ def test_value_counts_and_share(spark):
     df = spark.createDataFrame([("a",), ("b",), ("a",), (None,)], "v string")
     assert [(r.v, r["count"]) for r in marts.value_counts(df, "v").collect()] == [("a", 2), ("b", 1)]
     assert {r.v: r.share for r in marts.value_share(df, "v").collect()} == {"a": "66.67%", "b": "33.33%"}
+    half = spark.createDataFrame([("a",), ("b",), ("b",), ("b",)], "v string")
+    assert {r.v: r.share for r in marts.value_share(half, "v").collect()} == {"a": "25.0%", "b": "75.0%"}
+    med = marts.group_median(spark.createDataFrame([("x", 1.0), ("x", 3.0), ("y", None)], "g string, v double"), "g", "v")
+    assert [(r.g, r.median) for r in med.collect()] == [("x", 2.0), ("y", None)]
     multi = {(r.column_name, r.value): r["count"] for r in marts.value_counts_multi(df, ["v"]).collect()}
     assert multi == {("v", "a"): 2, ("v", "b"): 1, ("v", None): 1}
 
