@@ -267,18 +267,37 @@ def histogram(
         lo, hi = rng.select("_lo").scalar(), rng.select("_hi").scalar()
         joined = base
         grid = rng.select("_lo", "_hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    idx = F.least(F.floor((F.col("_v") - lo) * F.lit(float(bins)) / (hi - lo)).cast("int"), F.lit(bins - 1))
+    idx = _bin_index(F.col("_v"), lo, hi, bins)
     counts = joined.groupBy(*keys, idx.alias("bin")).agg(F.count(F.lit(1)).alias("_c"))
     out = grid.join(counts, [*keys, "bin"], "left")
-    width = (F.col("_hi") - F.col("_lo")) / F.lit(float(bins))
     return out.select(
         *keys, "bin",
-        (F.col("_lo") + F.col("bin") * width).alias("bin_start"),
-        F.when(F.col("bin") == bins - 1, F.col("_hi")).otherwise(F.col("_lo") + (F.col("bin") + 1) * width).alias("bin_end"),
+        _edge(F.col("bin"), F.col("_lo"), F.col("_hi"), bins).alias("bin_start"),
+        _edge(F.col("bin") + 1, F.col("_lo"), F.col("_hi"), bins).alias("bin_end"),
         F.coalesce(F.col("_c"), F.lit(0)).cast("bigint").alias("count"),
     )
 
 
+def _edge(k: Column, lo: Column, hi: Column, bins: int) -> Column:
+    """Edge ``k`` of ``bins`` equal-width bins as an evenly spaced grid computes it
+    (``k * step + lo``, the last edge exactly ``hi``)."""
+    step = (hi - lo) / F.lit(float(bins))
+    return F.when(k == bins, hi).otherwise(k.cast("double") * step + lo)
+
+
+def _bin_index(v: Column, lo: Column, hi: Column, bins: int) -> Column:
+    """Bin of ``v`` the way numpy's equal-width histogram assigns it.
+
+    ``(v - lo) * (bins / (hi - lo))`` truncated, the top value folded into the
+    last bin, then corrected by one against the actual edges, so a value on
+    an interior edge always opens the bin above it.
+    """
+    norm = F.lit(float(bins)) / (hi - lo)
+    i0 = F.least(F.floor((v - lo) * norm).cast("int"), F.lit(bins - 1))
+    i1 = F.when(v < _edge(i0, lo, hi, bins), i0 - 1).otherwise(i0)
+    return F.when((i1 != bins - 1) & (v >= _edge(i1 + 1, lo, hi, bins)), i1 + 1).otherwise(i1)
+
+
 # ---------------------------------------------------------------- T8
 
 def point_feed(df: DataFrame, cols: Sequence[str], predicate: Column | None = None, fraction: float | None = None, seed: int = 42) -> DataFrame:

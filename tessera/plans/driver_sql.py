@@ -263,6 +263,10 @@ def _describe_numeric(cols, source: str, probs, names, d: int | None) -> str:
     """
 
 
+def _edge_sql(k: str, bins: int) -> str:
+    return f"(CASE WHEN {k} = {bins} THEN hi ELSE CAST({k} AS DOUBLE) * ((hi - lo) / {float(bins)}) + lo END)"
+
+
 def histogram_sql(src: str, value_sql: str, where: str, bins: int, group: str | None) -> str:
     gsel = f"{group} AS g" if group else "0 AS g"
     out_g = f"grid.g AS {group}, " if group else ""
@@ -273,14 +277,19 @@ def histogram_sql(src: str, value_sql: str, where: str, bins: int, group: str |
                   CASE WHEN MIN(v) = MAX(v) THEN MAX(v) + 0.5 ELSE MAX(v) END AS hi
         FROM v GROUP BY g
     ),
+    i0 AS (
+        SELECT g, v, lo, hi, LEAST(CAST(floor((v - lo) * ({float(bins)} / (hi - lo))) AS INTEGER), {bins - 1}) AS i0
+        FROM v JOIN r USING (g)
+    ),
+    i1 AS (SELECT *, CASE WHEN v < {_edge_sql('i0', bins)} THEN i0 - 1 ELSE i0 END AS i1 FROM i0),
     c AS (
-        SELECT g, LEAST(CAST(floor((v - lo) * {float(bins)} / (hi - lo)) AS INTEGER), {bins - 1}) AS bin, COUNT(*) AS c
-        FROM v JOIN r USING (g) GROUP BY 1, 2
+        SELECT g, CASE WHEN i1 <> {bins - 1} AND v >= {_edge_sql('i1 + 1', bins)} THEN i1 + 1 ELSE i1 END AS bin,
+               COUNT(*) AS c
+        FROM i1 GROUP BY 1, 2
     ),
     grid AS (SELECT g, CAST(i AS INTEGER) AS bin, lo, hi FROM r, range(0, {bins}) t(i))
-    SELECT {out_g}grid.bin, ROUND(lo + grid.bin * ((hi - lo) / {float(bins)}), 6) AS bin_start,
-           ROUND(CASE WHEN grid.bin = {bins - 1} THEN hi ELSE lo + (grid.bin + 1) * ((hi - lo) / {float(bins)}) END, 6) AS bin_end,
-           CAST(COALESCE(c.c, 0) AS BIGINT) AS count
+    SELECT {out_g}grid.bin, ROUND({_edge_sql('grid.bin', bins)}, 6) AS bin_start,
+           ROUND({_edge_sql('(grid.bin + 1)', bins)}, 6) AS bin_end, CAST(COALESCE(c.c, 0) AS BIGINT) AS count
     FROM grid LEFT JOIN c ON grid.g = c.g AND grid.bin = c.bin
 """
 

@@ -133,3 +133,13 @@ def test_histogram_fixture(spark):
 def test_point_feed(spark):
     df = spark.createDataFrame([("a", 1.0), ("b", 2.0)], "g string, v double")
     assert stats.point_feed(df, ["g", "v"], F.col("g") == "a").count() == 1
+
+
+def test_histogram_matches_numpy_on_edges(spark):
+    """Values on or next to interior edges land where numpy puts them."""
+    rnd = random.Random(9)
+    vals = [0.1 * k for k in range(0, 101)] + [rnd.uniform(0, 10) for _ in range(300)] + [0.3, 0.7, 2.9, 9.9]
+    for bins in (7, 10, 40, 50):
+        df = spark.createDataFrame([(v,) for v in vals], "v double")
+        got = [r["count"] for r in stats.histogram(df, "v", bins).orderBy("bin").collect()]
+        assert got == list(np.histogram(vals, bins=bins)[0]), bins
