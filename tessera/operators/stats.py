@@ -261,14 +261,14 @@ def histogram(
     )
     if group_col:
         joined = base.join(rng, keys)
-        lo, hi = F.col("_lo"), F.col("_hi")
         grid = rng.select(*keys, "_lo", "_hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     else:
         lo, hi = rng.select("_lo").scalar(), rng.select("_hi").scalar()
-        joined = base
+        joined = base.select("_v", lo.alias("_lo"), hi.alias("_hi"))
         grid = rng.select("_lo", "_hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    idx = _bin_index(F.col("_v"), lo, hi, bins)
-    counts = joined.groupBy(*keys, idx.alias("bin")).agg(F.count(F.lit(1)).alias("_c"))
+    # Each step is its own column so no expression (or scalar subquery) is repeated.
+    binned = _with_bin_index(joined, bins)
+    counts = binned.groupBy(*keys, "bin").agg(F.count(F.lit(1)).alias("_c"))
     out = grid.join(counts, [*keys, "bin"], "left")
     return out.select(
         *keys, "bin",
@@ -285,17 +285,20 @@ def _edge(k: Column, lo: Column, hi: Column, bins: int) -> Column:
     return F.when(k == bins, hi).otherwise(k.cast("double") * step + lo)
 
 
-def _bin_index(v: Column, lo: Column, hi: Column, bins: int) -> Column:
-    """Bin of ``v`` the way numpy's equal-width histogram assigns it.
+def _with_bin_index(df: DataFrame, bins: int) -> DataFrame:
+    """Add ``bin``: the bin of ``_v`` in [``_lo``, ``_hi``] the way numpy's
+    equal-width histogram assigns it.
 
     ``(v - lo) * (bins / (hi - lo))`` truncated, the top value folded into the
     last bin, then corrected by one against the actual edges, so a value on
     an interior edge always opens the bin above it.
     """
+    v, lo, hi = F.col("_v"), F.col("_lo"), F.col("_hi")
     norm = F.lit(float(bins)) / (hi - lo)
-    i0 = F.least(F.floor((v - lo) * norm).cast("int"), F.lit(bins - 1))
-    i1 = F.when(v < _edge(i0, lo, hi, bins), i0 - 1).otherwise(i0)
-    return F.when((i1 != bins - 1) & (v >= _edge(i1 + 1, lo, hi, bins)), i1 + 1).otherwise(i1)
+    d = df.withColumn("_i0", F.least(F.floor((v - lo) * norm).cast("int"), F.lit(bins - 1)))
+    d = d.withColumn("_i1", F.when(v < _edge(F.col("_i0"), lo, hi, bins), F.col("_i0") - 1).otherwise(F.col("_i0")))
+    up = (F.col("_i1") != bins - 1) & (v >= _edge(F.col("_i1") + 1, lo, hi, bins))
+    return d.withColumn("bin", F.when(up, F.col("_i1") + 1).otherwise(F.col("_i1"))).drop("_i0", "_i1")
 
 
 # ---------------------------------------------------------------- T8
