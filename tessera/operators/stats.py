@@ -158,7 +158,8 @@ def trend_line(df: DataFrame, x: str, y: str, points: int = 100) -> tuple[DataFr
     step = (F.col("x_max") - F.col("x_min")) / F.lit(float(points - 1))
     grid = fit.select("*", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("i"))
     xs = F.when(F.col("i") == points - 1, F.col("x_max")).otherwise(F.col("x_min") + F.col("i") * step)
-    line = grid.select("i", xs.alias("x"), "slope", "intercept").select("i", "x", (F.col("slope") * F.col("x") + F.col("intercept")).alias("y"))
+    line = grid.select("i", xs.alias("x"), "slope", "intercept")
+    line = line.select("i", "x", (F.col("slope") * F.col("x") + F.col("intercept")).alias("y"))
     return fit, line
 
 
@@ -169,7 +170,7 @@ def box_stats(df: DataFrame, group_col: str, value_col: str, whisker: float = 1.
 
     Quartiles come from the exact quantile operator; the whiskers and the
     outlier count are one more aggregate over its staged values joined to the
-    per-group fences, so the input itself is evaluated once.
+    per-group fences, not another pass over the input.
     """
     base = df.where(F.col(group_col).isNotNull() & F.col(value_col).isNotNull())
     q, values = exact_quantiles(
