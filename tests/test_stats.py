@@ -143,3 +143,29 @@ def test_histogram_matches_numpy_on_edges(spark):
         df = spark.createDataFrame([(v,) for v in vals], "v double")
         got = [r["count"] for r in stats.histogram(df, "v", bins).orderBy("bin").collect()]
         assert got == list(np.histogram(vals, bins=bins)[0]), bins
+
+
+def test_p_values_against_closed_forms_on_random_inputs(spark):
+    """Student t (v = 1, 2, 4) and chi-square (even k) against their closed forms."""
+    rnd = random.Random(4)
+
+    def t_closed(t, v):
+        a = abs(t)
+        if v == 1:
+            return 1 - 2 * math.atan(a) / math.pi
+        if v == 2:
+            return 1 - a / math.sqrt(a * a + 2)
+        # v == 4: with theta = atan(|t| / 2), p = 1 - sin(theta) (3 - sin(theta)^2) / 2
+        s = math.sin(math.atan(a / math.sqrt(v)))
+        return 1 - s * (3 - s * s) / 2
+
+    def chi_closed(x, k):
+        return math.exp(-x / 2) * sum((x / 2) ** i / math.factorial(i) for i in range(k // 2))
+
+    rows = [(rnd.uniform(-8, 8), float(rnd.choice([1, 2, 4])), rnd.uniform(0, 60), float(2 * rnd.randint(1, 10)))
+            for _ in range(60)]
+    df = spark.createDataFrame(rows, "t double, v double, x double, k double")
+    got = df.select("t", "v", "x", "k", student_t_two_sided_p("t", "v").alias("pt"), chi2_upper_p("x", "k").alias("pc")).collect()
+    for r in got:
+        assert r.pt == pytest.approx(t_closed(r.t, int(r.v)), rel=1e-7, abs=1e-12), (r.t, r.v)
+        assert r.pc == pytest.approx(chi_closed(r.x, int(r.k)), rel=1e-7, abs=1e-12), (r.x, r.k)
