@@ -95,7 +95,12 @@ def group_positions(
     """
     # A unique tie-breaker lets the range partitioner split a hot group even
     # when most of its values are equal (identical sort keys cannot be split).
-    data = df.withColumn("_tb", F.monotonically_increasing_id())
+    # The input is staged first: a written table is read back in a fixed split
+    # and row order, so a re-run task hands out the same (row, id) pairs and
+    # routes each row to the same range (an id taken in the order rows arrive
+    # from a shuffle could change on a re-run). Staging also means the range
+    # sampling re-reads the staged table, not an expensive upstream plan.
+    data = stage_table(df, "positions-input").withColumn("_tb", F.monotonically_increasing_id())
     keys = [F.col(g).asc_nulls_first() for g in group_cols] + [F.col(value_col).asc_nulls_last(), F.col("_tb")]
     rows = range_sorted(data, keys, num_partitions)
     seg = rows.groupBy("_pid", *group_cols).agg(
