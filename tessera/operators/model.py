@@ -232,10 +232,11 @@ def bridge(
     """Bridge table ``(key_col, id_col, out_col)`` with serial ids.
 
     Ids follow (``id_col``, position in the list), the order in which the
-    rows would have been appended.
+    rows would have been appended; the item breaks the remaining ties (a
+    repeated ``id_col``), so a re-run gives the same ids.
     """
     rows = explode_list(df, id_col, src_col, out_col, pattern)
-    with_ids = sequential_ids(rows, [F.col(id_col), F.col("_pos")], key_col, num_partitions=num_partitions)
+    with_ids = sequential_ids(rows, [F.col(id_col), F.col("_pos"), F.col(out_col)], key_col, num_partitions=num_partitions)
     return with_ids.select(key_col, id_col, out_col)
 
 

@@ -620,7 +620,7 @@ ITEMS = f"""
 
 ORACLE["bridge_explode"] = f"""
     {ITEMS}
-    SELECT CAST(row_number() OVER (ORDER BY doc_id, pos) AS INTEGER) AS id, doc_id, item FROM items WHERE item <> ''
+    SELECT CAST(row_number() OVER (ORDER BY doc_id, pos, item) AS INTEGER) AS id, doc_id, item FROM items WHERE item <> ''
 """
 
 ORACLE["bridge_counts"] = f"""
