@@ -78,11 +78,13 @@ def to_number(c) -> Column:
     """P5: tolerant numeric cast like a coercing parser: failures are NULL.
 
     Accepts surrounding whitespace, signs, ``'5.'``, ``'.5'``, exponents and
-    ``inf``/``infinity`` with an optional sign; rejects thousands separators,
-    type suffixes (``'1.0d'``), words and ``'nan'`` (a missing value).
+    ``inf``/``infinity`` (any case, optional sign, no surrounding blanks);
+    rejects thousands separators, type suffixes (``'1.0d'``), words and
+    ``'nan'`` (a missing value). Checked against pandas' coercing parser on
+    random text in the tests.
     """
     s = _c(c).cast("string")
-    t = F.lower(F.trim(s))
+    t = F.lower(s)  # infinities are accepted only without surrounding blanks
     return (
         F.when(s.rlike(_NUMBER), F.trim(s).try_cast("double"))
         .when(t.isin("inf", "+inf", "infinity", "+infinity"), F.lit(float("inf")))

@@ -50,9 +50,27 @@ def test_duration(spark, expr):
 
 
 def test_to_number(spark):
-    vals = ["1e3", " 12 ", "5.", "1,200", "1.0d", "bad", "nan", ".5", "-3", None, " Inf", "-infinity"]
+    vals = ["1e3", " 12 ", "5.", "1,200", "1.0d", "bad", "nan", ".5", "-3", None, "Inf", "-infinity", " inf"]
     got = collect(one_col(spark, vals).select("i", N.to_number(F.col("v")).alias("n")), "n")
-    assert got == [1000.0, 12.0, 5.0, None, None, None, None, 0.5, -3.0, None, float("inf"), float("-inf")]
+    assert got == [1000.0, 12.0, 5.0, None, None, None, None, 0.5, -3.0, None, float("inf"), float("-inf"), None]
+
+
+def test_to_number_matches_pandas_on_random_text(spark):
+    import math
+    import random
+
+    import pandas as pd
+
+    rnd = random.Random(5)
+    atoms = ["1", "12", "0", "3.5", ".5", "5.", "1e3", "1E-2", "+7", "-8", " ", "", ",", "1,200", "nan", "NaN",
+             "inf", "-inf", "Infinity", "abc", "1.0d", "0x1A", "1_000", "--1", "1e", "e3", " 4 ", "\t9\n", "1.2.3",
+             "+", "-", "."]
+    texts = list(dict.fromkeys(atoms + ["".join(rnd.choice(atoms) for _ in range(rnd.randint(1, 2))) for _ in range(300)]))
+    got = collect(one_col(spark, texts).select("i", N.to_number(F.col("v")).alias("n")), "n")
+    for t, g in zip(texts, got):
+        w = pd.to_numeric(pd.Series([t], dtype=object), errors="coerce").iloc[0]
+        w = None if isinstance(w, float) and math.isnan(w) else float(w)
+        assert (w is None and g is None) or (w is not None and g is not None and math.isclose(w, g)), repr(t)
 
 
 def test_rescale_to_decimal(spark):
