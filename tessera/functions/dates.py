@@ -12,14 +12,17 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-ISO_DATE = r"^\d{4}-\d{2}-\d{2}$"
+ISO_DATE = r"^\d{4}-\d{1,2}-\d{1,2}$"
 
 
-def parse_date(c, pattern: str = ISO_DATE, fmt: str = "yyyy-MM-dd") -> Column:
+def parse_date(c, pattern: str = ISO_DATE, fmt: str = "yyyy-M-d") -> Column:
     """Tolerant date parse; anything that is not a valid ``fmt`` date is NULL.
 
-    The text must match ``pattern`` exactly (so ``'1957'`` or ``'1957-10-4'``
-    are rejected, unlike a plain cast) and be a real calendar day.
+    Like a coercing parse with the format ``%Y-%m-%d``: a four-digit year and
+    one- or two-digit month and day (``'1957-10-4'`` parses), the text
+    stripped first; ``'1957'``, ``'10/04/1957'``, ``'19571004'``, a time part
+    or an impossible day (``'2021-02-30'``) give NULL. Unlike a plain cast,
+    a bare year is rejected.
     """
     s = strip(_c(c).cast("string"))
     return F.when(s.rlike(pattern), F.try_to_date(s, fmt))

@@ -542,7 +542,7 @@ RAW_DATE = """
 
 def parse_date_sql(c: str) -> str:
     s = strip(c)
-    return f"CASE WHEN regexp_full_match({s}, '\\d{{4}}-\\d{{2}}-\\d{{2}}') THEN CAST(try_strptime({s}, '%Y-%m-%d') AS DATE) END"
+    return f"CASE WHEN regexp_full_match({s}, '\\d{{4}}-\\d{{1,2}}-\\d{{1,2}}') THEN CAST(try_strptime({s}, '%Y-%m-%d') AS DATE) END"
 
 
 ORACLE["parse_dates"] = f"""

@@ -79,10 +79,10 @@ def test_rescale_to_decimal(spark):
 
 
 def test_parse_date(spark):
-    vals = ["1957-10-04", " 1957-10-04 ", "1957-10-4", "1957", "10/04/1957", "19571004", "", "2021-02-30",
-            "1957-10-04 10:00:00", None]
+    vals = ["1957-10-04", " 1957-10-04 ", "1957-10-4", "1957-1-4", "1957", "10/04/1957", "19571004", "",
+            "2021-02-30", "1957-10-04 10:00:00", "957-01-04", "1957-001-04", None]
     got = collect(one_col(spark, vals).select("i", D.parse_date(F.col("v")).alias("d")), "d")
-    assert got == [dt.date(1957, 10, 4), dt.date(1957, 10, 4)] + [None] * 8
+    assert got == [dt.date(1957, 10, 4)] * 3 + [dt.date(1957, 1, 4)] + [None] * 9
 
 
 def test_calendar(spark):
@@ -170,3 +170,39 @@ def test_duration_matches_spec_on_random_text(spark):
         else:
             # Spark rounds the unit sum half-up to 2 places; the bare-number case is unrounded.
             assert g == pytest.approx(want, abs=0.005 + 1e-9), text
+
+
+def test_parse_date_matches_pandas_on_random_text(spark):
+    """Against pandas' coercing parse with the ISO format inferred from the first value (text stripped first,
+    as the cleaning step does; years inside pandas' timestamp range)."""
+    import random
+
+    import pandas as pd
+
+    rnd = random.Random(3)
+    pieces = ["1957-10-04", "2021-02-30", "1999-12-31", "1957-10-4", "1957-1-4", "1957", "10/04/1957", "19571004",
+              "2001-01-01 10:00:00", "2001-13-01", "abcd-ef-gh", "2020-02-29", "2019-02-29", "1957-001-04", "957-01-04"]
+    texts = ["1957-10-04"] + [rnd.choice(pieces) for _ in range(200)]
+    got = collect(one_col(spark, texts).select("i", D.parse_date(F.col("v")).alias("d")), "d")
+    want = pd.to_datetime(pd.Series(texts), errors="coerce")
+    for t, g, w in zip(texts, got, want):
+        assert g == (None if pd.isna(w) else w.date()), t
+
+
+def test_calendar_matches_pandas_on_random_dates(spark):
+    import random
+
+    import pandas as pd
+
+    rnd = random.Random(8)
+    days = [dt.date(1900, 1, 1) + dt.timedelta(days=rnd.randint(0, 200 * 366)) for _ in range(400)]
+    df = spark.createDataFrame([(i, d) for i, d in enumerate(days)], "i int, d date")
+    rows = df.select("i", *D.calendar_columns(F.col("d"))).orderBy("i").collect()
+    s = pd.to_datetime(pd.Series(days))
+    want = pd.DataFrame({
+        "year": s.dt.year, "quarter": s.dt.quarter, "month": s.dt.month, "month_name": s.dt.strftime("%B"),
+        "week": s.dt.isocalendar().week.astype(int), "day": s.dt.day,
+        "decade": (s.dt.year // 10 * 10).astype(str) + "s",
+    })
+    for r, (_, w) in zip(rows, want.iterrows()):
+        assert (r.year, r.quarter, r.month, r.month_name, r.week, r.day, r.decade) == tuple(w), r
