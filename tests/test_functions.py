@@ -206,3 +206,8 @@ def test_calendar_matches_pandas_on_random_dates(spark):
     })
     for r, (_, w) in zip(rows, want.iterrows()):
         assert (r.year, r.quarter, r.month, r.month_name, r.week, r.day, r.decade) == tuple(w), r
+
+
+def test_reader_tokens_are_pandas_defaults():
+    parsers = pytest.importorskip("pandas._libs.parsers")
+    assert set(X.READER_NA_TOKENS) == set(parsers.STR_NA_VALUES)
