@@ -12,7 +12,8 @@ Layout:
     sources/    readers, SQL entry points, schemas, full-refresh writer
     functions/  column expressions (cleaning, parsing, calendar, p-values)
     operators/  DataFrame -> DataFrame operators (filters, model, quality,
-                marts, statistics)
+                marts, statistics; ranking/quantiles/staging for skew-safe
+                exact positions)
     plans/      configurations: the mission ETL and the driver-table bindings
     streaming/  intentionally empty (the reference is batch only)
 """
