@@ -6,7 +6,8 @@ marts and wide star joins -> column profiling -> distributed hypothesis tests
 and distribution summaries.
 
 Every operator is a plain function over DataFrames built from Spark's own
-expressions; nothing collects rows to the driver.
+expressions; only small, bounded results (pivot values, a few offending keys,
+range ids) ever reach the driver.
 
 Layout:
     sources/    readers, SQL entry points, schemas, full-refresh writer
