@@ -4,44 +4,45 @@ Every document is the set of its distinct k-word shingles (64-bit hashes).
 Two documents link when ``100 * |A n B| >= percent * |A u B|``; documents that
 links connect form a class.
 
-1. *Partition.* Sets of similar size whose first shingle in one global order
-   agrees form a group: near copies nearly always share it, and a group is
-   just a label on rows, never gathered.
+1. *Partition.* Sets of similar size that agree in their least shingle hash
+   (over the frequent shingles, if those make up half of the set) form a
+   group: near copies nearly always share it, and a group is just a label on
+   rows, never gathered.
 2. *Matrix.* A set's head is its first ``n - ceil(percent n / 100) + 1``
-   shingles in the global order. The token-group matrix has one row for each
+   shingles in one global order. The token-group matrix has one row for each
    shingle and group: the union of the members' heads, with the least and
    greatest member size.
-3. *Bound.* A query's head joins the matrix by shingle. The matches with a
-   group's union bound the overlap with each member from above: whatever lies
-   beyond both heads adds at most ``max(n_q - head_q, n_s - head_s)``. Groups
-   whose bound misses the overlap that ``percent`` asks for stay closed.
+3. *Bound.* Of two sets that link, the smaller one's first
+   ``n - ceil(2 percent n / (100 + percent)) + 1`` shingles (its probe) meet
+   the larger one's head. Probes join the matrix by shingle; the matches with
+   a group's union bound the overlap with each member that is no smaller than
+   the query, and groups whose bound misses the overlap that ``percent`` asks
+   for stay closed.
 4. *Open.* In an open group the query is compared, exactly and over whole
    sets, with the two members that its shingles lead to most often. That is
    linear even in a group of thousands of copies, and links nearly all of
    them; only members in another class than the query are then taken one by
-   one (bounded again by their own heads, and compared exactly). No link
+   one: first by their heads inside the join, then exactly. No link
    between two classes can be missed: each has passed the bound, and the two
    ends are either in one class already or compared.
 
-The global order only decides speed, never results: shingles that repeat
-within many partitions (counted over all documents) come last, all others by
-hash. Exact copies of a set are linked by its 128-bit fingerprint.
+The global order only decides speed, never results: the most frequent of the
+shingles that repeat within a partition (counted over all documents) come
+last, all others by hash. Exact copies of a set are linked by its 128-bit fingerprint.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..operators.staging import stage_table
 from .components import connected_components
 from .wordhash import chunks, int_lists, mix, shingle_sets, words_of
 
 #: Shingles that are moved to the end of the global order, at most.
-FREQUENT = 1 << 16
-#: A partition reports a shingle that it holds in this many different sets.
-REPEATED = 8
+FREQUENT = 1 << 17
 #: Ids up to this many are broadcast to find documents again (32 MB), more are joined.
 BROADCAST_IDS = 1 << 22
 
@@ -66,8 +67,9 @@ def _sets(batches, k: int):
 
 
 def _scan_sizes(k: int):
-    """(doc_id, n, fp1, fp2, frequent): a row for each document, and a last row
-    with the shingles that many of the partition's different sets share."""
+    """(doc_id, n, fp1, fp2, frequent, sets): a row for each document, and a last
+    row with the shingles that more than one of the partition's different sets
+    holds, and in how many."""
 
     def merge(held, new):
         values = np.concatenate([held[0], *new])
@@ -91,13 +93,13 @@ def _scan_sizes(k: int):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([fp[0] for fp in prints], pa.int64()), pa.array([fp[1] for fp in prints], pa.int64()),
-                 pa.nulls(len(ids), pa.list_(pa.int64()))],
-                ["doc_id", "n", "fp1", "fp2", "frequent"])
+                 pa.nulls(len(ids), pa.list_(pa.int64())), pa.nulls(len(ids), pa.list_(pa.int64()))],
+                ["doc_id", "n", "fp1", "fp2", "frequent", "sets"])
         held = merge(held, new)
         yield pa.RecordBatch.from_arrays(
             [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()),
-             int_lists([held[0][held[1] >= REPEATED]])],
-            ["doc_id", "n", "fp1", "fp2", "frequent"])
+             int_lists([held[0]]), int_lists([held[1]])],
+            ["doc_id", "n", "fp1", "fp2", "frequent", "sets"])
 
     return run
 
@@ -105,12 +107,12 @@ def _scan_sizes(k: int):
 def _scan_heads(k: int, percent: int, frequent: np.ndarray):
     """(doc_id, n, grp, head) of the partition's different non-empty sets."""
 
-    def order(s):
+    def split(s):
         if len(frequent) == 0:
-            return s
+            return s, s[:0]
         at = np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)
         late = frequent[at] == s
-        return np.concatenate([s[~late], s[late]]) if late.any() else s
+        return s[~late], s[late]
 
     def run(batches):
         seen = set()
@@ -119,9 +121,10 @@ def _scan_heads(k: int, percent: int, frequent: np.ndarray):
             for i, s in zip(ids, sets):
                 if len(s) and (fp := _fingerprint(s)) not in seen:
                     seen.add(fp)
-                    head = order(s)[: _head(len(s), percent)]
-                    band = int(np.log(len(s)) * 10)
-                    out.append((i, len(s), int(mix(head[:1].view(np.uint64) + np.uint64(band))[0] >> np.uint64(32)), head))
+                    early, late = split(s)
+                    least = (late if len(late) >= len(early) else s)[:1].view(np.uint64)
+                    grp = int(mix(least + np.uint64(np.log(len(s)) * 10))[0] >> np.uint64(32))
+                    out.append((i, len(s), grp, np.concatenate([early, late])[: _head(len(s), percent)]))
             if out:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.int64()),
@@ -170,30 +173,41 @@ def ngram_jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str
     columns are ignored, whatever their names. An empty table gives no rows.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    kinds = "doc_id long, n long, fp1 long, fp2 long, frequent array<long>"
+    kinds = "doc_id long, n long, fp1 long, fp2 long, frequent array<long>, sets array<long>"
     scan = stage_table(docs.mapInArrow(_scan_sizes(k), kinds), "join-sizes")
     sizes = scan.filter("n is not null")
-    top = (scan.filter("n is null").select(F.explode("frequent").alias("token")).groupBy("token").count()
-           .orderBy(F.desc("count"), "token").limit(FREQUENT).collect())
-    frequent = np.sort(np.array([r.token for r in top], dtype=np.int64))
+    top = (scan.filter("n is null").select(F.explode(F.arrays_zip("frequent", "sets")).alias("x"))
+           .groupBy("x.frequent").agg(F.sum("x.sets").alias("c")).orderBy(F.desc("c"), "frequent").limit(FREQUENT))
+    frequent = np.sort(top.select("frequent").toArrow().column(0).to_numpy())
 
     known = docs.filter("doc_id is not null")
     heads = stage_table(known.mapInArrow(_scan_heads(k, percent, frequent),
                                          "doc_id long, n long, grp long, head array<long>"), "join-heads")
-    tokens = heads.select("doc_id", "n", "grp", F.explode("head").alias("token")).repartition("token")
-    matrix = tokens.groupBy("token", "grp").agg(
+    probe = F.col("n") - F.ceil(F.lit(2 * percent) * F.col("n") / F.lit(100 + percent)) + 1
+    tokens = (heads.select("doc_id", "n", "grp", F.posexplode("head").alias("at", "token"))
+              .select("doc_id", "n", (F.col("grp") * 2 + (F.col("at") < probe).cast("long")).alias("tag"), "token")
+              .repartition("token"))
+    matrix = tokens.groupBy("token", F.shiftright("tag", 1).alias("grp")).agg(
         F.count("*").alias("members"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high"),
         F.min("n").alias("min_n"), F.max("n").alias("max_n"))
-    alone = (F.col("m.members") == 1) & (F.col("m.low") == F.col("t.doc_id"))
-    fits = ((F.col("m.max_n") * 100 >= F.col("t.n") * percent) & (F.col("t.n") * 100 >= F.col("m.min_n") * percent))
-    hits = tokens.alias("t").join(matrix.alias("m"), (F.col("t.token") == F.col("m.token")) & fits & ~alone)
-    opened = hits.groupBy(F.col("t.doc_id").alias("q"), F.col("m.grp").alias("grp")).agg(
-        F.first("t.n").alias("n"), F.count("*").alias("matches"), F.mode("m.low", True).alias("low"),
-        F.mode("m.high", True).alias("high"), F.min("m.min_n").alias("min_n"), F.max("m.max_n").alias("max_n"))
-    least = F.greatest("min_n", F.ceil(F.col("n") * percent / F.lit(100)))
+    matrix = matrix.withColumn("held", F.sum("members").over(Window.partitionBy("token")))
+    fits = (F.col("m.max_n") >= F.col("t.n")) & (F.col("t.n") * 100 >= F.col("m.min_n") * percent)
+    fits = fits & ~((F.col("m.members") == 1) & (F.col("m.low") == F.col("t.doc_id")))
+    own = F.col("m.grp") == F.shiftright("t.tag", 1)
+    hits = (tokens.filter(F.col("tag") % 2 == 1).alias("t")
+            .join(matrix.alias("m"), (F.col("t.token") == F.col("m.token")) & (F.col("m.held") > 1) & (fits | own)))
+    met = hits.groupBy(F.col("t.doc_id").alias("q"), F.col("m.grp").alias("grp")).agg(
+        F.first("t.n").alias("n"), F.count_if(fits).alias("matches"), F.count_if(own).alias("shared"),
+        F.mode(F.when(fits, F.col("m.low")), True).alias("low"), F.mode(F.when(fits, F.col("m.high")), True).alias("high"),
+        F.min(F.when(fits, F.col("m.min_n"))).alias("min_n"), F.max(F.when(fits, F.col("m.max_n"))).alias("max_n"))
     most = F.least("max_n", F.floor(F.col("n") * 100 / F.lit(percent)))
-    bound = F.least(_needed(F.col("n"), least, percent), _needed(F.col("n"), most, percent))
-    opened = stage_table(opened.filter(F.col("matches") >= bound).select("q", "n", "grp", "low", "high"), "join-open")
+    beyond = F.ceil(F.lit(percent) * F.col("n") / F.lit(100)) - F.ceil(F.lit(2 * percent) * F.col("n") / F.lit(100 + percent))
+    bound = F.least(*(_needed(F.col("n"), m, percent) for m in (F.greatest("min_n", "n"), most))) + beyond
+    met = met.withColumn("open", (F.col("matches") > 0) & (F.col("matches") >= bound)).filter("open or shared > 0")
+    met = stage_table(met.select("q", "n", "grp", "shared", "open", "low", "high"), "join-open")
+    opened = met.filter("open")
+    # Shingles of a document that no other one has in its head: no link can use them.
+    lone = met.filter("shared > 0").select(F.col("q").alias("doc_id"), "shared")
 
     pair = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
     led = opened.select("q", F.explode(F.array("low", "high")).alias("s")).filter("q <> s")
@@ -207,18 +221,21 @@ def ngram_jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str
     # Members of open groups that are still in another class than the query.
     of = lambda df, key: (df.join(classes.withColumnRenamed("node", key), key, "left")
                           .withColumn("component", F.coalesce("component", key)))
-    members = of(heads.select(F.col("doc_id").alias("s"), F.col("n").alias("m"), "grp"), "s")
-    spread = members.groupBy("grp").agg(F.min("component").alias("c1"), F.max("component").alias("c2"))
-    rest = (of(opened.select("q", "n", "grp"), "q").withColumnRenamed("component", "own").join(spread, "grp")
-            .filter("c1 <> own or c2 <> own")
-            .join(members, "grp").filter("own <> component and q < s")
-            .filter((F.col("m") * 100 >= F.col("n") * percent) & (F.col("n") * 100 >= F.col("m") * percent))
-            .select(F.col("q").alias("a"), F.col("s").alias("b"), "n", "m").join(led, ["a", "b"], "left_anti"))
-    first = heads.select(F.col("doc_id").alias("a"), F.col("head").alias("x"))
-    other = heads.select(F.col("doc_id").alias("b"), F.col("head").alias("y"))
-    rest = (rest.join(first, "a").join(other, "b")
-            .filter(F.size(F.array_intersect("x", "y")) >= _needed(F.col("n"), F.col("m"), percent))
-            .select("a", "b").distinct())
+    usable = (heads.join(lone, "doc_id", "left")
+              .withColumn("usable", F.col("n") - (probe - F.coalesce("shared", F.lit(0)))).drop("shared"))
+    spread = of(heads.select("doc_id", "grp"), "doc_id").groupBy("grp").agg(F.min("component").alias("c1"), F.max("component").alias("c2"))
+    asks = (of(opened.select("q", "grp"), "q").withColumnRenamed("component", "own").join(spread, "grp")
+            .filter("c1 <> own or c2 <> own").select("q", "own", "grp"))
+    asks = stage_table(asks, "join-asks")
+    asked = asks.join(usable.select(F.col("doc_id").alias("q"), "n", F.col("head").alias("x"), "usable"), "q")
+    members = of(usable.select(F.col("doc_id").alias("s"), F.col("n").alias("m"), "grp", F.col("head").alias("y"),
+                               F.col("usable").alias("can")).join(asks.select("grp").distinct(), "grp", "left_semi"), "s")
+    overlap = F.ceil(F.lit(percent) * (F.col("n") + F.col("m")) / F.lit(100 + percent))
+    fits = (F.col("m") >= F.col("n")) & (F.col("n") * 100 >= F.col("m") * percent) & (F.least("usable", "can") >= overlap)
+    shared = F.size(F.array_intersect("x", "y")) >= _needed(F.col("n"), F.col("m"), percent)
+    rest = (asked.alias("l").join(members.alias("r"), (F.col("l.grp") == F.col("r.grp")) & (F.col("own") != F.col("component"))
+                                  & fits & shared)
+            .select(*pair("q", "s")).distinct().join(led, ["a", "b"], "left_anti"))
     rest = stage_table(rest, "join-rest")
     if not rest.isEmpty():
         more = stage_table(_verified(known, rest, k, percent), "join-more")
