@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .bpe_count import count_tokens
+from .html_text import extract_pages
 from .ngram_join import ngram_jaccard_classes
+from .sentencepiece_codec import encode_documents
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,7 +20,22 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_classes(_table(spark, sf_dir, "documents"))
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(_table(spark, sf_dir, "documents"))
+
+
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_documents(_table(spark, sf_dir, "documents"))
+
+
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op4_token_counts": op4_token_counts,
+    "op7_sentencepiece": op7_sentencepiece,
+    "op9_html_extraction": op9_html_extraction,
 }
 ORACLE: dict[str, str] = {}
