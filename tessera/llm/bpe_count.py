@@ -21,6 +21,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
+from .tasks import map_arrow
+
 #: Pre-tokens whose counts a Python worker remembers; it forgets all when full.
 REMEMBERED = 1 << 19
 
@@ -143,5 +145,5 @@ def count_tokens(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", limit: i
     narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"),
                          F.coalesce(F.octet_length(F.col(text_col).cast("string")), F.lit(0)).cast("long").alias("n_bytes"))
     kind = narrow.schema["doc_id"].dataType.simpleString()
-    out = narrow.mapInArrow(run, f"doc_id {kind}, n_bytes long, n_tokens long")
+    out = map_arrow(narrow, run, f"doc_id {kind}, n_bytes long, n_tokens long")
     return out.withColumn("over_limit", F.col("n_tokens") > limit)

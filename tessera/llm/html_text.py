@@ -16,6 +16,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .tasks import map_arrow
+
 RAW = {"script", "style", "noscript", "template", "textarea", "iframe", "svg", "math", "title", "object", "xmp"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins",
@@ -201,4 +203,4 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
 
     narrow = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).cast("string").alias("html"))
     kinds = ", ".join(f"{c} {narrow.schema[c].dataType.simpleString()}" for c in ("page_id", "url"))
-    return narrow.mapInArrow(run, f"{kinds}, text string, n_chars long")
+    return map_arrow(narrow, run, f"{kinds}, text string, n_chars long")

@@ -39,6 +39,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..operators.staging import stage_table
 from .components import connected_components
+from .tasks import map_arrow
 from .wordhash import chunks, int_lists, mix, shingle_sets, words_of
 
 #: Shingles that are moved to the end of the global order, at most.
@@ -153,7 +154,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFr
     ids = stage_table(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "join-ids")
     few = ids.count() <= BROADCAST_IDS
     found = docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi").select("doc_id", "text")
-    sets = stage_table(found.mapInArrow(_scan_sets(k), "doc_id long, items array<long>"), "join-sets")
+    sets = stage_table(map_arrow(found, _scan_sets(k), "doc_id long, items array<long>"), "join-sets")
     one = sets.select(F.col("doc_id").alias("a"), F.col("items").alias("x"))
     two = sets.select(F.col("doc_id").alias("b"), F.col("items").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
@@ -174,14 +175,14 @@ def ngram_jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     kinds = "doc_id long, n long, fp1 long, fp2 long, frequent array<long>, sets array<long>"
-    scan = stage_table(docs.mapInArrow(_scan_sizes(k), kinds), "join-sizes")
+    scan = stage_table(map_arrow(docs, _scan_sizes(k), kinds), "join-sizes")
     sizes = scan.filter("n is not null")
     top = (scan.filter("n is null").select(F.explode(F.arrays_zip("frequent", "sets")).alias("x"))
            .groupBy("x.frequent").agg(F.sum("x.sets").alias("c")).orderBy(F.desc("c"), "frequent").limit(FREQUENT))
     frequent = np.sort(top.select("frequent").toArrow().column(0).to_numpy())
 
     known = docs.filter("doc_id is not null")
-    heads = stage_table(known.mapInArrow(_scan_heads(k, percent, frequent),
+    heads = stage_table(map_arrow(known, _scan_heads(k, percent, frequent),
                                          "doc_id long, n long, grp long, head array<long>"), "join-heads")
     probe = F.col("n") - F.ceil(F.lit(2 * percent) * F.col("n") / F.lit(100 + percent)) + 1
     tokens = (heads.select("doc_id", "n", "grp", F.posexplode("head").alias("at", "token"))

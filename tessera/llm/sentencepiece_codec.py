@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .bpe_count import tokenizer_path
+from .tasks import map_arrow
 
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6
@@ -198,7 +199,7 @@ def encode_documents(docs: DataFrame, tokenizer: str = "piece_bpe_32k.model", id
 
     narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     kind = narrow.schema["doc_id"].dataType.simpleString()
-    return narrow.mapInArrow(run, f"doc_id {kind}, ids array<int>, n_tokens long, round_trip boolean")
+    return map_arrow(narrow, run, f"doc_id {kind}, ids array<int>, n_tokens long, round_trip boolean")
 
 
 def decode_documents(encoded: DataFrame, tokenizer: str = "piece_bpe_32k.model", id_col: str = "doc_id",
@@ -214,4 +215,4 @@ def decode_documents(encoded: DataFrame, tokenizer: str = "piece_bpe_32k.model",
 
     narrow = encoded.select(F.col(id_col).alias("doc_id"), F.col(ids_col).alias("ids"))
     kind = narrow.schema["doc_id"].dataType.simpleString()
-    return narrow.mapInArrow(run, f"doc_id {kind}, text string")
+    return map_arrow(narrow, run, f"doc_id {kind}, text string")
