@@ -1,8 +1,69 @@
-"""Corpus preparation: quality, near duplicates, benchmark leaks, personal data, tokens."""
+"""Corpus preparation: quality, near duplicates, benchmark leaks, personal data, tokens.
 
-STAGES = []
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame. ``run`` writes
+each stage's rows as Parquet in the shared checkpoint folder and reads them
+again for the next one, so a lost executor never repeats an earlier stage.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from tessera.llm.decontaminate import find_leaks
+from tessera.llm.ngram_join import ngram_jaccard_classes
+from tessera.llm.pii_feistel import pseudonymise
+from tessera.llm.quality_gam import keep_quality, train_quality
+from tessera.llm.queries import KEY
+from tessera.llm.sentencepiece_codec import encode_documents
+from tessera.operators.staging import stage_table
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose quality score is at least 0.3. The model is fitted on the
+    labelled rows of ``documents``."""
+    labelled = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = train_quality(labelled, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return keep_quality(docs, model)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies: the one with the smallest id.
+    Documents without an id stay."""
+    classes = ngram_jaccard_classes(docs).filter("component_id <> doc_id").select("doc_id")
+    return docs.join(classes, "doc_id", "left_anti").select(*docs.columns)
+
+
+def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that leak no benchmark item."""
+    leaks = find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id").distinct()
+    return docs.join(leaks, "doc_id", "left_anti").select(*docs.columns)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with pseudonyms for personal data; ``n_chars`` counts the new text."""
+    out = pseudonymise(docs, KEY, found_col="n_pseudonyms").drop("n_pseudonyms")
+    return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, ids, n_tokens, round_trip) of every document."""
+    return encode_documents(docs)
+
+
+STAGES = [
+    ("quality", quality),
+    ("near_duplicates", near_duplicates),
+    ("benchmark_leaks", benchmark_leaks),
+    ("personal_data", personal_data),
+    ("tokens", tokens),
+]
+
+#: The quality model and the tokenizer are beyond SQL; tests compare with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return None
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = stage_table(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return docs

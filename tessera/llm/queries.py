@@ -7,9 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe_count import count_tokens
+from .decontaminate import find_leaks
 from .html_text import extract_pages
 from .ngram_join import ngram_jaccard_classes
+from .pii_feistel import pseudonymise
+from .quality_gam import score_quality, train_quality
 from .sentencepiece_codec import encode_documents
+from .toxicity import score_toxicity, train_toxicity
+
+#: The key of the pseudonyms that the queries make. Give a secret one in use.
+KEY = "tessera"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,22 +27,44 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_classes(_table(spark, sf_dir, "documents"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return score_toxicity(docs, train_toxicity(docs, _table(spark, sf_dir, "labels")))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_table(spark, sf_dir, "documents"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return score_quality(docs, train_quality(docs, _table(spark, sf_dir, "labels")))
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(_table(spark, sf_dir, "documents"))
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonymise(_table(spark, sf_dir, "documents").select("doc_id", "text"), KEY)
+
+
 def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(_table(spark, sf_dir, "pages"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op2_toxicity": op2_toxicity,
     "op4_token_counts": op4_token_counts,
+    "op5_decontamination": op5_decontamination,
+    "op6_quality": op6_quality,
     "op7_sentencepiece": op7_sentencepiece,
+    "op8_pii": op8_pii,
     "op9_html_extraction": op9_html_extraction,
 }
 ORACLE: dict[str, str] = {}

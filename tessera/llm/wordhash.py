@@ -26,6 +26,10 @@ _LOWER[65:91] += 32
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
+#: White space, and white space with all ASCII punctuation, as word separators.
+SPACES = _SPACE
+PUNCTUATION = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
+
 
 def mix(x: np.ndarray) -> np.ndarray:
     """Bijective 64-bit finaliser (two xor-shift-multiply rounds)."""
@@ -89,11 +93,11 @@ def chunks(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, np.
         first = last
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray) -> Words:
-    """Words of one chunk and their hashes."""
+def words_of(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray = SPACES) -> Words:
+    """Words of one chunk and their hashes; ``separators`` marks the bytes between words."""
     n = len(data)
     low = _LOWER[data]
-    inside = ~_SPACE[data]
+    inside = ~separators[data]
     begins, ends = inside.copy(), inside.copy()
     begins[1:] &= ~inside[:-1]
     ends[:-1] &= ~inside[1:]
