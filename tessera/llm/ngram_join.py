@@ -146,7 +146,7 @@ def _scan_sets(k: int):
 def _needed(n, m, percent: int):
     """Matches that heads must have at least if sets of n and m shingles link."""
     beyond = lambda x: F.ceil(F.lit(percent) * x / F.lit(100)) - 1
-    return F.ceil(F.lit(percent) * (n + m) / F.lit(100 + percent)) - F.greatest(beyond(n), beyond(m)) - 1
+    return F.ceil(F.lit(percent) * (n + m) / F.lit(100 + percent)) - F.greatest(beyond(n), beyond(m))
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
@@ -232,7 +232,8 @@ def ngram_jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str
     members = of(usable.select(F.col("doc_id").alias("s"), F.col("n").alias("m"), "grp", F.col("head").alias("y"),
                                F.col("usable").alias("can")).join(asks.select("grp").distinct(), "grp", "left_semi"), "s")
     overlap = F.ceil(F.lit(percent) * (F.col("n") + F.col("m")) / F.lit(100 + percent))
-    fits = (F.col("m") >= F.col("n")) & (F.col("n") * 100 >= F.col("m") * percent) & (F.least("usable", "can") >= overlap)
+    larger = (F.col("m") > F.col("n")) | ((F.col("m") == F.col("n")) & (F.col("q") < F.col("s")))
+    fits = larger & (F.col("n") * 100 >= F.col("m") * percent) & (F.least("usable", "can") >= overlap)
     shared = F.size(F.array_intersect("x", "y")) >= _needed(F.col("n"), F.col("m"), percent)
     rest = (asked.alias("l").join(members.alias("r"), (F.col("l.grp") == F.col("r.grp")) & (F.col("own") != F.col("component"))
                                   & fits & shared)

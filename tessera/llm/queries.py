@@ -13,6 +13,8 @@ from .ngram_join import ngram_jaccard_classes
 from .pii_feistel import pseudonymise
 from .quality_gam import score_quality, train_quality
 from .sentencepiece_codec import encode_documents
+from .spotsigs import fingerprint_documents
+from .tool_chat import CHAT_TOOLS, calls_from_chat, link_tool_calls
 from .toxicity import score_toxicity, train_toxicity
 
 #: The key of the pseudonyms that the queries make. Give a secret one in use.
@@ -32,6 +34,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(docs, train_toxicity(docs, _table(spark, sf_dir, "labels")))
 
 
+def op3_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_documents(_table(spark, sf_dir, "documents"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_table(spark, sf_dir, "documents"))
 
@@ -57,14 +63,21 @@ def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(_table(spark, sf_dir, "pages"))
 
 
+def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = calls_from_chat(_table(spark, sf_dir, "conversations"))
+    return link_tool_calls(calls, results, CHAT_TOOLS)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_toxicity": op2_toxicity,
+    "op3_spotsigs": op3_spotsigs,
     "op4_token_counts": op4_token_counts,
     "op5_decontamination": op5_decontamination,
     "op6_quality": op6_quality,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_pii": op8_pii,
     "op9_html_extraction": op9_html_extraction,
+    "op10_chat_formatting": op10_chat_formatting,
 }
 ORACLE: dict[str, str] = {}
