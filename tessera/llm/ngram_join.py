@@ -62,9 +62,9 @@ def _fingerprint(s: np.ndarray) -> tuple[int, int]:
 def _sets(batches, k: int):
     """(ids, sets) of each chunk of a (doc_id, text) batch."""
     for batch in batches:
-        ids = batch.column(0).to_numpy(zero_copy_only=False)
+        ids = batch.column(0)
         for first, data, offsets in chunks(batch.column(1)):
-            yield ids[first : first + len(offsets) - 1], shingle_sets(words_of(data, offsets), k)
+            yield ids.slice(first, len(offsets) - 1), shingle_sets(words_of(data, offsets), k)
 
 
 def _scan_sizes(k: int):
@@ -92,7 +92,7 @@ def _scan_sizes(k: int):
             if size > 2_000_000:
                 held, new, size = merge(held, new), [], 0
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
+                [ids, pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([fp[0] for fp in prints], pa.int64()), pa.array([fp[1] for fp in prints], pa.int64()),
                  pa.nulls(len(ids), pa.list_(pa.int64())), pa.nulls(len(ids), pa.list_(pa.int64()))],
                 ["doc_id", "n", "fp1", "fp2", "frequent", "sets"])
@@ -119,7 +119,7 @@ def _scan_heads(k: int, percent: int, frequent: np.ndarray):
         seen = set()
         for ids, sets in _sets(batches, k):
             out = []
-            for i, s in zip(ids, sets):
+            for i, s in zip(ids.to_pylist(), sets):
                 if len(s) and (fp := _fingerprint(s)) not in seen:
                     seen.add(fp)
                     early, late = split(s)
@@ -138,7 +138,7 @@ def _scan_heads(k: int, percent: int, frequent: np.ndarray):
 def _scan_sets(k: int):
     def run(batches):
         for ids, sets in _sets(batches, k):
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), int_lists(sets)], ["doc_id", "items"])
+            yield pa.RecordBatch.from_arrays([ids, int_lists(sets)], ["doc_id", "items"])
 
     return run
 

@@ -5,7 +5,7 @@ network over a product of two ranges, Z_a x Z_b, chosen to hold exactly the
 valid values, so a pseudonym is valid again, different values never meet, and
 equal values stay linked across documents:
 
-* payment cards (13-19 digits, Luhn): all digits but the last, which is the
+* payment cards (13-19 digits, or groups of 4-4-4-4 or 4-6-5; Luhn): all digits but the last, which is the
   check digit of the result;
 * telephone numbers (three, three and four digits, with separators): the ten
   digits, the country code stays;
@@ -35,7 +35,8 @@ US = r"(?<![0-9/])[0-9]{2}/[0-9]{2}/[0-9]{4}(?![0-9/])"
 DOTTED = r"(?<![0-9.])[0-9]{2}\.[0-9]{2}\.[0-9]{4}(?!\.?[0-9])"
 SSN = r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])"
 PHONE = r"(?<![0-9+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])"
-CARD = r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"
+CARD = (r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?: [0-9]{4}){3}|[0-9]{4}(?:-[0-9]{4}){3}|[0-9]{4} [0-9]{6} [0-9]{5}|"
+        r"[0-9]{4}-[0-9]{6}-[0-9]{5})(?![0-9])")
 KINDS = {"email": EMAIL, "secret": SECRET, "ipv4": IPV4, "iso": ISO, "us": US, "dotted": DOTTED, "ssn": SSN, "phone": PHONE, "card": CARD}
 ANY = "|".join(KINDS.values())
 #: The days of one 400-year cycle are 189 * 773.
