@@ -151,15 +151,19 @@ def _needed(n, m, percent: int):
 
 def _verified(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
     """Those of ``pairs`` (a, b) whose whole sets link."""
-    ids = stage_table(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "join-ids")
+    ids = (pairs.select("a", F.lit(False).alias("second")).unionByName(pairs.select(F.col("b").alias("a"), F.lit(True).alias("second")))
+           .groupBy(F.col("a").alias("doc_id")).agg(F.max("second").alias("second")))
+    ids = stage_table(ids, "join-ids")
     few = ids.count() <= BROADCAST_IDS
     found = docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi").select("doc_id", "text")
     sets = stage_table(map_arrow(found, _scan_sets(k), "doc_id long, items array<long>"), "join-sets")
-    one = sets.select(F.col("doc_id").alias("a"), F.col("items").alias("x"))
-    two = sets.select(F.col("doc_id").alias("b"), F.col("items").alias("y"))
+    # The pairs meet the first set where it lies, if they are few enough to send.
+    near = F.broadcast(pairs) if pairs.count() <= BROADCAST_IDS // 4 else pairs
+    one = sets.select(F.col("doc_id").alias("a"), F.col("items").alias("x")).join(near, "a")
+    two = sets.join(F.broadcast(ids.filter("second")) if few else ids.filter("second"), "doc_id", "left_semi")
+    two = two.select(F.col("doc_id").alias("b"), F.col("items").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
-    return (pairs.join(one, "a").join(two, "b")
-            .select("a", "b", both.alias("both"), (F.size("x") + F.size("y") - both).alias("any"))
+    return (one.join(two, "b").select("a", "b", both.alias("both"), (F.size("x") + F.size("y") - both).alias("any"))
             .filter(F.lit(100) * F.col("both") >= F.lit(percent) * F.col("any")).select("a", "b"))
 
 
@@ -211,33 +215,46 @@ def ngram_jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str
     lone = met.filter("shared > 0").select(F.col("q").alias("doc_id"), "shared")
 
     pair = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
-    led = opened.select("q", F.explode(F.array("low", "high")).alias("s")).filter("q <> s")
-    led = stage_table(led.select(*pair("q", "s")).distinct(), "join-led")
     copies = (sizes.filter("n > 0 and doc_id is not null")
               .groupBy("n", "fp1", "fp2").agg(F.min("doc_id").alias("b"), F.count("*").alias("c")).filter("c > 1")
               .join(sizes, ["n", "fp1", "fp2"]).select(F.col("doc_id").alias("a"), "b").filter("a <> b"))
+    copies = stage_table(copies.distinct(), "join-copies")
+    # Copies compare as the first of them; an id that repeats with other texts speaks for itself.
+    firsts = copies.groupBy("a").agg(F.min("b").alias("first"), F.count("*").alias("c")).filter("c = 1").drop("c")
+
+    def as_first(pairs: DataFrame) -> DataFrame:
+        for end in ("a", "b"):
+            pairs = (pairs.join(firsts.withColumnRenamed("a", end), end, "left")
+                     .withColumn(end, F.coalesce("first", end)).select("a", "b"))
+        return pairs.select(*pair("a", "b")).filter("a <> b").distinct()
+
+    led = stage_table(as_first(opened.select(F.col("q").alias("a"), F.explode(F.array("low", "high")).alias("b")).filter("a <> b")), "join-led")
     links = stage_table(copies.unionByName(_verified(known, led, k, percent)), "join-links")
     classes = stage_table(connected_components(links, "a", "b"), "join-classes")
 
     # Members of open groups that are still in another class than the query.
     of = lambda df, key: (df.join(classes.withColumnRenamed("node", key), key, "left")
                           .withColumn("component", F.coalesce("component", key)))
-    usable = (heads.join(lone, "doc_id", "left")
-              .withColumn("usable", F.col("n") - (probe - F.coalesce("shared", F.lit(0)))).drop("shared"))
     spread = of(heads.select("doc_id", "grp"), "doc_id").groupBy("grp").agg(F.min("component").alias("c1"), F.max("component").alias("c2"))
     asks = (of(opened.select("q", "grp"), "q").withColumnRenamed("component", "own").join(spread, "grp")
             .filter("c1 <> own or c2 <> own").select("q", "own", "grp"))
     asks = stage_table(asks, "join-asks")
-    asked = asks.join(usable.select(F.col("doc_id").alias("q"), "n", F.col("head").alias("x"), "usable"), "q")
-    members = of(usable.select(F.col("doc_id").alias("s"), F.col("n").alias("m"), "grp", F.col("head").alias("y"),
-                               F.col("usable").alias("can")).join(asks.select("grp").distinct(), "grp", "left_semi"), "s")
+    send = F.broadcast if asks.count() <= BROADCAST_IDS // 8 else lambda df: df
+    usable = lambda df: (df.join(lone, "doc_id", "left")
+                         .withColumn("usable", F.col("n") - (probe - F.coalesce("shared", F.lit(0)))).drop("shared"))
+    asked = heads.drop("grp").join(send(asks.withColumnRenamed("q", "doc_id")), "doc_id")
+    asked = usable(asked).select(F.col("doc_id").alias("q"), "own", "grp", "n", F.col("head").alias("x"), "usable")
+    members = usable(heads.join(send(asks.select("grp").distinct()), "grp", "left_semi"))
+    members = of(members.select(F.col("doc_id").alias("s"), F.col("n").alias("m"), "grp", F.col("head").alias("y"),
+                                F.col("usable").alias("can")), "s")
     overlap = F.ceil(F.lit(percent) * (F.col("n") + F.col("m")) / F.lit(100 + percent))
     larger = (F.col("m") > F.col("n")) | ((F.col("m") == F.col("n")) & (F.col("q") < F.col("s")))
     fits = larger & (F.col("n") * 100 >= F.col("m") * percent) & (F.least("usable", "can") >= overlap)
     shared = F.size(F.array_intersect("x", "y")) >= _needed(F.col("n"), F.col("m"), percent)
     rest = (asked.alias("l").join(members.alias("r"), (F.col("l.grp") == F.col("r.grp")) & (F.col("own") != F.col("component"))
                                   & fits & shared)
-            .select(*pair("q", "s")).distinct().join(led, ["a", "b"], "left_anti"))
+            .select(*pair("q", "s")))
+    rest = as_first(rest).join(led, ["a", "b"], "left_anti")
     rest = stage_table(rest, "join-rest")
     if not rest.isEmpty():
         more = stage_table(_verified(known, rest, k, percent), "join-more")
