@@ -16,7 +16,6 @@ Layout:
                 marts, statistics; ranking/quantiles/staging for skew-safe
                 exact positions)
     plans/      configurations: the mission ETL and the driver-table bindings
-    streaming/  intentionally empty (the reference is batch only)
 """
 
 __version__ = "0.1.0"

@@ -98,6 +98,11 @@ def rescale(c, divisor: float, decimal: tuple[int, int] | None = None) -> Column
     return out.try_cast(f"decimal({decimal[0]},{decimal[1]})") if decimal else out
 
 
+def present(c) -> Column:
+    """A numeric column as double with NaN as NULL: the missing-value rule of every statistic."""
+    return F.nanvl(_c(c).cast("double"), F.lit(None).cast("double"))
+
+
 def pct(numerator, denominator, decimals: int = 2) -> Column:
     """``round(100 * a / b, d)`` with NULL for a zero or NULL denominator."""
     return F.round(F.try_divide(F.lit(100.0) * _c(numerator).cast("double"), _c(denominator).cast("double")), decimals)

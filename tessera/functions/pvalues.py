@@ -70,7 +70,8 @@ def chi2_upper_p(x, k, n: int = CHI2_INTERVALS) -> Column:
     num = simpson(f, F.sqrt(x), top, n)
     den = simpson(f, F.lit(0.0), top, n)
     p = F.least(F.lit(1.0), F.greatest(F.lit(0.0), num / den))
-    return F.when((k > 0) & (x >= 0), p)
+    # Without degrees of freedom (one row or column) nothing can differ: p is 1.
+    return F.when((k > 0) & (x >= 0), p).when((k == 0) & (x >= 0), F.lit(1.0))
 
 
 def verdict(p, alpha: float = 0.05, significant: str = "significant", not_significant: str = "not significant") -> Column:

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.numbers import count_where, pct
+from ..functions.numbers import count_where, pct, present
 from ..functions.text import format_pct, pct_text
 from .quantiles import exact_quantiles, quantiles
 from .staging import stage_table
@@ -379,8 +379,8 @@ def share_kpis(
 # ---------------------------------------------------------------- A18-A20
 
 def long_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Numeric columns as (column_name, value double) rows, NULLs dropped."""
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], list(cols), "column_name", "value")
+    """Numeric columns as (column_name, value double) rows, NULLs and NaNs dropped."""
+    long = df.select(*[present(c).alias(c) for c in cols]).unpivot([], list(cols), "column_name", "value")
     return long.where(F.col("value").isNotNull())
 
 

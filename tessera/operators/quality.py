@@ -131,28 +131,25 @@ def domain_violations(df: DataFrame, allowed: Mapping[str, Sequence]) -> DataFra
 
 
 def health_check(tables: Mapping[str, DataFrame | Callable[[], DataFrame]], spark=None) -> DataFrame:
-    """Q8: row count per table with status ``ok`` / ``empty`` / ``failed``; one job for all.
+    """Q8: row count per table with status ``ok`` / ``empty`` / ``failed``.
 
     Values are DataFrames or zero-argument callables returning one (e.g.
     ``lambda: spark.read.parquet(path)``); a table whose callable raises
-    (missing path, bad SQL) is reported as ``failed`` with a NULL count
-    instead of aborting the report.
+    (missing path, bad SQL), or that fails while it is read, is reported as
+    ``failed`` with a NULL count instead of aborting the report. Every table
+    is counted by a job of its own; one number per table reaches the driver.
     """
-    parts, failed = [], []
+    rows = []
     for name, src in tables.items():
         try:
             df = src() if callable(src) else src
             spark = spark or df.sparkSession
-            parts.append(df.agg(F.count(F.lit(1)).cast("bigint").alias("n_rows")).select(
-                F.lit(name).alias("table_name"), "n_rows"
-            ))
+            rows.append((name, df.agg(F.count(F.lit(1))).first()[0]))
         except Exception:  # noqa: BLE001 - reported as a row
-            failed.append(name)
+            rows.append((name, None))
     if spark is None:
         raise ValueError("health_check needs a session when every table failed")
-    out = reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], "table_name string, n_rows bigint")
-    if failed:
-        out = out.unionByName(spark.createDataFrame([(n, None) for n in failed], "table_name string, n_rows bigint"))
+    out = spark.createDataFrame(rows, "table_name string, n_rows bigint")
     status = F.when(F.col("n_rows").isNull(), "failed").when(F.col("n_rows") == 0, "empty").otherwise("ok")
     return out.withColumn("status", status)
 
@@ -186,9 +183,11 @@ def duplicate_rows(df: DataFrame, col: str, n: int | None = 10, tie_break: Seque
 
 
 def null_profile(df: DataFrame, decimals: int = 2) -> DataFrame:
-    """Q11 + F7: per column NULL count and percent, only columns with NULLs, by percent desc."""
+    """Q11 + F7: per column NULL (or NaN) count and percent, only columns with some, by percent desc."""
     cols = df.columns
-    row = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count_if(F.col(c).isNull()).cast("bigint").alias(c) for c in cols])
+    floats = {c for c, kind in df.dtypes if kind in ("float", "double")}
+    missing = lambda c: F.col(c).isNull() | F.isnan(F.col(c)) if c in floats else F.col(c).isNull()
+    row = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count_if(missing(c)).cast("bigint").alias(c) for c in cols])
     long = row.unpivot(["_n"], cols, "column_name", "null_count")
     return (
         long.where("null_count > 0")

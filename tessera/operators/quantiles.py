@@ -21,6 +21,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numbers import present
 from .ranking import group_positions
 
 
@@ -80,7 +81,7 @@ def exact_quantiles(
 
     Output columns are ``group_cols`` + ``names`` (default ``q25``-style
     names) [+ ``n`` with ``with_count``] [+ ``extra_aggs``]. Groups whose
-    values are all NULL are absent. Values are computed in double precision.
+    values are all NULL (or NaN) are absent. Values are computed in double precision.
 
     ``extra_aggs`` (name -> function of the value column, e.g. ``F.avg``) are
     computed from the staged values, so the input is evaluated only once even
@@ -90,7 +91,7 @@ def exact_quantiles(
     """
     group_cols = list(group_cols)
     names = list(names) if names is not None else [f"q{int(round(p * 100))}" for p in probs]
-    data = df.select(*group_cols, F.col(value_col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    data = df.select(*group_cols, present(value_col).alias("_v")).where(F.col("_v").isNotNull())
     if not group_cols:
         data = data.withColumn("_g", F.lit(0))
         gcols = ["_g"]

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numbers import present
 from ..functions.pvalues import chi2_upper_p, student_t_two_sided_p, verdict
 from .quantiles import exact_quantiles
 
@@ -98,7 +99,7 @@ def welch_t(df: DataFrame, group_col: str, value_col: str, a: str, b: str, alpha
     One conditional aggregate gives n, mean and sample variance of both
     samples; t and the Welch-Satterthwaite degrees of freedom follow.
     """
-    v = F.col(value_col).cast("double")
+    v = present(value_col)
     ina, inb = F.col(group_col) == F.lit(a), F.col(group_col) == F.lit(b)
     s = df.agg(
         F.count(F.when(ina, v)).alias("n_a"), F.avg(F.when(ina, v)).alias("mean_a"), F.var_samp(F.when(ina, v)).alias("var_a"),
@@ -172,7 +173,7 @@ def box_stats(df: DataFrame, group_col: str, value_col: str, whisker: float = 1.
     outlier count are one more aggregate over its staged values joined to the
     per-group fences, not another pass over the input.
     """
-    base = df.where(F.col(group_col).isNotNull() & F.col(value_col).isNotNull())
+    base = df.where(F.col(group_col).isNotNull() & present(value_col).isNotNull())
     q, values = exact_quantiles(
         base, [group_col], value_col, [0.25, 0.5, 0.75], ["q1", "median", "q3"], with_count=True, return_values=True
     )
@@ -210,8 +211,8 @@ def kde(
     aggregate keeps the shuffle at one row per (group, point) per task.
     Groups with fewer than two values or zero spread have no density.
     """
-    base = df.where(F.col(group_col).isNotNull() & F.col(value_col).isNotNull()).select(
-        group_col, F.col(value_col).cast("double").alias("_v")
+    base = df.where(F.col(group_col).isNotNull() & present(value_col).isNotNull()).select(
+        group_col, present(value_col).alias("_v")
     )
     params = base.groupBy(group_col).agg(
         F.count(F.lit(1)).alias("_n"), F.stddev_samp("_v").alias("_sd"), F.min("_v").alias("_mn"), F.max("_v").alias("_mx")
@@ -250,7 +251,7 @@ def histogram(
     ``bin_end``, ``count``. The global range is a pair of scalar subqueries;
     per-group ranges (one row per group) are joined on the group key.
     """
-    keep = F.col(value_col).isNotNull() & (F.col(group_col).isNotNull() if group_col else F.lit(True))
+    keep = present(value_col).isNotNull() & (F.col(group_col).isNotNull() if group_col else F.lit(True))
     keys = [group_col] if group_col else []
     base = df.where(keep).select(*keys, F.col(value_col).cast("double").alias("_v"))
     rng = base.groupBy(*keys).agg(F.min("_v").alias("_mn"), F.max("_v").alias("_mx"))

@@ -14,7 +14,7 @@ whole tables; :mod:`tessera.plans.driver_sql` holds the equivalent SQL.
 
 from __future__ import annotations
 
-import os
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -679,7 +679,7 @@ def significance(spark, sf):
 
 def _scratch(spark: SparkSession, name: str) -> str:
     base = ensure_checkpoint_dir(spark)
-    return f"{base.rstrip('/')}/tessera-{name}-{os.getpid()}-{id(spark) % 100000}"
+    return f"{base.rstrip('/')}/tessera-{name}-{uuid.uuid4().hex}"
 
 
 def csv_roundtrip(spark, sf):
@@ -702,7 +702,7 @@ def csv_roundtrip(spark, sf):
 
 
 def refresh_tables(spark, sf):
-    """S4 + S5: dimensions and fact conformed, gated and refreshed; returns the health check of what landed."""
+    """Dimensions and fact gated and refreshed; returns the health check of what landed."""
     dims = _dims(spark, sf)
     tables = {
         "dim_date": dims["date"],

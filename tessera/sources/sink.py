@@ -54,24 +54,36 @@ def refresh_tables(
         w.save(f"{staging}/{name}")
         log.info("staged %s", name)
     staged = {name: spark.read.format(fmt).load(f"{staging}/{name}") for name in order}
-    if gate is not None:
-        gate(staged)
     fs, jvm = _fs(spark, root)
     Path = jvm.org.apache.hadoop.fs.Path
     out: dict[str, str] = {}
     trash = f"{root.rstrip('/')}/_replaced/{run_id}"
-    for name in order:
-        target = f"{root.rstrip('/')}/{name}"
-        tpath = Path(target)
-        if fs.exists(tpath):
-            fs.mkdirs(Path(trash))
-            if not fs.rename(tpath, Path(f"{trash}/{name}")):
-                raise OSError(f"could not move old {target} aside")
-        if not fs.rename(Path(f"{staging}/{name}"), tpath):
-            raise OSError(f"could not move staged {name} into place")
-        out[name] = target
+    old, new = [], []
+    try:
+        if gate is not None:
+            gate(staged)
+        for name in order:
+            target = f"{root.rstrip('/')}/{name}"
+            tpath = Path(target)
+            if fs.exists(tpath):
+                fs.mkdirs(Path(trash))
+                if not fs.rename(tpath, Path(f"{trash}/{name}")):
+                    raise OSError(f"could not move old {target} aside")
+                old.append(name)
+            if not fs.rename(Path(f"{staging}/{name}"), tpath):
+                raise OSError(f"could not move staged {name} into place")
+            new.append(name)
+            out[name] = target
+    except BaseException:
+        # Back to the old versions of every table that was already touched.
+        for name in new:
+            fs.delete(Path(f"{root.rstrip('/')}/{name}"), True)
+        for name in old:
+            fs.rename(Path(f"{trash}/{name}"), Path(f"{root.rstrip('/')}/{name}"))
+        raise
+    finally:
+        fs.delete(Path(staging), True)
     fs.delete(Path(trash), True)
-    fs.delete(Path(staging), True)
     return out
 
 
