@@ -19,7 +19,8 @@ links connect form a class.
    the query, and groups whose bound misses the overlap that ``percent`` asks
    for stay closed.
 4. *Open.* In an open group the query is compared, exactly and over whole
-   sets, with the two members that its shingles lead to most often. That is
+   sets, with the member that its shingles lead to most often, and with the
+   second such member if the two are still in different classes. That is
    linear even in a group of thousands of copies, and links nearly all of
    them; only members in another class than the query are then taken one by
    one: first by their heads inside the join, then exactly. No link
@@ -46,6 +47,8 @@ from .wordhash import chunks, int_lists, mix, shingle_sets, words_of
 FREQUENT = 1 << 17
 #: Ids up to this many are broadcast to find documents again (32 MB), more are joined.
 BROADCAST_IDS = 1 << 22
+#: Pairs of one document that a slot of the exact comparison takes.
+SLOT_PAIRS = 1 << 11
 
 
 def _head(n: int, percent: int) -> int:
@@ -149,21 +152,28 @@ def _needed(n, m, percent: int):
     return F.ceil(F.lit(percent) * (n + m) / F.lit(100 + percent)) - F.greatest(beyond(n), beyond(m))
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose whole sets link."""
-    ids = (pairs.select("a", F.lit(False).alias("second")).unionByName(pairs.select(F.col("b").alias("a"), F.lit(True).alias("second")))
-           .groupBy(F.col("a").alias("doc_id")).agg(F.max("second").alias("second")))
+def _sets_of(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
+    """(doc_id, items) of the documents in ``ids`` (doc_id, distinct)."""
     ids = stage_table(ids, "join-ids")
-    few = ids.count() <= BROADCAST_IDS
-    found = docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi").select("doc_id", "text")
-    sets = stage_table(map_arrow(found, _scan_sets(k), "doc_id long, items array<long>"), "join-sets")
-    # The pairs meet the first set where it lies, if they are few enough to send.
-    near = F.broadcast(pairs) if pairs.count() <= BROADCAST_IDS // 4 else pairs
-    one = sets.select(F.col("doc_id").alias("a"), F.col("items").alias("x")).join(near, "a")
-    two = sets.join(F.broadcast(ids.filter("second")) if few else ids.filter("second"), "doc_id", "left_semi")
-    two = two.select(F.col("doc_id").alias("b"), F.col("items").alias("y"))
+    found = docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", "left_semi")
+    return map_arrow(found.select("doc_id", "text"), _scan_sets(k), "doc_id long, items array<long>")
+
+
+def _verified(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose whole sets link. The sets of the second
+    ends are sent to the first ends, which many pairs share; a first end with
+    many pairs is copied over several slots, so no task gets all of them."""
+    slots = pairs.groupBy("a").agg(F.ceil(F.count("*") / F.lit(SLOT_PAIRS)).cast("int").alias("slots"))
+    slots = stage_table(slots, "join-slots")
+    ends = pairs.join(slots, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("slots")).cast("int").alias("slot"))
+    ends = stage_table(ends, "join-ends")
+    one = _sets_of(docs, slots.select(F.col("a").alias("doc_id")), k).withColumnsRenamed({"doc_id": "a", "items": "x"})
+    one = one.join(F.broadcast(slots) if slots.count() <= BROADCAST_IDS // 4 else slots, "a")
+    one = one.select("a", "x", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)).alias("slot"))
+    two = _sets_of(docs, ends.select(F.col("b").alias("doc_id")).distinct(), k).withColumnsRenamed({"doc_id": "b", "items": "y"})
+    two = two.join(F.broadcast(ends) if ends.count() <= BROADCAST_IDS // 4 else ends, "b")
     both = F.size(F.array_intersect("x", "y"))
-    return (one.join(two, "b").select("a", "b", both.alias("both"), (F.size("x") + F.size("y") - both).alias("any"))
+    return (two.join(one, ["a", "slot"]).select("a", "b", both.alias("both"), (F.size("x") + F.size("y") - both).alias("any"))
             .filter(F.lit(100) * F.col("both") >= F.lit(percent) * F.col("any")).select("a", "b"))
 
 
@@ -199,8 +209,11 @@ def ngram_jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str
     fits = (F.col("m.max_n") >= F.col("t.n")) & (F.col("t.n") * 100 >= F.col("m.min_n") * percent)
     fits = fits & ~((F.col("m.members") == 1) & (F.col("m.low") == F.col("t.doc_id")))
     own = F.col("m.grp") == F.shiftright("t.tag", 1)
-    hits = (tokens.filter(F.col("tag") % 2 == 1).alias("t")
-            .join(matrix.alias("m"), (F.col("t.token") == F.col("m.token")) & (F.col("m.held") > 1) & (fits | own)))
+    # A filter on the probes would keep Spark from reading the matrix's shuffle of the tokens
+    # again, so the condition takes its 1 from the matrix (members are 1 at least).
+    probes = F.col("t.tag") % 2 == F.least("m.members", F.lit(1))
+    hits = tokens.alias("t").join(
+        matrix.alias("m"), (F.col("t.token") == F.col("m.token")) & (F.col("m.held") > 1) & probes & (fits | own))
     met = hits.groupBy(F.col("t.doc_id").alias("q"), F.col("m.grp").alias("grp")).agg(
         F.first("t.n").alias("n"), F.count_if(fits).alias("matches"), F.count_if(own).alias("shared"),
         F.mode(F.when(fits, F.col("m.low")), True).alias("low"), F.mode(F.when(fits, F.col("m.high")), True).alias("high"),
@@ -228,25 +241,34 @@ def ngram_jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str
                      .withColumn(end, F.coalesce("first", end)).select("a", "b"))
         return pairs.select(*pair("a", "b")).filter("a <> b").distinct()
 
-    led = stage_table(as_first(opened.select(F.col("q").alias("a"), F.explode(F.array("low", "high")).alias("b")).filter("a <> b")), "join-led")
+    of = lambda df, key: (df.join(classes.withColumnRenamed("node", key), key, "left")
+                          .withColumn("component", F.coalesce("component", key)))
+    led = stage_table(as_first(opened.select(F.col("q").alias("a"), F.col("low").alias("b")).filter("a <> b")), "join-led")
     links = stage_table(copies.unionByName(_verified(known, led, k, percent)), "join-links")
     classes = stage_table(connected_components(links, "a", "b"), "join-classes")
+    # The second of the two only where the first has left the two ends in different classes.
+    also = as_first(opened.select(F.col("q").alias("a"), F.col("high").alias("b")).filter("a <> b"))
+    also = of(of(also, "a").withColumnRenamed("component", "own"), "b").filter("component <> own").select("a", "b")
+    also = stage_table(also.join(led, ["a", "b"], "left_anti"), "join-also")
+    if not also.isEmpty():
+        links = stage_table(links.unionByName(_verified(known, also, k, percent)), "join-links")
+        classes = stage_table(connected_components(links, "a", "b"), "join-classes")
+    led = led.unionByName(also)
 
     # Members of open groups that are still in another class than the query.
-    of = lambda df, key: (df.join(classes.withColumnRenamed("node", key), key, "left")
-                          .withColumn("component", F.coalesce("component", key)))
     spread = of(heads.select("doc_id", "grp"), "doc_id").groupBy("grp").agg(F.min("component").alias("c1"), F.max("component").alias("c2"))
     asks = (of(opened.select("q", "grp"), "q").withColumnRenamed("component", "own").join(spread, "grp")
-            .filter("c1 <> own or c2 <> own").select("q", "own", "grp"))
-    asks = stage_table(asks, "join-asks")
-    send = F.broadcast if asks.count() <= BROADCAST_IDS // 8 else lambda df: df
-    usable = lambda df: (df.join(lone, "doc_id", "left")
-                         .withColumn("usable", F.col("n") - (probe - F.coalesce("shared", F.lit(0)))).drop("shared"))
-    asked = heads.drop("grp").join(send(asks.withColumnRenamed("q", "doc_id")), "doc_id")
-    asked = usable(asked).select(F.col("doc_id").alias("q"), "own", "grp", "n", F.col("head").alias("x"), "usable")
-    members = usable(heads.join(send(asks.select("grp").distinct()), "grp", "left_semi"))
-    members = of(members.select(F.col("doc_id").alias("s"), F.col("n").alias("m"), "grp", F.col("head").alias("y"),
-                                F.col("usable").alias("can")), "s")
+            .filter("c1 <> own or c2 <> own").select(F.col("q").alias("doc_id"), "own", "grp"))
+    asks = stage_table(asks.join(lone, "doc_id", "left"), "join-asks")
+    # What is known of a member without its head, to send it to the heads.
+    about = of(heads.select("doc_id", "grp").distinct().join(asks.select("grp").distinct(), "grp", "left_semi"), "doc_id")
+    about = stage_table(about.join(lone, "doc_id", "left").select("doc_id", "grp", "component", "shared"), "join-about")
+    send = lambda df: F.broadcast(df) if df.count() <= BROADCAST_IDS // 8 else df
+    usable = F.col("n") - (probe - F.coalesce("shared", F.lit(0)))
+    asked = heads.drop("grp").join(send(asks), "doc_id").select(
+        F.col("doc_id").alias("q"), "own", "grp", "n", F.col("head").alias("x"), usable.alias("usable"))
+    members = heads.join(send(about), ["doc_id", "grp"]).select(
+        F.col("doc_id").alias("s"), F.col("n").alias("m"), "grp", F.col("head").alias("y"), "component", usable.alias("can"))
     overlap = F.ceil(F.lit(percent) * (F.col("n") + F.col("m")) / F.lit(100 + percent))
     larger = (F.col("m") > F.col("n")) | ((F.col("m") == F.col("n")) & (F.col("q") < F.col("s")))
     fits = larger & (F.col("n") * 100 >= F.col("m") * percent) & (F.least("usable", "can") >= overlap)
