@@ -211,7 +211,7 @@ def ngram_jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str
     own = F.col("m.grp") == F.shiftright("t.tag", 1)
     # A filter on the probes would keep Spark from reading the matrix's shuffle of the tokens
     # again, so the condition takes its 1 from the matrix (members are 1 at least).
-    probes = F.col("t.tag") % 2 == F.least("m.members", F.lit(1))
+    probes = F.coalesce(F.col("t.tag") % 2, F.lit(0)) >= F.least("m.members", F.lit(1))
     hits = tokens.alias("t").join(
         matrix.alias("m"), (F.col("t.token") == F.col("m.token")) & (F.col("m.held") > 1) & probes & (fits | own))
     met = hits.groupBy(F.col("t.doc_id").alias("q"), F.col("m.grp").alias("grp")).agg(
