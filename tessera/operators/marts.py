@@ -212,7 +212,10 @@ def group_profile(
         F.sum(cost_col).alias("_cost_sum"), F.count(cost_col).alias("_cost_n"),
         F.sum(duration_col).alias("_dur_sum"), F.count(duration_col).alias("_dur_n"),
     )
+    # The most frequent type, the smallest of ties; NULL types do not count.
+    rank = F.when(F.col(type_col).isNotNull(), F.struct((-F.col("_rows")).alias("r"), F.col(type_col).alias("t")))
     prof = fine.groupBy(group_col).agg(
+        F.min_by(F.col(type_col), rank).alias("_mode"),
         *[F.sum(a).cast("bigint").alias(a) for a in counts],
         F.sum("_cost_sum").alias("_cost_sum"), F.sum("_cost_n").alias("_cost_n"),
         F.sum("_dur_sum").alias("_dur_sum"), F.sum("_dur_n").alias("_dur_n"),
@@ -220,17 +223,12 @@ def group_profile(
     cost_type = dtypes[cost_col]
     dur_type = dtypes[duration_col]
     prof = prof.select(
-        group_col, *[a for a in counts],
+        group_col, "_mode", *[a for a in counts],
         _round(_mean_from(F.col("_cost_sum"), F.col("_cost_n"), cost_type), decimals).cast("double").alias("avg_cost_billion"),
         F.coalesce(F.col("_cost_sum"), F.lit(0)).cast("double").alias("total_cost_billion"),
         _round(_mean_from(F.col("_dur_sum"), F.col("_dur_n"), dur_type), decimals).cast("double").alias("avg_duration_days"),
     )
-    typed = fine.where(F.col(type_col).isNotNull())
-    best = typed.groupBy(group_col).agg(F.max("_rows").alias("_best"))
-    modes = typed.join(best, group_col).where(F.col("_rows") == F.col("_best")).groupBy(group_col).agg(
-        F.min(type_col).alias(type_col)
-    )
-    prof = prof.join(modes, group_col, "left").withColumn(type_col, F.coalesce(F.col(type_col), F.lit("Unknown")))
+    prof = prof.withColumn(type_col, F.coalesce(F.col("_mode"), F.lit("Unknown"))).drop("_mode")
     rate = pct(F.col("_succ"), F.col("total_missions"), decimals)
     prof = prof.withColumn("success_rate", format_pct(rate, decimals) if rate_as_text else rate)
     prof = prof.withColumn(
@@ -296,7 +294,10 @@ def pivot_counts(df: DataFrame, row_col: str, col_col: str, values: Sequence | N
     base = _drop_null_keys(df, [row_col, col_col])
     if values is None:
         counts = stage_table(base.groupBy(row_col, col_col).agg(F.count(F.lit(1)).alias("_c")), "pivot")
-        values = [r[0] for r in counts.select(col_col).distinct().orderBy(col_col).collect()]
+        most = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues"))
+        values = [r[0] for r in counts.select(col_col).distinct().orderBy(col_col).limit(most + 1).collect()]
+        if len(values) > most:
+            raise ValueError(f"{col_col} has more than spark.sql.pivotMaxValues = {most} values")
         out = counts.groupBy(row_col).pivot(col_col, list(values)).agg(F.sum("_c"))
     else:
         out = base.groupBy(row_col).pivot(col_col, list(values)).agg(F.count(F.lit(1)))

@@ -105,8 +105,8 @@ def _rules_table(df: DataFrame, aggs: list[Column], names: list[str], meta: dict
 
 
 def table_constraint_violations(df: DataFrame, c: TableConstraints) -> DataFrame:
-    """Q4 + Q5 for a declared table: one table of rule counts."""
-    return check_violations(df, c.not_null, c.ranges).unionByName(length_violations(df, c.max_length, c.precision))
+    """Q4 + Q5 for a declared table: one table of rule counts (key columns are never NULL)."""
+    return check_violations(df, list(dict.fromkeys((*c.primary_key, *c.not_null))), c.ranges).unionByName(length_violations(df, c.max_length, c.precision))
 
 
 def domain_violations(df: DataFrame, allowed: Mapping[str, Sequence]) -> DataFrame:

@@ -24,6 +24,9 @@ from pyspark.sql import functions as F
 from ..functions.numbers import present
 from .ranking import group_positions
 
+#: Ranges that a partition filter lists, at most.
+PRUNED_RANGES = 1000
+
 
 def _null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str]):
     cond = None
@@ -117,11 +120,11 @@ def exact_quantiles(
         *[ranks[c] for c in gcols], "_qi", "_h", "_lo", "_rank", "_pid",
         (F.shiftleft(F.col("_pid").cast("bigint"), 33) + F.col("_first") + F.col("_rank") - F.col("_before")).alias("_rid"),
     )
-    # Only the ranges holding a needed rank are read back: their ids are at
-    # most the number of range partitions, so the list has a proven bound and
-    # becomes a partition filter on the staged table.
-    needed = [r[0] for r in located.select("_pid").distinct().collect()]
-    fetch = rows.where(F.col("_pid").isin(needed)).select("_pid", "_rid", "_v")
+    # Only the ranges holding a needed rank are read back, if they are few
+    # enough for a partition filter; else all are, and the join picks the rows.
+    needed = [r[0] for r in located.select("_pid").distinct().limit(PRUNED_RANGES + 1).collect()]
+    fetch = rows.where(F.col("_pid").isin(needed)) if len(needed) <= PRUNED_RANGES else rows
+    fetch = fetch.select("_pid", "_rid", "_v")
     picked = located.join(fetch, ["_pid", "_rid"], "inner")
     per_q = picked.groupBy(*gcols, "_qi", "_h", "_lo").agg(
         F.max(F.when(F.col("_rank") == F.col("_lo"), F.col("_v"))).alias("_a"),

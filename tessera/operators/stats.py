@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.numbers import present
 from ..functions.pvalues import chi2_upper_p, student_t_two_sided_p, verdict
 from .quantiles import exact_quantiles
+from .staging import stage_table
 
 
 # ---------------------------------------------------------------- T1
@@ -45,7 +46,8 @@ def chi_square(
     """
     base = df.where(F.col(row_col).isNotNull() & F.col(col_col).isNotNull())
     # Internal names are underscore-prefixed: Spark resolves names case-insensitively.
-    cells = base.groupBy(row_col, col_col).agg(F.count(F.lit(1)).alias("_o"))
+    # The cells are staged: everything else is computed from them, so the input is read once.
+    cells = stage_table(base.groupBy(row_col, col_col).agg(F.count(F.lit(1)).alias("_o")), "cells")
     rows = cells.groupBy(row_col).agg(F.sum("_o").alias("_R"))
     cols = cells.groupBy(col_col).agg(F.sum("_o").alias("_C"))
     n = cells.select(F.sum("_o")).scalar()
@@ -78,14 +80,23 @@ def chi_square(
     return out.withColumn("verdict", verdict(F.col("p_value"), alpha, "associated", "independent"))
 
 
-def expected_counts(df: DataFrame, row_col: str, col_col: str) -> DataFrame:
-    """Observed and expected count of every observed cell (long form)."""
+def expected_counts(df: DataFrame, row_col: str, col_col: str, max_columns: int = 10_000) -> DataFrame:
+    """Observed and expected count of every cell of the full table (long form).
+
+    Cells without rows are observed 0 times. Each row total meets the list of
+    column totals, so ``col_col`` may have ``max_columns`` values at most;
+    more raise an error instead of leaving cells out.
+    """
     base = df.where(F.col(row_col).isNotNull() & F.col(col_col).isNotNull())
-    cells = base.groupBy(row_col, col_col).agg(F.count(F.lit(1)).alias("observed"))
+    cells = stage_table(base.groupBy(row_col, col_col).agg(F.count(F.lit(1)).alias("observed")), "cells")
     rows = cells.groupBy(row_col).agg(F.sum("observed").alias("_R"))
     cols = cells.groupBy(col_col).agg(F.sum("observed").alias("_C"))
     n = cells.select(F.sum("observed")).scalar()
-    return cells.join(rows, row_col).join(cols, col_col).select(
+    if (found := cols.count()) > max_columns:
+        raise ValueError(f"{col_col} has {found} values; expected_counts takes {max_columns} at most")
+    listed = cols.select(F.collect_list(F.struct(col_col, "_C"))).scalar()
+    full = rows.withColumn("_c", F.explode(listed)).select(row_col, "_R", f"_c.{col_col}", "_c._C")
+    return full.join(cells, [row_col, col_col], "left").na.fill(0, ["observed"]).select(
         row_col, col_col, "observed",
         (F.col("_R").cast("double") * F.col("_C").cast("double") / n.cast("double")).alias("expected"),
     )

@@ -250,8 +250,7 @@ def two_sample_overview(spark, sf):
 
 
 def describe_all(spark, sf):
-    o = t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
-    d = marts.describe_all(o)
+    d = marts.describe_all(t(spark, sf, "orders"))
     return d.select(
         "column_name", "count", "unique", "top", "freq",
         *[F.round(c, 4).alias(c) for c in ["mean", "std", "min", "q25", "q50", "q75", "max"]],

@@ -489,7 +489,7 @@ ORACLE["two_sample_overview"] = f"""
 """
 
 ORACLE["describe_all"] = f"""
-    WITH t AS ({_union_long(['o_orderstatus', 'o_orderpriority'], 'orders', 'VARCHAR')}),
+    WITH t AS ({_union_long(['o_orderstatus', 'o_orderpriority', 'o_orderdate'], 'orders', 'VARCHAR')}),
     tc AS (SELECT column_name, CAST(COUNT(value) AS BIGINT) AS count, CAST(COUNT(DISTINCT value) AS BIGINT) AS "unique"
            FROM t GROUP BY 1),
     tf AS (SELECT column_name, value, COUNT(*) AS c FROM t WHERE value IS NOT NULL GROUP BY 1, 2),
@@ -823,9 +823,9 @@ ORACLE["expected_counts"] = f"""
     rr AS (SELECT r_name, SUM(observed) AS R FROM cells GROUP BY 1),
     cc AS (SELECT o_orderstatus, SUM(observed) AS C FROM cells GROUP BY 1),
     tot AS (SELECT SUM(observed) AS N FROM cells)
-    SELECT r_name, o_orderstatus, CAST(observed AS BIGINT) AS observed,
+    SELECT r_name, o_orderstatus, CAST(COALESCE(observed, 0) AS BIGINT) AS observed,
            ROUND(CAST(R AS DOUBLE) * CAST(C AS DOUBLE) / CAST(N AS DOUBLE), 6) AS expected
-    FROM cells JOIN rr USING (r_name) JOIN cc USING (o_orderstatus) CROSS JOIN tot
+    FROM rr CROSS JOIN cc CROSS JOIN tot LEFT JOIN cells USING (r_name, o_orderstatus)
 """
 
 ORACLE["ship_days_without_orders"] = """

@@ -131,13 +131,18 @@ CONSTRAINTS: dict[str, TableConstraints] = {
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Project and cast ``df`` to ``schema`` (column order and types).
 
-    Casts use ``try_cast`` semantics so a value that doesn't fit becomes NULL
-    rather than failing the job; run the precision/length checks before
-    conforming when such values must be reported instead.
+    A value that does not fit its column fails the job, as the database would
+    refuse the row; check the constraints on the unconformed tables first to
+    get such values reported instead.
     """
     cols: list[Column] = []
     for f in schema.fields:
         if f.name not in df.columns:
             raise ValueError(f"missing column {f.name!r} for schema; have {df.columns}")
-        cols.append(F.col(f.name).try_cast(f.dataType).alias(f.name))
+        value = F.col(f.name)
+        if df.schema[f.name].dataType != f.dataType:
+            cast = value.try_cast(f.dataType)
+            refused = F.raise_error(F.concat(F.lit(f"{f.name} does not fit {f.dataType.simpleString()}: "), value.cast("string")))
+            value = F.when(value.isNotNull() & cast.isNull(), refused.cast(f.dataType)).otherwise(cast)
+        cols.append(value.alias(f.name))
     return df.select(*cols)
