@@ -274,7 +274,8 @@ def run(spark: SparkSession, csv_path: str, out_root: str) -> dict[str, DataFram
     """
     raw = io.read_raw_csv(spark, csv_path)
     c = clean(raw)
-    tables = model_tables(c.frame)
+    # Staged, as the checks read every table several times.
+    tables = {name: stage_table(df, name) for name, df in model_tables(c.frame).items()}
     report = stage_table(constraint_report(tables), "constraints")
     bad = report.where("n_violations > 0").orderBy("table_name", "rule", "column_name").limit(5).collect()
     if bad:

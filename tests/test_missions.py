@@ -232,3 +232,25 @@ def test_bucketed_fact_and_meta_join_without_shuffle(spark, bigger_csv):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
         spark.sql("DROP TABLE IF EXISTS tessera_test_fact")
         spark.sql("DROP TABLE IF EXISTS tessera_test_meta")
+
+
+@pytest.mark.parametrize("change, rule", [({"cost": "100000000000000"}, "precision")])
+def test_broken_constraints_refuse_the_load(spark, csv_path, scratch, change, rule):
+    """The old tables stay when a row breaks a declared constraint."""
+    out = os.path.join(scratch, "warehouse")
+    missions.run(spark, csv_path, out)
+    args = {"mid": "M8", "agency": "NASA", "launch": "1990-01-01"} | change
+    with open(os.path.join(csv_path, "missions.csv"), "a", newline="") as f:
+        csv.writer(f).writerow(row(**args))
+    with pytest.raises(ValueError, match=rule):
+        missions.run(spark, csv_path, out)
+    assert spark.read.parquet(os.path.join(out, "fact_missions")).count() == 4
+
+
+def test_unique_and_conform(spark):
+    dates = spark.sql("""SELECT id AS date_id, DATE'2000-01-01' AS full_date, 2000 AS year, 1 AS quarter, 1 AS month,
+                         'January' AS month_name, 52 AS week, 1 AS day, '2000s' AS decade FROM range(1, 3)""")
+    bad = missions.constraint_report({"dim_date": dates}).where("n_violations > 0").collect()
+    assert [(r.rule, r.column_name, r.n_violations) for r in bad] == [("unique", "full_date", 1)]
+    with pytest.raises(Exception, match="does not fit"):
+        missions.schema.conform(dates.withColumn("year", missions.F.lit(70000)), missions.schema.DIM_DATE).collect()

@@ -169,3 +169,12 @@ def test_p_values_against_closed_forms_on_random_inputs(spark):
     for r in got:
         assert r.pt == pytest.approx(t_closed(r.t, int(r.v)), rel=1e-7, abs=1e-12), (r.t, r.v)
         assert r.pc == pytest.approx(chi_closed(r.x, int(r.k)), rel=1e-7, abs=1e-12), (r.x, r.k)
+
+
+def test_expected_counts_full_table(spark):
+    """Cells without rows are in the table, observed 0 times."""
+    df = spark.createDataFrame([("a", "x")] * 3 + [("a", "y")] + [("b", "x")] * 2 + [("b", None)], "r string, c string")
+    got = {(r.r, r.c): (r.observed, r.expected) for r in stats.expected_counts(df, "r", "c").collect()}
+    assert got == {("a", "x"): (3, 20 / 6), ("a", "y"): (1, 4 / 6), ("b", "x"): (2, 10 / 6), ("b", "y"): (0, 2 / 6)}
+    with pytest.raises(ValueError, match="at most"):
+        stats.expected_counts(df, "r", "c", max_columns=1)
