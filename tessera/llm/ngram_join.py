@@ -23,10 +23,15 @@ links connect form a class.
    second such member if the two are still in different classes. That is
    linear even in a group of thousands of copies, and links nearly all of
    them; only members in another class than the query are then taken one by
-   one: first by their heads inside the join, then exactly. No link
+   one: first by their sketches inside the join, then exactly. No link
    between two classes can be missed: each has passed the bound, and the two
    ends are either in one class already or compared.
 
+A set's sketch holds the parity of its shingles in each of ``n`` to ``2 n``
+buckets, one bit each. Two sets differ in at least as many shingles as their
+sketches differ in bits, so a pair whose sketches differ in more bits than a
+link allows is no link, and its whole sets are never sent.
+
 The global order only decides speed, never results: the most frequent of the
 shingles that repeat within a partition (counted over all documents) come
 last, all others by hash. Exact copies of a set are linked by its 128-bit fingerprint.
@@ -62,6 +67,13 @@ def _fingerprint(s: np.ndarray) -> tuple[int, int]:
     return int(one.view(np.int64)), int(two.view(np.int64))
 
 
+def _sketch(s: np.ndarray) -> np.ndarray:
+    """Parity of the set's shingles by their low bits, in 64-bit words: a power of two of them."""
+    words = 1 << max(0, (len(s) - 1).bit_length() - 6)
+    odd = np.bincount(s & (64 * words - 1), minlength=64 * words) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def _sets(batches, k: int):
     """(ids, sets) of each chunk of a (doc_id, text) batch."""
     for batch in batches:
@@ -109,7 +121,7 @@ def _scan_sizes(k: int):
 
 
 def _scan_heads(k: int, percent: int, frequent: np.ndarray):
-    """(doc_id, n, grp, head) of the partition's different non-empty sets."""
+    """(doc_id, n, grp, head, bits) of the partition's different non-empty sets."""
 
     def split(s):
         if len(frequent) == 0:
@@ -128,12 +140,12 @@ def _scan_heads(k: int, percent: int, frequent: np.ndarray):
                     early, late = split(s)
                     least = (late if len(late) >= len(early) else s)[:1].view(np.uint64)
                     grp = int(mix(least + np.uint64(np.log(len(s)) * 10))[0] >> np.uint64(32))
-                    out.append((i, len(s), grp, np.concatenate([early, late])[: _head(len(s), percent)]))
+                    out.append((i, len(s), grp, np.concatenate([early, late])[: _head(len(s), percent)], _sketch(s)))
             if out:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.int64()),
-                     pa.array([r[2] for r in out], pa.int64()), int_lists([r[3] for r in out])],
-                    ["doc_id", "n", "grp", "head"])
+                     pa.array([r[2] for r in out], pa.int64()), int_lists([r[3] for r in out]), int_lists([r[4] for r in out])],
+                    ["doc_id", "n", "grp", "head", "bits"])
 
     return run
 
@@ -152,6 +164,23 @@ def _needed(n, m, percent: int):
     return F.ceil(F.lit(percent) * (n + m) / F.lit(100 + percent)) - F.greatest(beyond(n), beyond(m))
 
 
+def _overlap(n, m, percent: int):
+    """Shingles that sets of n and m must share at least to link."""
+    return F.ceil(F.lit(percent) * (n + m) / F.lit(100 + percent))
+
+
+def _may_link(x, y, n, m, percent: int):
+    """False for sets of n and m shingles whose sketches x and y differ in more bits
+    than a link allows. The longer sketch is folded once, to as many buckets as the
+    other has; sketches further apart in length (percent under 50) rule nothing out."""
+    short, long = F.when(F.size(x) <= F.size(y), x).otherwise(y), F.when(F.size(x) <= F.size(y), y).otherwise(x)
+    half, xor = F.size(short), lambda a, b: a.bitwiseXOR(b)
+    folded = F.when(F.size(long) == half, long).when(
+        F.size(long) == 2 * half, F.zip_with(F.slice(long, 1, half), F.slice(long, half + 1, half), xor))
+    apart = F.aggregate(F.zip_with(short, folded, lambda a, b: F.bit_count(xor(a, b))), F.lit(0), lambda s, c: s + c)
+    return F.coalesce(apart, F.lit(0)) <= n + m - 2 * _overlap(n, m, percent)
+
+
 def _sets_of(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
     """(doc_id, items) of the documents in ``ids`` (doc_id, distinct)."""
     ids = stage_table(ids, "join-ids")
@@ -197,7 +226,7 @@ def ngram_jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     known = docs.filter("doc_id is not null")
     heads = stage_table(map_arrow(known, _scan_heads(k, percent, frequent),
-                                         "doc_id long, n long, grp long, head array<long>"), "join-heads")
+                                         "doc_id long, n long, grp long, head array<long>, bits array<long>"), "join-heads")
     probe = F.col("n") - F.ceil(F.lit(2 * percent) * F.col("n") / F.lit(100 + percent)) + 1
     tokens = (heads.select("doc_id", "n", "grp", F.posexplode("head").alias("at", "token"))
               .select("doc_id", "n", (F.col("grp") * 2 + (F.col("at") < probe).cast("long")).alias("tag"), "token")
@@ -241,13 +270,20 @@ def ngram_jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str
                      .withColumn(end, F.coalesce("first", end)).select("a", "b"))
         return pairs.select(*pair("a", "b")).filter("a <> b").distinct()
 
+    def near(pairs: DataFrame) -> DataFrame:
+        """Those of ``pairs`` (a, b) of sets in ``heads`` that their sketches leave."""
+        x, y = (heads.select(F.col("doc_id").alias(d), F.col("n").alias(n), F.col("bits").alias(bits))
+                for d, n, bits in (("a", "n", "x"), ("b", "m", "y")))
+        found = pairs.filter("a <> b").distinct().join(x, "a").join(y, "b")
+        return found.filter(_may_link(F.col("x"), F.col("y"), F.col("n"), F.col("m"), percent)).select("a", "b")
+
     of = lambda df, key: (df.join(classes.withColumnRenamed("node", key), key, "left")
                           .withColumn("component", F.coalesce("component", key)))
-    led = stage_table(as_first(opened.select(F.col("q").alias("a"), F.col("low").alias("b")).filter("a <> b")), "join-led")
+    led = stage_table(as_first(near(opened.select(*pair("q", "low")))), "join-led")
     links = stage_table(copies.unionByName(_verified(known, led, k, percent)), "join-links")
     classes = stage_table(connected_components(links, "a", "b"), "join-classes")
     # The second of the two only where the first has left the two ends in different classes.
-    also = as_first(opened.select(F.col("q").alias("a"), F.col("high").alias("b")).filter("a <> b"))
+    also = as_first(near(opened.filter("high <> low").select(*pair("q", "high"))))
     also = of(of(also, "a").withColumnRenamed("component", "own"), "b").filter("component <> own").select("a", "b")
     also = stage_table(also.join(led, ["a", "b"], "left_anti"), "join-also")
     if not also.isEmpty():
@@ -255,26 +291,27 @@ def ngram_jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str
         classes = stage_table(connected_components(links, "a", "b"), "join-classes")
     led = led.unionByName(also)
 
-    # Members of open groups that are still in another class than the query.
-    spread = of(heads.select("doc_id", "grp"), "doc_id").groupBy("grp").agg(F.min("component").alias("c1"), F.max("component").alias("c2"))
+    # Members of open groups that are still in another class than the query. The
+    # only member of a group is the one that the query was compared with.
+    spread = of(heads.select("doc_id", "grp"), "doc_id").groupBy("grp").agg(
+        F.min("component").alias("c1"), F.max("component").alias("c2"), F.min("doc_id").alias("d1"), F.max("doc_id").alias("d2"))
     asks = (of(opened.select("q", "grp"), "q").withColumnRenamed("component", "own").join(spread, "grp")
-            .filter("c1 <> own or c2 <> own").select(F.col("q").alias("doc_id"), "own", "grp"))
+            .filter("d1 <> d2 and (c1 <> own or c2 <> own)").select(F.col("q").alias("doc_id"), "own", "grp"))
     asks = stage_table(asks.join(lone, "doc_id", "left"), "join-asks")
-    # What is known of a member without its head, to send it to the heads.
+    # What is known of a member without its sketch, to send it to the sketches.
     about = of(heads.select("doc_id", "grp").distinct().join(asks.select("grp").distinct(), "grp", "left_semi"), "doc_id")
     about = stage_table(about.join(lone, "doc_id", "left").select("doc_id", "grp", "component", "shared"), "join-about")
     send = lambda df: F.broadcast(df) if df.count() <= BROADCAST_IDS // 8 else df
     usable = F.col("n") - (probe - F.coalesce("shared", F.lit(0)))
-    asked = heads.drop("grp").join(send(asks), "doc_id").select(
-        F.col("doc_id").alias("q"), "own", "grp", "n", F.col("head").alias("x"), usable.alias("usable"))
-    members = heads.join(send(about), ["doc_id", "grp"]).select(
-        F.col("doc_id").alias("s"), F.col("n").alias("m"), "grp", F.col("head").alias("y"), "component", usable.alias("can"))
-    overlap = F.ceil(F.lit(percent) * (F.col("n") + F.col("m")) / F.lit(100 + percent))
+    asked = heads.drop("grp", "head").join(send(asks), "doc_id").select(
+        F.col("doc_id").alias("q"), "own", "grp", "n", F.col("bits").alias("x"), usable.alias("usable"))
+    members = heads.drop("head").join(send(about), ["doc_id", "grp"]).select(
+        F.col("doc_id").alias("s"), F.col("n").alias("m"), "grp", F.col("bits").alias("y"), "component", usable.alias("can"))
     larger = (F.col("m") > F.col("n")) | ((F.col("m") == F.col("n")) & (F.col("q") < F.col("s")))
-    fits = larger & (F.col("n") * 100 >= F.col("m") * percent) & (F.least("usable", "can") >= overlap)
-    shared = F.size(F.array_intersect("x", "y")) >= _needed(F.col("n"), F.col("m"), percent)
+    fits = larger & (F.col("n") * 100 >= F.col("m") * percent) & (F.least("usable", "can") >= _overlap(F.col("n"), F.col("m"), percent))
+    alike = _may_link(F.col("x"), F.col("y"), F.col("n"), F.col("m"), percent)
     rest = (asked.alias("l").join(members.alias("r"), (F.col("l.grp") == F.col("r.grp")) & (F.col("own") != F.col("component"))
-                                  & fits & shared)
+                                  & fits & alike)
             .select(*pair("q", "s")))
     rest = as_first(rest).join(led, ["a", "b"], "left_anti")
     rest = stage_table(rest, "join-rest")
