@@ -182,8 +182,7 @@ def _may_link(x, y, n, m, percent: int):
 
 
 def _sets_of(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
-    """(doc_id, items) of the documents in ``ids`` (doc_id, distinct)."""
-    ids = stage_table(ids, "join-ids")
+    """(doc_id, items) of the documents in ``ids`` (doc_id, distinct, from a staged table)."""
     found = docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", "left_semi")
     return map_arrow(found.select("doc_id", "text"), _scan_sets(k), "doc_id long, items array<long>")
 
@@ -199,7 +198,8 @@ def _verified(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFr
     one = _sets_of(docs, slots.select(F.col("a").alias("doc_id")), k).withColumnsRenamed({"doc_id": "a", "items": "x"})
     one = one.join(F.broadcast(slots) if slots.count() <= BROADCAST_IDS // 4 else slots, "a")
     one = one.select("a", "x", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)).alias("slot"))
-    two = _sets_of(docs, ends.select(F.col("b").alias("doc_id")).distinct(), k).withColumnsRenamed({"doc_id": "b", "items": "y"})
+    others = stage_table(ends.select(F.col("b").alias("doc_id")).distinct(), "join-ids")
+    two = _sets_of(docs, others, k).withColumnsRenamed({"doc_id": "b", "items": "y"})
     two = two.join(F.broadcast(ends) if ends.count() <= BROADCAST_IDS // 4 else ends, "b")
     both = F.size(F.array_intersect("x", "y"))
     return (two.join(one, ["a", "slot"]).select("a", "b", both.alias("both"), (F.size("x") + F.size("y") - both).alias("any"))
@@ -253,6 +253,7 @@ def ngram_jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str
     met = met.withColumn("open", (F.col("matches") > 0) & (F.col("matches") >= bound)).filter("open or shared > 0")
     met = stage_table(met.select("q", "n", "grp", "shared", "open", "low", "high"), "join-open")
     opened = met.filter("open")
+    n_open = opened.count()
     # Shingles of a document that no other one has in its head: no link can use them.
     lone = met.filter("shared > 0").select(F.col("q").alias("doc_id"), "shared")
 
@@ -272,10 +273,11 @@ def ngram_jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     def near(pairs: DataFrame) -> DataFrame:
         """Those of ``pairs`` (a, b) of sets in ``heads`` that their sketches leave."""
-        x, y = (heads.select(F.col("doc_id").alias(d), F.col("n").alias(n), F.col("bits").alias(bits))
+        pairs = pairs.filter("a <> b").distinct()
+        pairs = F.broadcast(pairs) if n_open <= BROADCAST_IDS // 4 else pairs
+        x, y = (heads.select(F.col("doc_id").alias(d), F.col("n").alias(n), F.col("bits").alias(bits)).join(pairs, d)
                 for d, n, bits in (("a", "n", "x"), ("b", "m", "y")))
-        found = pairs.filter("a <> b").distinct().join(x, "a").join(y, "b")
-        return found.filter(_may_link(F.col("x"), F.col("y"), F.col("n"), F.col("m"), percent)).select("a", "b")
+        return x.join(y, ["a", "b"]).filter(_may_link(F.col("x"), F.col("y"), F.col("n"), F.col("m"), percent)).select("a", "b")
 
     of = lambda df, key: (df.join(classes.withColumnRenamed("node", key), key, "left")
                           .withColumn("component", F.coalesce("component", key)))
