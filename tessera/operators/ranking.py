@@ -59,7 +59,7 @@ def sequential_ids(
     id_col: str = "id",
     start: int = 1,
     num_partitions: int | None = None,
-    id_type: str = "int",
+    id_type: str = "bigint",
 ) -> DataFrame:
     """Dense ids ``start, start+1, ...`` in the total order of ``order_cols``.
 

@@ -71,7 +71,7 @@ PART_ROLES = """
 DECADE = "CAST(CAST(floor(year({d}) / 10) * 10 AS INTEGER) AS VARCHAR) || 's'"
 
 DIM_DATE = f"""
-    SELECT CAST(row_number() OVER (ORDER BY full_date) AS INTEGER) AS date_id, full_date,
+    SELECT row_number() OVER (ORDER BY full_date) AS date_id, full_date,
            CAST(year(full_date) AS INTEGER) AS year, CAST(quarter(full_date) AS INTEGER) AS quarter,
            CAST(month(full_date) AS INTEGER) AS month, strftime(full_date, '%B') AS month_name,
            CAST(weekofyear(full_date) AS INTEGER) AS week, CAST(day(full_date) AS INTEGER) AS day,
@@ -82,13 +82,13 @@ DIM_DATE = f"""
 """
 
 DIM_NATION = """
-    SELECT CAST(row_number() OVER (ORDER BY n_name NULLS FIRST, r_name NULLS FIRST) AS INTEGER) AS nation_id, n_name, r_name
+    SELECT row_number() OVER (ORDER BY n_name NULLS FIRST, r_name NULLS FIRST) AS nation_id, n_name, r_name
     FROM (SELECT DISTINCT n.n_name, r.r_name FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey)
     WHERE n_name IS NOT NULL
 """
 
 DIM_PAIR = f"""
-    SELECT CAST(row_number() OVER (ORDER BY destination NULLS FIRST, category NULLS FIRST) AS INTEGER) AS pair_id,
+    SELECT row_number() OVER (ORDER BY destination NULLS FIRST, category NULLS FIRST) AS pair_id,
            destination, category
     FROM (SELECT DISTINCT destination, category FROM ({PART_ROLES}))
 """
@@ -599,7 +599,7 @@ ORACLE["dropna"] = f"SELECT * FROM ({NULLABLE_ORDERS}) WHERE o_orderstatus IS NO
 ORACLE["dim_date"] = DIM_DATE
 
 ORACLE["dim_group"] = """
-    SELECT CAST(row_number() OVER (ORDER BY n_name NULLS FIRST, r_name NULLS FIRST, c_mktsegment NULLS FIRST) AS INTEGER)
+    SELECT row_number() OVER (ORDER BY n_name NULLS FIRST, r_name NULLS FIRST, c_mktsegment NULLS FIRST)
                AS group_id, n_name, r_name, c_mktsegment
     FROM (SELECT DISTINCT n.n_name, r.r_name, c.c_mktsegment
           FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey)
@@ -620,7 +620,7 @@ ITEMS = f"""
 
 ORACLE["bridge_explode"] = f"""
     {ITEMS}
-    SELECT CAST(row_number() OVER (ORDER BY doc_id, pos, item) AS INTEGER) AS id, doc_id, item FROM items WHERE item <> ''
+    SELECT row_number() OVER (ORDER BY doc_id, pos, item) AS id, doc_id, item FROM items WHERE item <> ''
 """
 
 ORACLE["bridge_counts"] = f"""

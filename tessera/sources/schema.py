@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 S = T.StringType()
-I = T.IntegerType()
+L = T.LongType()
 SH = T.ShortType()
 
 
@@ -24,27 +24,27 @@ def _f(name, typ, nullable=True):
 
 
 DIM_DATE = T.StructType([
-    _f("date_id", I, False), _f("full_date", T.DateType(), False), _f("year", SH, False),
+    _f("date_id", L, False), _f("full_date", T.DateType(), False), _f("year", SH, False),
     _f("quarter", SH, False), _f("month", SH, False), _f("month_name", S, False),
     _f("week", SH, False), _f("day", SH, False), _f("decade", S, False),
 ])
 DIM_AGENCY = T.StructType([
-    _f("agency_id", I, False), _f("agency_name", S, False), _f("country_region", S), _f("agency_type", S),
+    _f("agency_id", L, False), _f("agency_name", S, False), _f("country_region", S), _f("agency_type", S),
 ])
-DIM_LAUNCH = T.StructType([_f("launch_id", I, False), _f("launch_vehicle", S), _f("launch_site", S)])
+DIM_LAUNCH = T.StructType([_f("launch_id", L, False), _f("launch_vehicle", S), _f("launch_site", S)])
 DIM_MISSION_META = T.StructType([
     _f("mission_id", S, False), _f("mission_name", S), _f("objective", S), _f("key_achievement", S),
     _f("mission_outcome_detail", S), _f("reference_url", S),
 ])
 FACT_MISSIONS = T.StructType([
-    _f("mission_id", S, False), _f("agency_id", I), _f("launch_id", I), _f("launch_date_id", I),
-    _f("end_date_id", I), _f("program_type", S), _f("mission_category", S), _f("sub_category", S),
+    _f("mission_id", S, False), _f("agency_id", L), _f("launch_id", L), _f("launch_date_id", L),
+    _f("end_date_id", L), _f("program_type", S), _f("mission_category", S), _f("sub_category", S),
     _f("destination", S), _f("status", S), _f("mission_phase", S), _f("crew_type", S),
     _f("data_returned", S), _f("failure_reason", S), _f("cost_usd_billion", T.DecimalType(12, 2)),
     _f("duration_days", T.DecimalType(10, 2)),
 ])
-BRIDGE_CREW = T.StructType([_f("id", I, False), _f("mission_id", S, False), _f("crew_member", S, False)])
-BRIDGE_PARTNERS = T.StructType([_f("id", I, False), _f("mission_id", S, False), _f("partner_agency", S, False)])
+BRIDGE_CREW = T.StructType([_f("id", L, False), _f("mission_id", S, False), _f("crew_member", S, False)])
+BRIDGE_PARTNERS = T.StructType([_f("id", L, False), _f("mission_id", S, False), _f("partner_agency", S, False)])
 
 SCHEMAS: dict[str, T.StructType] = {
     "dim_date": DIM_DATE,

@@ -112,3 +112,9 @@ def test_hot_group_of_equal_values_is_split(spark):
     assert seg.where("g = 'hot'").count() >= 3
     got = {r.g: r for r in exact_quantiles(df, ["g"], "v", [0.25, 0.5], num_partitions=8).collect()}
     assert (got["hot"].q25, got["hot"].q50) == (1.0, 1.0)
+
+
+def test_sequential_ids_pass_the_int_range(spark):
+    df = spark.createDataFrame([(x,) for x in "ba"], "x string")
+    got = {r.x: r.id for r in sequential_ids(df, ["x"], "id", start=2**31).collect()}
+    assert got == {"a": 2**31, "b": 2**31 + 1}
