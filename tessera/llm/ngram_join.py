@@ -254,7 +254,8 @@ def ngram_jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str
     met = stage_table(met.select("q", "n", "grp", "shared", "open", "low", "high"), "join-open")
     opened = met.filter("open")
     n_open = opened.count()
-    # Shingles of a document that no other one has in its head: no link can use them.
+    # Probe shingles of a document that another one has in its head. The others may still be
+    # in a larger set's tail, but not in the tail of a smaller one that links with it.
     lone = met.filter("shared > 0").select(F.col("q").alias("doc_id"), "shared")
 
     pair = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
@@ -299,18 +300,18 @@ def ngram_jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str
         F.min("component").alias("c1"), F.max("component").alias("c2"), F.min("doc_id").alias("d1"), F.max("doc_id").alias("d2"))
     asks = (of(opened.select("q", "grp"), "q").withColumnRenamed("component", "own").join(spread, "grp")
             .filter("d1 <> d2 and (c1 <> own or c2 <> own)").select(F.col("q").alias("doc_id"), "own", "grp"))
-    asks = stage_table(asks.join(lone, "doc_id", "left"), "join-asks")
+    asks = stage_table(asks, "join-asks")
     # What is known of a member without its sketch, to send it to the sketches.
     about = of(heads.select("doc_id", "grp").distinct().join(asks.select("grp").distinct(), "grp", "left_semi"), "doc_id")
     about = stage_table(about.join(lone, "doc_id", "left").select("doc_id", "grp", "component", "shared"), "join-about")
     send = lambda df: F.broadcast(df) if df.count() <= BROADCAST_IDS // 8 else df
-    usable = F.col("n") - (probe - F.coalesce("shared", F.lit(0)))
+    can = F.col("n") - (probe - F.coalesce("shared", F.lit(0)))
     asked = heads.drop("grp", "head").join(send(asks), "doc_id").select(
-        F.col("doc_id").alias("q"), "own", "grp", "n", F.col("bits").alias("x"), usable.alias("usable"))
+        F.col("doc_id").alias("q"), "own", "grp", "n", F.col("bits").alias("x"))
     members = heads.drop("head").join(send(about), ["doc_id", "grp"]).select(
-        F.col("doc_id").alias("s"), F.col("n").alias("m"), "grp", F.col("bits").alias("y"), "component", usable.alias("can"))
+        F.col("doc_id").alias("s"), F.col("n").alias("m"), "grp", F.col("bits").alias("y"), "component", can.alias("can"))
     larger = (F.col("m") > F.col("n")) | ((F.col("m") == F.col("n")) & (F.col("q") < F.col("s")))
-    fits = larger & (F.col("n") * 100 >= F.col("m") * percent) & (F.least("usable", "can") >= _overlap(F.col("n"), F.col("m"), percent))
+    fits = larger & (F.col("n") * 100 >= F.col("m") * percent) & (F.col("can") >= _overlap(F.col("n"), F.col("m"), percent))
     alike = _may_link(F.col("x"), F.col("y"), F.col("n"), F.col("m"), percent)
     rest = (asked.alias("l").join(members.alias("r"), (F.col("l.grp") == F.col("r.grp")) & (F.col("own") != F.col("component"))
                                   & fits & alike)

@@ -81,6 +81,18 @@ def test_ngram_classes_edges(spark):
     assert got == sorted([(None, 2, None), (4, 2, 2), (2, 2, 2), (2, 1, 2), (9, 1, 2)], key=str)
 
 
+def test_ngram_classes_of_a_template(spark):
+    rng = random.Random(11)
+    template = [f"t{i}" for i in range(104)]
+    rows = [(0, " ".join(template))]
+    for i in range(1, 51):
+        rows.append((i, " ".join(template + [f"u{i}x{j}" for j in range(rng.randrange(17, 26))])))
+    want = brute_classes(rows)
+    assert {c for _, _, c in want} == {0}
+    got = ngram_join.ngram_jaccard_classes(frame(spark, rows)).collect()
+    assert sorted(tuple(r) for r in got) == want
+
+
 def test_token_counts_match_the_library(spark):
     from tokenizers import Tokenizer
 
