@@ -3,8 +3,10 @@
 A page becomes a flat list of text blocks in page order. Each block carries its
 word count and link density, those of its neighbours, and where it stands
 (inside an article or main element, or inside a container whose tag, role,
-class or id names boilerplate). A decision tree, grown here from a small
-labelled table, keeps or drops each block.
+class or id names boilerplate), with the share of the page's words there. A
+decision tree, grown here from a small labelled table, keeps or drops each
+block: boilerplate goes by its tag or names, all else by words, densities and
+share as well, inside an article and outside.
 """
 
 from __future__ import annotations
@@ -106,21 +108,28 @@ def blocks(page: str) -> list[dict]:
     return found
 
 
-FEATURES = ["words", "link_density", "words_before", "density_before", "words_after", "density_after", "aside", "place"]
+FEATURES = ["words", "link_density", "words_before", "density_before", "words_after", "density_after", "share", "aside", "place"]
 
 
 def features(page_blocks: list[dict]) -> np.ndarray:
     """One row for each block. place: 1 inside an article or main element, -1
-    outside of it on a page that has one, 0 on a page without."""
+    outside of it on a page that has one, 0 on a page without. Blocks before and
+    after are the nearest of the same kind of place. share: how many of the
+    page's words outside links and boilerplate stand in blocks of that kind."""
     n = len(page_blocks)
     words = np.array([b["words"] for b in page_blocks], dtype=float)
     density = np.array([b["links"] / b["words"] for b in page_blocks], dtype=float)
     main = np.array([b["main"] for b in page_blocks], dtype=bool)
-    place = np.where(main, 1.0, -1.0 if (main & ~np.array([b["aside"] for b in page_blocks], dtype=bool)).any() else 0.0)
-    pad = lambda x: np.concatenate([[0.0], x, [0.0]])
-    w, d = pad(words), pad(density)
-    return np.stack([words, density, w[:n], d[:n], w[2:], d[2:],
-                     np.array([b["aside"] for b in page_blocks], dtype=float), place], axis=1) if n else np.zeros((0, 8))
+    aside = np.array([b["aside"] for b in page_blocks], dtype=bool)
+    place = np.where(main, 1.0, -1.0 if (main & ~aside).any() else 0.0)
+    plain = np.where(aside, 0.0, words * (1 - density))
+    near, share = np.zeros((n, 4)), np.zeros(n)
+    for kind in (aside, ~aside & main, ~aside & ~main):
+        at = np.flatnonzero(kind)
+        near[at[1:], 0], near[at[1:], 1] = words[at[:-1]], density[at[:-1]]
+        near[at[:-1], 2], near[at[:-1], 3] = words[at[1:]], density[at[1:]]
+        share[at] = plain[at].sum() / max(plain.sum(), 1.0)
+    return np.column_stack([words, density, near, share, aside.astype(float), place])
 
 
 #: Labelled blocks of pages without an article: words, link density, the same of
@@ -133,15 +142,46 @@ LABELLED = [
     (30, 0.7, 20, 0.8, 10, 0.9, 0), (4, 0.0, 2, 1.0, 3, 1.0, 0), (5, 0.0, 4, 0.5, 3, 0.0, 0), (2, 1.0, 60, 0.0, 45, 0.1, 0),
     (3, 0.0, 5, 0.0, 0, 0.0, 0), (12, 0.6, 80, 0.0, 6, 0.0, 0), (2, 0.0, 6, 0.0, 4, 0.0, 0), (40, 0.8, 30, 0.0, 20, 0.0, 0),
 ]
+#: The same inside an article, with the share before the label: titles, short
+#: lines and long paragraphs; link lists and cards that announce other pages.
+INSIDE = [
+    (90, 0.0, 8, 0.0, 70, 0.0, 1.0, 1), (35, 0.05, 60, 0.0, 40, 0.0, 0.9, 1), (300, 0.0, 0, 0.0, 0, 0.0, 1.0, 1), (8, 0.0, 0, 0.0, 60, 0.0, 1.0, 1),
+    (6, 0.0, 45, 0.0, 55, 0.0, 0.8, 1), (1, 0.0, 60, 0.0, 80, 0.0, 1.0, 1), (3, 0.0, 4, 0.0, 2, 0.0, 1.0, 1), (1, 0.0, 2, 0.0, 0, 0.0, 1.0, 1),
+    (2, 0.0, 6, 0.0, 4, 0.0, 0.9, 1), (12, 0.0, 30, 0.0, 0, 0.0, 0.7, 1), (4, 0.0, 0, 0.0, 5, 0.0, 1.0, 1), (10, 0.0, 0, 0.0, 0, 0.0, 1.0, 1),
+    (25, 0.3, 40, 0.0, 35, 0.0, 1.0, 1), (60, 0.2, 50, 0.0, 3, 1.0, 0.9, 1), (45, 0.0, 1, 1.0, 6, 0.0, 1.0, 1), (5, 0.0, 50, 0.0, 4, 1.0, 1.0, 1),
+    (8, 0.0, 0, 0.0, 2, 1.0, 1.0, 1), (5, 0.0, 3, 1.0, 70, 0.0, 1.0, 1), (60, 0.0, 40, 0.0, 50, 0.0, 0.2, 1), (6, 0.0, 45, 0.0, 55, 0.0, 0.3, 1),
+    (80, 0.0, 5, 0.0, 60, 0.0, 0.15, 1), (14, 0.0, 3, 1.0, 30, 0.0, 0.9, 1), (70, 0.0, 40, 0.0, 0, 0.0, 0.2, 1), (60, 0.0, 50, 0.0, 6, 1.0, 0.3, 1),
+    (45, 0.0, 6, 0.0, 8, 0.0, 0.1, 1), (90, 0.0, 0, 0.0, 0, 0.0, 0.3, 1),
+    (1, 0.0, 3, 0.0, 2, 0.0, 0.7, 1), (1, 0.0, 0, 0.0, 0, 0.0, 0.8, 1), (3, 0.0, 4, 0.0, 0, 0.0, 0.9, 1), (4, 0.0, 60, 0.0, 3, 0.0, 0.9, 1),
+    (3, 0.0, 5, 0.0, 8, 0.0, 0.9, 1), (4, 0.0, 3, 0.0, 12, 0.0, 0.8, 1), (2, 0.0, 9, 0.0, 15, 0.0, 0.9, 1), (5, 0.0, 90, 0.0, 20, 0.0, 1.0, 1),
+    (1, 0.0, 20, 0.0, 30, 0.0, 1.0, 1), (3, 0.0, 100, 0.0, 0, 0.0, 1.0, 1), (2, 0.0, 0, 0.0, 1, 0.0, 1.0, 1), (5, 0.0, 5, 0.0, 5, 0.0, 0.7, 1),
+    (3, 1.0, 2, 1.0, 4, 1.0, 1.0, 0), (5, 0.8, 40, 0.0, 3, 1.0, 0.9, 0), (10, 0.9, 5, 1.0, 60, 0.0, 1.0, 0), (1, 1.0, 0, 0.0, 1, 1.0, 0.6, 0),
+    (30, 0.7, 20, 0.8, 10, 0.9, 0.8, 0), (12, 0.6, 80, 0.0, 6, 0.0, 1.0, 0), (40, 0.8, 30, 0.0, 20, 0.0, 1.0, 0), (8, 1.0, 0, 0.0, 15, 0.0, 0.1, 0),
+    (6, 1.0, 12, 0.0, 14, 0.0, 0.3, 0), (2, 1.0, 15, 0.0, 7, 1.0, 0.2, 0), (12, 0.0, 7, 1.0, 6, 1.0, 0.2, 0), (15, 0.0, 6, 1.0, 8, 1.0, 0.1, 0),
+    (20, 0.0, 8, 1.0, 2, 1.0, 0.4, 0), (4, 0.0, 2, 1.0, 3, 1.0, 0.3, 0), (14, 0.0, 9, 1.0, 0, 0.0, 0.1, 0), (12, 0.0, 4, 0.0, 5, 0.0, 0.1, 0),
+    (5, 0.0, 12, 0.0, 14, 0.0, 0.15, 0), (16, 0.0, 6, 0.0, 3, 1.0, 0.2, 0), (4, 0.0, 0, 0.0, 12, 0.0, 0.1, 0), (12, 0.0, 5, 0.0, 0, 0.0, 0.2, 0),
+]
+#: And outside of the articles of a page: text that stands in plain containers
+#: beside cards; notices, comments and link lists beside an article.
+OUTSIDE = [
+    (90, 0.0, 8, 0.0, 70, 0.0, 0.9, 1), (35, 0.05, 60, 0.0, 40, 0.0, 0.8, 1), (20, 0.1, 50, 0.0, 45, 0.0, 0.9, 1), (300, 0.0, 0, 0.0, 0, 0.0, 0.8, 1),
+    (8, 0.0, 0, 0.0, 60, 0.0, 0.8, 1), (6, 0.0, 45, 0.0, 55, 0.0, 0.9, 1), (12, 0.0, 30, 0.0, 3, 0.0, 0.9, 1), (45, 0.0, 1, 1.0, 40, 0.0, 1.0, 1),
+    (25, 0.3, 40, 0.0, 35, 0.0, 0.9, 1), (1, 0.0, 60, 0.0, 80, 0.0, 0.95, 1), (150, 0.0, 1, 0.0, 4, 1.0, 0.7, 1), (40, 0.0, 40, 0.0, 0, 0.0, 0.6, 1),
+    (3, 0.0, 0, 0.0, 70, 0.0, 0.9, 1), (4, 0.0, 50, 0.0, 60, 0.0, 0.9, 1), (2, 0.0, 0, 0.0, 90, 0.0, 0.8, 1),
+    (1, 0.0, 3, 0.0, 2, 0.0, 0.6, 0), (1, 0.0, 0, 0.0, 0, 0.0, 0.8, 0), (3, 0.0, 4, 0.0, 0, 0.0, 0.9, 0), (4, 0.0, 60, 0.0, 3, 0.0, 0.9, 0),
+    (3, 0.0, 5, 0.0, 8, 0.0, 0.9, 0), (4, 0.0, 3, 0.0, 12, 0.0, 0.8, 0), (2, 0.0, 9, 0.0, 15, 0.0, 0.9, 0),
+    (3, 1.0, 2, 1.0, 4, 1.0, 0.1, 0), (5, 0.8, 40, 0.0, 3, 1.0, 0.8, 0), (10, 0.9, 5, 1.0, 60, 0.0, 0.7, 0), (1, 1.0, 0, 0.0, 1, 1.0, 0.0, 0),
+    (30, 0.7, 20, 0.8, 10, 0.9, 0.4, 0), (12, 0.6, 80, 0.0, 6, 0.0, 0.9, 0), (40, 0.8, 30, 0.0, 20, 0.0, 0.8, 0), (4, 0.0, 2, 1.0, 3, 1.0, 0.1, 0),
+    (3, 0.0, 5, 0.0, 0, 0.0, 0.02, 0), (12, 0.0, 0, 0.0, 0, 0.0, 0.05, 0), (15, 0.0, 4, 0.0, 6, 0.0, 0.1, 0), (5, 0.0, 4, 0.5, 3, 0.0, 0.5, 0),
+    (40, 0.0, 0, 0.0, 0, 0.0, 0.05, 0), (60, 0.0, 30, 0.0, 20, 0.0, 0.15, 0), (25, 0.0, 50, 0.0, 10, 0.0, 0.1, 0), (2, 0.0, 6, 0.0, 4, 0.0, 0.3, 0),
+]
 
 
 def labelled_table() -> np.ndarray:
-    """The labelled blocks in every position: as they are without an article;
-    main text inside one; not main text outside of it or in boilerplate."""
-    rows = []
-    for *seen, label in LABELLED:
-        rows += [(*seen, 0, 0, label), (*seen, 0, 1, 1), (*seen, 0, -1, 0)] + [(*seen, 1, place, 0) for place in (-1, 0, 1)]
-    return np.array(rows, dtype=float)
+    """The labelled blocks with their places, and all of them as not main text in boilerplate."""
+    rows = [(*seen, share, 0, place, label) for place, table in
+            ((0, [(*seen, 1.0, label) for *seen, label in LABELLED]), (1, INSIDE), (-1, OUTSIDE)) for *seen, share, label in table]
+    return np.array(rows + [(*seen, 1, place, 0) for *seen, _, place, _ in rows], dtype=float)
 
 
 def grow_tree(rows: np.ndarray, labels: np.ndarray, depth: int = 8):

@@ -157,6 +157,25 @@ def test_html(spark):
         assert r.text == want and r.n_chars == len(want)
 
 
+def test_html_articles_are_weighed_by_their_text():
+    tree = html_text.trained_tree()
+    para = lambda w, n: f"<p>{' '.join([w] * n)}</p>"
+    body = "<div><h1>Body title here</h1>" + para("body", 80) + para("more", 60) + "</div>"
+    text = "Body title here " + " ".join(["body"] * 80 + ["more"] * 60)
+    linked = "".join(f"<article><h3><a href=x>Other page number {i}</a></h3>{para('teaser', 12)}</article>" for i in range(4))
+    plain = "".join(f"<article><h3>Other page {i}</h3>{para('teaser', 12)}</article>" for i in range(3))
+    for cards in (linked, plain):
+        assert html_text.main_text(body + cards, tree) == text
+        assert html_text.main_text(cards + body, tree) == text
+    links = "<ul>" + "".join(f"<li><a href=x>Another story {i}</a></li>" for i in range(6)) + "</ul>"
+    notes = "<div><p>Somebody said a few words on this.</p></div>"
+    article = "<h1>Title</h1>" + para("first", 50) + "<p>Short line.</p>" + para("last", 40)
+    want = " ".join(["Title", *["first"] * 50, "Short line.", *["last"] * 40])
+    assert html_text.main_text(f"<article>{article}{links}</article>{notes}{links}", tree) == want
+    assert html_text.main_text(f"<main>{links}{article}</main>", tree) == want
+    assert html_text.main_text("<article><h1>One</h1><p>two</p></article>", tree) == "One two"
+
+
 def test_tiles_cover_reordered_passages():
     import numpy as np
 
