@@ -14,7 +14,7 @@ from .pii_feistel import pseudonymise
 from .quality_gam import score_quality, train_quality
 from .sentencepiece_codec import encode_documents
 from .spotsigs import fingerprint_documents
-from .tool_chat import CHAT_TOOLS, calls_from_chat, link_tool_calls
+from .tool_chat import CHAT_TOOLS, calls_from_chat, link_tool_calls, messages_from_chat
 from .toxicity import score_toxicity, train_toxicity
 
 #: The key of the pseudonyms that the queries make. Give a secret one in use.
@@ -64,8 +64,9 @@ def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    calls, results = calls_from_chat(_table(spark, sf_dir, "conversations"))
-    return link_tool_calls(calls, results, CHAT_TOOLS)
+    chat = _table(spark, sf_dir, "conversations")
+    calls, results = calls_from_chat(chat)
+    return link_tool_calls(calls, results, CHAT_TOOLS).unionByName(messages_from_chat(chat))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

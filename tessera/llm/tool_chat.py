@@ -94,23 +94,35 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, tools: dict[str, dict]
 CHAT_TOOLS = {
     "search": {"properties": {"query": {"type": "string"}, "limit": {"type": "integer", "minimum": 1, "maximum": 50}}, "required": ["limit", "query"]},
     "lookup": {"properties": {"key": {"type": "string"}}, "required": ["key"]},
-    "count": {"properties": {"words": {"type": "integer", "minimum": 1}, "unit": {"type": "string", "enum": ["word"]}}, "required": ["unit", "words"]},
+    "count": {"properties": {"words": {"type": "integer", "minimum": 1}, "unit": {"type": "string", "enum": ["word"]}, "text": {"type": "string"}}, "required": ["unit", "words"]},
 }
 
 
 def calls_from_chat(chat: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Calls and results from plain turns (conv_id, turn, role, text): every
-    assistant turn is a call whose arguments carry its text or figures of it,
-    which follows up the assistant turn two before; every user turn after the
-    first is the result for the turn before it."""
+    assistant turn is a call whose arguments carry its text, which follows up the assistant turn two before; every user turn after the
+    first is the result for the turn before it. All other turns are in
+    ``messages_from_chat``."""
     ident = lambda turn: F.concat_ws("_", F.lit("call"), F.col("conv_id").cast("string"), turn.cast("string"))
     text = F.coalesce("text", F.lit(""))
     kind = F.length(text) % 3
     arguments = (F.when(kind == 0, F.to_json(F.struct(text.alias("query"), (F.length(text) % 60).alias("limit"))))
                  .when(kind == 1, F.to_json(F.struct(text.alias("key"))))
-                 .otherwise(F.to_json(F.struct((F.length(text) - F.length(F.replace(text, F.lit(" ")))).alias("words"), F.lit("word").alias("unit")))))
+                 .otherwise(F.to_json(F.struct((F.length(text) - F.length(F.replace(text, F.lit(" ")))).alias("words"), F.lit("word").alias("unit"), text.alias("text")))))
     calls = chat.filter("role = 'assistant'").select(
         "conv_id", ident(F.col("turn")).alias("call_id"), ident(F.col("turn") - 2).alias("parent_id"),
         F.when(kind == 0, "search").when(kind == 1, "lookup").otherwise("count").alias("name"), arguments.alias("arguments"))
     results = chat.filter("role = 'user' and turn > 0").select(ident(F.col("turn") - 1).alias("call_id"), F.col("text").alias("content"))
     return calls, results
+
+
+def messages_from_chat(chat: DataFrame) -> DataFrame:
+    """The turns that ``calls_from_chat`` leaves out (system, opening user and
+    any other turns), one row for each with the columns of ``link_tool_calls``;
+    the JSON line has the turn's text, role and number, and there is no name."""
+    taken = F.coalesce((F.col("role") == "assistant") | ((F.col("role") == "user") & (F.col("turn") > 0)), F.lit(False))
+    ident = F.concat_ws("_", F.lit("message"), F.col("conv_id").cast("string"), F.col("turn").cast("string"))
+    line = F.to_json(F.struct(F.col("text").alias("content"), ident.alias("id"), "role", "turn"))
+    return chat.filter(~taken).select(
+        "conv_id", ident.alias("call_id"), F.lit(None).cast("string").alias("name"), F.lit(None).cast("long").alias("depth"),
+        F.lit(False).alias("linked"), F.lit(False).alias("valid"), F.lit(None).cast("array<string>").alias("errors"), line.alias("json"))

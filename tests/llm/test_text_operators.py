@@ -407,3 +407,24 @@ def test_tool_calls_of_conversations(spark):
             want[f"call_{c}_{n}"] = (depth, turns.get((c, n + 1), ("",))[0] == "user")
     got = {r.call_id: (r.depth, r.linked) for r in queries.op10_chat_formatting(spark, SF).collect() if r.name}
     assert got == want
+
+
+def test_every_turn_stands_in_the_output(spark):
+    from collections import Counter
+
+    got = Counter()
+    for r in queries.op10_chat_formatting(spark, SF).collect():
+        line = json.loads(r.json)
+        arguments = line.get("arguments", {})
+        got.update(t for t in (line.get("content"), line.get("result"), *(arguments.get(k) for k in ("query", "key", "text"))) if t is not None)
+        assert not r.name or not [e for e in r.errors if "not allowed" in e]
+    assert got == Counter(text for *_, text in table("conversations"))
+
+
+def test_messages_keep_odd_turns(spark):
+    from tessera.llm import tool_chat
+
+    rows = [(1, 0, "system", "s"), (1, 1, "user", "r"), (2, 0, "user", "u"), (2, 1, "assistant", "a"), (3, None, "user", "n"), (4, 2, None, "o"), (4, 3, "tool", None)]
+    got = tool_chat.messages_from_chat(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    assert sorted((r.conv_id, json.loads(r.json).get("content")) for r in got if r.call_id != "message_4_3") == [(1, "s"), (2, "u"), (3, "n"), (4, "o")]
+    assert len(got) == 5 and all(r.name is None and not r.linked for r in got)
