@@ -71,23 +71,29 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, tools: dict[str, dict]
 
     ``calls``: conv_id, call_id, parent_id, name, arguments (JSON text).
     ``results``: call_id, content; of several results for a call the least
-    content counts. Returns conv_id, call_id, name, depth, linked (both sides
-    are there), valid, errors, json. Calls without an id link with nothing;
+    content stands in the JSON line. Returns conv_id, call_id, name, depth,
+    linked (both sides are there), valid, errors, json, results (every content
+    of the id, sorted, with how many times it came; null without one). Calls without an id link with nothing;
     results without an id are rows without a call. Arguments that are null or
     no JSON object are errors; null and empty contents stay as they are. Other
     columns are ignored; empty tables give no rows.
     """
     calls = calls.select("conv_id", "call_id", "parent_id", "name", "arguments")
-    answered = results.select("call_id", "content").groupBy("call_id").agg(F.min("content").alias("content")).withColumn("answer", F.lit(True))
+    results = results.select("call_id", "content")
+    found = results.filter("call_id is not null").groupBy("call_id", "content").agg(F.count("*").alias("times"))
+    answered = found.groupBy("call_id").agg(
+        F.min("content").alias("content"), F.array_sort(F.collect_list(F.struct("content", "times"))).alias("results")).withColumn("answer", F.lit(True))
+    nameless = results.filter("call_id is null").withColumn("results", F.array(F.struct("content", F.lit(1).cast("long").alias("times"))))
     joined = (calls.withColumn("call", F.lit(True)).join(call_depths(calls), "call_id", "left")
               .join(answered.hint("shuffle_hash"), "call_id", "full_outer"))
+    joined = joined.unionByName(nameless, allowMissingColumns=True)  # an id that is null would be one hot key
     joined = joined.withColumn("parsed", F.try_parse_json("arguments"))
     errors = F.when(F.col("call"), argument_errors(F.col("arguments"), F.col("parsed"), F.col("name"), tools))
     line = F.to_json(F.struct(F.col("parsed").alias("arguments"), F.col("depth").alias("depth"), F.col("call_id").alias("id"),
                               F.col("name").alias("name"), F.col("content").alias("result")))
     return (joined.withColumn("errors", errors)
             .select("conv_id", "call_id", "name", "depth", (F.coalesce("call", F.lit(False)) & F.coalesce("answer", F.lit(False))).alias("linked"),
-                    F.coalesce(F.size("errors") == 0, F.lit(False)).alias("valid"), "errors", line.alias("json")))
+                    F.coalesce(F.size("errors") == 0, F.lit(False)).alias("valid"), "errors", line.alias("json"), "results"))
 
 
 #: The tools that ``calls_from_chat`` derives calls for.
@@ -125,4 +131,5 @@ def messages_from_chat(chat: DataFrame) -> DataFrame:
     line = F.to_json(F.struct(F.col("text").alias("content"), ident.alias("id"), "role", "turn"))
     return chat.filter(~taken).select(
         "conv_id", ident.alias("call_id"), F.lit(None).cast("string").alias("name"), F.lit(None).cast("long").alias("depth"),
-        F.lit(False).alias("linked"), F.lit(False).alias("valid"), F.lit(None).cast("array<string>").alias("errors"), line.alias("json"))
+        F.lit(False).alias("linked"), F.lit(False).alias("valid"), F.lit(None).cast("array<string>").alias("errors"), line.alias("json"),
+        F.lit(None).cast("array<struct<content:string,times:bigint>>").alias("results"))

@@ -428,3 +428,16 @@ def test_messages_keep_odd_turns(spark):
     got = tool_chat.messages_from_chat(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
     assert sorted((r.conv_id, json.loads(r.json).get("content")) for r in got if r.call_id != "message_4_3") == [(1, "s"), (2, "u"), (3, "n"), (4, "o")]
     assert len(got) == 5 and all(r.name is None and not r.linked for r in got)
+
+
+def test_every_result_of_a_call_stays(spark):
+    from tessera.llm import tool_chat
+
+    kinds = "conv_id long, call_id string, parent_id string, name string, arguments string"
+    calls = spark.createDataFrame([(1, "a", None, "lookup", '{"key":"k"}'), (1, "b", None, "lookup", '{"key":"k"}')], kinds)
+    rows = [("a", "two"), ("a", "one"), ("a", "two"), ("a", None), ("x", "p"), ("x", "q"), (None, "m"), (None, "n"), (None, "n"), (None, None)]
+    got = tool_chat.link_tool_calls(calls, spark.createDataFrame(rows, "call_id string, content string"), tool_chat.CHAT_TOOLS).collect()
+    held = sorted(((r.call_id, r.linked, [tuple(x) for x in r.results] if r.results else None) for r in got), key=str)
+    assert held == sorted([("a", True, [(None, 1), ("one", 1), ("two", 2)]), ("b", False, None), ("x", False, [("p", 1), ("q", 1)]),
+                           (None, False, [("m", 1)]), (None, False, [("n", 1)]), (None, False, [("n", 1)]), (None, False, [(None, 1)])], key=str)
+    assert sorted(r.json for r in got if r.call_id is None) == ['{"result":"m"}', '{"result":"n"}', '{"result":"n"}', "{}"]
