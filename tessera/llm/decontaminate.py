@@ -29,6 +29,8 @@ from .wordhash import PUNCTUATION, Words, chunks, int_lists, windows, words_of
 TABLE_BITS = 22
 #: Candidate pairs up to this many are broadcast to their documents, more are joined.
 BROADCAST_PAIRS = 1 << 18
+#: And if their items have up to this many words in all (128 MB).
+BROADCAST_WORDS = 1 << 24
 
 
 def _word_lists(texts: pa.Array):
@@ -142,8 +144,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, least: int = 5, coverage:
     pairs = hits.join(seeds, "seed").select("doc_id", "item").distinct()
     pairs = stage_table(pairs.join(known.select("item", "item_id", "words").dropDuplicates(["item"]), "item")
                         .select("doc_id", "item_id", F.col("words").alias("item_words")), "leak-pairs")
-    few = pairs.count() <= BROADCAST_PAIRS
-    asked = docs.join(F.broadcast(pairs) if few else pairs, "doc_id").select("doc_id", "text", "item_id", "item_words")
+    n_pairs, n_words = pairs.agg(F.count("*"), F.coalesce(F.sum(F.size("item_words").cast("long")), F.lit(0))).first()
+    few = n_pairs <= BROADCAST_PAIRS and n_words <= BROADCAST_WORDS
+    # Repeated items are small in the staged file, so Spark is told not to judge by its size.
+    asked = docs.join(F.broadcast(pairs) if few else pairs.hint("merge"), "doc_id").select("doc_id", "text", "item_id", "item_words")
 
     def tile(batches):
         for batch in batches:

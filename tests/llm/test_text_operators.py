@@ -212,6 +212,18 @@ def test_leaks(spark):
     assert decontaminate.find_leaks(frame(spark, rows), frame(spark, [], "item_id long, text string")).collect() == []
 
 
+def test_long_items_are_not_broadcast(spark, monkeypatch):
+    item = " ".join(f"w{i}" for i in range(300))
+    bench = frame(spark, [(7, item)], "item_id long, text string")
+    docs = frame(spark, [(1, item), (2, "x " + item), (3, "y")])
+    want = [(1, 7, 300), (2, 7, 300)]
+    for limit, sent in ((600, True), (599, False)):
+        monkeypatch.setattr(decontaminate, "BROADCAST_WORDS", limit, raising=False)
+        out = decontaminate.find_leaks(docs, bench)
+        assert sorted((r.doc_id, r.item_id, r.n_covered) for r in out.collect()) == want
+        assert ("strategy=broadcast" in out._jdf.queryExecution().optimizedPlan().toString()) == sent
+
+
 def test_leaks_documents(spark):
     cut = lambda t: re.findall(r"[a-z0-9\x80-\U0010ffff]+", re.sub(r"[A-Z]", lambda m: m[0].lower(), t))
     items = {i: cut(t) for i, t in table("benchmark")}
