@@ -3,9 +3,10 @@
 Each round points the larger neighbours of every node at its smallest one
 (large star), then joins the nodes at or below it the same way (small star).
 Edges never grow in number, the rounds needed grow with the logarithm of the
-longest chain, and every round is a grouped minimum and an equi-join, so no
-component is ever gathered in one task. Rounds are cut with tables in the
-shared checkpoint folder.
+longest chain, and every round is a grouped minimum and an equi-join of edges
+of two numbers: no component is gathered as a list, but the edges of one node
+meet in one join key, which adaptive execution may split. Rounds are cut with
+tables in the shared checkpoint folder.
 """
 
 from __future__ import annotations

@@ -50,6 +50,10 @@ from .wordhash import chunks, int_lists, mix, shingle_sets, words_of
 
 #: Shingles that are moved to the end of the global order, at most.
 FREQUENT = 1 << 17
+#: Shingles that the first scan holds before it counts them (4 MB).
+MERGED = 1 << 19
+#: Copies of one text that one task takes in a join, unless they are more than 1 in 100,000 rows.
+TOGETHER = 256
 #: Ids up to this many are broadcast to find documents again (32 MB), more are joined.
 BROADCAST_IDS = 1 << 22
 #: Pairs of one document that a slot of the exact comparison takes.
@@ -88,11 +92,18 @@ def _scan_sizes(k: int):
     holds, and in how many."""
 
     def merge(held, new):
-        values = np.concatenate([held[0], *new])
-        counts = np.concatenate([held[1], np.ones(len(values) - len(held[0]), np.int64)])
+        """Shingles that more than one of the sets since the last merge, or one and
+        an earlier merge's, hold; both are sorted arrays of values and counts."""
+        fresh = np.concatenate(new) if new else np.zeros(0, np.int64)
+        new.clear()
+        fresh.sort()
+        first = np.flatnonzero(np.append(True, fresh[1:] != fresh[:-1])[: len(fresh)])
+        counts = np.diff(np.append(first, len(fresh)))
+        again = (counts > 1) | np.isin(fresh[first], held[0], assume_unique=True)
+        values = np.concatenate([held[0], fresh[first[again]]])
+        counts = np.concatenate([held[1], counts[again]])
         values, at = np.unique(values, return_inverse=True)
-        counts = np.bincount(at, weights=counts, minlength=len(values)).astype(np.int64)
-        return values[counts > 1], counts[counts > 1]
+        return values, np.bincount(at, weights=counts, minlength=len(values)).astype(np.int64)
 
     def run(batches):
         seen, new, size = set(), [], 0
@@ -100,12 +111,12 @@ def _scan_sizes(k: int):
         for ids, sets in _sets(batches, k):
             prints = [_fingerprint(s) for s in sets]
             for s, fp in zip(sets, prints):
-                if fp not in seen:
-                    seen.add(fp)
+                if (key := hash(fp)) not in seen:  # 8 bytes of the 16; a false hit only costs a count
+                    seen.add(key)
                     new.append(s)
                     size += len(s)
-            if size > 2_000_000:
-                held, new, size = merge(held, new), [], 0
+            if size > MERGED:
+                held, size = merge(held, new), 0
             yield pa.RecordBatch.from_arrays(
                 [ids, pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([fp[0] for fp in prints], pa.int64()), pa.array([fp[1] for fp in prints], pa.int64()),
@@ -206,6 +217,18 @@ def _verified(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFr
             .filter(F.lit(100) * F.col("both") >= F.lit(percent) * F.col("any")).select("a", "b"))
 
 
+def _copies(sizes: DataFrame) -> DataFrame:
+    """(a, b): every id whose set another id has too, with the least such id. Sets
+    that many ids share (more than 1 in 100,000 of them, so there are at most
+    100,000 such sets, 5 MB) are broadcast; all others are joined."""
+    sets = (sizes.groupBy("n", "fp1", "fp2").agg(F.min("doc_id").alias("b"), F.count("*").alias("c")).filter("c > 1"))
+    sets = stage_table(sets, "join-copied")
+    many = F.col("c") > max(TOGETHER, sizes.count() // 100_000)
+    parts = [sizes.join(found.drop("c"), ["n", "fp1", "fp2"]).select(F.col("doc_id").alias("a"), "b").filter("a <> b")
+             for found in (F.broadcast(sets.filter(many)), sets.filter(~many))]
+    return parts[0].unionByName(parts[1])
+
+
 def ngram_jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
                           percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id), one row for each row of ``docs``.
@@ -259,10 +282,7 @@ def ngram_jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str
     lone = met.filter("shared > 0").select(F.col("q").alias("doc_id"), "shared")
 
     pair = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
-    copies = (sizes.filter("n > 0 and doc_id is not null")
-              .groupBy("n", "fp1", "fp2").agg(F.min("doc_id").alias("b"), F.count("*").alias("c")).filter("c > 1")
-              .join(sizes, ["n", "fp1", "fp2"]).select(F.col("doc_id").alias("a"), "b").filter("a <> b"))
-    copies = stage_table(copies.distinct(), "join-copies")
+    copies = stage_table(_copies(sizes.filter("n > 0 and doc_id is not null")).distinct(), "join-copies")
     # Copies compare as the first of them; an id that repeats with other texts speaks for itself.
     firsts = copies.groupBy("a").agg(F.min("b").alias("first"), F.count("*").alias("c")).filter("c = 1").drop("c")
 

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 18
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -42,19 +42,23 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019))
 _STEP = mix(np.arange(1, 65, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)) | np.uint64(1)
-_powers = {"n": 0, "up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
+_powers: list[np.ndarray] = []
+
+
+def _powers_of(base: int, n: int) -> np.ndarray:
+    steps = np.full(n, base, dtype=np.uint64)
+    steps[:1] = 1
+    return np.multiply.accumulate(steps)
 
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i for i < n, kept between chunks."""
-    if _powers["n"] < n:
-        size = max(n, CHUNK_BYTES + 1)
-        for name, base in (("up", _BASE), ("down", _INVERSE)):
-            steps = np.full(size, base, dtype=np.uint64)
-            steps[0] = 1
-            _powers[name] = np.multiply.accumulate(steps)
-        _powers["n"] = size
-    return _powers["up"][:n], _powers["down"][:n]
+    """base**i and base**-i for i < n; those for a common chunk are kept, longer
+    ones (of a single long text) are not."""
+    if n > CHUNK_BYTES + 1:
+        return _powers_of(_BASE, n), _powers_of(_INVERSE, n)
+    if not _powers:
+        _powers.extend(_powers_of(base, CHUNK_BYTES + 1) for base in (_BASE, _INVERSE))
+    return _powers[0][:n], _powers[1][:n]
 
 
 @dataclass
