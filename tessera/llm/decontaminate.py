@@ -23,8 +23,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..operators.staging import stage_table
 from .tasks import map_arrow
-from .wordhash import PUNCTUATION, Words, chunks, int_lists, windows, words_of
+from .wordhash import PUNCTUATION, chunks, int_lists, windows, words_of
 
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
 #: Bits of the seed table (512 kB).
 TABLE_BITS = 22
 #: Candidate pairs up to this many are broadcast to their documents, more are joined.
@@ -39,59 +41,76 @@ def _word_lists(texts: pa.Array):
         yield first, words
 
 
-def _runs(x: np.ndarray, length: int) -> np.ndarray:
-    """Hash of every ``length``-word window (as of one document)."""
-    words = Words(x.view(np.uint64), np.array([0, len(x)]), x, x, x)
-    return windows(words, length)[0].view(np.int64) if length <= 64 else _long_runs(x, length)
+class _Running:
+    """Running Karp-Rabin hashes of a word array: any range's hash by one subtraction."""
 
+    def __init__(self, words: np.ndarray):
+        n = len(words)
+        self.size = n
+        power = np.multiply.accumulate(np.append(np.uint64(1), np.full(n, _BASE, np.uint64)))
+        self.inverse = np.multiply.accumulate(np.append(np.uint64(1), np.full(n, _INVERSE, np.uint64)))
+        self.total = np.concatenate([[np.uint64(0)], np.cumsum(words.view(np.uint64) * power[:n])])
 
-def _long_runs(x: np.ndarray, length: int) -> np.ndarray:
-    if len(x) < length:
-        return np.zeros(0, np.int64)
-    power = np.multiply.accumulate(np.full(len(x) + 1, 0x9E3779B97F4A7C15, np.uint64))
-    inverse = np.multiply.accumulate(np.full(len(x) + 1, pow(0x9E3779B97F4A7C15, -1, 1 << 64), np.uint64))
-    total = np.concatenate([[np.uint64(0)], np.cumsum(x.view(np.uint64) * power[: len(x)])])
-    return ((total[length:] - total[:-length]) * inverse[: len(x) - length + 1]).view(np.int64)
+    def of(self, start: np.ndarray, length) -> np.ndarray:
+        """Hashes of the ranges of ``length`` words from ``start`` on."""
+        return (self.total[start + length] - self.total[start]) * self.inverse[start]
 
 
-def greedy_tiles(item: np.ndarray, text: np.ndarray, least: int) -> list[tuple[int, int, int]]:
-    """Tiles (position in item, position in text, length) of two word arrays."""
-    free_i, free_t = np.ones(len(item), bool), np.ones(len(text), bool)
-    tiles: list[tuple[int, int, int]] = []
+def _free_from(free: np.ndarray) -> np.ndarray:
+    """How many words are free from each place on."""
+    taken = np.append(np.flatnonzero(~free), len(free))
+    return taken[np.searchsorted(taken, np.arange(len(free)))] - np.arange(len(free))
 
-    def open_windows(free: np.ndarray, length: int) -> np.ndarray:
-        total = np.concatenate([[0], np.cumsum(free)])
-        return total[length:] - total[:-length] == length
 
+def greedy_tiles(item: np.ndarray, text: np.ndarray, least: int) -> list[tuple[int, int, int]]:
+    """Tiles (position in item, position in text, length) of two word arrays: the
+    longest common run of unmarked words again and again, the first in item and
+    then in text of equally long ones.
+
+    A run is measured only from its first word, by a binary search on the running
+    hashes, however many windows of the search length lie inside it.
+    """
+    tiles: list[tuple[int, int, int]] = []
+    if min(len(item), len(text)) < least:
+        return tiles
+    free_i, free_t = np.ones(len(item), bool), np.ones(len(text), bool)
+    run_i, run_t = _Running(item), _Running(text)
     length = max(least, min(len(item), 64))
-    while len(item) >= least and len(text) >= least:
-        found = []
-        hashes_i, hashes_t = _runs(item, length), _runs(text, length)
-        ok_i, ok_t = open_windows(free_i, length), open_windows(free_t, length)
-        places = np.flatnonzero(ok_t & np.isin(hashes_t, hashes_i[ok_i])) if len(hashes_i) and len(hashes_t) else []
-        at: dict[int, list[int]] = {}
-        for i in np.flatnonzero(ok_i) if len(places) else ():
-            at.setdefault(int(hashes_i[i]), []).append(int(i))
-        for t in places:
-            for i in at.get(int(hashes_t[t]), ()):
-                n = 0
-                while i + n < len(item) and t + n < len(text) and free_i[i + n] and free_t[t + n] and item[i + n] == text[t + n]:
-                    n += 1
-                if n >= length:
-                    found.append((-n, i, int(t)))
-        again = False
-        for n, i, t in sorted(found):
-            n = -n
-            if free_i[i : i + n].all() and free_t[t : t + n].all():
+    while True:
+        room_i, room_t = _free_from(free_i), _free_from(free_t)
+        ok_i, ok_t = np.flatnonzero(room_i >= length), np.flatnonzero(room_t >= length)
+        hash_i, hash_t = run_i.of(ok_i, length), run_t.of(ok_t, length)
+        order = np.argsort(hash_t, kind="stable")
+        low, high = (np.searchsorted(hash_t[order], hash_i, side=s) for s in ("left", "right"))
+        found = [np.zeros((0, 3), np.int64)]
+        for i, a, b in zip(ok_i[high > low], low[high > low], high[high > low]):
+            t = ok_t[order[a:b]]
+            if i > 0 and free_i[i - 1]:  # not from inside a longer run
+                t = t[~((t > 0) & free_t[t - 1] & (text[t - 1] == item[i - 1]))]
+            if len(t) == 0:
+                continue
+            lo, hi = np.full(len(t), length), np.minimum(room_i[i], room_t[t])
+            while (lo < hi).any():
+                mid = (lo + hi + 1) // 2
+                same = run_i.of(np.full(len(t), i), mid) == run_t.of(t, mid)
+                lo, hi = np.where(same, mid, lo), np.where(same, hi, mid - 1)
+            found.append(np.stack([lo, np.full(len(t), i), t], axis=1))
+        runs = np.concatenate(found)
+        runs = runs[np.lexsort((runs[:, 2], runs[:, 1], -runs[:, 0]))]
+        cut = 0
+        for n, i, t in runs.tolist():
+            if n < cut:  # what is left of a cut run may be longer
+                break
+            if room_i[i] >= n and room_t[t] >= n and free_i[i] and free_t[t] and free_i[i + n - 1] and free_t[t + n - 1] and (
+                    free_i[i : i + n].all() and free_t[t : t + n].all()):
                 free_i[i : i + n] = free_t[t : t + n] = False
                 tiles.append((i, t, n))
             else:
-                again = True  # part of it may still be free
-        if not again:
+                cut = cut or n
+        if not cut:
             if length == least or not free_i.any():
-                break
+                return tiles
             length = max(least, length // 2)
-    return tiles
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, least: int = 5, coverage: float = 0.6, id_col: str = "doc_id",

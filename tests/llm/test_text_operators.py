@@ -186,7 +186,7 @@ def test_tiles_cover_reordered_passages():
     rng = np.random.default_rng(5)
     for _ in range(200):
         a, b = rng.integers(0, 4, rng.integers(0, 30)), rng.integers(0, 4, rng.integers(0, 60))
-        free_a, free_b, want = np.ones(len(a), bool), np.ones(len(b), bool), 0
+        free_a, free_b, want = np.ones(len(a), bool), np.ones(len(b), bool), []
         while True:  # brute force: the longest free match, again and again
             best = max(((n, -i, -j) for i in range(len(a)) for j in range(len(b)) for n in [next(
                 n for n in range(100) if i + n >= len(a) or j + n >= len(b) or not free_a[i + n] or not free_b[j + n] or a[i + n] != b[j + n])]), default=(0, 0, 0))
@@ -194,11 +194,22 @@ def test_tiles_cover_reordered_passages():
                 break
             n, i, j = best[0], -best[1], -best[2]
             free_a[i : i + n] = free_b[j : j + n] = False
-            want += n
-        got = decontaminate.greedy_tiles(a, b, 3)
-        assert abs(sum(t[2] for t in got) - want) <= 3, (a, b)
-        marks = [p for i, _, n in got for p in range(i, i + n)]
-        assert len(marks) == len(set(marks)) and all((a[i : i + n] == b[j : j + n]).all() for i, j, n in got)
+            want.append((i, j, n))
+        assert decontaminate.greedy_tiles(a, b, 3) == want, (a, b)
+
+
+def test_tiles_of_repeated_words():
+    import time
+
+    import numpy as np
+
+    began = time.monotonic()
+    item, text = np.full(200, 7), np.full(20_000, 7)
+    assert decontaminate.greedy_tiles(item, text, 5) == [(0, 0, 200)]
+    assert decontaminate.greedy_tiles(text, item, 5) == [(0, 0, 200)]
+    assert decontaminate.greedy_tiles(np.tile([1, 2], 300), np.tile([2, 1, 3], 5_000), 5) == []
+    assert decontaminate.greedy_tiles(np.zeros(0, int), text, 5) == decontaminate.greedy_tiles(item, text[:4], 5) == []
+    assert time.monotonic() - began < 5
 
 
 def test_leaks(spark):
@@ -257,6 +268,65 @@ def test_pseudonyms(spark):
     assert other != out[5].text
 
 
+def test_pseudonyms_of_long_and_adjacent_values(spark):
+    """Patterns neither recurse nor start again inside a run: these texts took minutes or the whole executor."""
+    import time
+
+    many = "x@" + "a." * 20_000 + "com"
+    rows = [(1, many), (2, "b" * 200_000 + " 1"), (3, "b" * 200_000 + "@"), (4, "1" * 200_000), (5, "a-" * 50_000 + "@b.c"), (6, "x@" + "a-" * 50_000 + "b.org"),
+            (7, "a@b.com_c@d.org"), (8, "a@b-.com a@b a@@b.c é@ü.de"), (9, "10.0.0.1x@y.z"), (10, "a@b.c@d.e")]
+    began = time.monotonic()
+    out = {r.doc_id: r for r in pii_feistel.pseudonymise(frame(spark, rows), "k").collect()}
+    assert time.monotonic() - began < 60
+    assert [out[i].n_pseudonyms for i in range(1, 11)] == [1, 0, 0, 0, 1, 1, 2, 0, 1, 1]
+    assert re.fullmatch(r"u\w{16}@p\w{8}\.invalid", out[1].text) and re.fullmatch(r"(u\w{16}@p\w{8}\.invalid){2}", out[7].text)
+    assert out[8].text == rows[7][1] and all(out[i].text == rows[i - 1][1] for i in (2, 3, 4))
+    assert pii_feistel.pseudonymise(frame(spark, []), "k").collect() == []
+    twice = pii_feistel.pseudonymise(frame(spark, [(1, "a@b.c"), (1, "a@b.c")]), "k").collect()
+    assert twice[0] == twice[1]
+
+
+def test_many_copies_of_one_text(spark, monkeypatch):
+    """One set on half of the rows is joined apart from the others."""
+    monkeypatch.setattr(ngram_join, "TOGETHER", 3)
+    rows = [(i, "one text of seven words in all") for i in range(100, 160)] + [(i, f"text {i // 2} with a word more than six") for i in range(60)]
+    got = ngram_join.ngram_jaccard_classes(frame(spark, rows)).collect()
+    assert sorted(tuple(r) for r in got) == brute_classes(rows)
+
+
+def test_scan_of_sizes_counts_shared_shingles(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(ngram_join, "MERGED", 20)
+    texts = [" ".join(f"w{j}" for j in range(i, i + 9)) for i in range(30)] + ["q r s t u"] * 5
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+    *_, last = ngram_join._scan_sizes(5)(iter([batch]))
+    found = dict(zip(last.column(4).to_pylist()[0], last.column(5).to_pylist()[0]))
+    sets = ngram_join.shingle_sets(ngram_join.words_of(*next(iter(ngram_join.chunks(batch.column(1))))[1:]), 5)
+    held = {}
+    for values in sets[:30]:
+        for x in values.tolist():
+            held[x] = held.get(x, 0) + 1
+    assert found and all(held[x] >= c > 1 for x, c in found.items()) and sets[30][0] not in found
+
+
+def test_scan_memory_is_bounded():
+    """The peak of the first scan's own arrays stays under 60 MB, however many texts a partition holds."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = random.Random(2)
+    texts = pa.array([" ".join(rng.choices("abcdefghijklmnop", k=400)) for _ in range(3000)])
+    batches = (pa.RecordBatch.from_arrays([pa.array(range(3000)), texts], ["doc_id", "text"]) for _ in range(3))
+    tracemalloc.start()
+    for _ in ngram_join._scan_sizes(5)(batches):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60 << 20
+
+
 def test_feistel_is_a_permutation(spark):
     from pyspark.sql import functions as F
 
