@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .bpe_count import tokenizer_path
 from .tasks import map_arrow
+from .wordhash import chunks
 
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6
@@ -159,18 +160,6 @@ def _checked(path: str) -> Codec:
     return _codec(path)
 
 
-def _runs(texts: list[str], chars: int = 1 << 21):
-    """Runs of texts of at most so many characters (one text at least)."""
-    first = total = 0
-    for i, t in enumerate(texts):
-        if i > first and total + len(t) > chars:
-            yield texts[first:i]
-            first, total = i, 0
-        total += len(t)
-    if texts:
-        yield texts[first:]
-
-
 def encode_documents(docs: DataFrame, tokenizer: str = "piece_bpe_32k.model", id_col: str = "doc_id",
                      text_col: str = "text") -> DataFrame:
     """(doc_id, ids, n_tokens, round_trip), one row for each row of ``docs``.
@@ -179,23 +168,23 @@ def encode_documents(docs: DataFrame, tokenizer: str = "piece_bpe_32k.model", id
     texts can be false here). A null text counts as empty: no ids. Null and
     repeated ids are carried as they are; other columns are ignored; an empty
     table gives no rows. Texts are encoded whole. ``tokenizer`` names a file of
-    the installed package, or a path that every executor has.
+    the installed package, or a path that every executor has. A worker holds the
+    tokens of a few hundred thousand bytes of text (one text at least) at a time.
     """
 
     def run(batches):
         codec = _checked(tokenizer_path(tokenizer))
         for batch in batches:
-            texts, at = [t or "" for t in batch.column(1).to_pylist()], 0
-            for some in _runs(texts):
+            for first, _, bounds in chunks(batch.column(1)):
+                some = [t or "" for t in batch.column(1).slice(first, len(bounds) - 1).to_pylist()]
                 ids = codec.encode(some)
                 same = [codec.decode(x) == t for x, t in zip(ids, some)]
                 sizes = np.array([len(x) for x in ids], dtype=np.int64)
                 offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
                 flat = np.concatenate([np.array(x, dtype=np.int32) for x in ids])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(at, len(some)), pa.ListArray.from_arrays(offsets, pa.array(flat)),
+                    [batch.column(0).slice(first, len(some)), pa.ListArray.from_arrays(offsets, pa.array(flat)),
                      pa.array(sizes), pa.array(same)], ["doc_id", "ids", "n_tokens", "round_trip"])
-                at += len(some)
 
     narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     kind = narrow.schema["doc_id"].dataType.simpleString()
