@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from ..functions.numbers import count_where, pct, present
 from ..functions.text import format_pct, pct_text
-from .quantiles import exact_quantiles, quantiles
+from .quantiles import counted_values, exact_quantiles, quantiles
 from .staging import stage_table
 
 
@@ -319,19 +319,19 @@ def group_median(df: DataFrame, group_col: str, value_col: str, alias: str = "me
     Exact and skew-safe by default; ``exact=False`` uses a sketch.
     """
     base = _drop_null_keys(df, [group_col])
-    med = quantiles(base, [group_col], value_col, [0.5], [alias], exact=exact)
-    groups = base.select(group_col).distinct()
-    out = groups.join(med, group_col, "left")
+    if exact:
+        out = exact_quantiles(base, [group_col], value_col, [0.5], [alias], keep_empty=True)
+    else:
+        med = quantiles(base, [group_col], value_col, [0.5], [alias], exact=False)
+        out = base.select(group_col).distinct().join(med, group_col, "left")
     return out.orderBy(F.col(alias).desc_nulls_last(), F.col(group_col))
 
 
 def two_sample_overview(df: DataFrame, group_col: str, value_col: str, groups: Sequence[str]) -> DataFrame:
     """N, mean and exact median of ``value_col`` per sample (NULL values omitted)."""
-    base = df.where(F.col(group_col).isin(list(groups)) & F.col(value_col).isNotNull())
-    return exact_quantiles(
-        base, [group_col], value_col, [0.5], ["median"],
-        extra_aggs={"n": lambda v: F.count(v).cast("bigint"), "mean": F.avg},
-    ).select(group_col, "n", "mean", "median")
+    counted = counted_values(df.where(F.col(group_col).isin(list(groups)) & present(value_col).isNotNull()), [group_col], value_col)
+    medians = counted.quantiles([0.5], ["median"])
+    return medians.join(counted.moments(["mean"]), group_col).select(group_col, "n", "mean", "median")
 
 
 def share_kpis(
@@ -380,9 +380,9 @@ def share_kpis(
 # ---------------------------------------------------------------- A18-A20
 
 def long_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Numeric columns as (column_name, value double) rows, NULLs and NaNs dropped."""
-    long = df.select(*[present(c).alias(c) for c in cols]).unpivot([], list(cols), "column_name", "value")
-    return long.where(F.col("value").isNotNull())
+    """Numeric columns as (column_name, value double) rows, NaN as NULL. NULLs stay,
+    so a column without any value is still described (count 0)."""
+    return df.select(*[present(c).alias(c) for c in cols]).unpivot([], list(cols), "column_name", "value")
 
 
 def describe_long(
@@ -396,14 +396,13 @@ def describe_long(
     Percentiles are exact (interpolated, skew-safe) unless ``exact=False``.
     """
     names = [f"p{int(round(p * 100))}" for p in probs]
-    basic = {
-        "count": lambda v: F.count(v).cast("bigint"), "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max,
-    }
     if exact:
-        # count/mean/std/min/max come from the staged values: one pass over the input.
-        out = exact_quantiles(long, ["column_name"], "value", probs, names, extra_aggs=basic)
+        # Everything comes from the staged counted values: one pass over the input.
+        counted = counted_values(long, ["column_name"], "value")
+        out = counted.moments().join(counted.quantiles(probs, names).drop("n"), "column_name")
     else:
-        stats_df = long.groupBy("column_name").agg(*[fn(F.col("value")).alias(n) for n, fn in basic.items()])
+        basic = {"count": lambda v: F.count(v).cast("bigint"), "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+        stats_df = long.groupBy("column_name").agg(*[fn(present("value")).alias(n) for n, fn in basic.items()])
         out = stats_df.join(quantiles(long, ["column_name"], "value", probs, names, exact=False), "column_name", "left")
     stats = ["mean", "std", "min", *names, "max"]
     return out.select("column_name", "count", *[_round(F.col(s), decimals).alias(s) for s in stats])
@@ -418,10 +417,13 @@ def describe_percentiles(
 ) -> DataFrame:
     """Count, mean, std, min, exact percentiles, max per numeric column.
 
-    One row per column (``column_name``). The columns are unpivoted so each
-    becomes a group of the skew-safe exact quantile operator.
+    One row per column (``column_name``), also for columns of NULLs and of an
+    empty table (count 0, else NULL). The columns are unpivoted so each becomes a
+    group of the skew-safe exact quantile operator.
     """
-    return describe_long(long_values(df, cols), probs, decimals, exact)
+    found = describe_long(long_values(df, cols), probs, decimals, exact)
+    out = _column_names_frame(df.sparkSession, cols).join(found, "column_name", "left")
+    return out.withColumn("count", F.coalesce(F.col("count"), F.lit(0)).cast("bigint"))
 
 
 def _column_names_frame(spark, names: Sequence[str]) -> DataFrame:

@@ -6,33 +6,40 @@ probability ``q`` the position is ``h = (n - 1) q`` and the result
 ignored.
 
 Spark's exact ``percentile``/``median`` merge every distinct value of a group
-in one task, which a hot group cannot afford. Here the rows are globally
-range-sorted on (group, value) (see :mod:`.ranking`), the needed ranks are
-computed from per-group counts, located through the small segment table and
-fetched by (range, row id): one columnar pass for the counts, and a fetch that
-partition pruning limits to the ranges holding a needed rank; no group is
-gathered anywhere.
+in one task, which a hot group cannot afford. Here the selection runs on
+*counted* values:
+
+1. The input is aggregated to (group, value, count), combined map-side, so a
+   value that a third of all rows share is one row from there on, and the
+   input is read once.
+2. The counted values are range-partitioned on (group, value). The key is
+   unique, so Spark's sampled ranges can split any group, and no tie-breaking
+   id and no staging of the input are needed. They are staged once.
+3. Per (range, group), the summed counts give the ranks that a range holds. A
+   needed rank is located in one of these segments, and only the located
+   segments (a part of one range each) are walked by running counts.
+
+Counts, means, deviations, fences and whiskers come from the staged counted
+values as well (weighted by the counts), not from another pass over the input.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import present
-from .ranking import group_positions
-
-#: Ranges that a partition filter lists, at most.
-PRUNED_RANGES = 1000
+from .lookup import lookup, staged_lookup
+from .staging import stage_table
 
 
 def _null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str]):
-    cond = None
+    cond = F.lit(True)
     for c in cols:
-        e = left[c].eqNullSafe(right[c])
-        cond = e if cond is None else (cond & e)
+        cond = cond & left[c].eqNullSafe(right[c])
     return cond
 
 
@@ -69,6 +76,104 @@ def quantiles(
     return approx_quantiles(df, group_cols, value_col, probs, names)
 
 
+@dataclass
+class CountedValues:
+    """Counted values of one column per group, staged in ranges of (group, value).
+
+    ``rows`` has the group columns, ``_v`` (double; NULL: rows of the group
+    without a value), ``_c`` (how many rows have it) and ``_pid`` (the range).
+    """
+
+    rows: DataFrame
+    group_cols: list[str]
+
+    def sizes(self) -> DataFrame:
+        """One row per group: ``n`` rows with a value (0 if there are none)."""
+        n = F.sum(F.when(F.col("_v").isNotNull(), F.col("_c")).otherwise(0))
+        return self.rows.groupBy(*self.group_cols).agg(n.cast("bigint").alias("n"))
+
+    def moments(self, names: Sequence[str] = ("count", "mean", "std", "min", "max")) -> DataFrame:
+        """One row per group: count, mean, sample deviation, least and greatest value.
+
+        The deviation is summed around the mean in a second walk over the staged
+        values; the means come back by a lookup of checked size.
+        """
+        v, c = F.col("_v"), F.col("_c")
+        known = F.when(v.isNotNull(), c).otherwise(0)
+        first = self.rows.groupBy(*self.group_cols).agg(
+            F.sum(known).cast("bigint").alias("count"), F.try_divide(F.sum(v * c), F.sum(known)).alias("mean"),
+            F.min(v).alias("min"), F.max(v).alias("max"))
+        if "std" not in names:
+            return first.select(*self.group_cols, *names)
+        keys = [f"_k{i}" for i in range(len(self.group_cols))]
+        means = staged_lookup(first.withColumnsRenamed(dict(zip(self.group_cols, keys))), "moments")
+        match = F.lit(True)
+        for g, k in zip(self.group_cols, keys):
+            match = match & F.col(g).eqNullSafe(F.col(k))
+        apart = (v - F.col("mean")) * (v - F.col("mean")) * c
+        spread = self.rows.join(means, match).groupBy(*keys).agg(
+            *[F.first(x).alias(x) for x in ("count", "mean", "min", "max")], F.sum(apart).alias("_s"))
+        std = F.when(F.col("count") > 1, F.sqrt(F.col("_s") / (F.col("count") - 1)))
+        return spread.withColumn("std", std).withColumnsRenamed(dict(zip(keys, self.group_cols))).select(*self.group_cols, *names)
+
+    def at_ranks(self, ranks: DataFrame) -> DataFrame:
+        """``ranks`` (group columns, ``_rank``, further columns) with ``_value``: the
+        value at that 0-based rank of the group. Ranks beyond the group drop."""
+        g = self.group_cols
+        held = self.rows.where(F.col("_v").isNotNull())
+        segments = held.groupBy("_pid", *g).agg(F.sum("_c").alias("_w"))
+        earlier = Window.partitionBy(*g).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+        segments = segments.withColumn("_before", F.coalesce(F.sum("_w").over(earlier), F.lit(0)))
+        located = ranks.join(segments, _null_safe_on(ranks, segments, g)).where(
+            (F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_w"))
+        ).select(*[ranks[c] for c in ranks.columns], "_pid", "_before")
+        # A segment lies within one range, so its running counts are the work of one range at most.
+        needed = located.select("_pid", *g, "_before").distinct()
+        walk = Window.partitionBy("_pid", *g).orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+        inside = held.alias("r").join(needed.alias("s"), _null_safe_on_alias("r", "s", ["_pid", *g])).select(
+            *[F.col(f"r.{c}").alias(c) for c in ["_pid", *g, "_v", "_c"]], "s._before")
+        inside = inside.withColumn("_from", F.col("_before") + F.coalesce(F.sum("_c").over(walk), F.lit(0)))
+        return located.alias("l").join(inside.alias("i"), _null_safe_on_alias("l", "i", ["_pid", *g]) & (
+            F.col("l._rank") >= F.col("i._from")) & (F.col("l._rank") < F.col("i._from") + F.col("i._c"))).select(
+            *[F.col(f"l.{c}").alias(c) for c in ranks.columns], F.col("i._v").alias("_value"))
+
+    def quantiles(self, probs: Sequence[float], names: Sequence[str]) -> DataFrame:
+        """One row per group: group columns, ``names`` and ``n``; NULL in groups without a value."""
+        g = self.group_cols
+        sizes = self.sizes()
+        wanted = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)])
+        need = sizes.select(*g, "n", F.explode(wanted).alias("_q")).where("n > 0").select(
+            *g, F.col("_q.i").alias("_i"), ((F.col("n") - 1).cast("double") * F.col("_q.p")).alias("_h"), "n")
+        low = F.floor("_h").cast("bigint")
+        ends = F.array(F.struct(F.lit(False).alias("up"), low.alias("rank")), F.struct(F.lit(True).alias("up"), F.least(low + 1, F.col("n") - 1).alias("rank")))
+        ranks = need.select(*g, "_i", "_h", F.explode(ends).alias("_e")).select(*g, "_i", "_h", F.col("_e.up").alias("_up"), F.col("_e.rank").alias("_rank"))
+        found = self.at_ranks(ranks)
+        columns = []
+        for i, name in enumerate(names):
+            at = lambda up, i=i: F.max(F.when((F.col("_i") == i) & (F.col("_up") == up), F.col("_value")))
+            h = F.max(F.when(F.col("_i") == i, F.col("_h")))
+            part = h - F.floor(h)
+            columns.append(F.when(part == 0, at(False)).otherwise(at(False) + (at(True) - at(False)) * part).alias(name))
+        wide = found.groupBy(*g).agg(*columns)
+        return sizes.join(wide, _null_safe_on(sizes, wide, g), "left").select(*[sizes[c] for c in g], *names, "n")
+
+
+def _null_safe_on_alias(left: str, right: str, cols: Sequence[str]):
+    cond = F.lit(True)
+    for c in cols:
+        cond = cond & F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}"))
+    return cond
+
+
+def counted_values(df: DataFrame, group_cols: Sequence[str], value_col: str, num_partitions: int | None = None) -> CountedValues:
+    """Count the values of ``value_col`` (as double, NaN as NULL) per group and stage them in ranges."""
+    g = list(group_cols)
+    counts = df.select(*g, present(value_col).alias("_v")).groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    keys = [*[F.col(c).asc_nulls_first() for c in g], F.col("_v").asc_nulls_last()]
+    ranged = counts.repartitionByRange(num_partitions, *keys) if num_partitions else counts.repartitionByRange(*keys)
+    return CountedValues(stage_table(ranged.withColumn("_pid", F.spark_partition_id().cast("bigint")), "counted"), g)
+
+
 def exact_quantiles(
     df: DataFrame,
     group_cols: Sequence[str],
@@ -77,75 +182,18 @@ def exact_quantiles(
     names: Sequence[str] | None = None,
     with_count: bool = False,
     num_partitions: int | None = None,
-    extra_aggs: Mapping[str, Callable[[Column], Column]] | None = None,
-    return_values: bool = False,
-):
+    keep_empty: bool = False,
+) -> DataFrame:
     """One row per group: the ``probs`` quantiles of ``value_col``.
 
-    Output columns are ``group_cols`` + ``names`` (default ``q25``-style
-    names) [+ ``n`` with ``with_count``] [+ ``extra_aggs``]. Groups whose
-    values are all NULL (or NaN) are absent. Values are computed in double precision.
-
-    ``extra_aggs`` (name -> function of the value column, e.g. ``F.avg``) are
-    computed from the staged values, so the input is evaluated only once even
-    when it is an expensive join. With ``return_values`` the result is
-    ``(quantiles, values)`` where ``values`` is the staged (group, ``_v``)
-    table for further passes.
+    Output columns are ``group_cols`` + ``names`` (default ``q25``-style names)
+    [+ ``n`` with ``with_count``]. Groups whose values are all NULL (or NaN) are
+    absent, or have NULLs with ``keep_empty``. Values are computed in double
+    precision.
     """
-    group_cols = list(group_cols)
     names = list(names) if names is not None else [f"q{int(round(p * 100))}" for p in probs]
-    data = df.select(*group_cols, present(value_col).alias("_v")).where(F.col("_v").isNotNull())
-    if not group_cols:
-        data = data.withColumn("_g", F.lit(0))
-        gcols = ["_g"]
-    else:
-        gcols = group_cols
-    rows, seg = group_positions(data, gcols, "_v", num_partitions)
-
-    sizes = seg.groupBy(*gcols).agg(F.sum("_cnt").alias("_n"))
-    wanted = F.array(*[
-        F.struct(F.lit(i).alias("qi"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)
-    ])
-    need = sizes.select(*gcols, "_n", F.explode(wanted).alias("_q")).select(
-        *gcols, "_n", F.col("_q.qi").alias("_qi"),
-        ((F.col("_n") - 1).cast("double") * F.col("_q.p")).alias("_h"),
-    ).withColumn("_lo", F.floor("_h").cast("bigint"))
-    need = need.withColumn("_hi", F.least(F.col("_lo") + 1, F.col("_n") - 1))
-    ranks = need.select(*gcols, "_qi", "_h", "_lo", F.explode(F.array("_lo", "_hi")).alias("_rank")).distinct()
-
-    # Locate each needed rank in its (partition, group) segment -> row id.
-    located = ranks.join(seg, _null_safe_on(ranks, seg, gcols), "inner").where(
-        (F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_cnt"))
-    ).select(
-        *[ranks[c] for c in gcols], "_qi", "_h", "_lo", "_rank", "_pid",
-        (F.shiftleft(F.col("_pid").cast("bigint"), 33) + F.col("_first") + F.col("_rank") - F.col("_before")).alias("_rid"),
-    )
-    # Only the ranges holding a needed rank are read back, if they are few
-    # enough for a partition filter; else all are, and the join picks the rows.
-    needed = [r[0] for r in located.select("_pid").distinct().limit(PRUNED_RANGES + 1).collect()]
-    fetch = rows.where(F.col("_pid").isin(needed)) if len(needed) <= PRUNED_RANGES else rows
-    fetch = fetch.select("_pid", "_rid", "_v")
-    picked = located.join(fetch, ["_pid", "_rid"], "inner")
-    per_q = picked.groupBy(*gcols, "_qi", "_h", "_lo").agg(
-        F.max(F.when(F.col("_rank") == F.col("_lo"), F.col("_v"))).alias("_a"),
-        F.max("_v").alias("_b"),
-    )
-    # max(_v) is the value at _hi: values are sorted, _hi >= _lo.
-    val = F.col("_a") + (F.col("_b") - F.col("_a")) * (F.col("_h") - F.col("_lo").cast("double"))
-    per_q = per_q.select(*gcols, "_qi", F.when(F.col("_h") == F.col("_lo").cast("double"), F.col("_a")).otherwise(val).alias("_val"))
-    wide = per_q.groupBy(*gcols).pivot("_qi", list(range(len(probs)))).agg(F.first("_val"))
-    wide = wide.select(*gcols, *[F.col(str(i)).alias(n) for i, n in enumerate(names)])
-    if with_count:
-        wide = wide.join(sizes, _null_safe_on(wide, sizes, gcols), "inner").select(
-            *[wide[c] for c in gcols], *names, F.col("_n").alias("n")
-        )
-    if extra_aggs:
-        more = rows.groupBy(*gcols).agg(*[fn(F.col("_v")).alias(n) for n, fn in extra_aggs.items()])
-        wide = wide.join(more, _null_safe_on(wide, more, gcols), "inner").select(
-            *[wide[c] for c in gcols], *[c for c in wide.columns if c not in gcols], *list(extra_aggs)
-        )
-    values = rows.select(*gcols, "_v")
-    if not group_cols:
-        wide = wide.drop("_g")
-        values = values.drop("_g")
-    return (wide, values) if return_values else wide
+    if not group_cols:  # all rows are one group
+        df, group_cols = df.select(F.lit(0).alias("_g"), value_col), ["_g"]
+    out = counted_values(df, group_cols, value_col, num_partitions).quantiles(probs, names)
+    out = out if keep_empty else out.where("n > 0")
+    return out.drop("_g", *([] if with_count else ["n"]))

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import present
 from ..functions.pvalues import chi2_upper_p, student_t_two_sided_p, verdict
-from .quantiles import exact_quantiles
+from .lookup import lookup, staged_lookup
+from .quantiles import counted_values
 from .staging import stage_table
 
 
@@ -181,26 +182,25 @@ def box_stats(df: DataFrame, group_col: str, value_col: str, whisker: float = 1.
     """T5: per group q1, median, q3, whiskers (extreme data within ``whisker`` IQR), outlier count.
 
     Quartiles come from the exact quantile operator; the whiskers and the
-    outlier count are one more aggregate over its staged values joined to the
-    per-group fences, not another pass over the input.
+    outlier count are one more aggregate over its staged counted values, which
+    look the fences up map-side, not another pass over the input.
     """
     base = df.where(F.col(group_col).isNotNull() & present(value_col).isNotNull())
-    q, values = exact_quantiles(
-        base, [group_col], value_col, [0.25, 0.5, 0.75], ["q1", "median", "q3"], with_count=True, return_values=True
-    )
+    counted = counted_values(base, [group_col], value_col)
+    q = counted.quantiles([0.25, 0.5, 0.75], ["q1", "median", "q3"])
     iqr = F.col("q3") - F.col("q1")
-    fences = q.select(
+    fences = staged_lookup(q.select(
         group_col, "q1", "median", "q3", "n",
         (F.col("q1") - whisker * iqr).alias("_lo"), (F.col("q3") + whisker * iqr).alias("_hi"),
-    )
+    ), "fences")
     v = F.col("_v")
     inside = (v >= F.col("_lo")) & (v <= F.col("_hi"))
-    agg = values.join(fences.select(group_col, "_lo", "_hi"), group_col).groupBy(group_col).agg(
+    return lookup(counted.rows, fences, [group_col]).groupBy(group_col).agg(
+        *[F.first(c).alias(c) for c in ("q1", "median", "q3", "n")],
         F.min(F.when(inside, v)).alias("whisker_low"),
         F.max(F.when(inside, v)).alias("whisker_high"),
-        F.count_if(~inside).cast("bigint").alias("n_outliers"),
+        F.sum(F.when(~inside, F.col("_c")).otherwise(0)).cast("bigint").alias("n_outliers"),
     )
-    return fences.drop("_lo", "_hi").join(agg, group_col)
 
 
 # ---------------------------------------------------------------- T6
@@ -216,11 +216,11 @@ def kde(
     """Gaussian kernel density per group on an even grid (violin statistics).
 
     Scott's bandwidth ``h = std * n^(-1/5) * bw_adjust``; the grid spans
-    ``[min - cut h, max + cut h]`` in ``gridsize`` points. Equal values are
-    aggregated first, then each distinct (group, value, count) is spread over
-    the group's grid points and summed per point: a map-side partial
-    aggregate keeps the shuffle at one row per (group, point) per task.
-    Groups with fewer than two values or zero spread have no density.
+    ``[min - cut h, max + cut h]`` in ``gridsize`` points. The grids (one row per
+    group) are looked up map-side, and every task folds its rows into one array of
+    ``gridsize`` sums per group, so the shuffle carries groups x tasks arrays,
+    whatever the number of rows. Groups with fewer than two values or zero spread
+    have no density.
     """
     base = df.where(F.col(group_col).isNotNull() & present(value_col).isNotNull()).select(
         group_col, present(value_col).alias("_v")
@@ -232,17 +232,20 @@ def kde(
     params = params.withColumn("_lo", F.col("_mn") - cut * F.col("bandwidth")).withColumn(
         "_step", (F.col("_mx") + cut * F.col("bandwidth") - F.col("_lo")) / F.lit(float(gridsize - 1))
     )
-    distinct_vals = base.groupBy(group_col, "_v").agg(F.count(F.lit(1)).alias("_w"))
-    spread = distinct_vals.join(params.select(group_col, "bandwidth", "_lo", "_step"), group_col).select(
-        group_col, "_v", "_w", "bandwidth", "_lo", "_step", F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1))).alias("i")
+    grid = staged_lookup(params.select(group_col, "_n", "bandwidth", "_lo", "_step"), "grid")
+    # In units of the bandwidth, grid point i lies at _u - i * _d from the row's value.
+    units = lookup(base, grid, [group_col]).select(
+        group_col, "_n", "bandwidth", "_lo", "_step", ((F.col("_lo") - F.col("_v")) / F.col("bandwidth")).alias("_u"),
+        (F.col("_step") / F.col("bandwidth")).alias("_d"),
     )
-    x = F.col("_lo") + F.col("i") * F.col("_step")
-    u = (x - F.col("_v")) / F.col("bandwidth")
-    dens = spread.groupBy(group_col, "i").agg(F.sum(F.col("_w") * F.exp(-0.5 * u * u)).alias("_s"))
+    kernel = lambda i: F.exp(-0.5 * (F.col("_u") + i * F.col("_d")) * (F.col("_u") + i * F.col("_d")))
+    sums = units.groupBy(group_col).agg(
+        *[F.first(c).alias(c) for c in ("_n", "bandwidth", "_lo", "_step")], *[F.sum(kernel(i)).alias(f"_s{i}") for i in range(gridsize)])
     norm = F.col("_n").cast("double") * F.col("bandwidth") * math.sqrt(2 * math.pi)
-    return dens.join(params, group_col).select(
-        group_col, "i", (F.col("_lo") + F.col("i") * F.col("_step")).alias("x"), (F.col("_s") / norm).alias("density"),
-        "bandwidth",
+    return sums.select(
+        group_col, "_n", "bandwidth", "_lo", "_step", F.posexplode(F.array(*[f"_s{i}" for i in range(gridsize)])).alias("i", "_s")
+    ).select(
+        group_col, "i", (F.col("_lo") + F.col("i") * F.col("_step")).alias("x"), (F.col("_s") / norm).alias("density"), "bandwidth",
     )
 
 
@@ -260,7 +263,8 @@ def histogram(
     for a constant sample the range is ``[v - 0.5, v + 0.5]``. Every bin is
     present (zero-filled). Columns: [group], ``bin``, ``bin_start``,
     ``bin_end``, ``count``. The global range is a pair of scalar subqueries;
-    per-group ranges (one row per group) are joined on the group key.
+    per-group ranges (one row per group) are looked up map-side, so raw rows are
+    only counted, never shuffled.
     """
     keep = present(value_col).isNotNull() & (F.col(group_col).isNotNull() if group_col else F.lit(True))
     keys = [group_col] if group_col else []
@@ -273,7 +277,8 @@ def histogram(
         F.when(same, F.col("_mx") + 0.5).otherwise(F.col("_mx")).alias("_hi"),
     )
     if group_col:
-        joined = base.join(rng, keys)
+        rng = staged_lookup(rng, "ranges")
+        joined = lookup(base, rng, keys)
         grid = rng.select(*keys, "_lo", "_hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     else:
         lo, hi = rng.select("_lo").scalar(), rng.select("_hi").scalar()
