@@ -52,6 +52,23 @@ def reference_date_filter(
     ``(kept, rejects)`` where rejects carry a ``reject_reason`` of
     ``unknown_key``, ``null_date`` or ``before_reference``.
     """
+    flagged = flag_rejects(df, key_col, date_col, first_year, "_reject", reference_col)
+    kept = flagged.where(F.col("_reject").isNull()).drop("_reject")
+    if not with_rejects:
+        return kept
+    return kept, flagged.where(F.col("_reject").isNotNull()).withColumnRenamed("_reject", "reject_reason")
+
+
+def flag_rejects(
+    df: DataFrame,
+    key_col: str,
+    date_col: str,
+    first_year: Mapping[str, int] | None = None,
+    flag_col: str = "reject_reason",
+    reference_col: str | None = None,
+) -> DataFrame:
+    """F1 without dropping: all rows with ``flag_col`` = why :func:`reference_date_filter`
+    would reject the row, NULL if it keeps it."""
     ref = "_ref_date"
     if reference_col is None:
         with_ref = constant_lookup(df, key_col, first_year or {}, "_ref_year").withColumn(
@@ -59,17 +76,13 @@ def reference_date_filter(
         ).drop("_ref_year")
     else:
         with_ref = df.withColumn(ref, F.col(reference_col).cast("date"))
-    ok = F.col(date_col).cast("date") >= F.col(ref)
-    kept = with_ref.where(ok).drop(ref)
-    if not with_rejects:
-        return kept
     reason = (
         F.when(F.col(ref).isNull(), F.lit("unknown_key"))
         .when(F.col(date_col).isNull(), F.lit("null_date"))
+        .when(F.col(date_col).cast("date") >= F.col(ref), F.lit(None))
         .otherwise(F.lit("before_reference"))
     )
-    rejects = with_ref.where(~F.coalesce(ok, F.lit(False))).withColumn("reject_reason", reason).drop(ref)
-    return kept, rejects
+    return with_ref.withColumn(flag_col, reason).drop(ref)
 
 
 def order_violations(df: DataFrame, start_col: str, end_col: str, drop: bool = False) -> DataFrame:

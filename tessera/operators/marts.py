@@ -32,8 +32,13 @@ def _round(c: Column, decimals: int | None) -> Column:
     return F.round(c, decimals) if decimals is not None else c
 
 
-def _avg(col: str, decimals: int | None) -> Column:
-    return _round(F.avg(F.col(col)), decimals).cast("double")
+def present_sum(col: str, df: DataFrame) -> Column:
+    """The column with NaN as NULL; decimals and integers as they are, so sums stay exact."""
+    return F.nanvl(F.col(col), F.lit(None)) if df.schema[col].dataType.typeName() in ("double", "float") else F.col(col)
+
+
+def _avg(col: str, decimals: int | None, df: DataFrame) -> Column:
+    return _round(F.avg(present_sum(col, df)), decimals).cast("double")
 
 
 # ---------------------------------------------------------------- A1-A4
@@ -124,9 +129,9 @@ def status_summary(
     if rate_alias:
         aggs.append(count_where(F.col(status_col) == F.lit(success_value)).alias("_succ"))
     if measure_col and avg_alias:
-        aggs.append(_avg(measure_col, decimals).alias(avg_alias))
+        aggs.append(_avg(measure_col, decimals, df).alias(avg_alias))
     if measure_col and sum_alias:
-        aggs.append(_round(F.sum(F.col(measure_col)), decimals).cast("double").alias(sum_alias))
+        aggs.append(_round(F.sum(present_sum(measure_col, df)), decimals).cast("double").alias(sum_alias))
     out = df.groupBy(*group_cols).agg(*aggs)
     if rate_alias:
         out = out.withColumn(rate_alias, pct(F.col("_succ"), F.col(total_alias), decimals)).drop("_succ")
@@ -209,8 +214,8 @@ def group_profile(
     fine = base.groupBy(group_col, type_col).agg(
         F.count(F.lit(1)).alias("_rows"),
         *[c.cast("bigint").alias(a) for a, c in counts.items()],
-        F.sum(cost_col).alias("_cost_sum"), F.count(cost_col).alias("_cost_n"),
-        F.sum(duration_col).alias("_dur_sum"), F.count(duration_col).alias("_dur_n"),
+        F.sum(present_sum(cost_col, df)).alias("_cost_sum"), F.count(present_sum(cost_col, df)).alias("_cost_n"),
+        F.sum(present_sum(duration_col, df)).alias("_dur_sum"), F.count(present_sum(duration_col, df)).alias("_dur_n"),
     )
     # The most frequent type, the smallest of ties; NULL types do not count.
     rank = F.when(F.col(type_col).isNotNull(), F.struct((-F.col("_rows")).alias("r"), F.col(type_col).alias("t")))
@@ -273,7 +278,7 @@ def rate_profile(
         ).alias(alias))
     aggs += [count_where(p).alias(a) for a, p in (counts or {}).items()]
     if measure_col:
-        aggs.append(_avg(measure_col, decimals).alias(avg_alias))
+        aggs.append(_avg(measure_col, decimals, df).alias(avg_alias))
     out = base.groupBy(*group_cols).agg(*aggs)
     for alias, count_alias in (shares or {}).items():
         out = out.withColumn(alias, _round(F.col(count_alias).cast("double") * 100.0 / F.col(total_alias), share_decimals))
@@ -336,44 +341,42 @@ def two_sample_overview(df: DataFrame, group_col: str, value_col: str, groups: S
 
 def share_kpis(
     df: DataFrame,
-    profile: DataFrame,
     key_col: str,
     key_value: str,
     status_col: str,
     success_value: str,
+    spend_col: str,
     segments: Mapping[str, Column],
-    total_col: str = "total_missions",
-    spend_col: str = "total_cost_billion",
+    min_total: int = 5,
+    id_col: str | None = None,
 ) -> DataFrame:
     """One row of share KPIs.
 
-    * ``key_share_pct``: the key's rows over **all** rows,
-    * ``key_spend_share_pct``: the key's spend over the groups kept in
-      ``profile`` (after its minimum-size filter),
+    * ``key_share_pct``: the key's rows (non-NULL ``id_col`` if given) over **all** rows,
+    * ``key_spend_share_pct``: the key's spend over the groups of ``key_col`` with
+      more than ``min_total`` rows (the profile's minimum-size filter); NULL if
+      the key itself is not among them,
     * one success rate per named segment predicate (rows with a NULL status
       count in the denominator).
 
-    All segment rates come from one conditional aggregate over ``df``; the
-    spend share from the (small) profile; the two one-row results are joined
-    as scalar subqueries.
+    One aggregate per key (rows, spend, and rows and successes of every
+    segment, all additive) is rolled up to the KPIs, so ``df`` is read once.
     """
-    seg_aggs = []
-    for name, pred in segments.items():
+    ids = F.count(F.col(id_col)) if id_col else F.count(F.lit(1))
+    success = F.col(status_col) == F.lit(success_value)
+    parts = [F.count(F.lit(1)).alias("_rows"), ids.alias("_ids"), F.sum(present_sum(spend_col, df)).alias("_spend")]
+    for i, pred in enumerate(segments.values()):
         p = F.coalesce(pred, F.lit(False))
-        seg_aggs.append(
-            F.try_divide(
-                F.count_if(p & (F.col(status_col) == F.lit(success_value))).cast("double") * 100.0,
-                F.count_if(p).cast("double"),
-            ).alias(name)
-        )
-    key_rows = profile.where(F.col(key_col) == F.lit(key_value))
-    key_total = key_rows.select(F.first(total_col)).scalar()
-    key_spend = key_rows.select(F.first(spend_col)).scalar()
-    all_spend = profile.select(F.sum(spend_col)).scalar()
-    return df.agg(
-        (key_total.cast("double") * 100.0 / F.count(F.lit(1))).alias("key_share_pct"),
-        F.try_divide(key_spend * 100.0, all_spend).alias("key_spend_share_pct"),
-        *seg_aggs,
+        parts += [F.count_if(p).alias(f"_n{i}"), F.count_if(p & success).alias(f"_s{i}")]
+    per_key = df.groupBy(key_col).agg(*parts)
+    kept = F.col(key_col).isNotNull() & (F.col("_ids") > min_total)
+    own = kept & (F.col(key_col) == F.lit(key_value))
+    spend = F.coalesce(F.col("_spend"), F.lit(0)).cast("double")
+    rates = [F.try_divide(F.sum(f"_s{i}").cast("double") * 100.0, F.sum(f"_n{i}").cast("double")).alias(n) for i, n in enumerate(segments)]
+    return per_key.agg(
+        (F.max(F.when(own, F.col("_ids"))).cast("double") * 100.0 / F.sum("_rows")).alias("key_share_pct"),
+        F.try_divide(F.max(F.when(own, spend)) * 100.0, F.sum(F.when(kept, spend))).alias("key_spend_share_pct"),
+        *rates,
     )
 
 

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import calendar_columns, to_day
 from ..functions.text import split_list
 from .ranking import sequential_ids
+from .staging import stage_table
 
 
 # ---------------------------------------------------------------- dimensions
@@ -171,12 +172,15 @@ def inner_lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) -
 
 @dataclass
 class DimJoin:
-    """One arm of a star join: ``fact.fk = dim.pk``, columns to take (alias -> dim column)."""
+    """One arm of a star join: ``fact.fk = dim.pk``, columns to take (alias -> dim column).
+
+    ``large`` marks an arm of the fact's own size (a one-to-one extension of it)."""
 
     dim: DataFrame
     fact_key: str
     dim_key: str
     columns: dict[str, str] = field(default_factory=dict)
+    large: bool = False
 
 
 def star_join(
@@ -188,21 +192,25 @@ def star_join(
     """Fact left-joined to each arm, aliased projection, optional order.
 
     Each arm is joined on its own key, so one dimension can appear several
-    times (role-playing). Small dimensions become broadcast joins at run time
-    through AQE; a fact-sized arm stays a shuffle join. End ``order_by`` with
-    unique columns: a global sort range-partitions on its keys, and equal
-    keys (a hot date) cannot be split across tasks.
+    times (role-playing). Large arms are joined first, while the fact is still
+    partitioned as it came (one shuffle for that key, none if the fact is already
+    laid out by it); small dimensions follow as broadcast joins.
+
+    With ``order_by`` the unsorted view is staged first. A global sort samples its
+    input to cut its ranges, so it would run everything below it twice; like
+    this it reads the staged file twice. End ``order_by`` with unique columns:
+    equal keys (a hot date) cannot be split across tasks.
     """
     keys = list(dict.fromkeys(a.fact_key for a in arms if a.fact_key not in fact_columns))
     out = fact.select(*fact_columns, *keys)
-    for i, arm in enumerate(arms):
+    for i, arm in enumerate(sorted(arms, key=lambda a: not a.large)):
         tag = f"_k{i}"
         right = arm.dim.select(F.col(arm.dim_key).alias(tag), *[F.col(src).alias(al) for al, src in arm.columns.items()])
         out = out.join(right, out[arm.fact_key] == right[tag], "left").drop(tag)
     keep = list(fact_columns) + [al for arm in arms for al in arm.columns]
     out = out.select(*keep)
     if order_by:
-        out = out.orderBy(*order_by)
+        out = stage_table(out, "wide").orderBy(*order_by)
     return out
 
 

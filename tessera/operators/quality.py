@@ -10,9 +10,11 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from .staging import stage_table
+
 from ..sources.schema import TableConstraints
 
 
@@ -41,6 +43,20 @@ def counters(df: DataFrame, predicates: Mapping[str, Column]) -> DataFrame:
     return df.agg(*[F.count_if(F.coalesce(p, F.lit(False))).cast("bigint").alias(n) for n, p in predicates.items()])
 
 
+def observed_counters(df: DataFrame, predicates: Mapping[str, Column], name: str = "observed") -> tuple[DataFrame, DataFrame]:
+    """Q7 for a table that is staged anyway: (staged table, one row of named conditional counts).
+
+    The counts are observed while the table is written, so they cost no further
+    scan. They reach the driver as one number each.
+    """
+    seen = Observation(name)
+    observed = df.observe(seen, *[F.count_if(F.coalesce(p, F.lit(False))).alias(n) for n, p in predicates.items()])
+    staged = stage_table(observed, name)
+    found = seen.get
+    row = tuple(found[n] for n in predicates)
+    return staged, df.sparkSession.createDataFrame([row], ", ".join(f"`{n}` bigint" for n in predicates))
+
+
 def check_violations(
     df: DataFrame,
     not_null: Sequence[str] = (),
@@ -154,6 +170,15 @@ def health_check(tables: Mapping[str, DataFrame | Callable[[], DataFrame]], spar
     return out.withColumn("status", status)
 
 
+def overall_health(report: DataFrame) -> DataFrame:
+    """Q8: one row over a :func:`health_check` report: tables, how many are empty or
+    failed, and whether all are ``ok`` (NULL never; an empty report is healthy)."""
+    bad = F.count_if(F.col("status") != "ok")
+    return report.agg(
+        F.count(F.lit(1)).alias("n_tables"), F.count_if(F.col("status") == "empty").alias("n_empty"),
+        F.count_if(F.col("status") == "failed").alias("n_failed"), (bad == 0).alias("healthy"))
+
+
 def duplicate_counts(df: DataFrame, cols: Sequence[str], prefix: str = "dup_") -> DataFrame:
     """Q9: per column, rows beyond the first occurrence of each value.
 

@@ -238,12 +238,13 @@ def kde(
         group_col, "_n", "bandwidth", "_lo", "_step", ((F.col("_lo") - F.col("_v")) / F.col("bandwidth")).alias("_u"),
         (F.col("_step") / F.col("bandwidth")).alias("_d"),
     )
-    kernel = lambda i: F.exp(-0.5 * (F.col("_u") + i * F.col("_d")) * (F.col("_u") + i * F.col("_d")))
-    sums = units.groupBy(group_col).agg(
-        *[F.first(c).alias(c) for c in ("_n", "bandwidth", "_lo", "_step")], *[F.sum(kernel(i)).alias(f"_s{i}") for i in range(gridsize)])
+    kernels = [f"sum(exp(-0.5D * (_u + {i} * _d) * (_u + {i} * _d))) AS _s{i}" for i in range(gridsize)]
+    kept = [f"first({c}) AS {c}" for c in ("_n", "bandwidth", "_lo", "_step")]
+    sums = units.groupBy(group_col).agg(*map(F.expr, [*kept, *kernels]))
     norm = F.col("_n").cast("double") * F.col("bandwidth") * math.sqrt(2 * math.pi)
     return sums.select(
-        group_col, "_n", "bandwidth", "_lo", "_step", F.posexplode(F.array(*[f"_s{i}" for i in range(gridsize)])).alias("i", "_s")
+        group_col, "_n", "bandwidth", "_lo", "_step",
+        F.expr(f"posexplode(array({', '.join(f'_s{i}' for i in range(gridsize))}))").alias("i", "_s"),
     ).select(
         group_col, "i", (F.col("_lo") + F.col("i") * F.col("_step")).alias("x"), (F.col("_s") / norm).alias("density"), "bandwidth",
     )

@@ -18,14 +18,17 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import dates as D
 from ..functions import numbers as N
 from ..functions import text as X
 from ..functions.pvalues import verdict
 from ..operators import filters, marts, model, quality, stats
+from ..operators.staging import stage_table
 from ..session import ensure_checkpoint_dir
-from ..sources import io, sink
+from ..sources import io, schema, sink
+from . import missions
 
 STATUSES = {"finished_orders": "F", "open_orders": "O", "pending_orders": "P"}
 SUCCESS = "F"
@@ -224,19 +227,14 @@ def value_counts_multi(spark, sf):
 
 
 def share_kpis(spark, sf):
-    star = order_star(spark, sf)
-    prof = marts.group_profile(
-        star.withColumn("duration_days", F.lit(None).cast("int")), "n_name", "o_orderstatus", STATUSES, SUCCESS, "cost",
-        "duration_days", "c_mktsegment", min_total=5,
-    )
     return marts.share_kpis(
-        star, prof, "n_name", "NATION_0", "o_orderstatus", SUCCESS,
+        order_star(spark, sf), "n_name", "NATION_0", "o_orderstatus", SUCCESS, "cost",
         {
             "govt_success_rate": F.col("c_mktsegment") == GOVT,
             "private_success_rate": F.col("c_mktsegment") == PRIVATE,
             "urgent_success_rate": F.col("o_orderpriority") == URGENT,
             "low_success_rate": F.col("o_orderpriority") == "5-LOW",
-        },
+        }, min_total=5, id_col="o_orderkey",
     ).select(*[F.round(c, 6).alias(c) for c in [
         "key_share_pct", "key_spend_share_pct", "govt_success_rate", "private_success_rate",
         "urgent_success_rate", "low_success_rate",
@@ -418,19 +416,30 @@ def _dim_nation(spark, sf) -> DataFrame:
 
 
 def _dims(spark, sf) -> dict[str, DataFrame]:
-    """The three dimensions, each built (and staged) once per query."""
-    return {"date": _dim_date(spark, sf), "nation": _dim_nation(spark, sf), "pair": _dim_pair(spark, sf)}
+    """The three dimensions, each built and staged once per query. A staged table's
+    size is known when the fact's plan is made, so a small dimension is broadcast
+    and the fact stays where it is."""
+    dims = {"date": _dim_date(spark, sf), "nation": _dim_nation(spark, sf), "pair": _dim_pair(spark, sf)}
+    return {name: stage_table(dim, f"dim-{name}") for name, dim in dims.items()}
+
 
+META = {"o_orderpriority": "o_orderpriority", "o_orderstatus": "o_orderstatus"}
 
-def _fact(spark, sf, dims: dict[str, DataFrame] | None = None) -> DataFrame:
+
+def _fact(spark, sf, dims: dict[str, DataFrame] | None = None, meta: DataFrame | None = None) -> DataFrame:
+    """The fact; with ``meta`` (one row per order) also its columns, joined right
+    behind the orders, while the lines are still partitioned by the order key."""
     li = t(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", "l_shipdate", cost("l_extendedprice").alias("cost")
     )
     o = t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     c = t(spark, sf, "customer").select("c_custkey", "c_nationkey")
     n = t(spark, sf, "nation").select("n_nationkey", "n_name")
+    lines = li.join(o, li.l_orderkey == o.o_orderkey)
+    if meta is not None:
+        lines = lines.join(meta.withColumnRenamed("o_orderkey", "_meta_key"), F.col("l_orderkey") == F.col("_meta_key"), "left").drop("_meta_key")
     base = (
-        li.join(o, li.l_orderkey == o.o_orderkey).join(c, F.col("o_custkey") == c.c_custkey)
+        lines.join(c, F.col("o_custkey") == c.c_custkey)
         .join(n, F.col("c_nationkey") == n.n_nationkey).join(_part_roles(spark, sf), F.col("l_partkey") == F.col("p_partkey"))
     )
     dims = dims or _dims(spark, sf)
@@ -440,7 +449,7 @@ def _fact(spark, sf, dims: dict[str, DataFrame] | None = None) -> DataFrame:
     f = model.role_playing_keys(f, dd, {"order_date_id": "o_orderdate", "ship_date_id": "l_shipdate"})
     return model.project(f, [
         "l_orderkey", "l_linenumber", "nation_id", "pair_id", "order_date_id", "ship_date_id", "l_returnflag",
-        F.col("cost").cast("double").alias("cost"),
+        F.col("cost").cast("double").alias("cost"), *(META if meta is not None else ()),
     ])
 
 
@@ -508,11 +517,9 @@ def star_wide(spark, sf):
 
 def star_wide_meta(spark, sf):
     dims = _dims(spark, sf)
-    arms = _star_arms(dims)
     meta = model.project(t(spark, sf, "orders"), ["o_orderkey", "o_orderpriority", "o_orderstatus"])
-    arms.append(model.DimJoin(meta, "l_orderkey", "o_orderkey", {"o_orderpriority": "o_orderpriority", "o_orderstatus": "o_orderstatus"}))
     return model.star_join(
-        _fact(spark, sf, dims), ["l_orderkey", "l_linenumber", "l_returnflag", "cost"], arms,
+        _fact(spark, sf, dims, meta), ["l_orderkey", "l_linenumber", "l_returnflag", "cost", *META], _star_arms(dims),
         order_by=star_order(),
     )
 
@@ -700,24 +707,110 @@ def csv_roundtrip(spark, sf):
     )
 
 
+# The constraints of the tables that ``refresh_tables`` loads.
+CONSTRAINTS = {
+    "dim_date": schema.TableConstraints(primary_key=("date_id",), unique=(("full_date",),), not_null=("full_date", "year", "decade"),
+                                        ranges={"quarter": (1, 4), "month": (1, 12)}),
+    "dim_nation": schema.TableConstraints(primary_key=("nation_id",), not_null=("n_name",), max_length={"n_name": 255}),
+    "dim_pair": schema.TableConstraints(primary_key=("pair_id",), unique=(("destination", "category"),)),
+    "dim_order_meta": schema.TableConstraints(primary_key=("o_orderkey",), max_length={"o_orderpriority": 20}),
+    # No key: the given lines repeat (l_orderkey, l_linenumber), as ``pk_violations`` shows.
+    "fact_lines": schema.TableConstraints(
+        primary_key=(), ranges={"cost": (0, 10**10)},
+        foreign_keys=(
+            schema.ForeignKey("nation_id", "dim_nation", "nation_id"), schema.ForeignKey("pair_id", "dim_pair", "pair_id"),
+            schema.ForeignKey("order_date_id", "dim_date", "date_id"), schema.ForeignKey("ship_date_id", "dim_date", "date_id"),
+            schema.ForeignKey("l_orderkey", "dim_order_meta", "o_orderkey"),
+        )),
+    "bridge_items": schema.TableConstraints(primary_key=("id",), not_null=("doc_id", "item")),
+    "bridge_answers": schema.TableConstraints(primary_key=("id",), not_null=("item_id", "part")),
+}
+
+
 def refresh_tables(spark, sf):
-    """Dimensions and fact gated and refreshed; returns the health check of what landed."""
+    """Three dimensions, meta dimension, fact and two bridges written as one
+    version, gated by every declared constraint; returns the health check of
+    what readers see after the commit."""
     dims = _dims(spark, sf)
     tables = {
         "dim_date": dims["date"],
         "dim_nation": dims["nation"],
         "dim_pair": dims["pair"],
+        "dim_order_meta": meta_dim(spark, sf),
         "fact_lines": _fact(spark, sf, dims),
+        "bridge_items": bridge_explode(spark, sf),
+        "bridge_answers": model.bridge(t(spark, sf, "benchmark"), "item_id", "text", "part"),
     }
+    root = _scratch(spark, "warehouse")
+    gate = lambda written: missions.refuse_violations(missions.constraint_report(written, CONSTRAINTS))
+    sink.refresh_tables(tables, root, order=list(CONSTRAINTS), gate=gate)
+    return quality.health_check(sink.read_tables(spark, root, list(CONSTRAINTS)))
 
-    def gate(staged):
-        bad = quality.pk_violations(staged["dim_date"], ["date_id"]).limit(1).count()
-        if bad:
-            raise ValueError("dim_date has duplicate ids")
 
-    root = _scratch(spark, "warehouse")
-    paths = sink.refresh_tables(tables, root, order=["dim_date", "dim_nation", "dim_pair", "fact_lines"], gate=gate)
-    return quality.health_check(sink.read_tables(spark, root, list(paths)))
+def load_counters(spark, sf):
+    """Q7: rows read, kept and dropped, observed while the flagged rows are written."""
+    flagged = filters.flag_rejects(_customer_nation_orders(spark, sf), "n_name", "o_orderdate", FIRST_YEAR)
+    reason = F.col("reject_reason")
+    _, counts = quality.observed_counters(flagged, {
+        "rows_before": F.lit(True), "rows_kept": reason.isNull(), "rows_dropped": reason.isNotNull(),
+        "unknown_key": reason == "unknown_key", "before_reference": reason == "before_reference",
+    }, "flagged")
+    return counts
+
+
+def health_overall(spark, sf):
+    """Q8: one row and one flag over the health check of all tables."""
+    return quality.overall_health(health_check(spark, sf))
+
+
+ORDER_SCHEMA = T.StructType([
+    T.StructField("o_orderkey", T.LongType(), False), T.StructField("o_orderdate", T.DateType()),
+    T.StructField("o_totalprice", T.DecimalType(12, 2)), T.StructField("o_orderpriority", T.StringType()),
+])
+
+
+def conform_orders(spark, sf):
+    """The orders in their declared schema (a value that does not fit would fail the job)."""
+    out = schema.conform(t(spark, sf, "orders"), ORDER_SCHEMA)
+    return out.withColumn("o_totalprice", F.col("o_totalprice").cast("double"))
+
+
+def schema_refusals(spark, sf):
+    """How many values of the raw text columns the declared schema refuses."""
+    o = t(spark, sf, "orders")
+    raw = o.select(
+        "o_orderkey", _raw_number(F.col("o_orderkey"), F.col("o_totalprice")).alias("raw_cost"),
+        _raw_date(F.col("o_orderkey"), F.col("o_orderdate")).alias("raw_date"),
+    )
+    declared = T.StructType([
+        T.StructField("o_orderkey", T.LongType()), T.StructField("raw_cost", T.DecimalType(12, 2)), T.StructField("raw_date", T.DateType()),
+    ])
+    return schema.refusals(raw, declared)
+
+
+def catalog_views(spark, sf):
+    """The three views created in the catalog as SQL over the table files, then read by name."""
+    f = {n: f"parquet.`{sf.rstrip('/')}/{n}.parquet`" for n in ("orders", "customer", "nation", "region", "part", "lineitem")}
+    price = "CAST(round(avg(CAST({} AS decimal(12,2))), 2) AS double) AS avg_price"
+    names = sink.create_views(spark, {
+        "tessera_group_summary": f"""
+            SELECT n_name, r_name, c_mktsegment, count(o_orderkey) AS total_orders, {price.format('o_totalprice')}
+            FROM {f['orders']} JOIN {f['customer']} ON o_custkey = c_custkey JOIN {f['nation']} ON c_nationkey = n_nationkey
+            JOIN {f['region']} ON n_regionkey = r_regionkey GROUP BY ALL""",
+        "tessera_yearly_trend": f"""
+            SELECT year(o_orderdate) AS year, concat(year(o_orderdate) DIV 10 * 10, 's') AS decade, count(o_orderkey) AS total_orders,
+                   {price.format('o_totalprice')}
+            FROM {f['orders']} WHERE o_orderdate IS NOT NULL GROUP BY ALL""",
+        "tessera_destination_summary": f"""
+            SELECT if(p_size > 45, NULL, p_brand) AS destination, if(p_size < 5, NULL, p_type) AS category, count(l_orderkey) AS total_orders,
+                   {price.format('l_extendedprice')}
+            FROM {f['lineitem']} JOIN {f['part']} ON l_partkey = p_partkey GROUP BY ALL""",
+    })
+    group, year, place = names
+    return spark.sql(f"""
+        SELECT 'group' AS view_name, n_name AS k1, r_name AS k2, c_mktsegment AS k3, total_orders, avg_price FROM {group}
+        UNION ALL SELECT 'year', CAST(year AS string), decade, NULL, total_orders, avg_price FROM {year}
+        UNION ALL SELECT 'destination', destination, category, NULL, total_orders, avg_price FROM {place}""")
 
 
 def views(spark, sf):
@@ -745,6 +838,6 @@ QUERIES = {
         "sql_params", "table_scan", "row_by_key",
         "chi_square", "expected_counts", "welch_t", "pearson", "trend_line", "box_stats", "kde", "histogram", "histogram_by_group",
         "point_feed", "significance",
-        "csv_roundtrip", "refresh_tables", "views",
+        "csv_roundtrip", "refresh_tables", "views", "catalog_views", "conform_orders", "schema_refusals", "load_counters", "health_overall",
     ]
 }

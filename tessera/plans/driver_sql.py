@@ -1,7 +1,8 @@
 """DuckDB SQL equivalents of :mod:`tessera.plans.driver` (the correctness oracle).
 
-Written independently of the Spark code paths, as plain SQL over the driver's
-views. Counts and sums are cast to BIGINT, measures to DOUBLE and rounded
+Plain SQL over the driver's views. p-values are integrated by SQL text that
+:mod:`tessera.functions.pvalues` writes beside its Spark expressions; everything
+else is written apart from the Spark code. Counts and sums are cast to BIGINT, measures to DOUBLE and rounded
 the same way on both sides.
 """
 
@@ -806,9 +807,58 @@ ORACLE["csv_roundtrip"] = f"""
 ORACLE["refresh_tables"] = " UNION ALL ".join(
     f"SELECT '{name}' AS table_name, CAST(COUNT(*) AS BIGINT) AS n_rows, "
     f"CASE WHEN COUNT(*) = 0 THEN 'empty' ELSE 'ok' END AS status FROM ({sql})"
-    for name, sql in [("dim_date", DIM_DATE), ("dim_nation", DIM_NATION), ("dim_pair", DIM_PAIR), ("fact_lines", FACT)]
+    for name, sql in [
+        ("dim_date", DIM_DATE), ("dim_nation", DIM_NATION), ("dim_pair", DIM_PAIR), ("dim_order_meta", "SELECT o_orderkey FROM orders"),
+        ("fact_lines", FACT), ("bridge_items", ORACLE["bridge_explode"]),
+        ("bridge_answers", "SELECT item FROM (SELECT unnest(regexp_split_to_array(text, ',\\s*')) AS item FROM benchmark) WHERE trim(item) <> ''"),
+    ]
 )
 
+ORACLE["load_counters"] = f"""
+    WITH y(n_name, first_year) AS (VALUES {', '.join(f"('{n}', {v})" for n, v in FIRST_YEAR.items())}),
+    r AS (
+        SELECT CASE WHEN first_year IS NULL THEN 'unknown_key' WHEN o_orderdate IS NULL THEN 'null_date'
+                    WHEN CAST(o_orderdate AS DATE) >= make_date(first_year, 1, 1) THEN NULL ELSE 'before_reference' END AS reason
+        FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation n ON c_nationkey = n_nationkey LEFT JOIN y ON y.n_name = n.n_name
+    )
+    SELECT CAST(COUNT(*) AS BIGINT) AS rows_before, {cnt('reason IS NULL')} AS rows_kept, {cnt('reason IS NOT NULL')} AS rows_dropped,
+           {cnt("reason = 'unknown_key'")} AS unknown_key, {cnt("reason = 'before_reference'")} AS before_reference
+    FROM r
+"""
+
+ORACLE["health_overall"] = f"""
+    SELECT CAST(COUNT(*) AS BIGINT) AS n_tables, {cnt("status = 'empty'")} AS n_empty, CAST(0 AS BIGINT) AS n_failed,
+           {cnt("status <> 'ok'")} = 0 AS healthy
+    FROM ({ORACLE["health_check"]})
+"""
+
+ORACLE["conform_orders"] = """
+    SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, CAST(o_orderdate AS DATE) AS o_orderdate,
+           CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS DOUBLE) AS o_totalprice, o_orderpriority
+    FROM orders
+"""
+
+ORACLE["schema_refusals"] = f"""
+    SELECT 'o_orderkey' AS column_name, 'bigint' AS data_type, CAST(COUNT(o_orderkey) AS BIGINT) AS n_values, CAST(0 AS BIGINT) AS n_refused FROM orders
+    UNION ALL
+    SELECT 'raw_cost', 'decimal(12,2)', CAST(COUNT(*) FILTER (WHERE o_orderkey % 6 = 0 OR o_totalprice IS NOT NULL) AS BIGINT),
+           {cnt('o_orderkey % 6 = 0 OR (o_orderkey % 6 IN (2, 3) AND o_totalprice IS NOT NULL)')} FROM orders
+    UNION ALL
+    SELECT 'raw_date', 'date', CAST(COUNT(o_orderdate) AS BIGINT), {cnt('o_orderkey % 5 IN (1, 4) AND o_orderdate IS NOT NULL')} FROM orders
+"""
+
+ORACLE["catalog_views"] = f"""
+    WITH s AS ({ORDER_STAR}), l AS (SELECT p.destination, p.category, CAST(l.l_extendedprice AS DECIMAL(12,2)) AS cost, l.l_orderkey
+                                   FROM lineitem l JOIN ({PART_ROLES}) p ON l.l_partkey = p.p_partkey)
+    SELECT 'group' AS view_name, n_name AS k1, r_name AS k2, c_mktsegment AS k3, CAST(COUNT(o_orderkey) AS BIGINT) AS total_orders, {avg_cost()} AS avg_price
+    FROM s GROUP BY 2, 3, 4
+    UNION ALL
+    SELECT 'year', CAST(year(o_orderdate) AS VARCHAR), {DECADE.format(d='o_orderdate')}, NULL, CAST(COUNT(o_orderkey) AS BIGINT),
+           {avg_cost('CAST(o_totalprice AS DECIMAL(12,2))')} FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 2, 3
+    UNION ALL
+    SELECT 'destination', destination, category, NULL, CAST(COUNT(l_orderkey) AS BIGINT), {avg_cost()} FROM l GROUP BY 2, 3
+"""
+
 ORACLE["views"] = f"""
     WITH s AS ({ORDER_STAR})
     SELECT n_name, r_name, c_mktsegment, CAST(COUNT(o_orderkey) AS BIGINT) AS total_missions,

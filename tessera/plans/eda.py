@@ -93,7 +93,7 @@ def eda_report(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     }
     out["category_decade"] = marts.pivot_counts(df, "mission_category", "launch_decade")
     out["key_findings"] = marts.share_kpis(
-        df, profile, "agency_name", "NASA", "status", "Success",
+        df, "agency_name", "NASA", "status", "Success", "cost_usd_billion",
         {
             "govt_success_rate": F.col("agency_type") == "Government",
             "private_success_rate": F.col("agency_type") == "Private",

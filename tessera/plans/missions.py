@@ -73,29 +73,42 @@ class Cleaned:
     domain_report: DataFrame
 
 
-def clean(raw: DataFrame, stage: bool = True) -> Cleaned:
-    """P1-P6, F1 and the Q6/Q7 reports over the raw string table."""
+def _item_count(col: str):
+    return F.coalesce(F.size(X.split_list(F.col(col), r",\s*")), F.lit(0))
+
+
+def clean(raw: DataFrame) -> Cleaned:
+    """P1-P6, F1 and the Q6/Q7 reports over the raw string table.
+
+    Kept and rejected rows are staged together in one pass over the raw rows. The
+    run's counters (Q7: rows read, kept and dropped, what was parsed; D7/D8:
+    crewed and collaborative missions) are observed while that table is written,
+    so they cost no scan. Every rejected row keeps its reason.
+    """
     df = X.normalize_columns(raw)
     df = X.clean_text_columns(df)
     df = df.withColumn("launch_date", D.parse_date(F.col("launch_date"))).withColumn(
         "end_date", D.parse_date(F.col("end_date"))
     )
-    kept, rejects = filters.reference_date_filter(
-        df, "agency", "launch_date", AGENCY_FOUNDING_YEAR, with_rejects=True
-    )
-    kept = N.with_duration_days(kept, "duration", "duration_days")
-    kept = kept.withColumn("_cost", N.to_number(F.col("cost_usd_million")))
-    kept = kept.withColumn("cost_usd_billion", N.rescale(F.col("_cost"), 1000)).drop("_cost", "cost_usd_million")
-    if stage:
-        kept = stage_table(kept, "cleaned")
-    counters = quality.counters(kept, {
-        "rows_kept": F.lit(True),
-        "duration_parsed": F.col("duration_days").isNotNull(),
-        "duration_failed": F.col("duration_days").isNull(),
-        "cost_missing": F.col("cost_usd_billion").isNull(),
-    })
-    report = quality.domain_violations(kept, ALLOWED_VALUES)
-    return Cleaned(kept, rejects, counters, report)
+    df = filters.flag_rejects(df, "agency", "launch_date", AGENCY_FOUNDING_YEAR, "_reject")
+    df = N.with_duration_days(df, "duration", "duration_days")
+    df = df.withColumn("cost_usd_billion", N.rescale(N.to_number(F.col("cost_usd_million")), 1000)).drop("cost_usd_million")
+    ok = F.col("_reject").isNull()
+    counts = {
+        "rows_before": F.lit(True),
+        "rows_kept": ok,
+        "rows_dropped": ~ok,
+        "duration_parsed": ok & F.col("duration_days").isNotNull(),
+        "duration_failed": ok & F.col("duration_days").isNull(),
+        "cost_missing": ok & F.col("cost_usd_billion").isNull(),
+        "crewed_missions": ok & (_item_count("crew_members") > 0),
+        "collaborative_missions": ok & (_item_count("partner_agencies") > 0),
+    }
+    staged, counters = quality.observed_counters(df, counts, "cleaned")
+    kept = staged.where(ok).drop("_reject")
+    # Rejects as they were read: what is parsed behind the filter is not theirs.
+    rejects = staged.where(~ok).drop("duration_days", "cost_usd_billion").withColumnRenamed("_reject", "reject_reason")
+    return Cleaned(kept, rejects, counters, quality.domain_violations(kept, ALLOWED_VALUES))
 
 
 def model_tables(cleaned: DataFrame) -> dict[str, DataFrame]:
@@ -134,16 +147,19 @@ def build_tables(cleaned: DataFrame) -> dict[str, DataFrame]:
     return conform_tables(model_tables(cleaned))
 
 
-def constraint_report(tables: dict[str, DataFrame]) -> DataFrame:
-    """Q1, Q2, Q4, Q5 over all tables as one long table: (table_name, rule, column_name, n_violations)."""
+def constraint_report(tables: dict[str, DataFrame], constraints: dict[str, schema.TableConstraints] | None = None) -> DataFrame:
+    """Q1, Q2, Q4, Q5 over all tables as one long table: (table_name, rule, column_name, n_violations).
+
+    ``constraints`` are those of the mission warehouse by default."""
     parts = []
-    for name, c in schema.CONSTRAINTS.items():
+    for name, c in (constraints or schema.CONSTRAINTS).items():
         if name not in tables:
             continue
         df = tables[name]
-        pk = quality.pk_violations(df, list(c.primary_key)).agg(F.count(F.lit(1)).cast("bigint").alias("n_violations"))
-        parts.append(pk.select(F.lit(name).alias("table_name"), F.lit("primary_key").alias("rule"),
-                               F.lit(",".join(c.primary_key)).alias("column_name"), "n_violations"))
+        if c.primary_key:
+            pk = quality.pk_violations(df, list(c.primary_key)).agg(F.count(F.lit(1)).cast("bigint").alias("n_violations"))
+            parts.append(pk.select(F.lit(name).alias("table_name"), F.lit("primary_key").alias("rule"),
+                                   F.lit(",".join(c.primary_key)).alias("column_name"), "n_violations"))
         for cols in c.unique:
             known = df.na.drop(subset=list(cols))
             repeats = quality.pk_violations(known, list(cols)).agg(F.count(F.lit(1)).cast("bigint").alias("n_violations"))
@@ -165,6 +181,13 @@ def constraint_report(tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def refuse_violations(report: DataFrame) -> None:
+    """Raise if a constraint report holds a violation; at most five are named."""
+    bad = report.where("n_violations > 0").orderBy("table_name", "rule", "column_name").limit(5).collect()
+    if bad:
+        raise ValueError(f"constraints violated: {[tuple(r) for r in bad]}")
+
+
 def unresolved(fact: DataFrame) -> DataFrame:
     """Q3: lookups that found no key."""
     return quality.unresolved_keys(fact, ["agency_id", "launch_id", "launch_date_id"])
@@ -208,7 +231,7 @@ def destination_summary_view(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def register_views(tables: dict[str, DataFrame]) -> list[str]:
-    """The three analytical views as temporary views, queryable from SQL."""
+    """The three analytical views as temporary views, queryable from SQL in this session."""
     views = {
         "vw_agency_summary": agency_summary_view(tables),
         "vw_yearly_trend": yearly_trend_view(tables),
@@ -219,6 +242,42 @@ def register_views(tables: dict[str, DataFrame]) -> list[str]:
     return list(views)
 
 
+def _status_count(alias: str, value: str) -> str:
+    return f"count_if(f.status = '{value}') AS {alias}"
+
+
+def view_sql(paths: dict[str, str]) -> dict[str, str]:
+    """The three views as SQL over the table files at ``paths``."""
+    fact, agency, date = (f"parquet.`{paths[n]}`" for n in ("fact_missions", "dim_agency", "dim_date"))
+    crewed = "count_if(f.crew_type = 'Crewed') AS crewed_missions"
+    rate = "round(try_divide(100.0D * count_if(f.status = 'Success'), count(f.mission_id)), 2) AS success_rate_pct"
+    mean = "CAST(round(avg(f.cost_usd_billion), 2) AS double) AS avg_cost_usd_billion"
+    counts = ", ".join(_status_count(a, v) for a, v in STATUS_COUNTS.items())
+    yearly = ", ".join(_status_count(a, v) for a, v in {"successes": "Success", "failures": "Failed"}.items())
+    return {
+        "vw_agency_summary": f"""
+            SELECT a.agency_name, a.country_region, a.agency_type, count(f.mission_id) AS total_missions, {counts}, {crewed}, {mean},
+                   CAST(round(sum(f.cost_usd_billion), 2) AS double) AS total_cost_usd_billion, {rate}
+            FROM {fact} f JOIN {agency} a ON f.agency_id = a.agency_id GROUP BY ALL""",
+        "vw_yearly_trend": f"""
+            SELECT d.year, d.decade, count(f.mission_id) AS total_launches, {yearly}, {crewed}, {mean}
+            FROM {fact} f JOIN {date} d ON f.launch_date_id = d.date_id GROUP BY ALL ORDER BY d.year""",
+        "vw_destination_summary": f"""
+            SELECT f.destination, f.mission_category, count(f.mission_id) AS total_missions, {mean}, {rate}
+            FROM {fact} f GROUP BY ALL
+            ORDER BY total_missions DESC NULLS FIRST, f.destination NULLS LAST, f.mission_category NULLS LAST""",
+    }
+
+
+def create_views(spark: SparkSession, out_root: str, database: str | None = None) -> list[str]:
+    """The three views in the catalog, over the last committed version under
+    ``out_root``. They belong to the catalog, not to the session: every session
+    sees them, and with a persistent catalog (a metastore) later applications
+    do. Call it after each refresh, which moves the views to the new version."""
+    paths = sink.table_paths(spark, out_root, ["fact_missions", "dim_agency", "dim_date"])
+    return sink.create_views(spark, view_sql(paths), database)
+
+
 def _date_arm(dim_date: DataFrame, key: str, prefix: str, attrs: list[str]) -> model.DimJoin:
     cols = {f"{prefix}_date": "full_date", **{f"{prefix}_{a}": a for a in attrs}}
     return model.DimJoin(dim_date, key, "date_id", cols)
@@ -260,7 +319,7 @@ def missions_with_meta(tables: dict[str, DataFrame]) -> DataFrame:
         model.DimJoin(tables["dim_mission_meta"], "mission_id", "mission_id", {
             "mission_name": "mission_name", "objective": "objective", "key_achievement": "key_achievement",
             "mission_outcome_detail": "mission_outcome_detail", "reference_url": "reference_url",
-        }),
+        }, large=True),
     ]
     return model.star_join(tables["fact_missions"], WIDE_FACT_COLUMNS, arms, order_by=wide_order())
 
@@ -277,18 +336,18 @@ def run(spark: SparkSession, csv_path: str, out_root: str) -> dict[str, DataFram
     # Staged, as the checks read every table several times.
     tables = {name: stage_table(df, name) for name, df in model_tables(c.frame).items()}
     report = stage_table(constraint_report(tables), "constraints")
-    bad = report.where("n_violations > 0").orderBy("table_name", "rule", "column_name").limit(5).collect()
-    if bad:
-        raise ValueError(f"constraints violated: {[tuple(r) for r in bad]}")
+    refuse_violations(report)
     paths = sink.refresh_tables(conform_tables(tables), out_root)
     landed = sink.read_tables(spark, out_root, list(paths))
+    health = stage_table(quality.health_check(landed), "health")
     return {
         "counters": c.counters,
         "domain_report": c.domain_report,
         "rejects": c.rejects,
         "constraints": report,
         "unresolved": unresolved(landed["fact_missions"]),
-        "health": quality.health_check(landed),
+        "health": health,
+        "healthy": quality.overall_health(health),
     }
 
 
@@ -305,7 +364,7 @@ def main(argv: list[str] | None = None) -> None:
     args = ap.parse_args(argv)
     spark = get_session(args.master, app_name="tessera-missions")
     reports = run(spark, args.csv, args.warehouse)
-    for name in ("counters", "domain_report", "unresolved", "health"):
+    for name in ("counters", "domain_report", "unresolved", "health", "healthy"):
         print(f"== {name}")
         reports[name].show(truncate=False)
 

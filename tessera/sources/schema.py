@@ -146,3 +146,17 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
             value = F.when(value.isNotNull() & cast.isNull(), refused.cast(f.dataType)).otherwise(cast)
         cols.append(value.alias(f.name))
     return df.select(*cols)
+
+
+def refusals(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """(column_name, data_type, n_values, n_refused): for every declared column, how many
+    values ``df`` has and how many of them :func:`conform` would refuse. One pass."""
+    counts = []
+    for i, f in enumerate(schema.fields):
+        value = F.col(f.name)
+        refused = value.isNotNull() & value.try_cast(f.dataType).isNull()
+        counts += [F.count(value).alias(f"_n{i}"), F.count_if(refused).alias(f"_r{i}")]
+    row = df.agg(*counts)
+    listed = F.array(*[F.struct(F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("data_type"),
+                                F.col(f"_n{i}").alias("n_values"), F.col(f"_r{i}").alias("n_refused")) for i, f in enumerate(schema.fields)])
+    return row.select(F.inline(listed))

@@ -1,18 +1,23 @@
 """Full-refresh sink for a set of related tables.
 
 The reference empties every table first and then appends, so a failed load
-leaves the warehouse empty. Here the new versions are written to a staging
-folder next to the targets, the caller's gate runs on what was actually
-written, and only then each table directory is swapped into place in
-dependency order. Writes are ordinary parallel task writes; a lost executor
-only re-runs its tasks.
+leaves the warehouse empty. Here a refresh writes every table into a version
+folder of its own, the caller's gate runs on what was actually written, and
+one file is created at the end: the commit. Readers take the version of the
+greatest commit, so all tables switch at once. A run that dies anywhere before
+the commit leaves the former version as it was; nothing is renamed, so this
+holds on object stores too, where renames copy. Writes are ordinary parallel
+task writes; a lost executor only re-runs its tasks.
+
+``root/v<number>-<run>/<table>`` holds a version,
+``root/_commits/<number>-<run>`` (an empty file) makes it readable.
 """
 
 from __future__ import annotations
 
 import logging
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,6 +32,15 @@ def _fs(spark: SparkSession, path: str):
     return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm
 
 
+def versions(spark: SparkSession, root: str) -> list[str]:
+    """Names of the committed versions under ``root``, oldest first."""
+    fs, jvm = _fs(spark, root)
+    commits = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/_commits")
+    if not fs.exists(commits):
+        return []
+    return sorted(f.getPath().getName() for f in fs.listStatus(commits))
+
+
 def refresh_tables(
     tables: Mapping[str, DataFrame],
     root: str,
@@ -34,61 +48,66 @@ def refresh_tables(
     gate: Callable[[Mapping[str, DataFrame]], None] | None = None,
     fmt: str = "parquet",
     partition_by: Mapping[str, list[str]] | None = None,
+    keep: int = 2,
 ) -> dict[str, str]:
-    """Write ``tables`` under ``root/<name>`` as one refresh.
+    """Write ``tables`` as the next version under ``root``. Returns name -> path.
 
-    ``gate`` receives the staged tables (read back from storage) and raises to
-    abort; the old versions then stay untouched. Returns name -> final path.
+    ``gate`` receives the written tables (read back from storage) and raises to
+    refuse them; the version is then deleted and the former one stays. The last
+    ``keep`` versions stay readable by path (at least one), older ones are
+    deleted after the commit. Of two refreshes at the same time the one with the
+    greater name wins as a whole.
     """
     order = [n for n in (order or LOAD_ORDER) if n in tables] + [n for n in tables if n not in (order or LOAD_ORDER)]
     if not tables:
         return {}
     spark = next(iter(tables.values())).sparkSession
-    run_id = uuid.uuid4().hex[:12]
-    staging = f"{root.rstrip('/')}/_staging/{run_id}"
-    partition_by = partition_by or {}
-    for name in order:
-        w = tables[name].write.mode("overwrite").format(fmt)
-        if partition_by.get(name):
-            w = w.partitionBy(*partition_by[name])
-        w.save(f"{staging}/{name}")
-        log.info("staged %s", name)
-    staged = {name: spark.read.format(fmt).load(f"{staging}/{name}") for name in order}
+    root = root.rstrip("/")
     fs, jvm = _fs(spark, root)
     Path = jvm.org.apache.hadoop.fs.Path
-    out: dict[str, str] = {}
-    trash = f"{root.rstrip('/')}/_replaced/{run_id}"
-    old, new = [], []
+    committed = versions(spark, root)
+    number = int(committed[-1].split("-")[0]) + 1 if committed else 1
+    version = f"{number:010d}-{uuid.uuid4().hex[:12]}"
+    paths = {name: f"{root}/v{version}/{name}" for name in order}
+    partition_by = partition_by or {}
     try:
-        if gate is not None:
-            gate(staged)
         for name in order:
-            target = f"{root.rstrip('/')}/{name}"
-            tpath = Path(target)
-            if fs.exists(tpath):
-                fs.mkdirs(Path(trash))
-                if not fs.rename(tpath, Path(f"{trash}/{name}")):
-                    raise OSError(f"could not move old {target} aside")
-                old.append(name)
-            if not fs.rename(Path(f"{staging}/{name}"), tpath):
-                raise OSError(f"could not move staged {name} into place")
-            new.append(name)
-            out[name] = target
+            w = tables[name].write.mode("errorifexists").format(fmt)
+            if partition_by.get(name):
+                w = w.partitionBy(*partition_by[name])
+            w.save(paths[name])
+            log.info("written %s", name)
+        if gate is not None:
+            gate({name: spark.read.format(fmt).load(path) for name, path in paths.items()})
     except BaseException:
-        # Back to the old versions of every table that was already touched.
-        for name in new:
-            fs.delete(Path(f"{root.rstrip('/')}/{name}"), True)
-        for name in old:
-            fs.rename(Path(f"{trash}/{name}"), Path(f"{root.rstrip('/')}/{name}"))
+        fs.delete(Path(f"{root}/v{version}"), True)
         raise
-    finally:
-        fs.delete(Path(staging), True)
-    fs.delete(Path(trash), True)
-    return out
+    fs.create(Path(f"{root}/_commits/{version}"), False).close()
+    for old in [*committed, version][: -max(1, keep)]:
+        fs.delete(Path(f"{root}/_commits/{old}"), False)
+        fs.delete(Path(f"{root}/v{old}"), True)
+    return paths
+
+
+def table_paths(spark: SparkSession, root: str, names: Sequence[str]) -> dict[str, str]:
+    """Paths of the tables in the last committed version. Resolve once and read
+    all tables by these paths, so that they belong together."""
+    committed = versions(spark, root)
+    if not committed:
+        raise FileNotFoundError(f"no committed version under {root}")
+    return {n: f"{root.rstrip('/')}/v{committed[-1]}/{n}" for n in names}
+
+
+def read_tables(spark: SparkSession, root: str, names: Sequence[str], fmt: str = "parquet") -> dict[str, DataFrame]:
+    return {n: spark.read.format(fmt).load(path) for n, path in table_paths(spark, root, names).items()}
 
 
-def read_tables(spark: SparkSession, root: str, names: list[str], fmt: str = "parquet") -> dict[str, DataFrame]:
-    return {n: spark.read.format(fmt).load(f"{root.rstrip('/')}/{n}") for n in names}
+def create_views(spark: SparkSession, views: Mapping[str, str], database: str | None = None) -> list[str]:
+    """Create (or replace) catalog views from SQL texts. Returns their qualified names."""
+    prefix = f"`{database}`." if database else ""
+    for name, sql in views.items():
+        spark.sql(f"CREATE OR REPLACE VIEW {prefix}`{name}` AS {sql}")
+    return [f"{prefix}`{name}`" for name in views]
 
 
 def write_bucketed(

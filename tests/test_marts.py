@@ -96,9 +96,8 @@ def test_schema_report_and_row_by_key(spark):
 
 def test_share_kpis(spark):
     df = spark.createDataFrame(ROWS, SCHEMA)
-    prof = marts.group_profile(df, "agency", "status", {}, "Success", "cost", "dur", "type", min_total=0)
-    r = marts.share_kpis(df, prof, "agency", "NASA", "status", "Success",
-                         {"gov": F.col("type") == "Government"}).collect()[0]
+    r = marts.share_kpis(df, "agency", "NASA", "status", "Success", "cost",
+                         {"gov": F.col("type") == "Government"}, min_total=0).collect()[0]
     assert r.key_share_pct == pytest.approx(60.0)
     assert r.key_spend_share_pct == pytest.approx(100.0)
     assert r.gov == pytest.approx(200.0 / 3)

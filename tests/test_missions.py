@@ -65,6 +65,8 @@ def test_clean(spark, csv_path):
     assert dom == {("status", "Lost"): 1}
     cnt = c.counters.collect()[0]
     assert (cnt.rows_kept, cnt.duration_parsed, cnt.duration_failed, cnt.cost_missing) == (4, 3, 1, 1)
+    assert (cnt.rows_before, cnt.rows_dropped, cnt.crewed_missions, cnt.collaborative_missions) == (7, 3, 2, 1)
+    assert set(c.rejects.columns) - {"reject_reason"} == set(c.frame.columns) - {"duration_days", "cost_usd_billion"}
 
 
 def test_tables_and_constraints(spark, csv_path):
@@ -98,7 +100,17 @@ def test_run_refreshes(spark, csv_path, scratch):
     # a second run replaces, not appends
     rep2 = missions.run(spark, csv_path, out)
     assert {r.table_name: r.n_rows for r in rep2["health"].collect()} == {k: v[0] for k, v in health.items()}
-    assert not os.path.exists(os.path.join(out, "_staging")) or not os.listdir(os.path.join(out, "_staging"))
+    assert rep2["healthy"].collect()[0].healthy
+    # The catalog views are seen by another session, and agree with the marts.
+    names = missions.create_views(spark, out)
+    other = spark.newSession()
+    tables = missions.sink.read_tables(spark, out, missions.schema.LOAD_ORDER)
+    marts = [missions.agency_summary_view(tables), missions.yearly_trend_view(tables), missions.destination_summary_view(tables)]
+    for name, mart in zip(names, marts):
+        view = other.sql(f"SELECT * FROM {name}")
+        assert sorted(view.columns) == sorted(mart.columns)
+        assert sorted(map(str, view.select(*mart.columns).collect())) == sorted(map(str, mart.collect()))
+        spark.sql(f"DROP VIEW {name}")
 
 
 def test_missing_csv_raises(spark, scratch):
@@ -177,7 +189,7 @@ def test_failed_gate_keeps_old_tables(spark, scratch):
 
     with pytest.raises(ValueError):
         sink.refresh_tables({"t": spark.range(10)}, root, order=["t"], gate=reject)
-    assert spark.read.parquet(os.path.join(root, "t")).count() == 3
+    assert sink.read_tables(spark, root, ["t"])["t"].count() == 3
 
 
 def test_cli(spark, csv_path, scratch, capsys):
@@ -244,7 +256,7 @@ def test_broken_constraints_refuse_the_load(spark, csv_path, scratch, change, ru
         csv.writer(f).writerow(row(**args))
     with pytest.raises(ValueError, match=rule):
         missions.run(spark, csv_path, out)
-    assert spark.read.parquet(os.path.join(out, "fact_missions")).count() == 4
+    assert missions.sink.read_tables(spark, out, ["fact_missions"])["fact_missions"].count() == 4
 
 
 def test_unique_and_conform(spark):
@@ -254,3 +266,60 @@ def test_unique_and_conform(spark):
     assert [(r.rule, r.column_name, r.n_violations) for r in bad] == [("unique", "full_date", 1)]
     with pytest.raises(Exception, match="does not fit"):
         missions.schema.conform(dates.withColumn("year", missions.F.lit(70000)), missions.schema.DIM_DATE).collect()
+
+
+def _write(folder, name, text):
+    os.makedirs(folder, exist_ok=True)
+    with open(os.path.join(folder, name), "w", newline="", encoding="utf-8") as f:
+        f.write(text)
+
+
+def test_csv_is_split_where_quotes_allow(spark, scratch):
+    plain = "a,b\n" + "".join(f'{i},"say ""{i}"", twice"\n' for i in range(2000))
+    lines = 'a,b\r\n1,"two\r\nlines"\r\n2,"odd"" quote"\r\n\r\n3,é\r\n'
+    folder = os.path.join(scratch, "mixed")
+    _write(folder, "plain.csv", plain)
+    _write(folder, "lines.csv", lines)
+    _write(folder, "blank.csv", 'a,b\n1,x\n  \n2,"""y"""\n')
+    split, whole = io.csv_files_to_read_whole(spark, folder)
+    assert [os.path.basename(f) for f in split] == ["plain.csv"]
+    assert [os.path.basename(f) for f in whole] == ["blank.csv", "lines.csv"]
+    rows = lambda df: sorted((r.a, r.b) for r in df.collect())
+    found = rows(io.read_raw_csv(spark, folder))
+    assert found == rows(io.read_raw_csv(spark, folder, splittable=False)) and ("1", "two\nlines") in found and ("7", 'say "7", twice') in found
+    one = os.path.join(folder, "plain.csv")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        big = io.read_raw_csv(spark, one)
+        assert big.rdd.getNumPartitions() > 4
+        assert rows(big) == rows(io.read_raw_csv(spark, one, splittable=False)) == rows(io.read_raw_csv(spark, one, splittable=True))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+@pytest.mark.parametrize("other", ["b,a\n1,2\n", "a,c\n1,2\n", "a\n1\n"])
+def test_csv_headers_of_all_files_are_compared(spark, scratch, other):
+    folder = os.path.join(scratch, "two")
+    _write(folder, "1.csv", "a,b\n1,2\n")
+    _write(folder, "2.csv", other)
+    for splittable in (None, True, False):
+        with pytest.raises(Exception):
+            io.read_raw_csv(spark, folder, columns=["a", "b"], splittable=splittable).collect()
+
+
+def test_csv_random_rows_read_alike(spark, scratch):
+    import random
+
+    rng = random.Random(9)
+    cells = ["", "x", "two words", 'q"q', '""', '"', "comma, here", "line\nbreak", "é", "N/A", " pad "]
+    for k in range(4):
+        folder = os.path.join(scratch, f"r{k}")
+        use = [c for c in cells if k % 2 or "\n" not in c]
+        rows = [[rng.choice(use) or "-" for _ in range(3)] for _ in range(60)]
+        os.makedirs(folder)
+        with open(os.path.join(folder, "f.csv"), "w", newline="", encoding="utf-8") as f:
+            w = csv.writer(f, lineterminator="\n")
+            w.writerow(["a", "b", "c"])
+            w.writerows(rows)
+        got = sorted(map(tuple, io.read_raw_csv(spark, folder).collect()))
+        assert got == sorted(map(tuple, io.read_raw_csv(spark, folder, splittable=False).collect())) == sorted(map(tuple, rows))
