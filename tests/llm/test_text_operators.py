@@ -523,3 +523,14 @@ def test_every_result_of_a_call_stays(spark):
     assert held == sorted([("a", True, [(None, 1), ("one", 1), ("two", 2)]), ("b", False, None), ("x", False, [("p", 1), ("q", 1)]),
                            (None, False, [("m", 1)]), (None, False, [("n", 1)]), (None, False, [("n", 1)]), (None, False, [(None, 1)])], key=str)
     assert sorted(r.json for r in got if r.call_id is None) == ['{"result":"m"}', '{"result":"n"}', '{"result":"n"}', "{}"]
+
+
+def test_training_texts_are_bounded_by_rows(spark):
+    """One labelled id on most rows gives one training text."""
+    from tessera.llm.labelled import training_texts
+
+    docs = frame(spark, [(1, f"text {i}") for i in range(1000)] + [(i, None) for i in range(2, 40)])
+    labels = spark.createDataFrame([(i, 1) for i in range(1, 40)] + [(1, 0)], "doc_id long, quality int")
+    got = {r.doc_id: (r.text, r.label) for r in training_texts(docs, labels, "quality", "doc_id", "text", rows=100).collect()}
+    assert got[1] == ("text 0", 1) and len(got) == sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(1, 40))
+    assert training_texts(docs, labels, "quality", "doc_id", "text", rows=10).count() <= 10
