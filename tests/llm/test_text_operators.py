@@ -4,6 +4,7 @@ import html
 import json
 import random
 import re
+import time
 import zlib
 
 import duckdb
@@ -176,6 +177,30 @@ def test_html_articles_are_weighed_by_their_text():
     assert html_text.main_text("<article><h1>One</h1><p>two</p></article>", tree) == "One two"
 
 
+def test_html_shapes_keep_their_articles():
+    tree = html_text.trained_tree()
+    text = " ".join(f"word{i}" for i in range(40))
+    para = f"<p>{text}</p>"
+    for page, want in [
+        (f"<article><p title=it's>{text}</p><p>{text} end</p></article>", f"{text} {text} end"),
+        (f"<article><p data-id=ad data-class='nav'>{text}</p></article>", text),
+        (f"<form id=aspnetForm><div class=menu><a href=x>a</a></div><h1>Title here</h1>{para}{para}</form>", f"Title here {text} {text}"),
+        (f"<form><nav><a href=x>a</a></nav><article><h1>T</h1>{para}</article></form>", f"T {text}"),
+        (f"{para}<form><label>Name</label><p>Please log in</p></form>{para}", f"{text} {text}"),
+        (f"<article>{para}<form><p>Sign up for our letter, {text}</p></form></article>", text),
+        (f"<article><div class='article-header'><h1>Title</h1></div>{para}</article>", f"Title {text}"),
+        (f"<article>{para}<section id=search-engines><h2>Search engines</h2>{para}</section></article>", f"{text} Search engines {text}"),
+        (f"<article><div class=social-history>{para}</div>{para}</article>", f"{text} {text}"),
+        (f"<article><div class=social-links>{para}</div>{para}<div class=comment-list>{para}</div></article>", text),
+        (f"<div class='site-header'><h1>Site</h1></div><article>{para}</article><div class='related-posts'>{para}</div>", text),
+    ]:
+        assert html_text.main_text(page, tree) == want
+    deep = "<div>" * 50_000
+    start = time.time()
+    assert html_text.main_text(deep + para + "<svg/>" * 50_000, tree) == text
+    assert time.time() - start < 5
+
+
 def test_tiles_cover_reordered_passages():
     import numpy as np
 
