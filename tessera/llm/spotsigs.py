@@ -30,7 +30,9 @@ ANCHORS = (
 ).split()
 #: Rows of a range of ids that one window orders, about.
 ROWS = 4096
-#: Id ranges, at most about; their first ids are broadcast (4 MB).
+#: Steps between quantiles of the ids, at most.
+STEPS = 1 << 12
+#: Id ranges, at most about; their first ids are broadcast (8 MB).
 RANGES = 1 << 18
 
 
@@ -69,22 +71,67 @@ def likeness(a: Column, b: Column) -> Column:
     return _let(F.size(F.array_intersect(a, b)), both)
 
 
-def _ranges(docs: DataFrame, key: str, rows: int):
-    """The range of an id as a column: equal steps between the least and the
-    greatest id, and each step cut further by how many rows it holds."""
-    low, high, count = docs.agg(F.min(key), F.max(key), F.count("*")).first()
-    if low is None:
-        return F.lit(0).cast("long")
-    rows = max(rows, -(-count // RANGES))
-    steps = min(4096, max(1, -(-count // rows)))
-    width = -(-(high - low + 1) // steps)
-    step = F.floor((F.col(key) - F.lit(low)) / F.lit(float(width))).cast("int")
-    held = {r[0]: r[1] for r in docs.groupBy(step.alias("s")).count().collect()}  # one row for each step
-    cuts = [max(1, -(-held.get(i, 0) // rows)) for i in range(steps + 1)]
-    first = [sum(cuts[:i]) for i in range(steps + 1)]
-    pick = lambda values: F.element_at(F.lit(values), step + 1)
-    inside = (F.col(key) - F.lit(low)) / F.lit(float(width)) - step
-    return (pick(first) + F.floor(inside * pick(cuts))).cast("long")
+def _array(values: list, kind: str = "L") -> str:
+    """SQL of an array of numbers, ``L`` (long) or ``D`` (double) ones."""
+    return f"array({', '.join(f'{v}{kind}' for v in values)})"
+
+
+def _cuts(keys: DataFrame, rows: int) -> list[int]:
+    """First ids of steps that hold about equal numbers of rows, 4,096 at most,
+    by the table's quantiles. An id that fills half a step has one of its own.
+    Quantiles are doubles, so up to 1,024 adjacent ids may stay together."""
+    count = keys.count()
+    steps = min(STEPS, max(1, -(-count // rows)))
+    if steps == 1:
+        return []
+    shares = [i / steps for i in range(1, steps)]
+    found = keys.agg(F.percentile_approx("doc_id", shares, 4 * STEPS)).first()[0] or []
+    twice = sorted({x for x, after in zip(found, found[1:]) if x == after})
+    hot = []
+    if twice:  # 2 * STEPS ids at most
+        near = keys.filter(F.col("doc_id").cast("double").isin([float(x) for x in twice]))
+        hot = [r[0] for r in near.groupBy("doc_id").count().filter(F.col("count") * 2 * steps >= count).collect()]
+    return sorted({*found, *hot, *(x + 1 for x in hot if x < (1 << 63) - 1)})
+
+
+def _step(key: Column, cuts: list[int]) -> Column:
+    """0 for a null key, else 1 more than the number of ``cuts`` up to it. Looked
+    up in two levels of at most 64 comparisons each."""
+    if not cuts:
+        return F.when(key.isNull(), 0).otherwise(1)
+    size = math.isqrt(len(cuts) - 1) + 1
+    groups = [cuts[i : i + size] for i in range(0, len(cuts), size)]
+    up_to = lambda values: F.size(F.filter(values, lambda x: x <= key))
+    within = F.expr(f"array({', '.join(map(_array, groups))})")
+    at = _let(up_to(F.expr(_array([g[0] for g in groups]))), lambda g: F.when(g == 0, 1).otherwise(
+        1 + (g - 1) * size + up_to(F.element_at(within, F.greatest(g, F.lit(1))))))
+    return F.when(key.isNull(), 0).otherwise(at)
+
+
+def _ranged(docs: DataFrame, rows: int) -> DataFrame:
+    """``docs`` (doc_id, text) with ``part``, the range of a row in the order of
+    (doc_id, hash), and ``hash``. Steps between quantiles are cut further by how
+    many rows they hold: by id, or, in a step of one id (or of none), by the
+    hash of the text, so neither outliers nor an id with many rows fill a range."""
+    cuts = _cuts(docs.select("doc_id"), rows)
+    step = docs.withColumn("step", _step(F.col("doc_id"), cuts))
+    # One row for each step, 8,194 at most.
+    held = {r["step"]: r for r in step.groupBy("step").agg(F.count("*").alias("c"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).collect()}
+    rows = max(rows, -(-sum(r["c"] for r in held.values()) // RANGES))
+    n = max(held, default=0) + 1
+    parts = [max(1, -(-held[i]["c"] // rows)) if i in held else 0 for i in range(n)]
+    low = [held[i]["low"] or 0 if i in held else 0 for i in range(n)]
+    width = [float(held[i]["high"] - held[i]["low"]) if i in held and held[i]["low"] is not None else 0.0 for i in range(n)]
+    first = [sum(parts[:i]) for i in range(n)]
+    pick = lambda values, kind="L": F.get(F.expr(_array(values, kind)), F.col("step"))
+    number = lambda c: c.cast("double")
+    inside = (number(F.col("doc_id")) - number(pick(low))) / F.nullif(pick(width, "D"), F.lit(0.0))
+    # The text is read for this only if a step of one id (or of none) is cut.
+    hashed = any(p > 1 and not w for p, w in zip(parts, width))
+    step = step.withColumn("hash", F.xxhash64("text") if hashed else F.lit(0).cast("long"))
+    inside = F.coalesce(inside, number(F.col("hash")) / F.lit(2.0**64) + F.lit(0.5))
+    cut = F.greatest(F.lit(0), F.least(F.floor(inside * pick(parts)), pick(parts) - 1))
+    return step.withColumn("part", (pick(first) + cut).cast("long")).drop("step")
 
 
 def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = ROWS) -> DataFrame:
@@ -93,27 +140,28 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     The edited text replaces the last quarter of a text's code points by the
     first as many of the next document, by ascending id (rows without an id
-    first, repeated ids by text; after the last row comes the first). A null
-    text counts as empty. Other columns are ignored; an empty table gives no rows.
+    first, repeated ids by hash of the text; after the last row comes the
+    first). Any 64-bit id will do. A null text counts as empty. Other columns
+    are ignored; an empty table gives no rows.
 
     Ids are dealt into ranges of about ``rows`` rows, each ordered by itself;
     the first rows of a range are also sent to the range before it, so every
-    row meets its next one with a single shuffle of the texts.
+    row meets its next one with a single shuffle of the texts. Only rows that
+    repeat both id and text always share a range.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    least = docs.agg(F.min("doc_id")).first()[0]
-    docs = docs.withColumn("key", F.coalesce("doc_id", F.lit((least or 0) - 1).cast("long")))
-    docs = docs.withColumn("part", _ranges(docs.select("key"), "key", rows))
-    firsts = docs.select("key", "part").groupBy("part").agg(F.min("key").alias("key"))
-    order = Window.orderBy("part")  # at most RANGES + 4096 rows of two numbers
-    firsts = firsts.select("key", F.coalesce(F.lag("part").over(order), F.max("part").over(Window.partitionBy())).alias("before"))
-    sent = (docs.join(F.broadcast(firsts), "key", "left")
+    docs = _ranged(docs, rows)
+    key = F.struct("doc_id", "hash")
+    firsts = docs.groupBy("part").agg(F.min(key).alias("least"))
+    order = Window.orderBy("part")  # at most RANGES + 8,194 rows of three numbers
+    firsts = firsts.select("part", "least", F.coalesce(F.lag("part").over(order), F.max("part").over(Window.partitionBy())).alias("before"))
+    sent = (docs.join(F.broadcast(firsts), "part")
             .withColumn("to", F.explode(F.array_compact(F.array(
                 F.struct(F.col("part").alias("part"), F.lit(False).alias("extra")),
-                F.when(F.col("before").isNotNull(), F.struct(F.col("before").alias("part"), F.lit(True).alias("extra")))))))
-            .select("doc_id", "key", "text", "to.part", "to.extra").repartition("part"))
+                F.when(key.eqNullSafe(F.col("least")), F.struct(F.col("before").alias("part"), F.lit(True).alias("extra")))))))
+            .select("doc_id", "text", "to.part", "to.extra").repartition("part"))
     signed = sent.withColumn("spots", spot_signatures(F.col("text")))
-    follow = Window.partitionBy("part").orderBy("extra", "key", "text")
+    follow = Window.partitionBy("part").orderBy("extra", "doc_id", F.xxhash64("text"), "text")
     both = (signed.select("doc_id", "text", "spots", "extra", F.lead("text").over(follow).alias("next"),
                           F.lead("spots").over(follow).alias("next_spots")).filter("not extra"))
     n = F.length("text")

@@ -1,5 +1,6 @@
 """Operators on texts against brute force, the libraries and edge cases."""
 
+import hashlib
 import html
 import json
 import random
@@ -9,6 +10,7 @@ import zlib
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.llm import bpe_count, decontaminate, html_text, ngram_join, pii_feistel, queries, sentencepiece_codec, spotsigs, toxicity
 
@@ -412,6 +414,33 @@ def test_fingerprint_edges(spark):
     assert len(got) == 5 and len({r.fingerprint for r in got if r.n_chars > 5}) == 1
 
 
+@pytest.mark.parametrize("ids", [
+    [-(2**63), None, None, -9 * 10**18, 0, 9 * 10**18, 2**63 - 1],  # the whole range, and rows without an id
+    [*range(40), 10**18, 10**18 + 1],  # far outliers
+    [*range(20), *[7] * 25, *[None] * 25],  # hot ids, cut by the hash of the text
+])
+def test_fingerprints_of_any_ids(spark, ids):
+    texts = [f"the text {k} of the few words and more {k * k}" for k in range(len(ids))]
+    rows = list(zip(ids, texts))
+    hashes = {r.text: r.h for r in frame(spark, rows).select("text", F.xxhash64("text").alias("h")).collect()}
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, hashes[r[1]]))
+    want = {}
+    for k, (i, t) in enumerate(order):
+        q = len(t) // 4
+        want[(i, hashlib.sha256((t[: len(t) - q] + order[(k + 1) % len(order)][1][:q]).encode()).hexdigest())] = len(t)
+    for rows_of in (1, 3, 1000):
+        got = spotsigs.fingerprint_documents(frame(spark, rows), rows=rows_of)
+        assert {(r.doc_id, r.edited_sha256): r.n_chars for r in got.collect()} == want
+
+
+def test_ranges_hold_few_rows(spark):
+    dense, spread = range(10**15, 10**15 + 100), range(10**18, 10**18 + 100 * 4096, 4096)
+    ids = [*range(100), *[7] * 100, *[10**18 + 5] * 100, *[None] * 100, *dense, *spread, 2**63 - 1, -(2**63)]
+    docs = frame(spark, [(i, f"text {k}") for k, i in enumerate(ids)]).select("doc_id", "text")
+    sizes = [r["count"] for r in spotsigs._ranged(docs, 10).groupBy("part").count().collect()]
+    assert sum(sizes) == len(ids) and max(sizes) <= 40
+
+
 def test_similar_pairs(spark):
     docs = [(r[0], r[1]) for r in table("documents")]
     spots = brute_spots(spark, [t for _, t in docs])
