@@ -5,7 +5,7 @@ identifier; calls are put in topological order (a call comes after the one it
 follows up), which is found by pointer doubling in as many joins as the
 logarithm of the longest chain; arguments are validated against the tool's
 schema; and every call becomes one line of canonical JSON (keys in order, no
-white space, numbers in their shortest form).
+white space, one form for each number).
 
 Nothing is partitioned by conversation, so one conversation may hold any share
 of the rows.
@@ -48,21 +48,39 @@ def argument_errors(raw: Column, parsed: Column, name: Column, tools: dict[str,
     return F.when(~is_object, F.array(F.lit("arguments: not a JSON object"))).otherwise(out)
 
 
+#: Strings, numbers and all else of a JSON text without white space.
+_TOKEN = r'("[^"\\]*+(?:\\.[^"\\]*+)*+"|-?[0-9][0-9.eE+-]*+|[^"0-9-]++)'
+
+
+def canonical_numbers(line: Column) -> Column:
+    """``line`` (JSON without white space) with whole numbers below 2^53 written
+    as integers, whether they came as ``100``, ``100.0`` or ``1e2``; all other
+    numbers and all strings stay as they are."""
+    value = lambda t: t.try_cast("double")
+    whole = lambda t: t.rlike("^-?[0-9]") & t.rlike("[.eE]") & (F.abs(value(t)) < 2.0**53) & (value(t) == F.floor(value(t)))
+    write = lambda t: F.when(whole(t), value(t).cast("bigint").cast("string")).otherwise(t)
+    spelt = F.array_join(F.transform(F.regexp_extract_all(line, F.lit(_TOKEN), F.lit(1)), write), "")
+    return F.when(line.rlike("[0-9][.eE]"), spelt).otherwise(line)
+
+
 def call_depths(calls: DataFrame) -> DataFrame:
     """(call_id, depth): how many calls come before each one along ``parent_id``;
     a parent that is no call counts as none, and calls in or behind a cycle get
     a null depth. Repeated ids count once, with their least parent."""
     links = calls.filter("call_id is not null").groupBy("call_id").agg(F.min("parent_id").alias("up"))
     ids = links.select(F.col("call_id").alias("up"), F.lit(1).alias("step"))
-    state = stage_table(links.join(ids, "up", "left").select(
-        "call_id", F.when(F.col("step").isNotNull(), F.col("up")).alias("up"), F.coalesce("step", F.lit(0)).cast("long").alias("depth")), "call-depth")
+    state = links.filter("up is not null").join(ids, "up", "left").select(
+        "call_id", F.when(F.col("step").isNotNull(), F.col("up")).alias("up"), F.coalesce("step", F.lit(0)).cast("long").alias("depth"))
+    state = stage_table(state.unionByName(links.filter("up is null").withColumn("depth", F.lit(0).cast("long"))), "call-depth")
     rounds = max(1, state.count()).bit_length() + 1
     for _ in range(rounds):
-        if state.filter("up is not null").isEmpty():
+        open_ = state.filter("up is not null")
+        if open_.isEmpty():
             break
         above = state.select(F.col("call_id").alias("up"), F.col("up").alias("upper"), F.col("depth").alias("more"))
-        state = stage_table(state.join(above, "up", "left").select(
-            "call_id", F.col("upper").alias("up"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth")), "call-depth")
+        further = open_.join(above, "up").select("call_id", F.col("upper").alias("up"), (F.col("depth") + F.col("more")).alias("depth"))
+        # Calls whose chain has ended would all meet under a null key.
+        state = stage_table(further.unionByName(state.filter("up is null")), "call-depth")
     return state.select("call_id", F.when(F.col("up").isNull(), F.col("depth")).alias("depth"))
 
 
@@ -73,10 +91,12 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, tools: dict[str, dict]
     ``results``: call_id, content; of several results for a call the least
     content stands in the JSON line. Returns conv_id, call_id, name, depth,
     linked (both sides are there), valid, errors, json, results (every content
-    of the id, sorted, with how many times it came; null without one). Calls without an id link with nothing;
-    results without an id are rows without a call. Arguments that are null or
-    no JSON object are errors; null and empty contents stay as they are. Other
-    columns are ignored; empty tables give no rows.
+    of the id, sorted, with how many times it came; null without one). Calls without an id link with nothing
+    and have no depth; results without an id are rows without a call. Arguments
+    that are null or no JSON object are errors; those that do not parse stand as
+    text under ``raw`` in the JSON line. Null and empty contents stay as they are.
+    Other columns are ignored; empty tables give no rows. The results of one id
+    become one row.
     """
     calls = calls.select("conv_id", "call_id", "parent_id", "name", "arguments")
     results = results.select("call_id", "content")
@@ -84,13 +104,16 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, tools: dict[str, dict]
     answered = found.groupBy("call_id").agg(
         F.min("content").alias("content"), F.array_sort(F.collect_list(F.struct("content", "times"))).alias("results")).withColumn("answer", F.lit(True))
     nameless = results.filter("call_id is null").withColumn("results", F.array(F.struct("content", F.lit(1).cast("long").alias("times"))))
-    joined = (calls.withColumn("call", F.lit(True)).join(call_depths(calls), "call_id", "left")
+    asked = calls.withColumn("call", F.lit(True))
+    joined = (asked.filter("call_id is not null").join(call_depths(calls), "call_id", "left")
               .join(answered.hint("shuffle_hash"), "call_id", "full_outer"))
-    joined = joined.unionByName(nameless, allowMissingColumns=True)  # an id that is null would be one hot key
+    for part in (asked.filter("call_id is null"), nameless):  # an id that is null would be one hot key
+        joined = joined.unionByName(part, allowMissingColumns=True)
     joined = joined.withColumn("parsed", F.try_parse_json("arguments"))
     errors = F.when(F.col("call"), argument_errors(F.col("arguments"), F.col("parsed"), F.col("name"), tools))
-    line = F.to_json(F.struct(F.col("parsed").alias("arguments"), F.col("depth").alias("depth"), F.col("call_id").alias("id"),
-                              F.col("name").alias("name"), F.col("content").alias("result")))
+    raw = F.when(F.col("parsed").isNull(), F.col("arguments")).alias("raw")
+    line = canonical_numbers(F.to_json(F.struct(F.col("parsed").alias("arguments"), F.col("depth").alias("depth"), F.col("call_id").alias("id"),
+                                                F.col("name").alias("name"), raw, F.col("content").alias("result"))))
     return (joined.withColumn("errors", errors)
             .select("conv_id", "call_id", "name", "depth", (F.coalesce("call", F.lit(False)) & F.coalesce("answer", F.lit(False))).alias("linked"),
                     F.coalesce(F.size("errors") == 0, F.lit(False)).alias("valid"), "errors", line.alias("json"), "results"))
@@ -108,8 +131,8 @@ def calls_from_chat(chat: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Calls and results from plain turns (conv_id, turn, role, text): every
     assistant turn is a call whose arguments carry its text, which follows up the assistant turn two before; every user turn after the
     first is the result for the turn before it. All other turns are in
-    ``messages_from_chat``."""
-    ident = lambda turn: F.concat_ws("_", F.lit("call"), F.col("conv_id").cast("string"), turn.cast("string"))
+    ``messages_from_chat``. A turn without a number or a conversation has no id."""
+    ident = lambda turn: F.concat(F.lit("call_"), F.col("conv_id").cast("string"), F.lit("_"), turn.cast("string"))
     text = F.coalesce("text", F.lit(""))
     kind = F.length(text) % 3
     arguments = (F.when(kind == 0, F.to_json(F.struct(text.alias("query"), (F.length(text) % 60).alias("limit"))))

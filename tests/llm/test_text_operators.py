@@ -532,6 +532,37 @@ def test_tool_calls(spark):
     assert empty.collect() == []
 
 
+def test_lines_are_canonical(spark):
+    from tessera.llm import tool_chat
+
+    kinds = "conv_id long, call_id string, parent_id string, name string, arguments string, depth string, errors long"
+    texts = ['{"limit":1e2,"query":"1e2 \\"1.0"}', '{"query":"x","limit":100.0}', '{"limit":100,"query":"-3.0,1E5"}', '{"limit":-0.5e1,"query":"2.50"}',
+             '{"limit":1.25,"query":""}', '{"limit":1,"limit":2}', "not json", None, ""]
+    calls = spark.createDataFrame([(1, f"c{k}", None, "search", t, "clash", 7) for k, t in enumerate(texts)]
+                                  + [(1, None, "c0", "search", texts[0], None, None)] * 30, kinds)
+    results = spark.createDataFrame([("c0", "5.0", 1)], "call_id string, content string, depth long")
+    rows = tool_chat.link_tool_calls(calls, results, tool_chat.CHAT_TOOLS).collect()
+    got = {r.call_id: json.loads(r.json) for r in rows}
+    assert len(rows) == len(texts) + 30 and sum(r.call_id is None and r.depth is None and not r.linked for r in rows) == 30
+    assert [got[f"c{k}"]["arguments"]["limit"] for k in range(5)] == [100, 100, 100, -5, 1.25]
+    lines = {r.call_id: r.json for r in rows}
+    assert all(f'"limit":{n},' in lines[f"c{k}"] for k, n in enumerate(["100", "100", "100", "-5", "1.25"]))
+    assert [got[f"c{k}"]["arguments"]["query"] for k in range(5)] == ['1e2 "1.0', "x", "-3.0,1E5", "2.50", ""] and got["c0"]["result"] == "5.0"
+    assert [got[f"c{k}"].get("raw") for k in range(4, 9)] == [None, *texts[5:]]
+    long = "\\" * 200_000 + '"' * 100_000 + " 1.0"
+    one = spark.createDataFrame([(json.dumps({"a": 7.0, "b": long}),)], "line string").select(tool_chat.canonical_numbers(F.regexp_replace("line", ": |, ", ":"))).first()[0]
+    assert '"a":7:' in one and one.endswith(' 1.0"}')
+
+
+def test_turns_without_a_number(spark):
+    from tessera.llm import tool_chat
+
+    rows = [(1, None, "assistant", "a"), (1, None, "assistant", "bb"), (None, 1, "assistant", "ccc"), (1, 1, "assistant", "d"), (1, 2, "user", "e")]
+    calls, results = tool_chat.calls_from_chat(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    got = tool_chat.link_tool_calls(calls, results, tool_chat.CHAT_TOOLS).collect()
+    assert sorted((r.call_id or "", r.linked) for r in got) == [("", False)] * 3 + [("call_1_1", True)]
+
+
 def test_tool_calls_of_conversations(spark):
     turns = {(c, n): (role, text) for c, n, role, text in table("conversations")}
     want = {}
