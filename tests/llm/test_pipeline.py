@@ -32,3 +32,25 @@ def test_empty_documents(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF)
     assert docs.collect() == []
+
+
+def test_odd_rows(spark):
+    """Null and repeated ids, null, empty and long texts, clashing columns."""
+    items = [r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    item = max(items, key=lambda t: len(t.split()))
+    plain = " ".join(f"word{k} and" for k in range(60))
+    long = " ".join(f"long{k}" for k in range(50_000))
+    rows = [(1, plain), (1, plain), (None, plain), (None, plain + " more"), (2, item), (2, "another text under the same id as that"), (None, item),
+            (3, None), (4, ""), (None, ""), (5, long), (5, long), (6, "write to someone@mail.example now")]
+    docs = spark.createDataFrame([(i, t, None if t is None else len(t), "a", "b", 7) for i, t in rows],
+                                 "doc_id long, text string, n_chars long, row string, component_id string, n_pseudonyms long")
+    one = corpus_pipeline.near_duplicates(spark, docs, SF)
+    assert one.columns == docs.columns
+    held = sorted((r.text or "?" for r in one.collect()), key=len)
+    assert len(held) == 8 and held.count(item) == 1 and held.count(long) == 1 and sum(t.startswith("word0 and") for t in held) == 1
+    two = corpus_pipeline.benchmark_leaks(spark, docs, SF)
+    assert two.columns == docs.columns and sorted(map(str, (r.text for r in two.collect()))) == sorted(str(t) for _, t in rows if t != item)
+    three = corpus_pipeline.personal_data(spark, docs, SF).collect()
+    assert len(three) == len(rows) and {r.n_pseudonyms for r in three} == {7} and not any("@mail" in (r.text or "") for r in three)
+    assert corpus_pipeline.tokens(spark, docs, SF).count() == len(rows)
+    assert corpus_pipeline.quality(spark, docs, SF).columns == docs.columns
