@@ -134,9 +134,11 @@ def _ranged(docs: DataFrame, rows: int) -> DataFrame:
     return step.withColumn("part", (pick(first) + cut).cast("long")).drop("step")
 
 
-def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = ROWS) -> DataFrame:
+def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = ROWS,
+                          carry: list[str] | None = None) -> DataFrame:
     """One row for each row of ``docs``: doc_id, n_chars, edited_sha256,
-    fingerprint, edited_fingerprint, near_edited, near_next.
+    fingerprint, edited_fingerprint, near_edited, near_next, and the columns in
+    ``carry`` (none named part, hash, extra, spots, next, next_spots or edited).
 
     The edited text replaces the last quarter of a text's code points by the
     first as many of the next document, by ascending id (rows without an id
@@ -149,7 +151,8 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
     row meets its next one with a single shuffle of the texts. Only rows that
     repeat both id and text always share a range.
     """
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
+                       *(carry or []))
     docs = _ranged(docs, rows)
     key = F.struct("doc_id", "hash")
     firsts = docs.groupBy("part").agg(F.min(key).alias("least"))
@@ -159,10 +162,10 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
             .withColumn("to", F.explode(F.array_compact(F.array(
                 F.struct(F.col("part").alias("part"), F.lit(False).alias("extra")),
                 F.when(key.eqNullSafe(F.col("least")), F.struct(F.col("before").alias("part"), F.lit(True).alias("extra")))))))
-            .select("doc_id", "text", "to.part", "to.extra").repartition("part"))
+            .select("doc_id", "text", *(carry or []), "to.part", "to.extra").repartition("part"))
     signed = sent.withColumn("spots", spot_signatures(F.col("text")))
     follow = Window.partitionBy("part").orderBy("extra", "doc_id", F.xxhash64("text"), "text")
-    both = (signed.select("doc_id", "text", "spots", "extra", F.lead("text").over(follow).alias("next"),
+    both = (signed.select("doc_id", "text", *(carry or []), "spots", "extra", F.lead("text").over(follow).alias("next"),
                           F.lead("spots").over(follow).alias("next_spots")).filter("not extra"))
     n = F.length("text")
     edited = F.concat(F.substr("text", F.lit(1), n - F.floor(n / 4)), F.substr("next", F.lit(1), F.floor(n / 4)))
@@ -171,7 +174,7 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
         "doc_id", n.cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
         as_text(F.col("spots")).alias("fingerprint"), as_text(F.col("edited_spots")).alias("edited_fingerprint"),
         likeness(F.col("spots"), F.col("edited_spots")).alias("near_edited"),
-        likeness(F.col("spots"), F.col("next_spots")).alias("near_next"))
+        likeness(F.col("spots"), F.col("next_spots")).alias("near_next"), *(carry or []))
 
 
 def similar_pairs(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
