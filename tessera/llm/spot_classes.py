@@ -7,7 +7,7 @@ that links connect form a class.
 1. *Partition.* Equal fingerprints are one set. Sets are partitioned by length:
    ``percent`` 80 needs lengths within a factor of 1.25, so a set meets only its
    own length partition and the next.
-2. *Prune.* In one global order, rare signatures first, two sets that link share
+2. *Prune.* In one global order, frequent signatures last, two sets that link share
    one of the first ``n - ceil(percent n / 100) + 1`` signatures of the longer
    with one of the first ``n - ceil(2 percent n / (100 + percent)) + 1`` of the
    shorter. A bucket is a length partition with one of these signatures; those
@@ -32,8 +32,8 @@ from ..operators.staging import stage_table
 from .components import connected_components
 from .spotsigs import spot_signatures
 
-#: Cells of the table of frequencies that orders signatures (64 kB, by their low bits).
-CELLS = 1 << 16
+#: Cells of the table of frequencies that orders signatures (256 kB, by their low bits).
+CELLS = 1 << 18
 #: Pairs of one set that a slot of the comparison takes.
 SLOT_PAIRS = 256
 #: Documents of one fingerprint that one task takes in a join, unless they are more than 1 in 100,000 rows.
@@ -50,30 +50,45 @@ def _overlap(n, m, percent: int) -> Column:
 
 
 def _levels(signed: DataFrame) -> bytearray:
-    """For each cell the logarithm of how many documents hold its most frequent
-    signature. It orders signatures, which decides speed and never results."""
-    counts = signed.select(F.explode("spots").alias("x")).groupBy("x").count()
-    cells = counts.groupBy(F.col("x").bitwiseAND(F.lit(CELLS - 1)).alias("cell")).agg(F.max("count").alias("c"))
+    """For each cell the logarithm of how often its signatures occur, against the
+    mean; 0 below twice of it. It orders signatures, which decides speed and never
+    results."""
+    total = signed.agg(F.sum("n")).first()[0] or 0
+    cells = signed.select(F.explode("spots").alias("x")).groupBy(F.col("x").bitwiseAND(F.lit(CELLS - 1)).alias("cell")).count()
     out = bytearray(CELLS)
-    for r in cells.collect():  # CELLS rows at most
-        out[r["cell"]] = r["c"].bit_length()
+    for r in cells.filter(F.col("count") * CELLS >= 2 * total).collect():  # CELLS / 2 rows at most
+        out[r["cell"]] = (r["count"] * CELLS // total).bit_length()
     return out
 
 
-def _heads(sets: DataFrame, levels: bytearray, percent: int) -> DataFrame:
-    """(rep, n, part, at, x, short): signatures of each set's head, in its own length
-    partition as the shorter set if ``short``, else as the longer one of a pair,
-    which also stands in the partition below."""
+def _heads(signed: DataFrame, prints: DataFrame, levels: bytearray, percent: int) -> DataFrame:
+    """(x, part, rep, n, at, short, low, high): the signatures of the heads in buckets of
+    several sets. A set stands in its own length partition, as the shorter one of a
+    pair if ``short``, and as the longer one also in the partition below. ``low`` and
+    ``high`` are the bucket's least and greatest (rep, n, at)."""
     level = lambda x: F.substr(F.lit(levels), x.bitwiseAND(F.lit(CELLS - 1)).cast("int") + 1, F.lit(1))
     ordered = F.array_sort(F.transform("spots", lambda x: F.struct(level(x).alias("level"), x.alias("x"))))
     n = F.col("n")
     head = F.transform(F.slice(ordered, F.lit(1), (n - _least_overlap(n, percent) + 1).cast("int")), lambda s: s["x"])
+    heads = signed.select(F.col("row").alias("rep"), "n", head.alias("head")).join(prints.select("rep"), "rep")
+    heads = heads.select("rep", "n", F.posexplode("head").alias("at", "x"))
+    same = Window.partitionBy("x")  # most signatures have one set, and end here
+    heads = heads.select("*", F.min("rep").over(same).alias("r1"), F.max("rep").over(same).alias("r2")).filter("r1 <> r2")
     base = math.log(100 / percent) if percent < 100 else 0.0
     part = F.floor(F.log(n.cast("double")) / base + F.lit(1e-9)) if base else n
-    out = sets.select("rep", "n", part.cast("int").alias("part"), F.posexplode(head).alias("at", "x"))
     short = F.col("at") < n - F.ceil(F.lit(2 * percent) * n / F.lit(100 + percent)) + 1
-    return (out.withColumn("below", F.explode(F.array(F.lit(0), F.lit(1))))
-            .select("rep", "n", (F.col("part") - F.col("below")).alias("part"), "at", "x", (short & (F.col("below") == 0)).alias("short")))
+    out = heads.select("rep", "n", "at", "x", part.cast("int").alias("own"), F.explode(F.array(F.lit(0), F.lit(1))).alias("below"))
+    out = out.select("x", (F.col("own") - F.col("below")).alias("part"), "rep", "n", "at", (short & (F.col("below") == 0)).alias("short"))
+    bucket, one = Window.partitionBy("x", "part"), F.struct("rep", "n", "at")
+    return out.select("*", F.min(one).over(bucket).alias("low"), F.max(one).over(bucket).alias("high")).filter("low.rep <> high.rep")
+
+
+def _may_link(a: str, b: str, percent: int) -> Column:
+    """Whether the lengths and the places of a shared signature let two sets link, if
+    it is the first they share (``at`` counts from 0)."""
+    n, m = F.least(f"{a}.n", f"{b}.n"), F.greatest(f"{a}.n", f"{b}.n")
+    bound = F.least(F.col(f"{a}.n") - F.col(f"{a}.at"), F.col(f"{b}.n") - F.col(f"{b}.at"))
+    return (n * 100 >= m * percent) & (bound >= _overlap(n, m, percent))
 
 
 def _verified(signed: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
@@ -91,12 +106,13 @@ def _verified(signed: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     return found.filter(F.lit(100) * F.col("both") >= F.lit(percent) * F.col("any")).select("a", "b")
 
 
-def _led(shared: DataFrame) -> DataFrame:
+def _led(shared: DataFrame, percent: int) -> DataFrame:
     """(a, b), a < b: every set with the least and the greatest set of its buckets,
-    each the one that most of them have."""
+    each the one that most of the buckets have where it may link."""
     parts = []
     for end in ("low", "high"):
-        met = shared.filter(F.col("rep") != F.col(end)).groupBy("rep", F.col(end).alias("led")).count()
+        met = shared.alias("s").filter((F.col("rep") != F.col(f"{end}.rep")) & _may_link("s", end, percent))
+        met = met.groupBy("rep", F.col(f"{end}.rep").alias("led")).count()
         parts.append(met.groupBy("rep").agg(F.max(F.struct("count", "led")).alias("m")).select("rep", "m.led"))
     pairs = parts[0].unionByName(parts[1])
     return pairs.select(F.least("rep", "led").alias("a"), F.greatest("rep", "led").alias("b")).distinct()
@@ -113,11 +129,8 @@ def _rest(shared: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     a, b = members.filter("cls <> top").alias("a"), members.drop("top").alias("b")
     first = (F.col("a.n") < F.col("b.n")) | ((F.col("a.n") == F.col("b.n")) & (F.col("a.rep") < F.col("b.rep")))
     roles = (first & F.col("a.short")) | (~first & F.col("b.short"))
-    n, m = F.least("a.n", "b.n"), F.greatest("a.n", "b.n")
-    bound = F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at"))  # ``at`` counts from 0
-    fits = (n * 100 >= m * percent) & (bound >= _overlap(n, m, percent))
     pairs = a.join(b, (F.col("a.x") == F.col("b.x")) & (F.col("a.part") == F.col("b.part"))
-                   & (F.col("a.cls") != F.col("b.cls")) & roles & fits)
+                   & (F.col("a.cls") != F.col("b.cls")) & roles & _may_link("a", "b", percent))
     return pairs.select(F.least("a.rep", "b.rep").alias("a"), F.greatest("a.rep", "b.rep").alias("b")).distinct()
 
 
@@ -134,20 +147,14 @@ def spot_classes(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", tex
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     signed = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("hash"),
                          F.transform(spot_signatures(text), lambda x: (x - (1 << 31)).cast("int")).alias("spots"))
-    signed = signed.filter(F.size("spots") > 0).select(
+    signed = stage_table(signed.select(
         F.monotonically_increasing_id().alias("row"), "doc_id", "hash", F.size("spots").alias("n"),
-        F.xxhash64("spots").alias("fp1"), F.xxhash64(F.lit(1), "spots").alias("fp2"), "spots")
-    signed = stage_table(signed, "spot-sets")
+        F.xxhash64("spots").alias("fp1"), F.xxhash64(F.lit(1), "spots").alias("fp2"), "spots"), "spot-sets").filter("n > 0")
     same = ["n", "fp1", "fp2"]
     prints = stage_table(signed.groupBy(*same).agg(
         F.min("row").alias("rep"), F.min("doc_id").alias("least"), F.count("*").alias("c")), "spot-prints")
-
-    sets = signed.select(F.col("row").alias("rep"), "n", "spots").join(prints.select("rep"), "rep", "left_semi")
-    bucket = Window.partitionBy("x", "part")
-    shared = (_heads(sets, _levels(signed), percent)
-              .select("*", F.min("rep").over(bucket).alias("low"), F.max("rep").over(bucket).alias("high")).filter("low <> high"))
-    shared = stage_table(shared, "spot-shared")
-    links = stage_table(_verified(signed, stage_table(_led(shared), "spot-led"), percent), "spot-links")
+    shared = stage_table(_heads(signed, prints, _levels(signed), percent), "spot-shared")
+    links = stage_table(_verified(signed, stage_table(_led(shared, percent), "spot-led"), percent), "spot-links")
     classes = stage_table(connected_components(links, "a", "b"), "spot-classes")
     rest = stage_table(_rest(shared, classes, percent), "spot-rest")
     if not rest.isEmpty():

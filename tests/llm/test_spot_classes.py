@@ -71,7 +71,7 @@ def test_classes_of_near_copies(spark, percent):
 
 def test_rest_finds_links_that_leaders_miss(spark, monkeypatch):
     rows = near_copies(7)
-    monkeypatch.setattr(spot_classes, "_led", lambda shared: shared.selectExpr("rep a", "rep b").limit(0))
+    monkeypatch.setattr(spot_classes, "_led", lambda shared, percent: shared.selectExpr("rep a", "rep b").limit(0))
     assert classes(spark, rows) == brute(spark, rows)
 
 
