@@ -20,6 +20,9 @@ that links connect form a class.
    there only pairs of different classes are compared; one of the two is never of
    the bucket's most common class. So no link between two classes is missed, and
    no pair within a class is made.
+
+Before whole sets are sent to each other, their sketches (512 bits) are: pairs whose
+sketches differ in more bits than a link allows are no links.
 """
 
 from __future__ import annotations
@@ -34,6 +37,8 @@ from .spotsigs import spot_signatures
 
 #: Cells of the table of frequencies that orders signatures (256 kB, by their low bits).
 CELLS = 1 << 18
+#: Longs of a sketch.
+WORDS = 8
 #: Pairs of one set that a slot of the comparison takes.
 SLOT_PAIRS = 256
 #: Documents of one fingerprint that one task takes in a join, unless they are more than 1 in 100,000 rows.
@@ -91,6 +96,23 @@ def _may_link(a: str, b: str, percent: int) -> Column:
     return (n * 100 >= m * percent) & (bound >= _overlap(n, m, percent))
 
 
+def _sketch(spots) -> Column:
+    """Parity of the signatures by their low bits, one bit each, in ``WORDS`` longs."""
+    flip = lambda bits, x: bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63))))
+    word = lambda k: F.filter(spots, lambda x: F.shiftright(x, 6).bitwiseAND(F.lit(WORDS - 1)) == k)
+    return F.array(*(F.aggregate(word(k), F.lit(0).cast("long"), flip) for k in range(WORDS)))
+
+
+def _near(sketches: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose sketches differ in no more bits than a link
+    allows. Sets differ in at least as many signatures as their sketches in bits."""
+    x = sketches.select(F.col("row").alias("a"), "n", F.col("bits").alias("x"))
+    y = sketches.select(F.col("row").alias("b"), F.col("n").alias("m"), F.col("bits").alias("y"))
+    apart = F.aggregate(F.zip_with("x", "y", lambda v, w: F.bit_count(v.bitwiseXOR(w))), F.lit(0), lambda s, c: s + c)
+    allowed = F.col("n") + F.col("m") - 2 * _overlap(F.col("n"), F.col("m"), percent)
+    return pairs.join(x, "a").join(y, "b").filter(apart <= allowed).select("a", "b")
+
+
 def _verified(signed: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """Those of ``pairs`` (a, b) whose whole sets link. A set with many pairs is
     copied over several slots, so no task gets all of them."""
@@ -154,9 +176,12 @@ def spot_classes(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", tex
     prints = stage_table(signed.groupBy(*same).agg(
         F.min("row").alias("rep"), F.min("doc_id").alias("least"), F.count("*").alias("c")), "spot-prints")
     shared = stage_table(_heads(signed, prints, _levels(signed), percent), "spot-shared")
-    links = stage_table(_verified(signed, stage_table(_led(shared, percent), "spot-led"), percent), "spot-links")
+    sketches = stage_table(signed.select("row", "n", _sketch(F.col("spots")).alias("bits")), "spot-sketches")
+    led = stage_table(_near(sketches, _led(shared, percent), percent), "spot-led")
+    links = stage_table(_verified(signed, led, percent), "spot-links")
     classes = stage_table(connected_components(links, "a", "b"), "spot-classes")
-    rest = stage_table(_rest(shared, classes, percent), "spot-rest")
+    rest = _near(sketches, _rest(shared, classes, percent).join(led, ["a", "b"], "left_anti"), percent)
+    rest = stage_table(rest, "spot-rest")
     if not rest.isEmpty():
         more = stage_table(_verified(signed, rest, percent), "spot-more")
         if not more.isEmpty():
