@@ -16,7 +16,7 @@ from .ngram_join import ngram_jaccard_classes
 from .pii_feistel import pseudonymise
 from .quality_gam import score_quality, train_quality
 from .sentencepiece_codec import encode_documents
-from .spot_classes import with_classes
+from .spot_classes import spot_classes
 from .spotsigs import fingerprint_documents
 from .tool_chat import CHAT_TOOLS, calls_from_chat, link_tool_calls, messages_from_chat
 from .toxicity import score_toxicity, train_toxicity
@@ -39,7 +39,8 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprint_documents(with_classes(_table(spark, sf_dir, "documents")), carry=["class_id"])
+    docs = _table(spark, sf_dir, "documents")
+    return fingerprint_documents(docs, classes=spot_classes(docs))
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

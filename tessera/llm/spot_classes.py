@@ -197,10 +197,3 @@ def spot_classes(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", tex
     found = found.filter(~F.col("class_id").eqNullSafe(F.col("doc_id")))
     return stage_table(found.groupBy("doc_id", "hash").agg(F.min("class_id").alias("class_id")), "spot-rows")
 
-
-def with_classes(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """(doc_id, text, class_id): ``docs`` with the class of :func:`spot_classes` of each row."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found = spot_classes(docs, percent).select(F.col("doc_id").alias("id"), "hash", "class_id")
-    key = F.col("doc_id").eqNullSafe(F.col("id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("hash"))
-    return docs.join(found, key, "left").select("doc_id", "text", F.coalesce("class_id", "doc_id").alias("class_id"))

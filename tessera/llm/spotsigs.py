@@ -108,11 +108,12 @@ def _step(key: Column, cuts: list[int]) -> Column:
     return F.when(key.isNull(), 0).otherwise(at)
 
 
-def _ranged(docs: DataFrame, rows: int) -> DataFrame:
+def _ranged(docs: DataFrame, rows: int, also: DataFrame | None = None):
     """``docs`` (doc_id, text) with ``part``, the range of a row in the order of
     (doc_id, hash), and ``hash``. Steps between quantiles are cut further by how
     many rows they hold: by id, or, in a step of one id (or of none), by the
-    hash of the text, so neither outliers nor an id with many rows fill a range."""
+    hash of the text, so neither outliers nor an id with many rows fill a range.
+    With ``also`` (doc_id, text_hash) a pair: its rows are dealt the same way."""
     cuts = _cuts(docs.select("doc_id"), rows)
     step = docs.withColumn("step", _step(F.col("doc_id"), cuts))
     # One row for each step, 8,194 at most.
@@ -128,17 +129,23 @@ def _ranged(docs: DataFrame, rows: int) -> DataFrame:
     inside = (number(F.col("doc_id")) - number(pick(low))) / F.nullif(pick(width, "D"), F.lit(0.0))
     # The text is read for this only if a step of one id (or of none) is cut.
     hashed = any(p > 1 and not w for p, w in zip(parts, width))
-    step = step.withColumn("hash", F.xxhash64("text") if hashed else F.lit(0).cast("long"))
-    inside = F.coalesce(inside, number(F.col("hash")) / F.lit(2.0**64) + F.lit(0.5))
-    cut = F.greatest(F.lit(0), F.least(F.floor(inside * pick(parts)), pick(parts) - 1))
-    return step.withColumn("part", (pick(first) + cut).cast("long")).drop("step")
+
+    def deal(df: DataFrame, text_hash: Column) -> DataFrame:
+        df = df.withColumn("hash", text_hash if hashed else F.lit(0).cast("long"))
+        at = F.coalesce(inside, number(F.col("hash")) / F.lit(2.0**64) + F.lit(0.5))
+        cut = F.greatest(F.lit(0), F.least(F.floor(at * pick(parts)), pick(parts) - 1))
+        return df.withColumn("part", (pick(first) + cut).cast("long")).drop("step")
+
+    dealt = deal(step, F.xxhash64("text"))
+    return dealt if also is None else (dealt, deal(also.withColumn("step", _step(F.col("doc_id"), cuts)), F.col("text_hash")))
 
 
 def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = ROWS,
-                          carry: list[str] | None = None) -> DataFrame:
+                          classes: DataFrame | None = None) -> DataFrame:
     """One row for each row of ``docs``: doc_id, n_chars, edited_sha256,
-    fingerprint, edited_fingerprint, near_edited, near_next, and the columns in
-    ``carry`` (none named part, hash, extra, spots, next, next_spots or edited).
+    fingerprint, edited_fingerprint, near_edited, near_next; with
+    ``classes`` (doc_id, hash, class_id; see :func:`.spot_classes.spot_classes`)
+    also class_id, of the row with the same id and hash of the text, else doc_id.
 
     The edited text replaces the last quarter of a text's code points by the
     first as many of the next document, by ascending id (rows without an id
@@ -149,11 +156,14 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
     Ids are dealt into ranges of about ``rows`` rows, each ordered by itself;
     the first rows of a range are also sent to the range before it, so every
     row meets its next one with a single shuffle of the texts. Only rows that
-    repeat both id and text always share a range.
+    repeat both id and text always share a range. Classes are dealt with the texts,
+    so they cost no further shuffle of these.
     """
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
-                       *(carry or []))
-    docs = _ranged(docs, rows)
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    if classes is None:
+        docs = _ranged(docs, rows)
+    else:
+        docs, classes = _ranged(docs, rows, classes.select("doc_id", F.col("hash").alias("text_hash"), "class_id"))
     key = F.struct("doc_id", "hash")
     firsts = docs.groupBy("part").agg(F.min(key).alias("least"))
     order = Window.orderBy("part")  # at most RANGES + 8,194 rows of three numbers
@@ -162,10 +172,18 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
             .withColumn("to", F.explode(F.array_compact(F.array(
                 F.struct(F.col("part").alias("part"), F.lit(False).alias("extra")),
                 F.when(key.eqNullSafe(F.col("least")), F.struct(F.col("before").alias("part"), F.lit(True).alias("extra")))))))
-            .select("doc_id", "text", *(carry or []), "to.part", "to.extra").repartition("part"))
+            .select("doc_id", "text", "to.part", "to.extra"))
+    if classes is None:
+        sent = sent.repartition("part")
+    else:
+        sent = sent.unionByName(classes.select("doc_id", "part", "text_hash", "class_id"), allowMissingColumns=True).repartition("part")
+        alike = Window.partitionBy("part", "doc_id", "text_hash")
+        sent = sent.withColumn("text_hash", F.coalesce("text_hash", F.xxhash64("text")))
+        sent = sent.withColumn("class_id", F.max("class_id").over(alike)).filter("text is not null")
+    kept = [] if classes is None else [F.coalesce("class_id", "doc_id").alias("class_id")]
     signed = sent.withColumn("spots", spot_signatures(F.col("text")))
     follow = Window.partitionBy("part").orderBy("extra", "doc_id", F.xxhash64("text"), "text")
-    both = (signed.select("doc_id", "text", *(carry or []), "spots", "extra", F.lead("text").over(follow).alias("next"),
+    both = (signed.select("doc_id", "text", *kept, "spots", "extra", F.lead("text").over(follow).alias("next"),
                           F.lead("spots").over(follow).alias("next_spots")).filter("not extra"))
     n = F.length("text")
     edited = F.concat(F.substr("text", F.lit(1), n - F.floor(n / 4)), F.substr("next", F.lit(1), F.floor(n / 4)))
@@ -174,7 +192,7 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
         "doc_id", n.cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
         as_text(F.col("spots")).alias("fingerprint"), as_text(F.col("edited_spots")).alias("edited_fingerprint"),
         likeness(F.col("spots"), F.col("edited_spots")).alias("near_edited"),
-        likeness(F.col("spots"), F.col("next_spots")).alias("near_next"), *(carry or []))
+        likeness(F.col("spots"), F.col("next_spots")).alias("near_next"), *kept)
 
 
 def similar_pairs(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from tessera.llm import queries, spot_classes
+from tessera.llm import queries, spot_classes, spotsigs
 from test_text_operators import SF, brute_spots, frame, table
 
 
@@ -30,7 +30,8 @@ def brute(spark, rows, percent=80):
 
 
 def classes(spark, rows, percent=80):
-    got = spot_classes.with_classes(frame(spark, rows), percent)
+    docs = frame(spark, rows)
+    got = spotsigs.fingerprint_documents(docs, rows=7, classes=spot_classes.spot_classes(docs, percent))
     return sorted(((r.doc_id, r.class_id) for r in got.collect()), key=str)
 
 
@@ -90,7 +91,8 @@ def test_class_edges(spark):
             (None, "a lone text without the id of any row"), (-(2**63), "no other of these"), (8, "the same two of that"), (8, "the same two of that")]
     assert classes(spark, rows) == brute(spark, rows)
     extra = frame(spark, rows).selectExpr("*", "1 as row", "2 as hash", "3 as rep", "4 as spots")
-    assert extra.count() == spot_classes.with_classes(extra).count() == len(rows)
+    got = spotsigs.fingerprint_documents(extra, classes=spot_classes.spot_classes(extra))
+    assert sorted(((r.doc_id, r.class_id) for r in got.collect()), key=str) == brute(spark, rows)
 
 
 def test_long_and_repetitive_texts(spark):
