@@ -35,8 +35,8 @@ from ..operators.staging import stage_table
 from .components import connected_components
 from .spotsigs import spot_signatures
 
-#: Cells of the table of frequencies that orders signatures (256 kB, by their low bits).
-CELLS = 1 << 18
+#: Cells of the table of frequencies that orders signatures (64 kB, by their low bits).
+CELLS = 1 << 16
 #: Longs of a sketch.
 WORDS = 8
 #: Pairs of one set that a slot of the comparison takes.
