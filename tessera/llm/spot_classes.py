@@ -8,21 +8,24 @@ that links connect form a class.
    ``percent`` 80 needs lengths within a factor of 1.25, so a set meets only its
    own length partition and the next.
 2. *Prune.* In one global order, frequent signatures last, two sets that link share
-   one of the first ``n - ceil(percent n / 100) + 1`` signatures of the longer
-   with one of the first ``n - ceil(2 percent n / (100 + percent)) + 1`` of the
-   shorter. A bucket is a length partition with one of these signatures; those
-   with a single set end here. At the first signature two sets share, what is left
-   of either bounds their overlap; pairs whose bound is too small are not made.
+   two of the first ``n - ceil(percent n / 100) + 2`` signatures of the longer
+   with two of the first ``n - ceil(2 percent n / (100 + percent)) + 2`` of the
+   shorter (one, if they need to share no more). A bucket is a length partition
+   with one of these signatures; those with a single set end here. At the second
+   signature two sets share, what is left of either bounds their overlap; pairs
+   whose bound is too small are not made.
 3. *Lead.* Every set is compared, whole, with the least and the greatest set that
    its buckets hold most often. That is linear in a bucket of any size, and joins
    nearly all sets of a group of copies into one class.
 4. *Rest.* Only buckets whose sets are still in several classes are opened, and
    there only pairs of different classes are compared; one of the two is never of
    the bucket's most common class. So no link between two classes is missed, and
-   no pair within a class is made.
+   no pair within a class is made. Long sets share one signature by chance; pairs
+   that meet in fewer buckets than a link needs end here.
 
-Before whole sets are sent to each other, their sketches (512 bits) are: pairs whose
-sketches differ in more bits than a link allows are no links.
+Before whole sets are sent to each other, their sketches (a bit or more for each
+signature, 512 at least) are: pairs whose sketches differ in more bits than a link
+allows are no links.
 """
 
 from __future__ import annotations
@@ -33,12 +36,14 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..operators.staging import stage_table
 from .components import connected_components
-from .spotsigs import spot_signatures
+from .spotsigs import _let, spot_signatures
 
 #: Cells of the table of frequencies that orders signatures (64 kB, by their low bits).
 CELLS = 1 << 16
-#: Longs of a sketch.
-WORDS = 8
+#: Longs of the smallest sketch, and how often it may grow fourfold.
+WORDS, GROWS = 8, 6
+#: Signatures of two heads that a link shares, if it shares as many.
+MET = 2
 #: Pairs of one set that a slot of the comparison takes.
 SLOT_PAIRS = 256
 #: Documents of one fingerprint that one task takes in a join, unless they are more than 1 in 100,000 rows.
@@ -74,33 +79,46 @@ def _heads(signed: DataFrame, prints: DataFrame, levels: bytearray, percent: int
     level = lambda x: F.substr(F.lit(levels), x.bitwiseAND(F.lit(CELLS - 1)).cast("int") + 1, F.lit(1))
     ordered = F.array_sort(F.transform("spots", lambda x: F.struct(level(x).alias("level"), x.alias("x"))))
     n = F.col("n")
-    head = F.transform(F.slice(ordered, F.lit(1), (n - _least_overlap(n, percent) + 1).cast("int")), lambda s: s["x"])
+    head = F.transform(F.slice(ordered, F.lit(1), (n - _least_overlap(n, percent) + MET).cast("int")), lambda s: s["x"])
     heads = signed.select(F.col("row").alias("rep"), "n", head.alias("head")).join(prints.select("rep"), "rep")
     heads = heads.select("rep", "n", F.posexplode("head").alias("at", "x"))
     same = Window.partitionBy("x")  # most signatures have one set, and end here
     heads = heads.select("*", F.min("rep").over(same).alias("r1"), F.max("rep").over(same).alias("r2")).filter("r1 <> r2")
     base = math.log(100 / percent) if percent < 100 else 0.0
     part = F.floor(F.log(n.cast("double")) / base + F.lit(1e-9)) if base else n
-    short = F.col("at") < n - F.ceil(F.lit(2 * percent) * n / F.lit(100 + percent)) + 1
+    short = F.col("at") < n - F.ceil(F.lit(2 * percent) * n / F.lit(100 + percent)) + MET
     out = heads.select("rep", "n", "at", "x", part.cast("int").alias("own"), F.explode(F.array(F.lit(0), F.lit(1))).alias("below"))
     out = out.select("x", (F.col("own") - F.col("below")).alias("part"), "rep", "n", "at", (short & (F.col("below") == 0)).alias("short"))
     bucket, one = Window.partitionBy("x", "part"), F.struct("rep", "n", "at")
     return out.select("*", F.min(one).over(bucket).alias("low"), F.max(one).over(bucket).alias("high")).filter("low.rep <> high.rep")
 
 
-def _may_link(a: str, b: str, percent: int) -> Column:
+def _may_link(a: str, b: str, percent: int, before: int = 0) -> Column:
     """Whether the lengths and the places of a shared signature let two sets link, if
-    it is the first they share (``at`` counts from 0)."""
+    they share at most ``before`` earlier ones (``at`` counts from 0)."""
     n, m = F.least(f"{a}.n", f"{b}.n"), F.greatest(f"{a}.n", f"{b}.n")
     bound = F.least(F.col(f"{a}.n") - F.col(f"{a}.at"), F.col(f"{b}.n") - F.col(f"{b}.at"))
-    return (n * 100 >= m * percent) & (bound >= _overlap(n, m, percent))
+    return (n * 100 >= m * percent) & (bound + before >= _overlap(n, m, percent))
 
 
 def _sketch(spots) -> Column:
-    """Parity of the signatures by their low bits, one bit each, in ``WORDS`` longs."""
-    flip = lambda bits, x: bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63))))
-    word = lambda k: F.filter(spots, lambda x: F.shiftright(x, 6).bitwiseAND(F.lit(WORDS - 1)) == k)
-    return F.array(*(F.aggregate(word(k), F.lit(0).cast("long"), flip) for k in range(WORDS)))
+    """Parity of the signatures by their low bits, one bit each, in ``WORDS`` longs, or
+    four times as many while there are more signatures than bits."""
+    one = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63)))
+    parity = lambda xs: F.aggregate(xs, F.lit(0).cast("long"), lambda bits, x: bits.bitwiseXOR(one(x)))
+    word = lambda xs, by, k, of: F.filter(xs, lambda x: F.shiftright(x, by).bitwiseAND(F.lit(of - 1)) == k)
+    words = F.array(*(word(spots, 6, k, WORDS) for k in range(WORDS)))
+    for grown in range(GROWS):  # long k of w is split into k, k + w, k + 2 w and k + 3 w
+        w = WORDS << 2 * grown
+        split = lambda ws: F.flatten(F.array(*(F.transform(ws, lambda xs: word(xs, 5 + w.bit_length(), k, 4)) for k in range(4))))
+        words = _let(words, lambda ws: F.when(F.size(spots) > 64 * w, split(ws)).otherwise(ws))
+    return F.transform(words, parity)
+
+
+def _folded(bits, words) -> Column:
+    """The sketch that a set has in so many longs, from one of as many or more."""
+    fold = lambda k: F.aggregate(F.sequence(k, F.size(bits) - 1, words), F.lit(0).cast("long"), lambda s, i: s.bitwiseXOR(F.get(bits, i)))
+    return F.when(F.size(bits) == words, bits).otherwise(F.transform(F.sequence(F.lit(0), words - 1), fold))
 
 
 def _near(sketches: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
@@ -108,7 +126,9 @@ def _near(sketches: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     allows. Sets differ in at least as many signatures as their sketches in bits."""
     x = sketches.select(F.col("row").alias("a"), "n", F.col("bits").alias("x"))
     y = sketches.select(F.col("row").alias("b"), F.col("n").alias("m"), F.col("bits").alias("y"))
-    apart = F.aggregate(F.zip_with("x", "y", lambda v, w: F.bit_count(v.bitwiseXOR(w))), F.lit(0), lambda s, c: s + c)
+    words = F.least(F.size("x"), F.size("y"))
+    differ = F.zip_with(_folded(F.col("x"), words), _folded(F.col("y"), words), lambda v, w: F.bit_count(v.bitwiseXOR(w)))
+    apart = F.aggregate(differ, F.lit(0), lambda s, c: s + c)
     allowed = F.col("n") + F.col("m") - 2 * _overlap(F.col("n"), F.col("m"), percent)
     return pairs.join(x, "a").join(y, "b").filter(apart <= allowed).select("a", "b")
 
@@ -141,8 +161,8 @@ def _led(shared: DataFrame, percent: int) -> DataFrame:
 
 
 def _rest(shared: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """(a, b), a < b: pairs of the same bucket and different classes that the lengths
-    and the places of their signature let link."""
+    """(a, b), a < b: pairs of different classes that share as many buckets as a link
+    needs, where the lengths and the places of their signature let them link."""
     own = shared.join(classes, F.col("rep") == F.col("node"), "left").withColumn("cls", F.coalesce("component", "rep"))
     own = stage_table(own.select("x", "part", "rep", "n", "at", "short", "cls"), "spot-members")
     held = own.groupBy("x", "part", "cls").count().groupBy("x", "part").agg(
@@ -152,8 +172,11 @@ def _rest(shared: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     first = (F.col("a.n") < F.col("b.n")) | ((F.col("a.n") == F.col("b.n")) & (F.col("a.rep") < F.col("b.rep")))
     roles = (first & F.col("a.short")) | (~first & F.col("b.short"))
     pairs = a.join(b, (F.col("a.x") == F.col("b.x")) & (F.col("a.part") == F.col("b.part"))
-                   & (F.col("a.cls") != F.col("b.cls")) & roles & _may_link("a", "b", percent))
-    return pairs.select(F.least("a.rep", "b.rep").alias("a"), F.greatest("a.rep", "b.rep").alias("b")).distinct()
+                   & (F.col("a.cls") != F.col("b.cls")) & roles & _may_link("a", "b", percent, MET - 1)
+                   & (first | (F.col("b.cls") == F.col("a.top"))))  # once in a bucket
+    need = F.least(F.lit(MET), _overlap(F.col("a.n"), F.col("b.n"), percent)).cast("byte")
+    pairs = pairs.select(F.least("a.rep", "b.rep").alias("a"), F.greatest("a.rep", "b.rep").alias("b"), need.alias("need"))
+    return pairs.groupBy("a", "b", "need").count().filter("count >= need").select("a", "b")
 
 
 def spot_classes(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.llm import queries, spot_classes, spotsigs
 from test_text_operators import SF, brute_spots, frame, table
@@ -98,3 +99,49 @@ def test_class_edges(spark):
 def test_long_and_repetitive_texts(spark):
     rows = [(1, "the same word " * 50_000), (2, "the same word " * 50_001), (3, " ".join(f"the w{k} v{k}" for k in range(20_000)))]
     assert classes(spark, rows) == [(1, 1), (2, 1), (3, 3)]
+
+
+def sketched(spark, sets):
+    rows = [(k, len(s), sorted(s)) for k, s in enumerate(sets)]
+    frame = spark.createDataFrame(rows, "row long, n int, spots array<int>")
+    return frame.select("row", "n", spot_classes._sketch(frame.spots).alias("bits"))
+
+
+def test_sketches_of_every_size(spark):
+    """A sketch differs from another in no more bits than the sets, and tells large sets apart."""
+    rng = random.Random(3)
+    draw = lambda n: set(rng.sample(range(-(1 << 31), 1 << 31), n))
+    sets = [draw(n) for n in (1, 40, 512, 513, 560, 2000, 2100, 2400, 9000)]
+    sets += [set(list(s)[: len(s) * 19 // 20]) | draw(len(s) // 40) for s in sets]  # linked, some with a sketch of another size
+    rows = {r.row: r.bits for r in sketched(spark, sets).collect()}
+    for k, s in enumerate(sets):
+        bits = rows[k]
+        assert 64 * len(bits) >= len(s)
+        want = [0] * len(bits)
+        for x in s:
+            want[(x >> 6) % len(bits)] ^= 1 << (x & 63)
+        assert [b % (1 << 64) for b in bits] == want
+    pairs = [(a, b) for a in range(len(sets)) for b in range(a + 1, len(sets))]
+    fit = lambda a, b: min(len(sets[a]), len(sets[b])) * 100 >= max(len(sets[a]), len(sets[b])) * 80
+    pairs = [(a, b) for a, b in pairs if fit(a, b)]
+    got = spot_classes._near(sketched(spark, sets), spark.createDataFrame(pairs, "a long, b long"), 80)
+    linked = {(a, b) for a, b in pairs if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    assert len({len(b) for b in rows.values()}) == 4 and len(linked) >= 7 and len(pairs) > len(linked) + 5
+    assert {(r.a, r.b) for r in got.collect()} == linked
+
+
+def test_long_texts_with_a_common_phrase_are_no_pairs(spark, monkeypatch):
+    """Unrelated long texts that share one signature never have their whole sets compared, nor their sketches after the leaders'."""
+    rng = random.Random(5)
+    rows = [(k, " ".join(["the common phrase", *(f"the w{rng.randrange(10**9)} v{rng.randrange(10**9)}" for _ in range(1100 + k))])) for k in range(24)]
+    rows += [(100 + k, f"{t} the tail{k} end") for k, t in rows[:3]]
+    near, whole = [], []
+    for name, seen in (("_near", near), ("_verified", whole)):
+        monkeypatch.setattr(spot_classes, name, lambda sets, pairs, percent, f=getattr(spot_classes, name), seen=seen: seen.append(pairs.count()) or f(sets, pairs, percent))
+    [phrase] = frame(spark, [(0, "the common phrase")]).select(spotsigs.spot_signatures(F.col("text"))).first()[0]
+    levels = bytearray(b"\1" * spot_classes.CELLS)
+    levels[phrase % spot_classes.CELLS] = 0  # the phrase comes first in every order
+    monkeypatch.setattr(spot_classes, "_levels", lambda signed: levels)
+    got = classes(spark, rows)
+    assert got == sorted(((i, i % 100) for i, _ in rows), key=str)
+    assert near[1] == 0 and sum(whole) <= 3
