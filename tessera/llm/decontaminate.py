@@ -33,6 +33,8 @@ TABLE_BITS = 22
 BROADCAST_PAIRS = 1 << 18
 #: And if their items have up to this many words in all (128 MB).
 BROADCAST_WORDS = 1 << 24
+#: Pairs of places whose runs are measured at once, about.
+PAIRS = 1 << 14
 
 
 def _word_lists(texts: pa.Array):
@@ -62,6 +64,19 @@ def _free_from(free: np.ndarray) -> np.ndarray:
     return taken[np.searchsorted(taken, np.arange(len(free)))] - np.arange(len(free))
 
 
+def _measured(run_i: _Running, run_t: _Running, room_i: np.ndarray, room_t: np.ndarray, pairs: list, least: int) -> np.ndarray:
+    """(length, place in item, place in text) of the common runs of at least ``least``
+    words that start at ``pairs``, each a place in item and its places in text."""
+    t = np.concatenate([x for _, x in pairs])
+    i = np.repeat([x for x, _ in pairs], [len(x) for _, x in pairs])
+    lo, hi = np.full(len(t), least), np.minimum(room_i[i], room_t[t])
+    while (lo < hi).any():
+        mid = (lo + hi + 1) // 2
+        same = run_i.of(i, mid) == run_t.of(t, mid)
+        lo, hi = np.where(same, mid, lo), np.where(same, hi, mid - 1)
+    return np.stack([lo, i, t], axis=1)
+
+
 def greedy_tiles(item: np.ndarray, text: np.ndarray, least: int) -> list[tuple[int, int, int]]:
     """Tiles (position in item, position in text, length) of two word arrays: the
     longest common run of unmarked words again and again, the first in item and
@@ -82,19 +97,20 @@ def greedy_tiles(item: np.ndarray, text: np.ndarray, least: int) -> list[tuple[i
         hash_i, hash_t = run_i.of(ok_i, length), run_t.of(ok_t, length)
         order = np.argsort(hash_t, kind="stable")
         low, high = (np.searchsorted(hash_t[order], hash_i, side=s) for s in ("left", "right"))
-        found = [np.zeros((0, 3), np.int64)]
+        found, pairs, held = [np.zeros((0, 3), np.int64)], [], 0
         for i, a, b in zip(ok_i[high > low], low[high > low], high[high > low]):
             t = ok_t[order[a:b]]
             if i > 0 and free_i[i - 1]:  # not from inside a longer run
                 t = t[~((t > 0) & free_t[t - 1] & (text[t - 1] == item[i - 1]))]
             if len(t) == 0:
                 continue
-            lo, hi = np.full(len(t), length), np.minimum(room_i[i], room_t[t])
-            while (lo < hi).any():
-                mid = (lo + hi + 1) // 2
-                same = run_i.of(np.full(len(t), i), mid) == run_t.of(t, mid)
-                lo, hi = np.where(same, mid, lo), np.where(same, hi, mid - 1)
-            found.append(np.stack([lo, np.full(len(t), i), t], axis=1))
+            pairs.append((i, t))
+            held += len(t)
+            if held >= PAIRS:
+                found.append(_measured(run_i, run_t, room_i, room_t, pairs, length))
+                pairs, held = [], 0
+        if pairs:
+            found.append(_measured(run_i, run_t, room_i, room_t, pairs, length))
         runs = np.concatenate(found)
         runs = runs[np.lexsort((runs[:, 2], runs[:, 1], -runs[:, 0]))]
         cut = 0

@@ -225,6 +225,20 @@ def test_tiles_cover_reordered_passages():
         assert decontaminate.greedy_tiles(a, b, 3) == want, (a, b)
 
 
+def test_tiles_measured_in_batches(monkeypatch):
+    import numpy as np
+
+    rng = np.random.default_rng(6)
+    cases = [(rng.integers(0, 3, rng.integers(0, 40)), rng.integers(0, 3, rng.integers(0, 80))) for _ in range(100)]
+    whole = [decontaminate.greedy_tiles(a, b, 3) for a, b in cases]
+    calls, measured = [], decontaminate._measured
+    monkeypatch.setattr(decontaminate, "_measured", lambda *x: calls.append(len(x[4])) or measured(*x))
+    assert decontaminate.greedy_tiles(np.full(20_000, 7), np.full(200, 7), 5) == [(0, 0, 200)]
+    assert len(calls) < 100  # not one for each place of the item
+    monkeypatch.setattr(decontaminate, "PAIRS", 2)
+    assert [decontaminate.greedy_tiles(a, b, 3) for a, b in cases] == whole
+
+
 def test_tiles_of_repeated_words():
     import time
 
